@@ -1,0 +1,148 @@
+"""the full batch run.
+
+normalize (stage, reused when its config is unchanged) -> BoW -> LDA ->
+TF-IDF -> LSA -> reports.  The shared term table is checkpointed once and
+feeds both vectorizers when their token patterns agree (always on cleaned
+text); the doc-major TF-IDF table is checkpointed for the LSA passes.
+"""
+
+from __future__ import annotations
+
+import time
+from dataclasses import asdict, dataclass, field
+from datetime import datetime, timezone
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..config import PipelineConfig
+from ..operators import clean as C
+from ..operators import lda as LD
+from ..operators import lsa as LS
+from ..operators import stats as ST
+from ..operators import topics as TP
+from ..operators import vectorize as V
+from ..session import ensure_checkpoint_dir, scratch_path
+from ..sources import corpus as SRC
+from ..sources import sinks as SK
+
+
+@dataclass
+class PipelineResult:
+    normalized: DataFrame
+    bow: V.Vectorized
+    tfidf: V.Vectorized
+    lda_terms: DataFrame
+    lda_doc_topic: DataFrame
+    lsa_terms: DataFrame
+    lsa_doc_topic: DataFrame
+    lsa_model: LS.LsaModel
+    report: DataFrame
+    overview: DataFrame
+    meta: dict = field(default_factory=dict)
+
+
+def normalized_stage(spark: SparkSession, raw: DataFrame, cfg: PipelineConfig,
+                     stage_base: str | None) -> DataFrame:
+    """The normalized corpus is always materialized (Parquet stage under
+    ``stage_base``, default the shared checkpoint folder) and read back, so the
+    cleaning runs once however many jobs follow."""
+    base = stage_base or scratch_path(spark, "stages")
+    key = {"clean": asdict(cfg.clean), "columns": raw.columns,
+           "input": sorted(str(x) for x in raw.inputFiles())}
+    df, _ = SRC.load_or_build_stage(spark, base, "normalized", key,
+                                    lambda: C.normalize_corpus(raw, cfg.clean))
+    return SRC.balance(df)
+
+
+def _timed(timings: dict, name: str, t0: float) -> float:
+    t1 = time.time()
+    timings[name] = round(t1 - t0, 3)
+    return t1
+
+
+def run(spark: SparkSession, raw: DataFrame, cfg: PipelineConfig = PipelineConfig(),
+        outdir: str | None = None, stage_base: str | None = None) -> PipelineResult:
+    ensure_checkpoint_dir(spark)
+    timings: dict = {}
+    t = time.time()
+    normalized = normalized_stage(spark, raw, cfg, stage_base)
+    t = _timed(timings, "normalize", t)
+    text_col = cfg.vectorize_col
+    vc, tc = cfg.vectorize, cfg.topics
+    id_col = cfg.clean.id_col
+
+    docs = normalized.select(F.col(id_col).alias("doc_id"), text_col)
+    n_docs = docs.count()
+
+    # One term table for both vectorizers when their token patterns agree:
+    # on cleaned text ([a-z] words, single spaces) they always do.
+    bow_terms = V.doc_terms(docs, text_col, vc, V.BOW_PATTERN)
+    bow_tf = V.term_frequencies(bow_terms, binary=vc.binary).checkpoint(eager=True)
+    same_tokens = text_col == C.CLEAN and not vc.binary
+    if same_tokens:
+        tfidf_tf = bow_tf
+    else:
+        tfidf_tf = V.term_frequencies(V.doc_terms(docs, text_col, vc, V.WORD_PATTERN)) \
+                    .checkpoint(eager=True)
+    t = _timed(timings, "term_table", t)
+
+    # BoW + LDA
+    bow_vocab = V.fit_vocabulary(bow_tf, n_docs, vc)
+    bow = V.Vectorized(V.bow_matrix(bow_tf, bow_vocab).checkpoint(eager=True), bow_vocab,
+                       "bow", "CountVectorizer", bow_tf)
+    t = _timed(timings, "bow", t)
+    vectors = LD.count_vectors(bow_terms, bow.vocab, binary=vc.binary)
+    lda_model = LD.fit_lda(vectors, tc, n_docs)
+    lda_terms = TP.topic_terms_long(
+        TP.rank_terms(LD.top_terms(lda_model, bow.vocab, tc.n_top_terms), tc.n_top_terms),
+        "lda_bow").checkpoint(eager=True)
+    lda_dt = LD.doc_topic(lda_model, vectors, tc.n_topics)
+    t = _timed(timings, "lda", t)
+
+    # TF-IDF + LSA
+    from dataclasses import replace
+    tcfg = replace(vc, binary=False)
+    # Same term table and same ranking rule -> the same fitted vocabulary.
+    tfidf_vocab = bow_vocab if same_tokens else V.fit_vocabulary(tfidf_tf, n_docs, tcfg)
+    tfidf = V.Vectorized(V.tfidf_matrix(tfidf_tf, tfidf_vocab, tcfg).checkpoint(eager=True),
+                         tfidf_vocab, "tfidf", "TfidfVectorizer", tfidf_tf)
+    t = _timed(timings, "tfidf", t)
+    D = LS.doc_major(tfidf.matrix).checkpoint(eager=True)
+    lsa_model = LS.fit_lsa(D, tfidf.vocab.size, n_docs, tc)
+    lsa_model.explained_variance_ratio_sum = LS.explained_variance_ratio(tfidf, lsa_model)
+    lsa_terms = TP.topic_terms_long(
+        TP.rank_terms(LS.lsa_topics_frame(spark, lsa_model, tfidf.vocab.table, tc.n_top_terms),
+                      tc.n_top_terms), "lsa_tfidf").checkpoint(eager=True)
+    coords = LS.doc_coordinates(D, lsa_model, tc.normalize_doc_topics)
+    lsa_dt = (docs.select("doc_id").join(coords, "doc_id", "left")
+              .select("doc_id", F.coalesce("topics", F.array_repeat(F.lit(0.0), tc.n_topics))
+                      .alias("topics")))
+    t = _timed(timings, "lsa", t)
+
+    report = ST.vectorization_report(bow, tfidf)
+    overview = TP.topics_comparison([TP.topic_overview(lda_terms, cfg.top_k_overview),
+                                     TP.topic_overview(lsa_terms, cfg.top_k_overview)])
+    result = PipelineResult(normalized, bow, tfidf, lda_terms, lda_dt, lsa_terms, lsa_dt,
+                            lsa_model, report, overview)
+    if outdir:
+        result.meta = write_all(result, cfg, outdir)
+        t = _timed(timings, "write", t)
+    result.meta["timings"] = timings
+    return result
+
+
+def write_all(r: PipelineResult, cfg: PipelineConfig, outdir: str) -> dict:
+    stamp = datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
+    k = cfg.topics.n_topics
+    meta = {
+        "bow": SK.save_vectorization(r.bow, outdir, stamp),
+        "tfidf": SK.save_vectorization(r.tfidf, outdir, stamp),
+        "lda_bow": SK.save_topics("lda_bow", r.lda_terms, r.lda_doc_topic, k, outdir,
+                                  stamp, cfg.top_k_overview),
+        "lsa_tfidf": SK.save_topics("lsa_tfidf", r.lsa_terms, r.lsa_doc_topic, k, outdir,
+                                    stamp, cfg.top_k_overview),
+    }
+    SK.save_report(r.report, outdir)
+    SK.save_comparison(r.overview, outdir)
+    return meta
