@@ -83,7 +83,8 @@ def lemmatize(df: DataFrame, in_col: str = "_tokens", out_col: str = "_lemmas",
     from ..plans.joins import join_small
     key = "_lemma_row"
     base = df.withColumn(key, F.monotonically_increasing_id())
-    exploded = base.select(key, F.posexplode(in_col).alias("_pos", "form"))
+    exploded = base.select(key, F.posexplode_outer(in_col).alias("_pos", "form")) \
+                   .filter(F.col("form").isNotNull())
     looked = join_small(exploded, dictionary.select("form", "lemma"), on="form", how="left")
     rebuilt = (looked
                .withColumn("lemma", F.coalesce(F.col("lemma"),

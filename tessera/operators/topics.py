@@ -59,9 +59,13 @@ def doc_topic_wide(doc_topic: DataFrame, k: int, array_col: str = "topics") -> D
 
 
 def doc_topic_long(doc_topic: DataFrame, array_col: str = "topics") -> DataFrame:
-    return doc_topic.select(F.col("doc_id").cast("long").alias("doc_id"),
-                            F.posexplode(array_col).alias("topic_id", "weight")) \
-                    .withColumn("topic_id", F.col("topic_id").cast("long"))
+    # posexplode_outer + null filter: a plain generator makes the optimizer
+    # infer a size filter and push it, with the array expression inlined,
+    # below the projections that materialize it (see vectorize.term_frequencies).
+    return (doc_topic.select(F.col("doc_id").cast("long").alias("doc_id"),
+                             F.posexplode_outer(array_col).alias("topic_id", "weight"))
+            .filter(F.col("topic_id").isNotNull())
+            .withColumn("topic_id", F.col("topic_id").cast("long")))
 
 
 def topics_meta(doc_topic: DataFrame, method: str, k: int, path: str | None = None) -> DataFrame:
@@ -92,7 +96,8 @@ def normalize_topics_json(df: DataFrame, json_col: str = "topics_json") -> DataF
     shaped = df.select(F.col(json_col), v.alias("_v"), F.when(is_obj, "obj").when(is_pair, "pair")
                        .when(first_kind.startswith("ARRAY"), "list").alias("_shape"))
     topics = shaped.filter(F.col("_shape").isNotNull()).select(
-        "_shape", F.posexplode(F.expr("try_variant_get(_v, '$', 'array<variant>')")).alias("_pos", "_t"))
+        "_shape", F.posexplode_outer(F.expr("try_variant_get(_v, '$', 'array<variant>')"))
+        .alias("_pos", "_t")).filter(F.col("_pos").isNotNull())
     t = F.col("_t")
     obj_terms = F.coalesce(F.try_variant_get(t, "$.terms", "array<variant>"),
                            F.try_variant_get(t, "$.top_terms", "array<variant>"),
@@ -107,7 +112,8 @@ def normalize_topics_json(df: DataFrame, json_col: str = "topics_json") -> DataF
            .when(F.col("_shape") == "pair", F.try_variant_get(t, "$[0]", "long"))
            .otherwise(F.col("_pos").cast("long")))
     per_topic = topics.select(tid.alias("topic_id"), terms.alias("_terms"))
-    items = per_topic.select("topic_id", F.posexplode("_terms").alias("_r", "_it"))
+    items = per_topic.select("topic_id", F.posexplode_outer("_terms").alias("_r", "_it")) \
+                     .filter(F.col("_r").isNotNull())
     it = F.col("_it")
     is_pairish = (F.schema_of_variant(it).startswith("ARRAY")
                   & (F.expr("array_size(try_variant_get(_it, '$', 'array<variant>'))") >= 2))
