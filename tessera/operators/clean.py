@@ -20,6 +20,20 @@ NORMALIZED = "_normalized"
 CLEAN = "narrative_clean"
 
 
+def with_computed(df: DataFrame, name: str, expr) -> DataFrame:
+    """Add/replace column ``name`` = ``expr`` so that filters on it stay above.
+
+    Catalyst pushes a filter below the projection that defines the column it
+    tests (inlining the expression), through aggregates when it only touches a
+    grouping key, and below repartitions: an expensive text expression would
+    run twice, and in the scan task before any rebalance.  A one-element
+    ``explode_outer`` is a barrier for that: a filter on generator output
+    cannot move below the generator, so the expression runs once, where it is
+    placed."""
+    others = [F.col(c) for c in df.columns if c != name]
+    return df.select(*others, F.explode_outer(F.array(expr)).alias(name))
+
+
 def require_column(df: DataFrame, col: str) -> None:
     """The text column must exist (checked on the schema, before a job)."""
     if col not in df.columns:
@@ -31,6 +45,11 @@ def strip_text(df: DataFrame, text_col: str) -> DataFrame:
     return df.withColumn(text_col, T.strip_ws(text_col))
 
 
+def strip_and_null_out(df: DataFrame, text_col: str, junk=JUNK_LITERALS) -> DataFrame:
+    """N1 + N2 as one computed column (the N3 filter stays above it)."""
+    return with_computed(df, text_col, T.null_out_junk(T.strip_ws(text_col), junk))
+
+
 def null_out_junk(df: DataFrame, text_col: str, junk=JUNK_LITERALS) -> DataFrame:
     """Whole-cell junk literals become null (case-sensitive)."""
     return df.withColumn(text_col, T.null_out_junk(text_col, junk))
@@ -52,7 +71,9 @@ def dedup_keep_first(df: DataFrame, text_col: str, id_col: str = "doc_id") -> Da
     if id_col not in others:
         raise KeyError(f"id column '{id_col}' not found")
     ordered = [id_col] + [c for c in others if c != id_col]
-    kept = (df.groupBy(text_col)
+    # Grouping on (hash, text): the sort behind the struct aggregate compares
+    # longs first and whole texts only on hash ties (i.e. real duplicates).
+    kept = (df.groupBy(F.xxhash64(text_col).alias("_h"), F.col(text_col))
             .agg(F.min(F.struct(*ordered)).alias("_first")))
     return kept.select(*[F.col(f"_first.{c}").alias(c) for c in ordered], text_col) \
                .select(*df.columns)
@@ -113,16 +134,19 @@ def filter_tokens(df: DataFrame, in_col: str, min_token_len: int,
 
 
 def join_and_drop_empty(df: DataFrame, in_col: str, out_col: str = CLEAN) -> DataFrame:
-    """Lemmas joined by one space; documents left empty are dropped."""
-    return (df.withColumn(out_col, F.array_join(in_col, " "))
-              .filter(F.length(out_col) > 0))
+    """Lemmas joined by one space; documents left empty are dropped.
+
+    The joined text is a computed column (see ``with_computed``): otherwise
+    the emptiness filter would be pushed through the dedup aggregate to the
+    scan and the whole cleaning chain would run twice."""
+    return (with_computed(df, out_col, F.array_join(in_col, " "))
+            .filter(F.length(out_col) > 0))
 
 
 def prepare_corpus(df: DataFrame, cfg: CleanConfig = CleanConfig()) -> DataFrame:
     """N1..N4: strip, null-out, drop nulls, keep-first dedup."""
     require_column(df, cfg.text_col)
-    df = strip_text(df, cfg.text_col)
-    df = null_out_junk(df, cfg.text_col)
+    df = strip_and_null_out(df, cfg.text_col)
     df = drop_null_text(df, cfg.text_col)
     return dedup_keep_first(df, cfg.text_col, cfg.id_col)
 

@@ -29,7 +29,9 @@ BATCH_SIZE = 128
 def count_vectors(doc_terms: DataFrame, vocab: Vocabulary, binary: bool = False) -> DataFrame:
     """``(doc_id, features)``: sparse counts over the vocabulary, index =
     term_id.  The term list is model-sized (the vocabulary)."""
-    terms = [r["term"] for r in vocab.table.orderBy("term_id").select("term").toLocalIterator()]
+    terms = vocab.table.orderBy("term_id").select("term").toPandas()["term"].tolist()
+    if not terms:
+        raise ValueError("After pruning, no terms remain. Try a lower min_df.")
     cv = CountVectorizerModel.from_vocabulary(terms, inputCol="terms", outputCol="features",
                                               binary=binary)
     return cv.transform(doc_terms).select("doc_id", "features")

@@ -57,34 +57,45 @@ def _chunks(pdf: pd.DataFrame):
         yield part[keep], flat_i, flat_w, starts, lens[keep]
 
 
+_BLOCK_TERMS = 512
+
+
 def _gram_pass(D: DataFrame, Z: np.ndarray) -> np.ndarray:
-    """One pass: returns X^T X Z (n_terms x l)."""
+    """One pass: returns X^T X Z (n_terms x l).
+
+    Each task emits its partial sum as a few fixed-size blocks of terms
+    (``_BLOCK_TERMS`` x l values per row), so the shuffle and the final sum
+    handle tens of rows per task, and the result (model-sized) comes back
+    through Arrow."""
     spark = D.sparkSession
     n_terms, l = Z.shape
     bz = spark.sparkContext.broadcast(Z)
+    n_blocks = -(-n_terms // _BLOCK_TERMS)
 
     def task(batches):
         Zl = bz.value
-        acc = np.zeros((n_terms, l))
+        acc = np.zeros((n_blocks * _BLOCK_TERMS, l))
         for pdf in batches:
             for _, fi, fw, starts, lens in _chunks(pdf):
                 Y = np.add.reduceat(fw[:, None] * Zl[fi], starts, axis=0)
                 back = fw[:, None] * np.repeat(Y, lens, axis=0)
                 for j in range(l):
-                    acc[:, j] += np.bincount(fi, weights=back[:, j], minlength=n_terms)
-        nz = np.nonzero(np.any(acc != 0.0, axis=1))[0]
-        if len(nz):
-            yield pd.DataFrame({"term_id": nz.astype(np.int32), "vec": list(acc[nz])})
-
-    parts = D.mapInPandas(task, "term_id int, vec array<double>")
-    summed = (parts.groupBy("term_id")
+                    acc[:n_terms, j] += np.bincount(fi, weights=back[:, j], minlength=n_terms)
+        blocks = acc.reshape(n_blocks, _BLOCK_TERMS * l)
+        used = np.nonzero(np.any(blocks != 0.0, axis=1))[0]
+        if len(used):
+            yield pd.DataFrame({"block": used.astype(np.int32), "vec": list(blocks[used])})
+
+    parts = D.mapInPandas(task, "block int, vec array<double>")
+    summed = (parts.groupBy("block")
               .agg(Summarizer.sum(array_to_vector("vec")).alias("s"))
-              .select("term_id", vector_to_array("s").alias("vec")))
-    out = np.zeros((n_terms, l))
-    for row in summed.toLocalIterator():          # bounded: vocabulary rows
-        out[row["term_id"]] = row["vec"]
+              .select("block", vector_to_array("s").alias("vec")))
+    out = np.zeros((n_blocks, _BLOCK_TERMS * l))
+    pdf = summed.toPandas()                        # bounded: vocabulary x l values
+    for b, v in zip(pdf["block"], pdf["vec"]):
+        out[int(b)] = np.asarray(v)
     bz.unpersist()
-    return out
+    return out.reshape(n_blocks * _BLOCK_TERMS, l)[:n_terms]
 
 
 @dataclass
@@ -150,10 +161,9 @@ def explained_variance_ratio(v: Vectorized, model: LsaModel) -> float:
                                            F.sum(F.col("value") * F.col("value")).alias("q"))
     n_terms = model.components.shape[1]
     colsum = np.zeros(n_terms)
-    total = 0.0
-    for r in sums.toLocalIterator():              # bounded: vocabulary rows
-        colsum[r["term_id"]] = r["s"]
-        total += r["q"] / n - (r["s"] / n) ** 2
+    pdf = sums.toPandas()                         # bounded: vocabulary rows
+    colsum[pdf["term_id"].to_numpy()] = pdf["s"].to_numpy()
+    total = float((pdf["q"] / n - (pdf["s"] / n) ** 2).sum())
     means = model.components @ colsum / n
     explained = model.singular_values ** 2 / n - means ** 2
     return float(explained.sum() / total) if total > 0 else float("nan")

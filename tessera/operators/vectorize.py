@@ -92,10 +92,12 @@ def index_vocabulary(vocab: DataFrame, bounded: bool) -> DataFrame:
     if bounded:
         w = Window.orderBy(F.col("term").asc())
         return vocab.withColumn("term_id", (F.row_number().over(w) - 1).cast("int"))
+    from pyspark.sql.types import LongType, StructField, StructType
     ordered = vocab.orderBy("term")
-    cols = ordered.columns
+    schema = StructType(ordered.schema.fields + [StructField("term_id", LongType(), False)])
     rdd = ordered.rdd.zipWithIndex().map(lambda r: tuple(r[0]) + (int(r[1]),))
-    return rdd.toDF(cols + ["term_id"]).withColumn("term_id", F.col("term_id").cast("int"))
+    return vocab.sparkSession.createDataFrame(rdd, schema) \
+        .withColumn("term_id", F.col("term_id").cast("int"))
 
 
 def idf_expr(df_col, n_docs: int, use_idf: bool = True, smooth_idf: bool = True):

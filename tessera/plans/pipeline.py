@@ -108,7 +108,9 @@ def run(spark: SparkSession, raw: DataFrame, cfg: PipelineConfig = PipelineConfi
     tfidf = V.Vectorized(V.tfidf_matrix(tfidf_tf, tfidf_vocab, tcfg).checkpoint(eager=True),
                          tfidf_vocab, "tfidf", "TfidfVectorizer", tfidf_tf)
     t = _timed(timings, "tfidf", t)
-    D = LS.doc_major(tfidf.matrix).checkpoint(eager=True)
+    # Checkpointed (short lineage, survives executor loss) and cached for the
+    # n_iter + 1 passes; a lost cache block is re-read from the checkpoint.
+    D = LS.doc_major(tfidf.matrix).checkpoint(eager=True).persist()
     lsa_model = LS.fit_lsa(D, tfidf.vocab.size, n_docs, tc)
     lsa_model.explained_variance_ratio_sum = LS.explained_variance_ratio(tfidf, lsa_model)
     lsa_terms = TP.topic_terms_long(
@@ -119,6 +121,7 @@ def run(spark: SparkSession, raw: DataFrame, cfg: PipelineConfig = PipelineConfi
               .select("doc_id", F.coalesce("topics", F.array_repeat(F.lit(0.0), tc.n_topics))
                       .alias("topics")))
     t = _timed(timings, "lsa", t)
+    bow_tf.unpersist()
 
     report = ST.vectorization_report(bow, tfidf)
     overview = TP.topics_comparison([TP.topic_overview(lda_terms, cfg.top_k_overview),

@@ -68,5 +68,9 @@ def test_cleaning_is_idempotent_and_ascii(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     once = df.select(T.clean_text("text").alias("c"))
     twice = once.select("c", T.clean_text("c").alias("c2"))
-    bad = twice.filter((F.col("c") != F.col("c2")) | ~F.col("c").rlike("^([a-z]+( [a-z]+)*)?$"))
+    # (a grouped repetition like ^([a-z]+( [a-z]+)*)?$ overflows Java's regex
+    # stack on long texts, so the shape is checked piecewise)
+    shape_ok = (F.col("c").rlike("^[a-z ]*$") & ~F.col("c").contains("  ")
+                & (F.col("c") == F.trim("c")))
+    bad = twice.filter((F.col("c") != F.col("c2")) | ~shape_ok)
     assert bad.count() == 0
