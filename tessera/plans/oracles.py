@@ -345,6 +345,21 @@ def oracle_sql() -> dict[str, str]:
                                f"(SELECT CAST(count(*) AS BIGINT) FROM bow) AS nnz, "
                                f"(SELECT CAST(count(*) AS BIGINT) FROM vocab) AS n_features, "
                                f"'CountVectorizer' AS vectorizer_type")
+    line = ("printf('%s: shape=(%d, %d), nnz=%d, density=%.6f, mean_weight=%.6f', {name}, "
+            "(SELECT n FROM ndocs), (SELECT count(*) FROM vocab), count(*), "
+            "count(*) * 1.0 / ((SELECT n FROM ndocs) * (SELECT count(*) FROM vocab)), "
+            "coalesce(avg(value), 0.0))")
+    top = ("(SELECT string_agg(term, ', ' ORDER BY m DESC, term DESC) FROM (SELECT term, "
+           "sum(value) / (SELECT n FROM ndocs) AS m FROM {rel} GROUP BY term "
+           "ORDER BY m DESC, term DESC LIMIT 5))")
+    Z["vectorization_report"] = (
+        f"{P0} SELECT CAST(0 AS BIGINT) AS line_no, '=== VECTORISATION COMPARISON REPORT ===' AS line "
+        f"UNION ALL SELECT 1, '' UNION ALL SELECT 4, '' UNION ALL SELECT 5, 'Top 5 terms by mean weight:' "
+        f"UNION ALL SELECT 6, '' "
+        f"UNION ALL SELECT 2, {line.format(name=lit('BoW'))} FROM bow "
+        f"UNION ALL SELECT 3, {line.format(name=lit('TF-IDF'))} FROM tfidf "
+        f"UNION ALL SELECT 7, 'BoW top-5 terms: ' || {top.format(rel='bow')} "
+        f"UNION ALL SELECT 8, 'TF-IDF top-5 terms: ' || {top.format(rel='tfidf')}")
     Z["feature_variance_total"] = (f"{P0} SELECT {r6('coalesce(sum(v), 0.0)')} AS total_variance FROM "
                                    f"(SELECT sum(value * value) / (SELECT n FROM ndocs) - "
                                    f"pow(sum(value) / (SELECT n FROM ndocs), 2) AS v FROM tfidf GROUP BY term_id)")
