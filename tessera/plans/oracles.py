@@ -290,7 +290,7 @@ def oracle_sql() -> dict[str, str]:
     Z["vocab_index"] = f"{P0} SELECT term_id, term FROM vocab"
     Z["feature_list"] = f"{P0} SELECT term_id, term AS feature FROM vocab"
     Z["bow_matrix"] = f"{P0} SELECT doc_id, term_id, term, value FROM bow"
-    Z["matrix_coo"] = f"{P0} SELECT doc_id, term_id, CAST(value AS FLOAT) AS value FROM tfidf"
+    Z["matrix_coo"] = f"{P0} SELECT doc_id, term_id, CAST(round(value, 6) AS FLOAT) AS value FROM tfidf"
     Z["zero_row_docs"] = (f"{P0} SELECT n.doc_id, CAST(count(b.term_id) AS BIGINT) AS nnz FROM normalized n "
                           f"LEFT JOIN bow b USING (doc_id) GROUP BY n.doc_id")
     PB = pipeline_ctes(binary=True)

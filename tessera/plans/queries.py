@@ -30,8 +30,15 @@ from . import params as Q
 _MEMO: dict = {}
 
 
+def _session_key(spark: SparkSession):
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # sessions without a local SparkContext
+        return id(spark)
+
+
 def _memo(spark: SparkSession, key, build):
-    k = (spark.sparkContext.applicationId, key)
+    k = (_session_key(spark), key)
     if k not in _MEMO:
         _MEMO[k] = build()
     return _MEMO[k]
@@ -374,7 +381,7 @@ def q_bow_matrix(spark, sf):
 def q_matrix_coo(spark, sf):
     m = fitted(spark, sf).tfidf.matrix
     return m.select(F.col("doc_id").cast("long"), F.col("term_id").cast("long"),
-                    F.col("value").cast("float").alias("value"))
+                    r6(F.col("value")).cast("float").alias("value"))
 
 
 def q_zero_row_docs(spark, sf):

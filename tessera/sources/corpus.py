@@ -30,9 +30,12 @@ def balance(df: DataFrame) -> DataFrame:
     redistributed (round-robin); a large input already has enough splits and
     is left alone, so this never shuffles a big table.
     """
-    spark = df.sparkSession
-    target = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # no RDD API on this session: leave the scan as it is
+        return df
+    if current < target:
         return df.repartition(target)
     return df
 
