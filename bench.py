@@ -3,7 +3,7 @@
 Runs the reference's configuration (vocabulary 20 000, 1-2-grams, min_df 2,
 10 topics, 15 top terms, 20 iterations, seed 42) over the whole `documents`
 table, writing every artifact, and prints one JSON line with per-stage
-seconds.  Stage boundaries are the materialization points of the pipeline
+seconds.  Stage boundaries are the materialization points of the run
 (normalized stage, term table, vocabulary + matrices, model fits, writes).
 """
 
@@ -22,7 +22,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
     from tessera.config import CleanConfig, PipelineConfig, TopicConfig, VectorizeConfig
-    from tessera.plans import pipeline as PL
+    from tessera.plans import batch as PL
     from tessera.session import local_session, scratch_path
     from tessera.sources.corpus import read_table
 
@@ -43,10 +43,10 @@ def main() -> None:
     total = time.time() - t0
     timings = dict(result.meta.get("timings", {}))
     n_docs = result.bow.n_docs
-    queries = {f"pipeline_{k}": v for k, v in timings.items()}
-    queries["pipeline_total"] = round(total, 3)
+    queries = {f"stage_{k}": v for k, v in timings.items()}
+    queries["total"] = round(total, 3)
     print(json.dumps({
-        "metric": "text_to_topics_pipeline_seconds",
+        "metric": "text_to_topics_seconds",
         "value": round(total, 3),
         "unit": "sec",
         "queries": queries,

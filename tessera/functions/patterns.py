@@ -6,6 +6,11 @@ below use syntax that Java regex and RE2 read the same way (``\\x{..}`` escapes,
 ``\\p{L}``/``\\p{N}`` classes, no look-around).
 """
 
+# --- fixed values -----------------------------------------------------------
+# The patterns below must match exactly what the reference's expressions
+# match (URL, e-mail, handle, hashtag, non-letter, token patterns), rewritten
+# with explicit classes so Java regex and RE2 agree with Python's Unicode \s/\w.
+
 # Characters Python's str.isspace() accepts (what str.strip() and \s use).
 WS_CHARS = (r"\t\n\x{0B}\f\r\x{1C}-\x{1F} \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
             r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}")
@@ -38,6 +43,9 @@ PRE = f"(^|[^{WORD_CHARS}'’])"
 POST = f"($|[^{WORD_CHARS}'’])"
 
 
+# --- end of fixed values ----------------------------------------------------
+
+
 def java_group(template: str) -> str:
     """Render a replacement template with {1}-style groups for Java regex."""
     return template.replace("{1}", "$1").replace("{2}", "$2")

@@ -189,7 +189,7 @@ def bow_ctes() -> str:
     return "bow AS (SELECT doc_id, term_id, term, CAST(tf AS DOUBLE) AS value FROM tf JOIN vocab USING (term))"
 
 
-def pipeline_ctes(binary: bool = False) -> str:
+def corpus_ctes(binary: bool = False) -> str:
     """normalized -> tf -> vocab -> bow + tfidf on ``narrative_clean``."""
     return ("WITH " + normalized_cte() + ", " +
             tf_ctes("normalized", "narrative_clean", binary=binary) + ", " +
@@ -283,7 +283,7 @@ def oracle_sql() -> dict[str, str]:
     Z["tfidf_tokens"] = pos_long.format(rel=f"(SELECT doc_id, {word_tokens_sql('text')} AS l FROM documents)")
     Z["ngrams_1_2"] = pos_long.format(
         rel=f"(SELECT doc_id, {ngram12_sql('t')} AS l FROM (SELECT doc_id, {tokens_sql('c')} AS t FROM {cleaned}))")
-    P0 = pipeline_ctes()
+    P0 = corpus_ctes()
     Z["term_counts"] = f"{P0} SELECT doc_id, term, tf FROM tf"
     Z["doc_frequency"] = f"{P0} SELECT term, df, ctf FROM stats WHERE df >= {Q.MIN_DF}"
     Z["vocab_topk"] = f"{P0} SELECT term, df, ctf FROM vocab0"
@@ -293,7 +293,7 @@ def oracle_sql() -> dict[str, str]:
     Z["matrix_coo"] = f"{P0} SELECT doc_id, term_id, CAST(round(value, 6) AS FLOAT) AS value FROM tfidf"
     Z["zero_row_docs"] = (f"{P0} SELECT n.doc_id, CAST(count(b.term_id) AS BIGINT) AS nnz FROM normalized n "
                           f"LEFT JOIN bow b USING (doc_id) GROUP BY n.doc_id")
-    PB = pipeline_ctes(binary=True)
+    PB = corpus_ctes(binary=True)
     Z["bow_binary"] = f"{PB} SELECT doc_id, term_id, term, value FROM bow"
     Z["tf_sublinear"] = (f"{P0} SELECT doc_id, term, {r6('1.0 + ln(tf)')} AS tf_weight FROM tf "
                          f"WHERE term IN (SELECT term FROM vocab)")

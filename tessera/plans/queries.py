@@ -638,11 +638,11 @@ def q_topics_meta(spark, sf):
         "method", F.col("n_topics").cast("long"), F.col("n_docs").cast("long"), "doc_topic_path")
 
 
-def q_pipeline(spark, sf):
+def q_text_to_topics(spark, sf):
     """the whole run (normalize -> BoW -> LDA -> TF-IDF -> LSA -> reports),
     returning the comparison overview."""
     from ..config import PipelineConfig
-    from .pipeline import run
+    from .batch import run
     raw = _docs(spark, sf)
     cfg = PipelineConfig(clean=CCFG, vectorize=VCFG(), topics=TCFG, vectorize_col="narrative_clean")
     return run(spark, raw, cfg).overview
