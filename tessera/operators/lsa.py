@@ -8,7 +8,7 @@ randomized subspace iteration on X^T X:
     G  = Z^T X^T X Z            (l x l), eigen-decomposed on the driver
     V  = Z W[:, :k], s = sqrt(eigenvalues)
 
-Each pass is a ``mapInPandas`` over the documents: per Arrow batch it forms
+Each pass is a ``mapInArrow`` over the documents: per Arrow batch it forms
 Y = X_b Z and X_b^T Y with numpy, and the per-task partial sums (vocabulary x
 l) are added by a grouped ``Summarizer.sum``.  Only model-sized data
 (vocabulary x (k + oversampling)) reaches the driver; the document side
@@ -21,7 +21,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
@@ -42,19 +41,34 @@ def doc_major(matrix: DataFrame) -> DataFrame:
     return g.select("doc_id", F.col("e.i").alias("ids"), F.col("e.w").alias("ws"))
 
 
-def _chunks(pdf: pd.DataFrame):
-    for s in range(0, len(pdf), _CHUNK_DOCS):
-        part = pdf.iloc[s:s + _CHUNK_DOCS]
-        ids = part["ids"].to_numpy()
-        lens = np.fromiter((len(x) for x in ids), dtype=np.int64, count=len(ids))
-        if lens.sum() == 0:
-            continue
-        keep = lens > 0
-        flat_i = np.concatenate([np.asarray(x, dtype=np.int64) for x in ids[keep]])
-        flat_w = np.concatenate([np.asarray(x, dtype=np.float64)
-                                 for x in part["ws"].to_numpy()[keep]])
-        starts = np.concatenate([[0], np.cumsum(lens[keep])[:-1]])
-        yield part[keep], flat_i, flat_w, starts, lens[keep]
+def _chunks(batches):
+    """Arrow record batches -> (doc_ids, flat term ids, flat weights, row
+    starts, row lengths) per chunk of documents, without per-row objects:
+    the list columns' offsets and values are read as numpy arrays."""
+    for batch in batches:
+        for s in range(0, batch.num_rows, _CHUNK_DOCS):
+            part = batch.slice(s, _CHUNK_DOCS)
+            ids = part.column(part.schema.get_field_index("ids"))
+            ws = part.column(part.schema.get_field_index("ws"))
+            off = ids.offsets.to_numpy(zero_copy_only=False)
+            lens = np.diff(off).astype(np.int64)
+            keep = lens > 0
+            if not keep.any():
+                continue
+            fi = ids.flatten().to_numpy(zero_copy_only=False).astype(np.int64, copy=False)
+            fw = ws.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
+            doc_ids = part.column(part.schema.get_field_index("doc_id")).to_numpy(
+                zero_copy_only=False)[keep]
+            lens = lens[keep]
+            starts = np.concatenate([[0], np.cumsum(lens)[:-1]])
+            yield doc_ids, fi, fw, starts, lens
+
+
+def _list_column(rows: np.ndarray):
+    import pyarrow as pa
+    n, width = rows.shape
+    offsets = pa.array(np.arange(0, (n + 1) * width, width, dtype=np.int32))
+    return pa.ListArray.from_arrays(offsets, pa.array(rows.reshape(-1), pa.float64()))
 
 
 _BLOCK_TERMS = 512
@@ -73,20 +87,21 @@ def _gram_pass(D: DataFrame, Z: np.ndarray) -> np.ndarray:
     n_blocks = -(-n_terms // _BLOCK_TERMS)
 
     def task(batches):
+        import pyarrow as pa
         Zl = bz.value
         acc = np.zeros((n_blocks * _BLOCK_TERMS, l))
-        for pdf in batches:
-            for _, fi, fw, starts, lens in _chunks(pdf):
-                Y = np.add.reduceat(fw[:, None] * Zl[fi], starts, axis=0)
-                back = fw[:, None] * np.repeat(Y, lens, axis=0)
-                for j in range(l):
-                    acc[:n_terms, j] += np.bincount(fi, weights=back[:, j], minlength=n_terms)
+        for _, fi, fw, starts, lens in _chunks(batches):
+            Y = np.add.reduceat(fw[:, None] * Zl[fi], starts, axis=0)
+            back = fw[:, None] * np.repeat(Y, lens, axis=0)
+            for j in range(l):
+                acc[:n_terms, j] += np.bincount(fi, weights=back[:, j], minlength=n_terms)
         blocks = acc.reshape(n_blocks, _BLOCK_TERMS * l)
         used = np.nonzero(np.any(blocks != 0.0, axis=1))[0]
         if len(used):
-            yield pd.DataFrame({"block": used.astype(np.int32), "vec": list(blocks[used])})
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(used.astype(np.int32)), _list_column(blocks[used])], ["block", "vec"])
 
-    parts = D.mapInPandas(task, "block int, vec array<double>")
+    parts = D.mapInArrow(task, "block int, vec array<double>")
     summed = (parts.groupBy("block")
               .agg(Summarizer.sum(array_to_vector("vec")).alias("s"))
               .select("block", vector_to_array("s").alias("vec")))
@@ -139,18 +154,17 @@ def doc_coordinates(D: DataFrame, model: LsaModel, normalize: bool = True) -> Da
     bv = spark.sparkContext.broadcast(model.components.T.copy())   # n_terms x k
 
     def task(batches):
+        import pyarrow as pa
         Vt = bv.value
-        k = Vt.shape[1]
-        for pdf in batches:
-            for part, fi, fw, starts, _ in _chunks(pdf):
-                Y = np.add.reduceat(fw[:, None] * Vt[fi], starts, axis=0)
-                if normalize:
-                    nrm = np.linalg.norm(Y, axis=1, keepdims=True)
-                    Y = np.divide(Y, nrm, out=np.zeros_like(Y), where=nrm > 0)
-                yield pd.DataFrame({"doc_id": part["doc_id"].to_numpy(),
-                                    "topics": list(Y.reshape(-1, k))})
-
-    return D.mapInPandas(task, "doc_id long, topics array<double>")
+        for doc_ids, fi, fw, starts, _ in _chunks(batches):
+            Y = np.add.reduceat(fw[:, None] * Vt[fi], starts, axis=0)
+            if normalize:
+                nrm = np.linalg.norm(Y, axis=1, keepdims=True)
+                Y = np.divide(Y, nrm, out=np.zeros_like(Y), where=nrm > 0)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(doc_ids.astype(np.int64)), _list_column(Y)], ["doc_id", "topics"])
+
+    return D.mapInArrow(task, "doc_id long, topics array<double>")
 
 
 def explained_variance_ratio(v: Vectorized, model: LsaModel) -> float:
