@@ -82,3 +82,21 @@ def save_comparison(overview: DataFrame | None, outdir: str) -> None:
         return
     overview.coalesce(1).write.mode("overwrite").option("header", True) \
         .csv(_path(outdir, "topics_overview__comparison"))
+
+
+def load_comparison_overview(spark, outdir: str, methods: list[str],
+                             write: bool = True) -> DataFrame | None:
+    """S15 + U1: read the overviews written for ``methods`` (missing ones are
+    skipped), union them by column name, and write the comparison; None and
+    nothing written when no overview exists."""
+    from .corpus import stage_exists
+    frames = []
+    for m in methods:
+        path = _path(outdir, f"topics_overview_{m}")
+        if stage_exists(spark, path):
+            frames.append(spark.read.option("header", True)
+                          .schema("method string, topic_id long, top_10_terms string").csv(path))
+    combined = TP.topics_comparison(frames)
+    if combined is not None and write:
+        save_comparison(combined.orderBy("method", "topic_id"), outdir)
+    return combined

@@ -36,3 +36,18 @@ def test_rank_overview_comparison(spark):
     both = TP.topics_comparison([TP.topic_overview(long, 10), None,
                                  TP.topic_overview(TP.topic_terms_long(ranked, "m2"), 10)])
     assert both.count() == 4
+
+
+def test_comparison_reads_existing_overviews(spark):
+    import tempfile
+
+    from tessera.sources import sinks as SK
+    out = tempfile.mkdtemp(prefix="tessera-ov-")
+    rows = [(0, "a", 0.5), (0, "b", 0.7), (1, "d", 0.1)]
+    long = TP.topic_terms_long(TP.rank_terms(
+        spark.createDataFrame(rows, "topic_id long, term string, weight double"), 15), "lda_bow")
+    TP.topic_overview(long).coalesce(1).write.option("header", True).csv(f"{out}/topics_overview_lda_bow")
+    got = SK.load_comparison_overview(spark, out, ["lda_bow", "lsa_tfidf"])
+    assert sorted((r.method, r.topic_id, r.top_10_terms) for r in got.collect()) == \
+        [("lda_bow", 0, "b, a"), ("lda_bow", 1, "d")]
+    assert SK.load_comparison_overview(spark, out, ["nothing"]) is None
