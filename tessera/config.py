@@ -39,6 +39,8 @@ class TopicConfig:
     learning_decay: float = 0.7
     normalize_doc_topics: bool = True    # LSA
     n_oversamples: int = 10              # LSA randomized range finder
+    svd_tol: float = 1e-12               # LSA: stop once 1 - |cos| of every
+                                         # component between passes is below this
 
 
 @dataclass(frozen=True)

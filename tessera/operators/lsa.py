@@ -113,12 +113,26 @@ def _gram_pass(D: DataFrame, Z: np.ndarray) -> np.ndarray:
     return out.reshape(n_blocks * _BLOCK_TERMS, l)[:n_terms]
 
 
+def _ritz(Z: np.ndarray, A: np.ndarray, k: int):
+    """Rayleigh-Ritz on span(Z): G = Z^T X^T X Z -> singular values and the
+    top-k right singular vectors (rows)."""
+    G = Z.T @ A
+    G = (G + G.T) / 2.0
+    evals, W = np.linalg.eigh(G)
+    order = np.argsort(evals)[::-1][:k]
+    s = np.sqrt(np.clip(evals[order], 0.0, None))
+    V = (Z @ W[:, order]).T
+    V /= np.linalg.norm(V, axis=1, keepdims=True).clip(min=1e-300)
+    return s, V
+
+
 @dataclass
 class LsaModel:
     components: np.ndarray        # k x n_terms (rows = topics), sign-fixed
     singular_values: np.ndarray   # k
     n_docs: int
     explained_variance_ratio_sum: float | None = None
+    n_passes: int = 0             # passes over the matrix actually made
 
 
 def fit_lsa(D: DataFrame, n_terms: int, n_docs: int, cfg: TopicConfig) -> LsaModel:
@@ -130,21 +144,25 @@ def fit_lsa(D: DataFrame, n_terms: int, n_docs: int, cfg: TopicConfig) -> LsaMod
     l = min(n_terms, k + cfg.n_oversamples)
     rng = np.random.default_rng(cfg.random_state)
     Z, _ = np.linalg.qr(rng.standard_normal((n_terms, l)))
-    for _ in range(max(cfg.n_iter, 0)):
-        Z, _ = np.linalg.qr(_gram_pass(D, Z))
-    A = _gram_pass(D, Z)
-    G = Z.T @ A
-    G = (G + G.T) / 2.0
-    evals, W = np.linalg.eigh(G)
-    order = np.argsort(evals)[::-1][:k]
-    s = np.sqrt(np.clip(evals[order], 0.0, None))
-    V = (Z @ W[:, order]).T                       # k x n_terms
+    prev = None
+    passes = 0
+    for it in range(max(cfg.n_iter, 0) + 1):
+        A = _gram_pass(D, Z)                      # X^T X Z, one pass
+        passes += 1
+        s, V = _ritz(Z, A, k)
+        if prev is not None and cfg.svd_tol > 0:
+            cos = np.abs(np.sum(V * prev, axis=1))
+            if np.all(1.0 - cos < cfg.svd_tol):
+                break                             # converged: fewer passes
+        prev = V
+        if it < cfg.n_iter:
+            Z, _ = np.linalg.qr(A)
     V /= np.linalg.norm(V, axis=1, keepdims=True).clip(min=1e-300)
     idx = np.argmax(np.abs(V), axis=1)
     signs = np.sign(V[np.arange(k), idx])
     signs[signs == 0] = 1.0
     V *= signs[:, None]
-    return LsaModel(V, s, n_docs)
+    return LsaModel(V, s, n_docs, n_passes=passes)
 
 
 def doc_coordinates(D: DataFrame, model: LsaModel, normalize: bool = True) -> DataFrame:

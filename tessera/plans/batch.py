@@ -121,6 +121,7 @@ def run(spark: SparkSession, raw: DataFrame, cfg: PipelineConfig = PipelineConfi
               .select("doc_id", F.coalesce("topics", F.array_repeat(F.lit(0.0), tc.n_topics))
                       .alias("topics")))
     t = _timed(timings, "lsa", t)
+    timings["lsa_passes"] = lsa_model.n_passes
     bow_tf.unpersist()
 
     report = ST.vectorization_report(bow, tfidf)
