@@ -91,21 +91,21 @@ def tokenize(df: DataFrame, in_col: str = NORMALIZED, out_col: str = "_tokens")
 
 
 def lemmatize(df: DataFrame, in_col: str = "_tokens", out_col: str = "_lemmas",
-              dictionary: DataFrame | None = None) -> DataFrame:
+              dictionary: DataFrame | None = None, key: str = "doc_id") -> DataFrame:
     """Dictionary lemmatizer with suffix-rule fallback.
 
     The built-in dictionary is a literal map inside the expression (no join).
-    A user dictionary ``(form, lemma)`` of any size goes through an explode,
-    a join and an ordered regroup by document instead; it is broadcast only
-    when its row count is under the broadcast limit.
+    A user dictionary ``(form, lemma)`` of any size goes through an explode
+    keyed by the unique document ``key``, a join, and an ordered regroup by
+    document; it is broadcast only when its row count is under the broadcast
+    limit.  Documents are regrouped by their own key (never by a generated
+    row id, which a recomputation after a shuffle could renumber).
     """
     if dictionary is None:
         return df.withColumn(out_col, T.lemmatize_tokens(in_col))
     from ..plans.joins import join_small
-    key = "_lemma_row"
-    base = df.withColumn(key, F.monotonically_increasing_id())
-    exploded = base.select(key, F.posexplode_outer(in_col).alias("_pos", "form")) \
-                   .filter(F.col("form").isNotNull())
+    exploded = (df.select(key, F.posexplode_outer(in_col).alias("_pos", "form"))
+                .filter(F.col("form").isNotNull()))
     looked = join_small(exploded, dictionary.select("form", "lemma"), on="form", how="left")
     rebuilt = (looked
                .withColumn("lemma", F.coalesce(F.col("lemma"),
@@ -113,9 +113,9 @@ def lemmatize(df: DataFrame, in_col: str = "_tokens", out_col: str = "_lemmas",
                .groupBy(key)
                .agg(F.array_sort(F.collect_list(F.struct("_pos", "lemma"))).alias("_pl")))
     rebuilt = rebuilt.select(key, F.transform("_pl", lambda s: s["lemma"]).alias(out_col))
-    out = base.join(rebuilt, key, "left").withColumn(
+    out = df.drop(out_col).join(rebuilt, key, "left").withColumn(
         out_col, F.coalesce(F.col(out_col), F.array().cast("array<string>")))
-    return out.drop(key)
+    return out
 
 
 def remove_stopwords(df: DataFrame, in_col: str = "_lemmas", out_col: str = "_kept",
@@ -156,7 +156,7 @@ def clean_tokens(df: DataFrame, cfg: CleanConfig = CleanConfig(),
     """N5..N16 on a prepared corpus: adds ``_normalized`` and ``_kept``."""
     df = normalize_text(df, cfg.text_col, NORMALIZED, cfg.expand_contractions)
     df = tokenize(df, NORMALIZED, "_tokens")
-    df = lemmatize(df, "_tokens", "_lemmas", lemma_dictionary)
+    df = lemmatize(df, "_tokens", "_lemmas", lemma_dictionary, key=cfg.id_col)
     df = remove_stopwords(df, "_lemmas", "_kept", stopword_list(cfg.extra_stopwords))
     return filter_tokens(df, "_kept", cfg.min_token_len)
 

@@ -74,3 +74,14 @@ def test_cleaning_is_idempotent_and_ascii(spark):
                 & (F.col("c") == F.trim("c")))
     bad = twice.filter((F.col("c") != F.col("c2")) | ~shape_ok)
     assert bad.count() == 0
+
+
+def test_user_lemma_dictionary(spark):
+    rows = [(0, "Opened the accounts and told them"), (1, "nothing"), (2, "The companies opened")]
+    df = spark.createDataFrame(rows, "doc_id long, narrative string").repartition(3)
+    lex = spark.createDataFrame([("opened", "open"), ("told", "say")], "form string, lemma string")
+    out = {r.doc_id: r.narrative_clean for r in C.normalize_corpus(df, lemma_dictionary=lex).collect()}
+    # dictionary first, then the built-in rules (accounts -> account); order kept
+    assert out[0] == "open account"            # "say" is a stop word
+    assert out[2] == "company open"
+    assert 1 not in out
