@@ -58,6 +58,7 @@ def read_csv_corpus(spark: SparkSession, path: str, schema: T.StructType | str,
     df = (spark.read.option("header", True).option("multiLine", True)
           .option("quote", '"').option("escape", '"')
           .option("mode", "FAILFAST")
+          .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
           .option("nullValue", "\u0000never\u0000")   # keep "" as text; nulls below
           .option("emptyValue", "")
           .schema(schema).csv(path))
@@ -72,6 +73,8 @@ def write_csv_corpus(df: DataFrame, path: str) -> None:
     """Write a corpus as CSV with the quoting the scan expects."""
     (df.write.mode("errorifexists").option("header", True)
        .option("quote", '"').option("escape", '"').option("quoteAll", True)
+       # the writer trims cells by default; texts must round-trip unchanged
+       .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
        .csv(path))
 
 
