@@ -41,6 +41,12 @@ def doc_major(matrix: DataFrame) -> DataFrame:
     return g.select("doc_id", F.col("e.i").alias("ids"), F.col("e.w").alias("ws"))
 
 
+def materialize_doc_major(matrix: DataFrame) -> DataFrame:
+    """Doc-major matrix, checkpointed (short lineage for the passes) and
+    cached; a lost cache block is re-read from the checkpoint."""
+    return doc_major(matrix).checkpoint(eager=True).persist()
+
+
 def _chunks(batches):
     """Arrow record batches -> (doc_ids, flat term ids, flat weights, row
     starts, row lengths) per chunk of documents, without per-row objects:

@@ -110,7 +110,7 @@ def run(spark: SparkSession, raw: DataFrame, cfg: PipelineConfig = PipelineConfi
     t = _timed(timings, "tfidf", t)
     # Checkpointed (short lineage, survives executor loss) and cached for the
     # n_iter + 1 passes; a lost cache block is re-read from the checkpoint.
-    D = LS.doc_major(tfidf.matrix).checkpoint(eager=True).persist()
+    D = LS.materialize_doc_major(tfidf.matrix)
     lsa_model = LS.fit_lsa(D, tfidf.vocab.size, n_docs, tc)
     lsa_model.explained_variance_ratio_sum = LS.explained_variance_ratio(tfidf, lsa_model)
     lsa_terms = TP.topic_terms_long(

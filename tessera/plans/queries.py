@@ -147,7 +147,7 @@ class LsaFit:
     def __init__(self, spark, sf, cfg: TopicConfig = TCFG):
         f = fitted(spark, sf)
         self.f = f
-        self.D = LS.doc_major(f.tfidf.matrix).checkpoint(eager=True).persist()
+        self.D = LS.materialize_doc_major(f.tfidf.matrix)
         self.model = LS.fit_lsa(self.D, f.vocab.size, f.n_docs, cfg)
         self.model.explained_variance_ratio_sum = LS.explained_variance_ratio(f.tfidf, self.model)
         self.cfg = cfg
