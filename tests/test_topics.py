@@ -51,3 +51,10 @@ def test_comparison_reads_existing_overviews(spark):
     assert sorted((r.method, r.topic_id, r.top_10_terms) for r in got.collect()) == \
         [("lda_bow", 0, "b, a"), ("lda_bow", 1, "d")]
     assert SK.load_comparison_overview(spark, out, ["nothing"]) is None
+
+
+def test_two_pair_topic_is_not_an_id_pair(spark):
+    js = '[[["a", 0.5], ["b", 0.2]]]'
+    df = spark.createDataFrame([(js,)], "topics_json string")
+    got = sorted(tuple(r) for r in TP.normalize_topics_json(df).collect())
+    assert got == [(0, 1, "a", 0.5), (0, 2, "b", 0.2)]

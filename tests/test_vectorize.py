@@ -110,3 +110,10 @@ def test_strip_accents(spark):
     r = df.select(T.strip_accents("t", "unicode").alias("u"), T.strip_accents("t", "ascii").alias("a")).first()
     assert r.u == "Cafe Ærø naive"
     assert r.a == "Cafe r naive"
+
+
+def test_empty_vocabulary_density_is_null(spark):
+    docs = spark.createDataFrame([(0, "aa bb"), (1, "cc dd")], "doc_id long, text string")
+    bow = V.vectorize_with_bow(docs, "text", VectorizeConfig(ngram_range=(1, 1), min_df=2))
+    s = ST.matrix_stats(bow, "BoW").first()
+    assert (s.n_cols, s.nnz, s.density, s.mean_weight) == (0, 0, None, 0.0)
