@@ -98,3 +98,20 @@ def test_lda_empty_doc_is_uniform(spark):
     model = LD.fit_lda(vectors, TopicConfig(n_topics=2, n_iter=5), 3)
     dt = {r.doc_id: r.topics for r in LD.doc_topic(model, vectors, 2).collect()}
     assert dt[2] == [0.5, 0.5]
+
+
+def test_lda_weights_filled_and_seed_deterministic(spark):
+    docs, _ = planted(spark)
+    cfg = VectorizeConfig(max_features=None, ngram_range=(1, 1), min_df=1)
+    bow = V.vectorize_with_bow(docs, "text", cfg)
+    vectors = LD.count_vectors(V.doc_terms(docs, "text", cfg), bow.vocab)
+    tc = TopicConfig(n_topics=3, n_top_terms=5, n_iter=5)
+    m1 = LD.fit_lda(vectors, tc, bow.n_docs)
+    m2 = LD.fit_lda(vectors, tc, bow.n_docs)
+    assert np.allclose(m1.topicsMatrix().toArray(), m2.topicsMatrix().toArray())
+    terms = TP.rank_terms(LD.top_terms(m1, bow.vocab, 5), 5).collect()
+    by_topic = {}
+    for r in sorted(terms, key=lambda r: (r.topic_id, r.rank)):
+        assert r.weight is not None and r.weight > 0
+        by_topic.setdefault(r.topic_id, []).append(r.weight)
+    assert all(w == sorted(w, reverse=True) for w in by_topic.values())
