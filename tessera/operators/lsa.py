@@ -217,9 +217,9 @@ def lsa_topics_frame(spark, model: LsaModel, vocab_df: DataFrame, n_top: int) ->
         top = np.argsort(comp, kind="stable")[::-1][:n_top]
         rows.extend((t, int(i), float(comp[i])) for i in top)
     top_df = spark.createDataFrame(rows, "topic_id long, term_id int, weight double")
-    return top_df.join(F.broadcast(top_df.select("term_id").distinct()
-                                   .join(vocab_df.select("term_id", "term"), "term_id")),
-                       "term_id")
+    # k x n_top rows: the broadcast side; the vocabulary is only scanned
+    return vocab_df.select("term_id", "term").join(F.broadcast(top_df), "term_id") \
+                   .select("topic_id", "term_id", "term", "weight")
 
 
 def singular_values_frame(spark, model: LsaModel) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import CleanConfig, TopicConfig, VectorizeConfig
@@ -196,8 +196,8 @@ def _lang_topics(spark, sf, method="tfidf") -> DataFrame:
     agg = (m.join(f.docs.select("doc_id", "lang"), "doc_id")
            .groupBy("lang", "term").agg(F.sum("value").alias("weight")))
     langs = agg.select("lang").distinct()
-    ids = langs.withColumn("topic_id", (F.dense_rank().over(
-        __import__("pyspark.sql", fromlist=["Window"]).Window.orderBy("lang")) - 1).cast("long"))
+    # one row per language: a single ordered window over a handful of rows
+    ids = langs.withColumn("topic_id", (F.dense_rank().over(Window.orderBy("lang")) - 1).cast("long"))
     topics = agg.join(F.broadcast(ids), "lang").select("topic_id", "term", "weight")
     return TP.rank_terms(topics, Q.N_TOP_TERMS)
 
