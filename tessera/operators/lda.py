@@ -57,13 +57,20 @@ def make_lda(cfg: TopicConfig, n_docs: int) -> LDA:
     return lda
 
 
-def fit_lda(vectors: DataFrame, cfg: TopicConfig, n_docs: int):
-    """T2/T6.  Input partitioning is fixed by doc_id so one seed gives one
-    result; the vectors are checkpointed so every pass reads a short lineage."""
+def prepare_vectors(vectors: DataFrame) -> DataFrame:
+    """Fix the input partitioning by doc_id (one seed -> one result) and
+    checkpoint it, so every pass - and the later transform - reads a short
+    lineage instead of re-deriving the count vectors."""
     parts = max(1, vectors.sparkSession.sparkContext.defaultParallelism)
     # Documents without vocabulary terms are skipped by the optimizer itself.
-    data = (vectors.repartition(parts, "doc_id").sortWithinPartitions("doc_id")
+    return (vectors.repartition(parts, "doc_id").sortWithinPartitions("doc_id")
             .checkpoint(eager=True))
+
+
+def fit_lda(vectors: DataFrame, cfg: TopicConfig, n_docs: int, prepared: bool = False):
+    """T2/T6 on count vectors (``prepared=True`` when they come from
+    ``prepare_vectors``)."""
+    data = vectors if prepared else prepare_vectors(vectors)
     return make_lda(cfg, n_docs).fit(data)
 
 

@@ -92,8 +92,8 @@ def run(spark: SparkSession, raw: DataFrame, cfg: PipelineConfig = PipelineConfi
     bow = V.Vectorized(V.bow_matrix(bow_tf, bow_vocab).checkpoint(eager=True), bow_vocab,
                        "bow", "CountVectorizer", bow_tf)
     t = _timed(timings, "bow", t)
-    vectors = LD.count_vectors(bow_terms, bow.vocab, binary=vc.binary)
-    lda_model = LD.fit_lda(vectors, tc, n_docs)
+    vectors = LD.prepare_vectors(LD.count_vectors(bow_terms, bow.vocab, binary=vc.binary))
+    lda_model = LD.fit_lda(vectors, tc, n_docs, prepared=True)
     lda_terms = TP.topic_terms_long(
         TP.rank_terms(LD.top_terms(lda_model, bow.vocab, tc.n_top_terms), tc.n_top_terms),
         "lda_bow").checkpoint(eager=True)

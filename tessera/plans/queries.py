@@ -169,8 +169,8 @@ class LdaFit:
         f = fitted(spark, sf)
         self.f = f
         self.cfg = cfg
-        self.vectors = LD.count_vectors(f.terms, f.vocab)
-        self.model = LD.fit_lda(self.vectors, cfg, f.n_docs)
+        self.vectors = LD.prepare_vectors(LD.count_vectors(f.terms, f.vocab))
+        self.model = LD.fit_lda(self.vectors, cfg, f.n_docs, prepared=True)
 
     def terms(self) -> DataFrame:
         return TP.rank_terms(LD.top_terms(self.model, self.f.vocab, self.cfg.n_top_terms),
