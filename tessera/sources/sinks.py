@@ -47,9 +47,11 @@ def save_vectorization(v: Vectorized, outdir: str, stamp: str) -> dict:
     v.vocab.table.orderBy("term_id").select(F.col("term").alias("feature")) \
         .coalesce(1).write.mode("overwrite").option("header", True) \
         .csv(_path(outdir, f"features_{v.method}"))
-    meta = vectorization_meta(v).withColumn("created_utc", F.lit(stamp))
+    # one row: cached so the write and the returned dict share one aggregate
+    meta = vectorization_meta(v).withColumn("created_utc", F.lit(stamp)).cache()
     meta.coalesce(1).write.mode("overwrite").json(_path(outdir, f"vectorization_{v.method}"))
     row = meta.first().asDict(recursive=True)
+    meta.unpersist()
     return row
 
 
@@ -65,9 +67,11 @@ def save_topics(method: str, terms_long: DataFrame, doc_topic: DataFrame, k: int
     dt_path = _path(outdir, f"doc_topic_{method}")
     TP.doc_topic_wide(doc_topic, k).write.mode("overwrite").parquet(dt_path)
     meta = TP.topics_meta(doc_topic.sparkSession.read.parquet(dt_path), method, k, dt_path) \
-        .withColumn("created_utc", F.lit(stamp))
+        .withColumn("created_utc", F.lit(stamp)).cache()
     meta.coalesce(1).write.mode("overwrite").json(_path(outdir, f"topics_{method}"))
-    return meta.first().asDict()
+    row = meta.first().asDict()
+    meta.unpersist()
+    return row
 
 
 def save_report(report: DataFrame, outdir: str) -> None:
