@@ -19,6 +19,11 @@ Work follows the links, not the pairs, of a group of near copies:
 3. Pairs across components that share prefix shingles are verified in full.
    Pairs inside a component cannot change it.
 
+Before a pair becomes a row its parity bitmaps are compared: every bit in which
+they differ stands for at least one shingle that only one of the two has, so
+too many such bits rule a link out.  A group of many near copies that do not
+link is so compared inside the join and hardly leaves rows.
+
 Shingles are 64-bit hashes of their words; links and sizes are counted on them.
 
 Defined results: null or empty texts have no shingles and link with nothing; a
@@ -34,7 +39,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import lookup_join, stage, text_blocks
@@ -42,6 +47,7 @@ from .components import connected_components
 
 COUNT_BITS = 20
 LANES = 16          # counts that travel in one row
+BITMAP_WORDS = 16   # 64-bit words of a parity bitmap
 MAX_MATCHES = 4     # longest prefix: this many shared shingles are asked for
 #: Cost of verifying a candidate against that of reading one entry of a shingle's list.
 VERIFY_COST = 8.0
@@ -123,8 +129,21 @@ def adaptive_prefix(hashes: np.ndarray, counts: np.ndarray, base: float, percent
     return best + 1, hashes[order[:first + best]]
 
 
+def parity_bitmap(hashes: np.ndarray) -> np.ndarray:
+    """Bits that an odd number of the shingles fall on, as signed 64-bit words."""
+    counts = np.bincount((hashes & np.uint64(64 * BITMAP_WORDS - 1)).astype(np.int64), minlength=64 * BITMAP_WORDS)
+    return np.packbits((counts & 1).astype(np.uint8), bitorder="little").view("<i8")
+
+
+def _bitmaps_fit(a: str, b: str, size_a: Column, size_b: Column, percent: int) -> Column:
+    """Whether sets with these bitmaps can link: they differ in ``union - both`` shingles at most."""
+    differ = sum((F.bit_count(F.get(F.col(a), F.lit(k)).bitwiseXOR(F.get(F.col(b), F.lit(k)))) for k in range(BITMAP_WORDS)),
+                 F.lit(0))
+    return differ * (100 + percent) <= (size_a + size_b) * (100 - percent)
+
+
 def prefix_table(docs: DataFrame, id_col: str, text_col: str, n: int, percent: int) -> DataFrame:
-    """Per row: ``id``, ``d1``/``d2`` (128-bit digest of its words), ``n``, ``need`` (its l) and ``prefix``."""
+    """Per row: ``id``, ``d1``/``d2`` (128-bit digest of its words), ``n``, ``need`` (its l), ``prefix`` and ``bits``."""
     counts = _shingle_counts(docs.select(F.col(text_col).cast("string")), n)
     sent = docs.sparkSession.sparkContext.broadcast(counts.astype(np.float64))
     base = float(np.median(counts))
@@ -133,7 +152,7 @@ def prefix_table(docs: DataFrame, id_col: str, text_col: str, n: int, percent: i
         cells = sent.value
         for batch in batches:
             for first, texts in text_blocks([t or "" for t in batch.column(1).to_pylist()], 4 << 20):
-                digests, sizes, needs, prefixes = [], [], [], []
+                digests, sizes, needs, prefixes, bits = [], [], [], [], []
                 for text in texts:
                     words = text_words(text)
                     found = shingles(words, n)
@@ -143,17 +162,20 @@ def prefix_table(docs: DataFrame, id_col: str, text_col: str, n: int, percent: i
                     sizes.append(len(found))
                     needs.append(need)
                     prefixes.append(prefix.view(np.int64))
+                    bits.append(parity_bitmap(found))
                 wide = np.array([(d >> 64, d & (2**64 - 1)) for d in digests], dtype=np.uint64).view(np.int64)
                 ends = np.cumsum([0, *(len(p) for p in prefixes)])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(first, len(texts)), pa.array(wide[:, 0]), pa.array(wide[:, 1]),
                      pa.array(sizes, pa.int32()), pa.array(needs, pa.int32()),
-                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(prefixes)))],
-                    names=["id", "d1", "d2", "n", "need", "prefix"])
+                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(prefixes))),
+                     pa.ListArray.from_arrays(pa.array(np.arange(len(bits) + 1) * BITMAP_WORDS, pa.int32()),
+                                              pa.array(np.concatenate(bits)))],
+                    names=["id", "d1", "d2", "n", "need", "prefix", "bits"])
 
     kind = dict(docs.dtypes)[id_col]
     return stage(docs.select(F.col(id_col), F.col(text_col).cast("string")).mapInArrow(
-        run, f"id {kind}, d1 bigint, d2 bigint, n int, need int, prefix array<bigint>"), "prefixes")
+        run, f"id {kind}, d1 bigint, d2 bigint, n int, need int, prefix array<bigint>, bits array<bigint>"), "prefixes")
 
 
 def shingle_sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, n: int) -> DataFrame:
@@ -174,7 +196,7 @@ def shingle_sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, n:
         run, f"id {kind}, shingles array<bigint>")
 
 
-def _sizes_fit(a, b, percent: int):
+def _sizes_fit(a: Column, b: Column, percent: int) -> Column:
     """Whether sets of these sizes can link."""
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
@@ -198,10 +220,10 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     firsts = stage(real.groupBy("d1", "d2").agg(F.min("id").alias("id")), "firsts")
     reps = real.join(firsts, ["id", "d1", "d2"], "left_semi")
 
-    lists = reps.select("id", "n", "need", F.explode("prefix").alias("shingle"))
-    heads = (lists.groupBy("shingle").agg(F.min(F.struct("id", "n", "need")).alias("head"),
-                                          F.count(F.lit(1)).alias("df"))
-             .where(F.col("df") > 1).select("shingle", "head"))
+    facts = reps.select("id", "n", "need", "bits")
+    lists = reps.select("id", F.explode("prefix").alias("shingle"))
+    heads = (lists.groupBy("shingle").agg(F.min("id").alias("head"), F.max("id").alias("last"))
+             .where(F.col("head") < F.col("last")).select("shingle", "head"))
     shared = stage(lists.join(heads, "shingle"), "lists")  # shingles of one document only are gone
 
     def enough(pairs: DataFrame) -> DataFrame:
@@ -209,23 +231,28 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         return (pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("met"), F.min("need").alias("need"))
                 .where(F.col("met") >= F.col("need")).select("a", "b"))
 
-    to_head = stage(enough(shared.where((F.col("id") != F.col("head.id")) & _sizes_fit(F.col("n"), F.col("head.n"), percent))
-                           .select(F.col("id").alias("a"), F.col("head.id").alias("b"),
-                                   F.least("need", "head.need").alias("need"))), "pairs")
+    def side(of: str) -> DataFrame:
+        return facts.select(F.col("id").alias(of), *(F.col(c).alias(c + of) for c in ("n", "need", "bits")))
+
+    met = (shared.where(F.col("id") != F.col("head")).groupBy(F.col("id").alias("a"), F.col("head").alias("b"))
+           .agg(F.count(F.lit(1)).alias("met")))
+    to_head = stage(met.join(side("a"), "a").join(side("b"), "b")
+                    .where((F.col("met") >= F.least("needa", "needb")) & _sizes_fit(F.col("na"), F.col("nb"), percent)
+                           & _bitmaps_fit("bitsa", "bitsb", F.col("na"), F.col("nb"), percent)).select("a", "b"), "pairs")
     links = stage(verify_pairs(docs, to_head, id_col, text_col, n, percent), "links")
     joined = connected_components(links)
 
-    placed = (shared.select("shingle", "id", "n", "need")
-              .join(joined.withColumnRenamed("node", "id"), "id", "left")
+    placed = (shared.select("shingle", "id").join(joined.withColumnRenamed("node", "id"), "id", "left")
               .withColumn("component", F.coalesce("component", "id")))
     mixed = (placed.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
              .where(F.col("lo") != F.col("hi")).select("shingle"))
-    across = stage(placed.join(mixed, "shingle", "left_semi"), "across")
-    left, right = (across.select("shingle", *(F.col(c).alias(c + k) for c in ("id", "n", "need", "component")))
+    across = stage(placed.join(mixed, "shingle", "left_semi").join(facts, "id"), "across")
+    left, right = (across.select("shingle", *(F.col(c).alias(c + k) for c in ("id", "n", "need", "component", "bits")))
                    for k in ("1", "2"))
     more = (left.join(right, "shingle")
             .where((F.col("id1") < F.col("id2")) & (F.col("component1") != F.col("component2"))
-                   & _sizes_fit(F.col("n1"), F.col("n2"), percent))
+                   & _sizes_fit(F.col("n1"), F.col("n2"), percent)
+                   & _bitmaps_fit("bits1", "bits2", F.col("n1"), F.col("n2"), percent))
             .select(F.col("id2").alias("a"), F.col("id1").alias("b"), F.least("need1", "need2").alias("need")))
     # a head is the smallest id of its list, so verified pairs have the larger id first as well
     more = stage(enough(more).join(to_head, ["a", "b"], "left_anti"), "pairs")
