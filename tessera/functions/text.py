@@ -59,7 +59,8 @@ def expand_contractions(c: Column | str) -> Column:
             out = F.regexp_replace(out, P.PRE + re.escape(word) + P.POST,
                                    "$1" + full + "$2")
     for suffix, full in CONTRACTION_SUFFIXES:
-        out = F.regexp_replace(out, _apos(suffix), full)
+        # only behind a letter and at the end of the word: quotes are left alone
+        out = F.regexp_replace(out, "([a-z])" + _apos(suffix) + P.POST, "$1" + full + "$2")
     trigger = P.APOS + "|" + "|".join(re.escape(w) for w, _ in slang)
     return F.when(t.rlike(trigger), out).otherwise(t)
 

@@ -106,7 +106,9 @@ def lemmatize(df: DataFrame, in_col: str = "_tokens", out_col: str = "_lemmas",
     from ..plans.joins import join_small
     exploded = (df.select(key, F.posexplode_outer(in_col).alias("_pos", "form"))
                 .filter(F.col("form").isNotNull()))
-    looked = join_small(exploded, dictionary.select("form", "lemma"), on="form", how="left")
+    # one lemma per form, the first in order: a form listed twice must not double its tokens
+    single = dictionary.groupBy("form").agg(F.min("lemma").alias("lemma"))
+    looked = join_small(exploded, single, on="form", how="left")
     rebuilt = (looked
                .withColumn("lemma", F.coalesce(F.col("lemma"),
                                                 T.lemmatize_tokens(F.array("form"))[0]))

@@ -1,22 +1,30 @@
-"""LDA on bag-of-words counts (T2..T6) with Spark ML's online variational
-Bayes optimizer.
-
-Mapping of the reference settings: priors 1/k for both Dirichlets (not
-re-estimated); "batch" = every pass sees all documents (subsampling 1.0,
-learning offset 10, decay 0.7, one iteration per pass); "online" = mini
-batches of 128 documents, ``n_iter`` passes.  Count vectors come from
-``CountVectorizerModel.from_vocabulary`` on the fitted vocabulary (JVM-side,
-one row per document, no shuffle).  Documents with no vocabulary term get the
-uniform distribution 1/k.
+"""LDA on bag-of-words counts (T1..T6).
+
+``learning_method="batch"`` is batch variational Bayes: every pass reads every
+document exactly once.  A pass is one job: the topics are broadcast (k times the
+vocabulary), each task fits its documents a block of entries at a time, and the
+expected counts of topics and terms are summed by term, so k numbers a term
+reach the driver, however many documents there are.  Priors are 1/k and are not
+re-estimated.  A seed gives the same start whatever the partitions.
+
+``learning_method="online"`` is Spark ML's online optimizer on mini batches of
+128 documents.  Count vectors come from ``CountVectorizerModel`` on the fitted
+vocabulary (JVM-side, one row per document, no shuffle).  Documents with no
+vocabulary term get the uniform distribution 1/k.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
+from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.clustering import LDA
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import DenseMatrix, VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,6 +32,150 @@ from ..config import TopicConfig
 from .vectorize import Vocabulary
 
 BATCH_SIZE = 128
+#: Entries of the count matrix that a task fits at a time.
+BLOCK_ENTRIES = 100_000
+DOC_PASSES, DOC_TOLERANCE = 100, 1e-3
+
+
+def check_counts(vectors: DataFrame) -> None:
+    """The input must have ``doc_id`` and a vector column ``features``."""
+    fields = {f.name: f.dataType for f in vectors.schema.fields}
+    if "doc_id" not in fields or not isinstance(fields.get("features"), VectorUDT):
+        raise TypeError("topic models need the columns doc_id and features (vectors of counts)")
+
+
+def digamma(x: np.ndarray) -> np.ndarray:
+    """Derivative of the log gamma function for positive numbers."""
+    x = np.array(x, dtype=np.float64)
+    out = np.zeros_like(x)
+    for _ in range(6):  # up to where the series holds
+        small = x < 6
+        out[small] -= 1 / x[small]
+        x[small] += 1
+    inverse = 1 / (x * x)
+    return out + np.log(x) - 0.5 / x - inverse * (1 / 12 - inverse * (1 / 120 - inverse / 252))
+
+
+def _expected_logs(weights: np.ndarray) -> np.ndarray:
+    return np.exp(digamma(weights) - digamma(weights.sum(axis=1))[:, None])
+
+
+def _fit_block(of: np.ndarray, terms: np.ndarray, counts: np.ndarray, n_docs: int,
+               topics: np.ndarray, alpha: float) -> tuple[np.ndarray, np.ndarray]:
+    """Document weights (n_docs x k) and, per entry, its count over the topics before the topic factor."""
+    k = topics.shape[0]
+    by_entry = np.ascontiguousarray(topics[:, terms].T)
+    starts = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
+    docs = of[starts]
+    gamma = np.ones((n_docs, k))
+    gamma[:] = alpha
+    gamma[docs] = 1.0
+    live = np.ones(len(docs), dtype=bool)
+    sizes = np.diff(np.r_[starts, len(of)])
+    for _ in range(DOC_PASSES):
+        rows = docs[live]
+        pick = np.repeat(live, sizes)
+        factor = _expected_logs(gamma[rows])
+        local = np.repeat(np.arange(len(rows)), sizes[live])
+        entry = by_entry[pick]
+        share = counts[pick] / ((factor[local] * entry).sum(axis=1) + 1e-100)
+        first = np.r_[0, np.cumsum(sizes[live])[:-1]]
+        new = alpha + factor * np.add.reduceat(entry * share[:, None], first, axis=0)
+        moved = np.abs(new - gamma[rows]).mean(axis=1)
+        gamma[rows] = new
+        live[np.flatnonzero(live)] = moved >= DOC_TOLERANCE
+        if not live.any():
+            break
+    factor = _expected_logs(gamma)
+    share = counts / ((factor[of] * by_entry).sum(axis=1) + 1e-100)
+    return gamma, factor[of] * share[:, None]
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """Documents in runs of about ``BLOCK_ENTRIES`` entries: ids, entry's document, terms, counts."""
+    for batch in batches:
+        ids = batch.column(0)
+        lists = [np.asarray(x, dtype=np.int64) for x in batch.column(1).to_pylist()]
+        values = [np.asarray(x, dtype=np.float64) for x in batch.column(2).to_pylist()]
+        first, size = 0, 0
+        for i, x in enumerate(lists):
+            size += len(x)
+            if size >= BLOCK_ENTRIES or i == len(lists) - 1:
+                run = slice(first, i + 1)
+                of = np.repeat(np.arange(i + 1 - first), [len(x) for x in lists[run]])
+                yield ids.slice(first, i + 1 - first), of, np.concatenate(lists[run]), np.concatenate(values[run])
+                first, size = i + 1, 0
+
+
+def _entries(vectors: DataFrame) -> DataFrame:
+    """``doc_id`` with the terms and counts of its vector."""
+    return vectors.select("doc_id", F.struct(F.col("features")).alias("v")).select(
+        "doc_id", F.from_json(F.to_json("v"), "features struct<indices:array<int>,values:array<double>>")["features"]
+        .alias("v")).select("doc_id", "v.indices", "v.values")
+
+
+@dataclass
+class BatchLda:
+    """Topic-term weights (k x vocabulary) after the last pass."""
+
+    components: np.ndarray
+    alpha: float
+
+    def topicsMatrix(self) -> DenseMatrix:
+        k, n = self.components.shape
+        return DenseMatrix(n, k, self.components.reshape(-1))
+
+    def shares(self) -> np.ndarray:
+        """Weights of each topic that sum to 1."""
+        return self.components / self.components.sum(axis=1, keepdims=True)
+
+    def document_weights(self, vectors: DataFrame) -> DataFrame:
+        sent = vectors.sparkSession.sparkContext.broadcast(_expected_logs(self.components))
+        alpha = self.alpha
+
+        def run(batches):
+            for ids, of, terms, counts in _blocks(batches):
+                gamma = np.full((len(ids), len(sent.value)), alpha)
+                if len(of):
+                    gamma, _ = _fit_block(of, terms, counts, len(ids), sent.value, alpha)
+                rows = gamma / gamma.sum(axis=1, keepdims=True)
+                yield pa.RecordBatch.from_arrays([ids, pa.array(rows.tolist(), pa.list_(pa.float64()))],
+                                                 names=["doc_id", "topics"])
+
+        kind = dict(vectors.dtypes)["doc_id"]
+        return _entries(vectors).mapInArrow(run, f"doc_id {kind}, topics array<double>")
+
+
+def fit_batch(vectors: DataFrame, cfg: TopicConfig, n_terms: int) -> BatchLda:
+    """``n_iter`` passes of batch variational Bayes over ``vectors`` (a checkpointed table)."""
+    k = cfg.n_topics
+    prior = 1.0 / k
+    weights = np.random.default_rng(cfg.random_state).gamma(100.0, 0.01, (k, n_terms))
+    entries = _entries(vectors).persist()
+    columns = [f"s{i}" for i in range(k)]
+    for _ in range(max(1, cfg.n_iter)):
+        topics = _expected_logs(weights)
+        sent = vectors.sparkSession.sparkContext.broadcast(topics)
+
+        def run(batches, sent=sent):
+            total = np.zeros((n_terms, k))
+            for ids, of, terms, counts in _blocks(batches):
+                if len(of):
+                    _, share = _fit_block(of, terms, counts, len(ids), sent.value, prior)
+                    np.add.at(total, terms, share)
+            used = np.flatnonzero(total.any(axis=1))
+            yield pa.RecordBatch.from_arrays([pa.array(used), *(pa.array(total[used, i]) for i in range(k))],
+                                             names=["term_id", *columns])
+
+        got = (entries.mapInArrow(run, "term_id bigint, " + ", ".join(f"{c} double" for c in columns))
+               .groupBy("term_id").agg(*(F.sum(c).alias(c) for c in columns)).toArrow())
+        counts = np.zeros((k, n_terms))
+        if got.num_rows:
+            counts[:, got["term_id"].to_numpy()] = np.stack([got[c].to_numpy() for c in columns])
+        weights = prior + counts * topics
+        sent.destroy()
+    entries.unpersist()
+    return BatchLda(weights, prior)
 
 
 def count_vectors(doc_terms: DataFrame, vocab: Vocabulary, binary: bool = False) -> DataFrame:
@@ -49,9 +201,6 @@ def make_lda(cfg: TopicConfig, n_docs: int) -> LDA:
         batches = max(1, math.ceil(n_docs / BATCH_SIZE))
         lda.setSubsamplingRate(min(1.0, BATCH_SIZE / max(n_docs, 1)))
         lda.setMaxIter(max(1, cfg.n_iter) * batches)
-    elif cfg.learning_method == "batch":
-        lda.setSubsamplingRate(1.0)
-        lda.setMaxIter(max(1, cfg.n_iter))
     else:
         raise ValueError("learning_method must be 'batch' or 'online'")
     return lda
@@ -61,33 +210,46 @@ def prepare_vectors(vectors: DataFrame) -> DataFrame:
     """Fix the input partitioning by doc_id (one seed -> one result) and
     checkpoint it, so every pass - and the later transform - reads a short
     lineage instead of re-deriving the count vectors."""
-    parts = max(1, vectors.sparkSession.sparkContext.defaultParallelism)
     # Documents without vocabulary terms are skipped by the optimizer itself.
-    return (vectors.repartition(parts, "doc_id").sortWithinPartitions("doc_id")
-            .checkpoint(eager=True))
+    return (vectors.repartition("doc_id").sortWithinPartitions("doc_id").checkpoint(eager=True))
 
 
 def fit_lda(vectors: DataFrame, cfg: TopicConfig, n_docs: int, prepared: bool = False):
     """T2/T6 on count vectors (``prepared=True`` when they come from
     ``prepare_vectors``)."""
+    check_counts(vectors)
     data = vectors if prepared else prepare_vectors(vectors)
+    if cfg.learning_method == "batch":
+        first = data.select("features").first()
+        return fit_batch(data, cfg, first["features"].size if first else 0)
     return make_lda(cfg, n_docs).fit(data)
 
 
 def doc_topic(model, vectors: DataFrame, k: int) -> DataFrame:
     """``(doc_id, topics array<double>)``, rows sum to 1."""
+    if isinstance(model, BatchLda):
+        return model.document_weights(vectors)
     out = model.transform(vectors).select("doc_id", vector_to_array("topicDistribution").alias("t"))
     total = F.aggregate("t", F.lit(0.0), lambda a, x: a + x)
     uniform = F.array_repeat(F.lit(1.0 / k), k)
     return out.select("doc_id", F.when(total > 0, F.col("t")).otherwise(uniform).alias("topics"))
 
 
-def top_terms(model, vocab: Vocabulary, n_top: int) -> DataFrame:
+def top_terms(model, vocab: Vocabulary, n_top: int, raw: bool = False) -> DataFrame:
     """T4/T5: ``(topic_id, term_id, term, weight)`` top-n per topic by the
-    topic-term weight (normalized; same order as the raw weights)."""
+    topic-term weight, as a share of the topic or ``raw`` (batch models; the
+    order is the same)."""
+    if isinstance(model, BatchLda):
+        weights = model.components if raw else model.shares()
+        rows = [(topic, int(t), float(w[t])) for topic, w in enumerate(weights)
+                for t in np.lexsort((np.arange(len(w)), -w))[:n_top]]  # n_topics x n_top rows
+        z = vocab.table.sparkSession.createDataFrame(rows, "topic_id long, term_id int, weight double")
+        return (vocab.table.select("term_id", "term").join(F.broadcast(z), "term_id")
+                .select("topic_id", "term_id", "term", "weight"))
     desc = model.describeTopics(maxTermsPerTopic=n_top)
     z = desc.select(F.col("topic").cast("long").alias("topic_id"),
                     F.inline(F.arrays_zip(F.col("termIndices").alias("term_id"),
                                           F.col("termWeights").alias("weight"))))
-    return z.join(F.broadcast(vocab.table.select("term_id", "term")), "term_id") \
+    # n_topics x n_top rows
+    return vocab.table.select("term_id", "term").join(F.broadcast(z), "term_id") \
             .select("topic_id", "term_id", "term", F.col("weight").cast("double").alias("weight"))

@@ -90,12 +90,14 @@ def normalize_topics_json(df: DataFrame, json_col: str = "topics_json") -> DataF
     first = F.try_variant_get(v, "$[0]", "variant")
     first_kind = F.schema_of_variant(first)
     is_obj = first_kind.startswith("OBJECT")
-    # (id, terms) only when the first element is a number: a bare topic with
+    # (id, terms) only when the first element is a number, or a text that is one: a bare topic with
     # exactly two [term, weight] pairs is then not mistaken for a pair.
     id_kind = F.schema_of_variant(F.try_variant_get(v, "$[0][0]", "variant"))
     is_pair = (first_kind.startswith("ARRAY")
                & (F.expr(f"array_size(try_variant_get(parse_json({json_col}), '$[0]', 'array<variant>'))") == 2)
-               & ~id_kind.startswith("ARRAY") & ~id_kind.startswith("STRING")
+               & ~id_kind.startswith("ARRAY")
+               & (~id_kind.startswith("STRING")
+                  | F.coalesce(F.try_variant_get(v, "$[0][0]", "string").rlike("^-?[0-9]+$"), F.lit(False)))
                & ~id_kind.startswith("OBJECT")
                & F.schema_of_variant(F.try_variant_get(v, "$[0][1]", "variant")).startswith("ARRAY"))
     shaped = df.select(F.col(json_col), v.alias("_v"), F.when(is_obj, "obj").when(is_pair, "pair")

@@ -135,10 +135,18 @@ def fit_vocabulary(tf: DataFrame, n_docs: int, cfg: VectorizeConfig) -> Vocabula
     return Vocabulary(vocab, n_docs, size, params=_params(cfg))
 
 
-def vocabulary_from_terms(spark, terms: list[str], n_docs: int = 0) -> Vocabulary:
-    """V9: a fixed vocabulary given by the user (no fitting)."""
-    uniq = sorted(set(terms))
-    rows = [(i, t) for i, t in enumerate(uniq)]
+def vocabulary_from_terms(spark, terms: list[str] | dict[str, int], n_docs: int = 0) -> Vocabulary:
+    """V9: a fixed vocabulary given by the user (no fitting): a list of terms in
+    column order, or a dict of term to column."""
+    if isinstance(terms, dict):
+        rows = sorted((int(i), t) for t, i in terms.items())
+        if [i for i, _ in rows] != list(range(len(rows))):
+            raise ValueError("vocabulary columns must be 0 to n-1, each once")
+    else:
+        rows = list(enumerate(terms))
+    uniq = {t for _, t in rows}
+    if len(uniq) < len(rows):
+        raise ValueError("a vocabulary term is listed twice")
     table = spark.createDataFrame(rows, "term_id int, term string") \
         .withColumn("df", F.lit(None).cast("long")) \
         .withColumn("ctf", F.lit(None).cast("long")) \

@@ -9,6 +9,7 @@ text); the doc-major TF-IDF table is checkpointed for the LSA passes.
 from __future__ import annotations
 
 import time
+import uuid
 from dataclasses import asdict, dataclass, field
 from datetime import datetime, timezone
 
@@ -48,8 +49,9 @@ def normalized_stage(spark: SparkSession, raw: DataFrame, cfg: PipelineConfig,
     ``stage_base``, default the shared checkpoint folder) and read back, so the
     cleaning runs once however many jobs follow."""
     base = stage_base or scratch_path(spark, "stages")
+    # without an identity of the input (files, their sizes and times) nothing is reused
     key = {"clean": asdict(cfg.clean), "columns": raw.columns,
-           "input": sorted(str(x) for x in raw.inputFiles())}
+           "input": SRC.input_identity(raw) or uuid.uuid4().hex}
     df, _ = SRC.load_or_build_stage(spark, base, "normalized", key,
                                     lambda: C.normalize_corpus(raw, cfg.clean))
     return SRC.balance(df)

@@ -76,7 +76,7 @@ def contractions_sql(e: str) -> str:
             out = rx(out, P.PRE + re.escape(word) + P.POST, "\\1" + full + "\\2")
     for suffix, full in CONTRACTION_SUFFIXES:
         pat = "".join(P.APOS if ch == "'" else re.escape(ch) for ch in suffix)
-        out = rx(out, pat, full)
+        out = rx(out, f"([a-z]){pat}{P.POST}", f"\\1{full}\\2")
     trigger = P.APOS + "|" + "|".join(re.escape(w) for w, _ in slang)
     return f"CASE WHEN regexp_matches({e}, {lit(trigger)}) THEN {out} ELSE {e} END"
 
@@ -308,10 +308,10 @@ def oracle_sql() -> dict[str, str]:
     Z["tfidf_l1"] = (base_nt + tfidf_ctes(sublinear=True, norm="l1") +
                      f" SELECT doc_id, term_id, term, {r6('value')} AS value FROM tfidf")
     raw_docs = "(SELECT doc_id, text FROM documents)"
-    Z["bow_lowercase"] = ("WITH " + tf_ctes(raw_docs, "text", ngram=False, pre=lambda c: f"lower({c})") +
+    Z["bow_lowercase"] = ("WITH " + tf_ctes(raw_docs, "text", pre=lambda c: f"lower({c})") +
                           ", " + vocab_ctes(raw_docs) + ", " + bow_ctes() +
                           " SELECT doc_id, term_id, term, value FROM bow")
-    Z["bow_strip_accents"] = ("WITH " + tf_ctes(raw_docs, "text", ngram=False,
+    Z["bow_strip_accents"] = ("WITH " + tf_ctes(raw_docs, "text",
                                                 pre=lambda c: f"translate(lower({c}), {lit(ACCENT_FROM)}, {lit(ACCENT_TO)})") +
                               ", " + vocab_ctes(raw_docs) + ", " + bow_ctes() +
                               " SELECT doc_id, term_id, term, value FROM bow")

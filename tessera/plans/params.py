@@ -1,15 +1,14 @@
 """Parameters of the named queries (shared by the Spark plans and the SQL
-oracles).  The vectorizer settings follow the reference's documented config
-(1-2-grams, min_df 2) with a vocabulary cap sized to the test corpora."""
+oracles): the reference's documented configuration."""
 
-MAX_FEATURES = 2000
+MAX_FEATURES = 20000
 MIN_DF = 2
 NGRAM_RANGE = (1, 2)
 N_TOPICS = 10
 N_TOP_TERMS = 15
-N_ITER = 5
+N_ITER = 20
 TOP_K_OVERVIEW = 10
 MIN_TOKEN_LEN_QUERY = 2
 # Appended to every text by the contraction queries (the corpora have none).
 CONTRACTION_SUFFIX_TEXT = (" We can't stop, it's what they're gonna do; I'm sure you'd say "
-                           "we'll see, and they've won't-be gonna gonna wanna")
+                           "we'll see, he said 'damn' it and 'my bank' was 'really' 'very' slow, and they've won't-be gonna gonna wanna")

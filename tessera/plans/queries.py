@@ -434,11 +434,11 @@ def _raw_vectorize(spark, sf, method="bow", **kw):
 
 
 def q_bow_lowercase(spark, sf):
-    return _matrix_out(_raw_vectorize(spark, sf, ngram_range=(1, 1), lowercase=True).matrix)
+    return _matrix_out(_raw_vectorize(spark, sf, lowercase=True).matrix)
 
 
 def q_bow_strip_accents(spark, sf):
-    return _matrix_out(_raw_vectorize(spark, sf, ngram_range=(1, 1), lowercase=True,
+    return _matrix_out(_raw_vectorize(spark, sf, lowercase=True,
                                       strip_accents="unicode").matrix)
 
 

@@ -15,6 +15,7 @@ from __future__ import annotations
 import hashlib
 import json
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -83,6 +84,17 @@ def config_hash(obj) -> str:
     return hashlib.sha256(payload.encode()).hexdigest()[:16]
 
 
+def input_identity(df: DataFrame) -> str | None:
+    """A digest of the files that ``df`` reads: path, size and modification
+    time, combined where the files are read.  None if it reads no files."""
+    try:
+        files = df.select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time").distinct()
+        n, total = files.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*files.columns).cast("decimal(38,0)"))).first()
+    except AnalysisException:
+        return None
+    return f"{n}:{total}" if n else None
+
+
 def stage_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     hadoop_path = jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + "/_SUCCESS")

@@ -97,9 +97,9 @@ def load_comparison_overview(spark, outdir: str, methods: list[str],
     frames = []
     for m in methods:
         path = _path(outdir, f"topics_overview_{m}")
-        if stage_exists(spark, path):
-            frames.append(spark.read.option("header", True)
-                          .schema("method string, topic_id long, top_10_terms string").csv(path))
+        if stage_exists(spark, path):  # the third column is named after the number of terms
+            frame = spark.read.option("header", True).csv(path)
+            frames.append(frame.withColumn("topic_id", F.col("topic_id").cast("long")))
     combined = TP.topics_comparison(frames)
     if combined is not None and write:
         save_comparison(combined.orderBy("method", "topic_id"), outdir)
