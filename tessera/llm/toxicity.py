@@ -73,7 +73,7 @@ def fold(text: str) -> str:
     for raw in _DISGUISED(text):
         token = _TRIM.sub("", raw)
         letters = sum(c.isalpha() for c in token)
-        if letters and len(token) > letters and 2 * letters >= len(token):
+        if letters and len(token) > letters and 3 * letters >= len(token):
             extra.extend(dict.fromkeys(w for table in (_AS_I, _AS_L) for w in [token.translate(table)] if w.isalpha()))
     return f" {' '.join(words)} {' '.join(['|', *extra]) + ' ' if extra else ''}"
 
