@@ -34,6 +34,8 @@ from .vectorize import Vocabulary
 BATCH_SIZE = 128
 #: Entries of the count matrix that a task fits at a time.
 BLOCK_ENTRIES = 100_000
+#: Documents a task fits; the partitions follow the data, not the cluster, so that a seed gives one result.
+DOCS_PER_TASK = 1024
 DOC_PASSES, DOC_TOLERANCE = 100, 1e-3
 
 
@@ -94,17 +96,19 @@ def _fit_block(of: np.ndarray, terms: np.ndarray, counts: np.ndarray, n_docs: in
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     """Documents in runs of about ``BLOCK_ENTRIES`` entries: ids, entry's document, terms, counts."""
     for batch in batches:
-        ids = batch.column(0)
-        lists = [np.asarray(x, dtype=np.int64) for x in batch.column(1).to_pylist()]
-        values = [np.asarray(x, dtype=np.float64) for x in batch.column(2).to_pylist()]
-        first, size = 0, 0
-        for i, x in enumerate(lists):
-            size += len(x)
-            if size >= BLOCK_ENTRIES or i == len(lists) - 1:
-                run = slice(first, i + 1)
-                of = np.repeat(np.arange(i + 1 - first), [len(x) for x in lists[run]])
-                yield ids.slice(first, i + 1 - first), of, np.concatenate(lists[run]), np.concatenate(values[run])
-                first, size = i + 1, 0
+        ids, lists, values = (batch.column(k) for k in range(3))
+        ends = lists.offsets.to_numpy()  # both lists of a row have the same length
+        terms = lists.values.to_numpy(zero_copy_only=False).astype(np.int64)
+        counts = values.values.to_numpy(zero_copy_only=False)
+        shift = values.offsets.to_numpy()[0] - ends[0]
+        first = 0
+        while first < len(ids):
+            last = max(first + 1, int(np.searchsorted(ends, ends[first] + BLOCK_ENTRIES, side="right")) - 1)
+            last = min(last, len(ids))
+            a, b = ends[first], ends[last]
+            of = np.repeat(np.arange(last - first), np.diff(ends[first:last + 1]))
+            yield ids.slice(first, last - first), of, terms[a:b], counts[a + shift:b + shift]
+            first = last
 
 
 def _entries(vectors: DataFrame) -> DataFrame:
@@ -162,7 +166,8 @@ def fit_batch(vectors: DataFrame, cfg: TopicConfig, n_terms: int) -> BatchLda:
             for ids, of, terms, counts in _blocks(batches):
                 if len(of):
                     _, share = _fit_block(of, terms, counts, len(ids), sent.value, prior)
-                    np.add.at(total, terms, share)
+                    for i in range(k):
+                        total[:, i] += np.bincount(terms, share[:, i], n_terms)
             used = np.flatnonzero(total.any(axis=1))
             yield pa.RecordBatch.from_arrays([pa.array(used), *(pa.array(total[used, i]) for i in range(k))],
                                              names=["term_id", *columns])
@@ -211,7 +216,8 @@ def prepare_vectors(vectors: DataFrame) -> DataFrame:
     checkpoint it, so every pass - and the later transform - reads a short
     lineage instead of re-deriving the count vectors."""
     # Documents without vocabulary terms are skipped by the optimizer itself.
-    return (vectors.repartition("doc_id").sortWithinPartitions("doc_id").checkpoint(eager=True))
+    parts = max(1, math.ceil(vectors.select("doc_id").count() / DOCS_PER_TASK))
+    return vectors.repartition(parts, "doc_id").sortWithinPartitions("doc_id").checkpoint(eager=True)
 
 
 def fit_lda(vectors: DataFrame, cfg: TopicConfig, n_docs: int, prepared: bool = False):
