@@ -47,7 +47,7 @@ from .components import connected_components
 
 COUNT_BITS = 20
 LANES = 16          # counts that travel in one row
-BITMAP_WORDS = 16   # 64-bit words of a parity bitmap
+BITMAP_WORDS = 32   # 64-bit words of a parity bitmap
 MAX_MATCHES = 4     # longest prefix: this many shared shingles are asked for
 #: Cost of verifying a candidate against that of reading one entry of a shingle's list.
 VERIFY_COST = 8.0
