@@ -25,6 +25,8 @@ CSV_NA_SPELLINGS = (
     "nan", "null",
 )
 
+# --- end of fixed values ----------------------------------------------------
+
 # Contractions and slang expanded before cleaning: whole words first, then
 # the regular suffixes.  Keys are lowercase; both ' and U+2019 are accepted.
 CONTRACTION_WORDS = {
@@ -36,7 +38,6 @@ CONTRACTION_WORDS = {
     "y'all": "you all",
     "ma'am": "madam",
     "o'clock": "of the clock",
-    "'cause": "because",
     "it's": "it is",
     "he's": "he is",
     "she's": "she is",
@@ -103,18 +104,53 @@ LEMMA_EXCEPTIONS = {
     "thesis": "thesis", "status": "status", "bus": "bus", "gas": "gas",
     "plus": "plus", "thus": "thus", "bonus": "bonus", "campus": "campus",
     "virus": "virus", "focus": "focus", "census": "census",
+    "buses": "bus", "gases": "gas", "viruses": "virus", "bonuses": "bonus",
+    "campuses": "campus", "focuses": "focus", "censuses": "census",
+    "statuses": "status", "lenses": "lens", "analyses": "analysis",
+    "crises": "crisis", "theses": "thesis", "shoes": "shoe", "toes": "toe",
+    "movies": "movie", "cookies": "cookie", "knives": "knife", "wives": "wife",
+    "lives": "life", "leaves": "leave", "halves": "half", "shelves": "shelf",
+    "agreed": "agree", "disagreed": "disagree", "guaranteed": "guarantee",
+    "freed": "free", "added": "add", "adding": "add", "erred": "err",
+    "owed": "owe", "owing": "owe", "died": "die", "dying": "die",
+    "lied": "lie", "lying": "lie", "tied": "tie", "tying": "tie",
+    "focused": "focus", "focusing": "focus", "biased": "bias",
+    "invited": "invite", "inviting": "invite", "united": "unite",
+    "excited": "excite", "exciting": "excite",
+    "hundred": "hundred", "sacred": "sacred", "naked": "naked",
+    "wicked": "wicked", "hatred": "hatred", "embed": "embed",
+    "during": "during", "morning": "morning", "evening": "evening",
+    "nothing": "nothing", "something": "something", "anything": "anything",
+    "everything": "everything", "ceiling": "ceiling", "sibling": "sibling",
+    "lightning": "lightning", "pudding": "pudding", "darling": "darling",
 }
 
-# Ordered suffix rules (anchored regex, replacement group) used when a token
-# is not in the dictionary; the first matching rule wins.  Written once and
-# rendered for Java regex ($1) and RE2 (\1).
+# Suffix rules for tokens outside the dictionary (anchored regexes that Java
+# and RE2 read alike).  Endings in -s and -ied: the first rule that matches.
 LEMMA_RULES = (
     (r"^([a-z]{2,})ies$", "{1}y"),
     (r"^([a-z]{2,})ied$", "{1}y"),
     (r"^([a-z]+(ss|sh|ch|x|zz))es$", "{1}"),
+    (r"^([a-z]{2,}o)es$", "{1}"),
     (r"^([a-z]{2,}[^siu])s$", "{1}"),
 )
-# --- end of fixed values ----------------------------------------------------
+# -ed (not -eed) and -ing leave a stem, which must hold a vowel; a doubled last
+# consonant is made single, and a silent e comes back behind these stem ends.
+VERB_FORM = r"^[a-z]*[aeiouy][a-z]*([^e]ed|ing)$"
+VERB_STEM = r"^[a-z]*[aeiouy][a-z]*$"
+DOUBLED_STEM = r"(bb|dd|gg|mm|nn|pp|rr|tt)$|[aeiou][^aeiou]+(ell|oll)$"
+SILENT_E_STEM = "|".join((
+    r"[cuv]$", r"[^z]z$", r"[^s]s$",                    # reduce, remove, use
+    r"[rd]g$", r"[ae]ng$", r"[aeiu]g$",                 # charge, change, manage
+    r"[bcdfgkpstz]l$", r"dul$",                         # settle, schedule
+    r"[^aeo]at$", r"creat$", r"[^aeo]ut$",              # state, create, dispute
+    r"(pl|el|mp)et$", r"(qu|v|m)ot$",                   # complete, quote
+    r"[^aeiou](ar|ir|ur)$", r"quir$", r"(st|gn|pl|sc)or$",  # share, require, ignore
+    r"[^aeiou][aiou]d$", r"guid$",                      # provide, guide
+    r"[^aeou]in$", r"[^aeiou]um$", r"com$",             # define, assume, become
+    r"[^o]ok$", r"[^aeiou]ib$", r"cap$",                # revoke, describe, escape
+    r"^[^aeiouy]*[aeiouy][bdkmnplrt]$",                 # name, like, type
+))
 
 
 @lru_cache(maxsize=1)

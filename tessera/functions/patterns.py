@@ -41,7 +41,9 @@ APOS = "['’]"
 # Boundary before a contraction word: start or a non-word, non-apostrophe char.
 PRE = f"(^|[^{WORD_CHARS}'’])"
 POST = f"($|[^{WORD_CHARS}'’])"
-
+# Words with the apostrophes inside them, and what lies between words;
+# together the matches give the whole text.
+WORDS_AND_GAPS = f"{WORD}+(?:{APOS}[a-z]+)*|{NOT_WORD}+"
 
 # --- end of fixed values ----------------------------------------------------
 

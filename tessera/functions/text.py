@@ -1,29 +1,33 @@
 """Column expressions for text cleaning and tokenization.
 
-Everything here is a built-in Spark SQL expression (regexp_replace, split,
-higher-order array functions), so it runs JVM-side inside the stage that reads
-the text; nothing goes through Python.
+Everything here but ``strip_accents`` is a built-in Spark SQL expression
+(regexp_replace, split, higher-order array functions), so it runs JVM-side
+inside the stage that reads the text.
 """
 
 from __future__ import annotations
 
-import re
+import unicodedata
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from . import patterns as P
-from .lexicon import (CONTRACTION_SUFFIXES, CONTRACTION_WORDS, JUNK_LITERALS,
-                      LEMMA_EXCEPTIONS, LEMMA_RULES)
+from .lexicon import (CONTRACTION_SUFFIXES, CONTRACTION_WORDS, DOUBLED_STEM, JUNK_LITERALS,
+                      LEMMA_EXCEPTIONS, LEMMA_RULES, SILENT_E_STEM, VERB_FORM, VERB_STEM)
 
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _apos(word: str) -> str:
-    """Regex for a literal word whose apostrophes may be ' or U+2019."""
-    return "".join(P.APOS if ch == "'" else re.escape(ch) for ch in word)
+def _looked_up(words: dict[str, str], x: Column, other: Column) -> Column:
+    """``words[x]``, else ``other``.  The membership test is a hash set; the
+    literal map, which is searched in order, is only read on a hit."""
+    entries = F.create_map(*[F.lit(v) for k in sorted(words) for v in (k, words[k])])
+    return F.when(x.isin(sorted(words)), F.element_at(entries, x)).otherwise(other)
 
 
 # --- N1 / N2 ------------------------------------------------------------------
@@ -39,30 +43,38 @@ def null_out_junk(c: Column | str, junk=JUNK_LITERALS) -> Column:
 
 
 # --- N5 .. N11 ----------------------------------------------------------------
+def _expand_word(word: Column, depth: int = 2) -> Column:
+    """One word: the dictionary, else up to ``depth`` suffixes behind a letter."""
+    if depth == 0:
+        return _looked_up(CONTRACTION_WORDS, word, word)
+    rest = None
+    for suffix, full in CONTRACTION_SUFFIXES:
+        stem = F.substring(word, F.lit(1), F.length(word) - len(suffix))
+        fits = word.rlike(f"[a-z]{suffix}$")
+        expanded = F.concat(_expand_word(stem, depth - 1), F.lit(full))
+        rest = F.when(fits, expanded) if rest is None else rest.when(fits, expanded)
+    return _looked_up(CONTRACTION_WORDS, word, rest.otherwise(word))
+
+
 def expand_contractions(c: Column | str) -> Column:
     """Contractions and slang to full words (dictionary + suffix rules).
 
-    Only texts that contain an apostrophe or a slang word run the chain.
-    Apostrophe words need a boundary only in front; slang words need one on
-    both sides, so they run twice (a match consumes the boundary after it).
+    Only texts that contain an apostrophe or a slang word are split, once, into
+    words and the gaps between them; quotes around words are gaps and stay.
     """
     t = _col(c)
-    out = t
-    slang = []
-    for word, full in CONTRACTION_WORDS.items():
-        if "'" in word:
-            out = F.regexp_replace(out, P.PRE + _apos(word), "$1" + full)
-        else:
-            slang.append((word, full))
-    for _ in range(2):
-        for word, full in slang:
-            out = F.regexp_replace(out, P.PRE + re.escape(word) + P.POST,
-                                   "$1" + full + "$2")
-    for suffix, full in CONTRACTION_SUFFIXES:
-        # only behind a letter and at the end of the word: quotes are left alone
-        out = F.regexp_replace(out, "([a-z])" + _apos(suffix) + P.POST, "$1" + full + "$2")
-    trigger = P.APOS + "|" + "|".join(re.escape(w) for w, _ in slang)
-    return F.when(t.rlike(trigger), out).otherwise(t)
+    slang = [w for w in CONTRACTION_WORDS if "'" not in w]
+    because = F.regexp_replace(t, f"{P.PRE}{P.APOS}cause{P.POST}", "$1because$2")
+
+    def expand(x: Column) -> Column:
+        plain = F.translate(x, "\u2019", "'")
+        full = _expand_word(plain)
+        return F.when(plain.contains("'") | x.isin(slang),
+                      F.when(full != plain, full).otherwise(x)).otherwise(x)
+
+    pieces = F.regexp_extract_all(because, F.lit(P.WORDS_AND_GAPS), F.lit(0))
+    trigger = P.APOS + "|" + "|".join(slang)
+    return F.when(t.rlike(trigger), F.array_join(F.transform(pieces, expand), "")).otherwise(t)
 
 
 def strip_urls(c: Column | str) -> Column:
@@ -105,27 +117,31 @@ def tokenize_clean(c: Column | str) -> Column:
     return F.filter(F.split(_col(c), " "), lambda x: x != "")
 
 
+def _verb_stem(stem: Column) -> Column:
+    """The base form behind a stripped -ed or -ing."""
+    return (F.when(stem.rlike(DOUBLED_STEM), F.substring(stem, F.lit(1), F.length(stem) - 1))
+            .when(stem.rlike(SILENT_E_STEM), F.concat(stem, F.lit("e")))
+            .otherwise(stem))
+
+
 def _lemma_rules(x: Column) -> Column:
-    """Ordered suffix rules; every rule ends in 's' or 'd', so a cheap suffix
-    test skips the regexes for most tokens."""
-    expr = None
+    """Suffix rules; they end in s, d or g, so a cheap test skips the regexes
+    for most tokens."""
+    rules = None
     for pattern, template in LEMMA_RULES:
         branch = F.regexp_replace(x, pattern, P.java_group(template))
-        expr = (F.when(x.rlike(pattern), branch) if expr is None
-                else expr.when(x.rlike(pattern), branch))
-    return F.when(x.endswith("s") | x.endswith("d"), expr.otherwise(x)).otherwise(x)
-
-
-def lemma_map() -> Column:
-    keys = sorted(LEMMA_EXCEPTIONS)
-    return F.create_map(*[F.lit(v) for k in keys for v in (k, LEMMA_EXCEPTIONS[k])])
+        rules = (F.when(x.rlike(pattern), branch) if rules is None
+                 else rules.when(x.rlike(pattern), branch))
+    cut = F.length(x) - F.when(x.endswith("d"), 2).otherwise(3)
+    stem = F.substring(x, F.lit(1), cut)
+    verb = F.when(x.rlike(VERB_FORM) & stem.rlike(VERB_STEM), _verb_stem(stem)).otherwise(x)
+    return (F.when(x.endswith("s") | x.endswith("ied"), rules.otherwise(x))
+            .when(x.endswith("ed") | x.endswith("ing"), verb).otherwise(x))
 
 
 def lemmatize_tokens(tokens: Column | str) -> Column:
-    """Dictionary lookup, then the ordered suffix rules."""
-    m = lemma_map()
-    return F.transform(_col(tokens),
-                       lambda x: F.coalesce(F.try_element_at(m, x), _lemma_rules(x)))
+    """Dictionary lookup, then the suffix rules."""
+    return F.transform(_col(tokens), lambda x: _looked_up(LEMMA_EXCEPTIONS, x, _lemma_rules(x)))
 
 
 def keep_tokens(tokens: Column | str, min_len: int) -> Column:
@@ -200,35 +216,25 @@ def term_counts(df, terms: str = "terms", out: str = "_counts"):
 
 
 # --- W6 -----------------------------------------------------------------------
-def _accent_tables() -> tuple[str, str]:
-    """Built by rule: every Latin letter in U+00C0..U+024F and U+1E00..U+1EFF
-    whose NFKD form is one ASCII letter plus combining marks maps to that
-    letter (what NFKD + dropping combining marks does to it)."""
-    import unicodedata
-    src, dst = [], []
-    for lo, hi in ((0x00C0, 0x024F), (0x1E00, 0x1EFF)):
-        for cp in range(lo, hi + 1):
-            ch = chr(cp)
-            d = unicodedata.normalize("NFKD", ch)
-            base = "".join(x for x in d if not unicodedata.combining(x))
-            if len(d) > 1 and len(base) == 1 and base.isascii() and base.isalpha():
-                src.append(ch)
-                dst.append(base)
-    return "".join(src), "".join(dst)
-
-
-ACCENT_FROM, ACCENT_TO = _accent_tables()
+@F.pandas_udf(StringType())
+def _decomposed(texts: pd.Series) -> pd.Series:
+    """NFKD without combining marks; no SQL function decomposes ligatures,
+    full-width letters or scripts beyond Latin."""
+    def fold(text):
+        if text is None or text.isascii():
+            return text
+        return "".join(ch for ch in unicodedata.normalize("NFKD", text)
+                       if not unicodedata.combining(ch))
+    return texts.map(fold)
 
 
 def strip_accents(c: Column | str, mode: str | None) -> Column:
-    """W6: 'unicode' folds accented Latin letters to their base letter;
-    'ascii' does that and then drops every character left outside ASCII."""
+    """W6: 'unicode' folds every character to its compatibility form without
+    marks; 'ascii' does that and drops every character left outside ASCII."""
     c = _col(c)
     if mode is None:
         return c
-    folded = F.translate(c, ACCENT_FROM, ACCENT_TO)
-    if mode == "unicode":
-        return folded
-    if mode == "ascii":
-        return F.regexp_replace(folded, r"[^\x{00}-\x{7F}]", "")
-    raise ValueError(f"strip_accents must be None, 'ascii' or 'unicode', got {mode!r}")
+    if mode not in ("ascii", "unicode"):
+        raise ValueError(f"strip_accents must be None, 'ascii' or 'unicode', got {mode!r}")
+    folded = _decomposed(c)
+    return folded if mode == "unicode" else F.regexp_replace(folded, r"[^\x{00}-\x{7F}]", "")

@@ -94,7 +94,7 @@ def lemmatize(df: DataFrame, in_col: str = "_tokens", out_col: str = "_lemmas",
               dictionary: DataFrame | None = None, key: str = "doc_id") -> DataFrame:
     """Dictionary lemmatizer with suffix-rule fallback.
 
-    The built-in dictionary is a literal map inside the expression (no join).
+    The built-in dictionary is a literal set and map inside the expression (no join).
     A user dictionary ``(form, lemma)`` of any size goes through an explode
     keyed by the unique document ``key``, a join, and an ordered regroup by
     document; it is broadcast only when its row count is under the broadcast
@@ -163,6 +163,13 @@ def clean_tokens(df: DataFrame, cfg: CleanConfig = CleanConfig(),
     return filter_tokens(df, "_kept", cfg.min_token_len)
 
 
+def cleaned_documents(df: DataFrame, cfg: CleanConfig = CleanConfig()) -> DataFrame:
+    """``(id, narrative_clean)`` of new documents, none dropped: the same per-text
+    steps as the corpus, so that a stored vocabulary meets its own terms."""
+    out = clean_tokens(df.select(cfg.id_col, cfg.text_col), cfg)
+    return out.select(cfg.id_col, F.array_join("_kept", " ").alias(CLEAN))
+
+
 def normalize_corpus(df: DataFrame, cfg: CleanConfig = CleanConfig(),
                      lemma_dictionary: DataFrame | None = None) -> DataFrame:
     """The whole normalizer.  Returns the input columns plus

@@ -1,20 +1,17 @@
 """DuckDB SQL oracles for the named queries (``__spark_entry__.oracle_sql``).
 
-Written independently of the Spark plans, from the definitions: the same
-regex strings and word lists, but SQL lists/lambdas instead of the Spark
-operators.  Tables ``documents``, ``pages`` and ``benchmark`` are views.
+Written in SQL lists and lambdas, with the same regex strings and word lists as
+the Spark plans; texts that the queries append have their results as literals
+(``params.CONTRACTION_RESULT``, ``params.LEMMA_CASES``).  Tables ``documents``, ``pages`` and ``benchmark`` are views.
 Doubles are rounded to 6 places and integers are BIGINT on both sides.
 """
 
 from __future__ import annotations
 
-import re
-
 from ..functions import patterns as P
 from ..functions.lexicon import (CONTRACTION_SUFFIXES, CONTRACTION_WORDS, CSV_NA_SPELLINGS,
-                                 JUNK_LITERALS, LEMMA_EXCEPTIONS, LEMMA_RULES,
-                                 default_stopwords)
-from ..functions.text import ACCENT_FROM, ACCENT_TO
+                                 DOUBLED_STEM, JUNK_LITERALS, LEMMA_EXCEPTIONS, LEMMA_RULES,
+                                 SILENT_E_STEM, VERB_FORM, VERB_STEM, default_stopwords)
 from . import params as Q
 
 
@@ -39,10 +36,6 @@ def junk_text_sql() -> str:
             f"ELSE text END")
 
 
-def contraction_text_sql() -> str:
-    return f"text || {lit(Q.CONTRACTION_SUFFIX_TEXT)}"
-
-
 def url_docs_sql() -> str:
     return ("SELECT d.doc_id, CASE WHEN p.url IS NULL THEN d.text "
             "ELSE d.text || ' see ' || p.url || ' and www.' || d.source || '.example.org/x now' END AS text "
@@ -62,22 +55,27 @@ def null_out_sql(e: str) -> str:
     return f"CASE WHEN {e} IN ({', '.join(lit(j) for j in JUNK_LITERALS)}) THEN NULL ELSE {e} END"
 
 
+def contracted_word_sql(x: str, depth: int = 2) -> str:
+    words = " ".join(f"WHEN {lit(k)} THEN {lit(v)}" for k, v in CONTRACTION_WORDS.items())
+    if depth == 0:
+        return f"CASE {x} {words} ELSE {x} END"
+    rest = " ".join(
+        f"WHEN regexp_matches({x}, {lit(f'[a-z]{s}$')}) THEN "
+        f"{contracted_word_sql(f'left({x}, length({x}) - {len(s)})', depth - 1)} || {lit(full)}"
+        for s, full in CONTRACTION_SUFFIXES)
+    return f"CASE {x} {words} ELSE CASE {rest} ELSE {x} END END"
+
+
 def contractions_sql(e: str) -> str:
-    out = e
-    slang = []
-    for word, full in CONTRACTION_WORDS.items():
-        if "'" in word:
-            pat = P.PRE + "".join(P.APOS if ch == "'" else re.escape(ch) for ch in word)
-            out = rx(out, pat, "\\1" + full)
-        else:
-            slang.append((word, full))
-    for _ in range(2):
-        for word, full in slang:
-            out = rx(out, P.PRE + re.escape(word) + P.POST, "\\1" + full + "\\2")
-    for suffix, full in CONTRACTION_SUFFIXES:
-        pat = "".join(P.APOS if ch == "'" else re.escape(ch) for ch in suffix)
-        out = rx(out, f"([a-z]){pat}{P.POST}", f"\\1{full}\\2")
-    trigger = P.APOS + "|" + "|".join(re.escape(w) for w, _ in slang)
+    slang = [w for w in CONTRACTION_WORDS if "'" not in w]
+    because = rx(e, f"{P.PRE}{P.APOS}cause{P.POST}", "\\1because\\2")
+    plain = "replace(x, '\u2019', '''')"
+    full = contracted_word_sql(plain)
+    word = (f"CASE WHEN contains({plain}, '''') OR x IN ({', '.join(map(lit, slang))}) "
+            f"THEN CASE WHEN {full} <> {plain} THEN {full} ELSE x END ELSE x END")
+    out = (f"array_to_string(list_transform(regexp_extract_all({because}, {lit(P.WORDS_AND_GAPS)}), "
+           f"lambda x: {word}), '')")
+    trigger = P.APOS + "|" + "|".join(slang)
     return f"CASE WHEN regexp_matches({e}, {lit(trigger)}) THEN {out} ELSE {e} END"
 
 
@@ -94,11 +92,16 @@ def clean_sql(e: str, contractions: bool = True) -> str:
 
 # --- N12..N18 ------------------------------------------------------------------
 def lemma_sql(x: str) -> str:
-    cases = " ".join(f"WHEN {lit(k)} THEN {lit(v)}" for k, v in sorted(LEMMA_EXCEPTIONS.items()))
+    known = f"MAP({lst(sorted(LEMMA_EXCEPTIONS))}, {lst(LEMMA_EXCEPTIONS[k] for k in sorted(LEMMA_EXCEPTIONS))})"
     rules = " ".join(f"WHEN regexp_matches({x}, {lit(p)}) THEN "
                      f"regexp_replace({x}, {lit(p)}, {lit(P.re2_group(t))})"
                      for p, t in LEMMA_RULES)
-    return f"CASE {x} {cases} ELSE CASE {rules} ELSE {x} END END"
+    stem = f"left({x}, length({x}) - CASE WHEN {x} LIKE '%ed' THEN 2 ELSE 3 END)"
+    verb = (f"WHEN regexp_matches({x}, {lit(VERB_FORM)}) AND regexp_matches({stem}, {lit(VERB_STEM)}) "
+            f"THEN CASE WHEN regexp_matches({stem}, {lit(DOUBLED_STEM)}) THEN left({stem}, length({stem}) - 1) "
+            f"WHEN regexp_matches({stem}, {lit(SILENT_E_STEM)}) THEN {stem} || 'e' ELSE {stem} END")
+    return (f"coalesce({known}[{x}], CASE WHEN NOT regexp_matches({x}, '(s|ed|ing)$') THEN {x} "
+            f"{rules} {verb} ELSE {x} END)")
 
 
 def tokens_sql(e: str) -> str:
@@ -128,7 +131,7 @@ def normalized_cte(src: str = "documents", text: str = "text") -> str:
     return (prepared_cte(src, text) + ", "
             f"cl AS (SELECT doc_id, lang, source, "
             f"array_to_string({kept_sql(lemmas_sql(tokens_sql(clean_sql('text'))))}, ' ') AS c FROM prepared), "
-            f"normalized AS (SELECT doc_id, lang, source, c AS narrative_clean FROM cl WHERE length(c) > 0)")
+            f"normalized AS MATERIALIZED (SELECT doc_id, lang, source, c AS narrative_clean FROM cl WHERE length(c) > 0)")
 
 
 # --- V*, W* --------------------------------------------------------------------
@@ -157,7 +160,7 @@ def tf_ctes(docs: str, text_col: str, tokens=bow_tokens_sql, binary: bool = Fals
     tfv = "1" if binary else "count(*)"
     return (f"toks AS (SELECT doc_id, {tokens(t)} AS t FROM {docs}), "
             f"terms AS (SELECT doc_id, {g} AS terms FROM toks), "
-            f"tf AS (SELECT doc_id, term, CAST({tfv} AS BIGINT) AS tf FROM "
+            f"tf AS MATERIALIZED (SELECT doc_id, term, CAST({tfv} AS BIGINT) AS tf FROM "
             f"(SELECT doc_id, unnest(terms) AS term FROM terms) GROUP BY doc_id, term)")
 
 
@@ -251,8 +254,8 @@ def oracle_sql() -> dict[str, str]:
     Z["dedup_keep_first"] = (f"WITH src AS (SELECT doc_id, {junk_text_sql()} AS text, lang, source FROM documents), "
                              f"{prepared_cte('src')} SELECT doc_id, text FROM prepared")
     Z["lowercase_text"] = "SELECT doc_id, lower(text) AS text FROM documents"
-    Z["expand_contractions"] = (f"SELECT doc_id, {contractions_sql('lower(t)')} AS text FROM "
-                                f"(SELECT doc_id, {contraction_text_sql()} AS t FROM documents)")
+    Z["expand_contractions"] = (f"SELECT doc_id, {contractions_sql('lower(text)')} || "
+                                f"{lit(Q.CONTRACTION_RESULT)} AS text FROM documents")
     Z["strip_urls"] = f"SELECT doc_id, {rx('lower(text)', P.URL, ' ')} AS text FROM ({url_docs_sql()})"
     Z["strip_emails"] = (f"SELECT doc_id, {rx('lower(t)', P.EMAIL, ' ')} AS text FROM "
                          f"(SELECT doc_id, {email_text_sql()} AS t FROM documents)")
@@ -268,7 +271,14 @@ def oracle_sql() -> dict[str, str]:
     cleaned = f"(SELECT doc_id, {clean_sql('text')} AS c FROM documents)"
     Z["tokenize"] = pos_long.format(rel=f"(SELECT doc_id, {tokens_sql('c')} AS l FROM {cleaned})")
     Z["lemmatize_dict"] = pos_long.format(
-        rel=f"(SELECT doc_id, {lemmas_sql(tokens_sql('c'))} AS l FROM {cleaned})")
+        rel=f"(SELECT doc_id, list_concat({lemmas_sql(tokens_sql('c'))}, "
+            f"{lst(Q.LEMMA_CASES.values())}) AS l FROM {cleaned})")
+    # of the two lemmas that the dictionary gives a form, the first in order is the shorter
+    Z["lemmatize_user_dict"] = (
+        f"WITH forms AS (SELECT DISTINCT unnest({tokens_sql(clean_sql('text'))}) AS form FROM benchmark), "
+        f"t AS ({pos_long.format(rel=f'(SELECT doc_id, {tokens_sql(chr(99))} AS l FROM {cleaned})')}) "
+        f"SELECT doc_id, pos, CASE WHEN form IS NULL THEN {lemma_sql('token')} ELSE left(token, 3) END AS token "
+        f"FROM t LEFT JOIN forms ON form = token")
     stop = lst(default_stopwords())
     Z["remove_stopwords"] = pos_long.format(
         rel=f"(SELECT doc_id, list_filter({lemmas_sql(tokens_sql('c'))}, lambda x: NOT list_contains({stop}, x)) AS l FROM {cleaned})")
@@ -312,7 +322,7 @@ def oracle_sql() -> dict[str, str]:
                           ", " + vocab_ctes(raw_docs) + ", " + bow_ctes() +
                           " SELECT doc_id, term_id, term, value FROM bow")
     Z["bow_strip_accents"] = ("WITH " + tf_ctes(raw_docs, "text",
-                                                pre=lambda c: f"translate(lower({c}), {lit(ACCENT_FROM)}, {lit(ACCENT_TO)})") +
+                                                pre=lambda c: f"strip_accents(lower({c}))") +
                               ", " + vocab_ctes(raw_docs) + ", " + bow_ctes() +
                               " SELECT doc_id, term_id, term, value FROM bow")
     Z["bow_raw_narrative"] = ("WITH " + tf_ctes(raw_docs, "text") + ", " + vocab_ctes(raw_docs) + ", " +
@@ -323,7 +333,9 @@ def oracle_sql() -> dict[str, str]:
     bench = "(SELECT item_id AS doc_id, text FROM benchmark)"
     fixed = (normalized_cte() + ", " + tf_ctes("normalized", "narrative_clean") + ", " +
              vocab_ctes("normalized") + ", " +
-             "btoks AS (SELECT doc_id, " + bow_tokens_sql(clean_sql("text")) + f" AS t FROM {bench}), "
+             "bclean AS (SELECT doc_id, array_to_string(" + kept_sql(lemmas_sql(tokens_sql(clean_sql("text")))) +
+             f", ' ') AS c FROM {bench}), "
+             "btoks AS (SELECT doc_id, " + bow_tokens_sql("c") + " AS t FROM bclean), "
              "bterms AS (SELECT doc_id, " + ngram12_sql("t") + " AS terms FROM btoks), "
              "btf AS (SELECT doc_id, term, CAST(count(*) AS BIGINT) AS tf FROM "
              "(SELECT doc_id, unnest(terms) AS term FROM bterms) GROUP BY doc_id, term)")

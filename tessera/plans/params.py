@@ -12,3 +12,16 @@ MIN_TOKEN_LEN_QUERY = 2
 # Appended to every text by the contraction queries (the corpora have none).
 CONTRACTION_SUFFIX_TEXT = (" We can't stop, it's what they're gonna do; I'm sure you'd say "
                            "we'll see, he said 'damn' it and 'my bank' was 'really' 'very' slow, and they've won't-be gonna gonna wanna")
+# What the contraction queries must make of it.
+CONTRACTION_RESULT = (" we cannot stop, it is what they are going to do; i am sure you would say "
+                      "we will see, he said 'damn' it and 'my bank' was 'really' 'very' slow, "
+                      "and they have will not-be going to going to want to")
+# Appended to every token list by the lemma query, with the lemmas it must give.
+LEMMA_CASES = {
+    "opened": "open", "reported": "report", "removed": "remove", "running": "run",
+    "calling": "call", "agreed": "agree", "stopped": "stop", "buses": "bus",
+    "told": "tell", "charged": "charge", "disputes": "dispute", "denied": "deny",
+    "applied": "apply", "closed": "close", "stated": "state", "required": "require",
+    "providing": "provide", "settled": "settle", "using": "use", "thing": "thing",
+    "during": "during", "needed": "need", "cancelled": "cancel", "companies": "company",
+}

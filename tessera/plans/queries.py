@@ -309,7 +309,18 @@ def q_tokenize(spark, sf):
 
 
 def q_lemmatize_dict(spark, sf):
-    return _positions(C.lemmatize(C.tokenize(_cleaned(spark, sf), "c", "t"), "t", "l"), "l")
+    d = C.tokenize(_cleaned(spark, sf), "c", "t")
+    d = d.withColumn("t", F.concat("t", F.array(*[F.lit(w) for w in Q.LEMMA_CASES])))
+    return _positions(C.lemmatize(d, "t", "l"), "l")
+
+
+def q_lemmatize_user_dict(spark, sf):
+    """A dictionary over the words of ``benchmark`` that lists every form twice."""
+    b = C.normalize_text(_table(spark, sf, "benchmark", ["text"]), "text", "c")
+    forms = b.select(F.explode(T.tokenize_clean("c")).alias("form")).distinct()
+    twice = forms.select("form", F.explode(F.array(F.substring("form", 1, 4),
+                                                   F.substring("form", 1, 3))).alias("lemma"))
+    return _positions(C.lemmatize(C.tokenize(_cleaned(spark, sf), "c", "t"), "t", "l", twice), "l")
 
 
 def q_remove_stopwords(spark, sf):
@@ -451,10 +462,9 @@ def q_tfidf_raw_narrative(spark, sf):
 
 
 def _bench_tf(spark, sf):
-    b = _table(spark, sf, "benchmark", ["item_id", "text"]).select(
-        F.col("item_id").alias("doc_id"), T.clean_text("text").alias("c"))
-    f = fitted(spark, sf)
-    return V.term_frequencies(V.doc_terms(b, "c", f.cfg, V.BOW_PATTERN))
+    b = _table(spark, sf, "benchmark", ["item_id", "text"]).withColumnRenamed("item_id", "doc_id")
+    return V.term_frequencies(V.doc_terms(C.cleaned_documents(b, CCFG), C.CLEAN,
+                                          fitted(spark, sf).cfg, V.BOW_PATTERN))
 
 
 def q_bow_fixed_vocab(spark, sf):

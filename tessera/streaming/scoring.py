@@ -2,7 +2,7 @@
 
 The reference can transform new texts with a given vocabulary; here that runs
 as a stateless Structured Streaming job: each micro-batch of new documents is
-cleaned, counted in-row, joined with the broadcast vocabulary (stored
+normalized like the corpus, counted in-row, joined with the broadcast vocabulary (stored
 ``term_id``, ``idf``) and normalized per document.  The per-document norm
 needs all terms of a document, which a micro-batch holds whole, so the batch
 operators run inside ``foreachBatch``; each batch is written to its own
@@ -16,8 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..config import VectorizeConfig
-from ..functions import text as T
+from ..config import CleanConfig, VectorizeConfig
+from ..operators import clean as C
 from ..operators import vectorize as V
 from ..session import scratch_path
 
@@ -26,8 +26,9 @@ def score_batch(batch: DataFrame, vocab: V.Vocabulary, cfg: VectorizeConfig,
                 id_col: str = "doc_id", text_col: str = "text", clean: bool = True,
                 method: str = "tfidf") -> DataFrame:
     """One batch: ``(doc_id, term_id, term, value)`` against a fixed vocabulary."""
-    t = T.clean_text(text_col) if clean else F.col(text_col)
-    docs = batch.select(F.col(id_col).alias("doc_id"), t.alias("_t"))
+    docs = batch.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_t"))
+    if clean:
+        docs = C.cleaned_documents(docs, CleanConfig(text_col="_t")).withColumnRenamed(C.CLEAN, "_t")
     tf = V.term_frequencies(V.doc_terms(docs, "_t", cfg, V.BOW_PATTERN))
     if method == "bow":
         return V.bow_matrix(tf, vocab)

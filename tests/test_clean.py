@@ -58,7 +58,7 @@ def test_normalize_corpus_lemmas_stopwords(spark):
             (2, "Boxes of classes")]
     df = spark.createDataFrame(rows, "doc_id long, narrative string")
     out = {r.doc_id: r.narrative_clean for r in C.normalize_corpus(df).collect()}
-    assert out[0] == "company reporting account tell"
+    assert out[0] == "company report account tell"   # -ing folds to the verb
     assert 1 not in out                      # emptied by stop words -> dropped
     assert out[2] == "box class"
     assert "_normalized" not in C.normalize_corpus(df).columns

@@ -28,12 +28,30 @@ def test_clean_worked_cases(spark):
 
 def test_contractions_leave_quotes_alone(spark):
     cases = {"he said 'damn' it": "he said 'damn' it", "'my bank' was 'really' 'very' slow": "'my bank' was 'really' 'very' slow",
-             "i'd say we've won": "i would say we have won", "they don't": "they do not"}
+             "i'd say we've won": "i would say we have won", "they don't": "they do not", "shouldn't've, y\u2019all're": "should not have, you all are",
+             "'cause we're here": "because we are here", "o\u2019brien gonna2 wanna": "o\u2019brien gonna2 want to"}
     df = spark.createDataFrame(list(cases.items()), "t string, want string")
     for r in df.select("t", "want", T.expand_contractions("t").alias("got")).collect():
         assert r.got == r.want, r.t
 
 
+def test_lemma_worked_cases(spark):
+    words = {"opened": "open", "planning": "plan", "hoped": "hope", "hopping": "hop", "red": "red", "bring": "bring",
+             "created": "create", "treated": "treat", "offered": "offer", "measured": "measure", "boxes": "box",
+             "heroes": "hero", "passed": "pass", "travelling": "travel", "rolling": "roll", "speed": "speed",
+             "described": "describe", "joined": "join", "examined": "examine", "was": "be", "s": "s", "ed": "ed"}
+    df = spark.createDataFrame([(list(words),)], "t array<string>")
+    got = df.select(T.lemmatize_tokens("t").alias("l")).first()["l"]
+    assert dict(zip(words, got)) == words
+
+
+def test_accents_of_every_kind(spark):
+    cases = {"e\u0301": "e", "\ufb01x": "fix", "\u0451\u0436": "\u0435\u0436", "\uff21\uff42": "Ab", "stra\u00dfe": "stra\u00dfe", None: None, "": ""}
+    df = spark.createDataFrame(list(cases.items()), "t string, want string")
+    for r in df.select("want", T.strip_accents("t", "unicode").alias("got")).collect():
+        assert r.got == r.want
+
+
 @settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(texts, min_size=300, max_size=300))
 def test_clean_leaves_words_and_is_stable(spark, batch):
