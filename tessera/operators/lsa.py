@@ -30,6 +30,8 @@ from ..config import TopicConfig
 from .vectorize import Vectorized
 
 _CHUNK_DOCS = 2048
+#: Singular values up to this share of the largest count as zero.
+RANK_TOLERANCE = 1e-7
 
 
 def doc_major(matrix: DataFrame) -> DataFrame:
@@ -144,6 +146,9 @@ class LsaModel:
 def fit_lsa(D: DataFrame, n_terms: int, n_docs: int, cfg: TopicConfig) -> LsaModel:
     """Rank-k factorization with the sign rule (largest |loading|
     of each component positive)."""
+    fields = dict(D.dtypes)
+    if fields.get("ids") != "array<int>" or fields.get("ws") != "array<double>":
+        raise TypeError("LSA needs the columns doc_id, ids array<int> and ws array<double>")
     k = cfg.n_topics
     if k > n_terms:
         raise ValueError(f"n_topics={k} exceeds n_features={n_terms}")
@@ -164,6 +169,8 @@ def fit_lsa(D: DataFrame, n_terms: int, n_docs: int, cfg: TopicConfig) -> LsaMod
         if it < cfg.n_iter:
             Z, _ = np.linalg.qr(A)
     V /= np.linalg.norm(V, axis=1, keepdims=True).clip(min=1e-300)
+    beyond = s <= s.max(initial=0.0) * RANK_TOLERANCE  # k above the rank: no topic, not noise
+    s[beyond], V[beyond] = 0.0, 0.0
     idx = np.argmax(np.abs(V), axis=1)
     signs = np.sign(V[np.arange(k), idx])
     signs[signs == 0] = 1.0
@@ -214,6 +221,8 @@ def lsa_topics_frame(spark, model: LsaModel, vocab_df: DataFrame, n_top: int) ->
     per topic on the driver-side model and joined to the vocabulary."""
     rows = []
     for t, comp in enumerate(model.components):
+        if not comp.any():
+            continue
         top = np.argsort(comp, kind="stable")[::-1][:n_top]
         rows.extend((t, int(i), float(comp[i])) for i in top)
     top_df = spark.createDataFrame(rows, "topic_id long, term_id int, weight double")

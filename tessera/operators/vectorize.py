@@ -78,9 +78,37 @@ def select_vocabulary(stats: DataFrame, min_df: int = 1, max_features: int | Non
     """V6/V7: df filter, then the top ``max_features`` by corpus count
     (ties: term ascending).  ``rank_by='df'`` is the binary-mode rule."""
     kept = stats.filter(F.col("df") >= F.lit(min_df))
-    if max_features is not None:
-        kept = kept.orderBy(F.col(rank_by).desc(), F.col("term").asc()).limit(max_features)
-    return kept
+    if max_features is None:
+        return kept
+    if max_features < 1:
+        return kept.limit(0)
+    lowest, left = _cut_count(kept, rank_by, max_features)
+    # only the ties of the last count are put in order
+    ties = kept.filter(F.col(rank_by) == F.lit(lowest)).orderBy("term").limit(left)
+    return kept.filter(F.col(rank_by) > F.lit(lowest)).unionByName(ties)
+
+
+def _cut_count(stats: DataFrame, rank_by: str, wanted: int) -> tuple[int, int]:
+    """The count of the ``wanted``-th term in descending order (0 if there are
+    fewer) and how many terms of that count are wanted: the power of two that
+    holds it, then the counts inside.  Both tables combine map-side."""
+    count = F.col(rank_by)
+    octaves = stats.groupBy(F.floor(F.log2(count)).alias("octave")).agg(F.count(F.lit(1)).alias("n"))
+    above = 0
+    for octave, n in sorted(octaves.collect(), reverse=True):
+        if above + n >= wanted:
+            break
+        above += n
+    else:
+        return 0, 0
+    inside = (stats.filter(F.floor(F.log2(count)) == octave).groupBy(count.alias("c"))
+              .agg(F.count(F.lit(1)).alias("n")))
+    # at most ``wanted`` distinct counts are read, from the top
+    for c, n in inside.orderBy(F.col("c").desc()).limit(wanted).collect():
+        if above + n >= wanted:
+            return int(c), wanted - above
+        above += n
+    return 0, 0
 
 
 def index_vocabulary(vocab: DataFrame, bounded: bool) -> DataFrame:
@@ -123,6 +151,8 @@ def fit_vocabulary(tf: DataFrame, n_docs: int, cfg: VectorizeConfig) -> Vocabula
     checkpointed, so later joins read a short lineage.
     """
     stats = term_stats(tf)
+    if cfg.max_features is not None:  # read three times by the cut
+        stats = stats.checkpoint(eager=True)
     rank_by = "df" if cfg.binary else "ctf"
     vocab = select_vocabulary(stats, cfg.min_df, cfg.max_features, rank_by)
     bounded = cfg.max_features is not None and cfg.max_features <= BROADCAST_MAX_ROWS
@@ -154,8 +184,12 @@ def vocabulary_from_terms(spark, terms: list[str] | dict[str, int], n_docs: int
     return Vocabulary(table, n_docs, len(uniq), params={"vocabulary": "fixed"})
 
 
+#: Parameters that only the TF-IDF vectorizer has.
+TFIDF_PARAMS = ("norm", "smooth_idf", "sublinear_tf", "use_idf")
+
+
 def _params(cfg: VectorizeConfig) -> dict:
-    return {
+    return {k: getattr(cfg, k) for k in TFIDF_PARAMS} | {
         "max_features": cfg.max_features, "ngram_range": list(cfg.ngram_range),
         "min_df": cfg.min_df, "max_df": 1.0, "binary": cfg.binary,
         "lowercase": cfg.lowercase, "strip_accents": cfg.strip_accents,

@@ -378,6 +378,22 @@ def oracle_sql() -> dict[str, str]:
     Z["topics_meta_counts"] = (f"WITH {normalized_cte()} SELECT 'lsa_tfidf' AS method, "
                                f"CAST({Q.N_TOPICS} AS BIGINT) AS n_topics, CAST(count(*) AS BIGINT) AS n_docs "
                                f"FROM normalized")
+    # exact properties of the topic models
+    topic_ids = f"generate_series(0, {Q.N_TOPICS - 1})"
+    Z["lda_term_mass"] = f"{P0} SELECT term, {r6('CAST(ctf AS DOUBLE) + 1')} AS mass FROM vocab"
+    Z["lda_doc_topic_sums"] = (f"WITH {normalized_cte()} SELECT doc_id, CAST({Q.N_TOPICS} AS BIGINT) AS n_topics, "
+                               f"CAST(1 AS DOUBLE) AS weight_sum FROM normalized")
+    Z["lsa_doc_topic_norms"] = (f"{P0} SELECT doc_id, CASE WHEN doc_id IN (SELECT doc_id FROM tfidf) "
+                                f"THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS norm FROM normalized")
+    Z["lsa_coordinate_energy"] = f"SELECT unnest({topic_ids}) AS topic_id, CAST(1 AS DOUBLE) AS share"
+    Z["lsa_gram"] = (f"SELECT a AS topic_a, b AS topic_b, CAST(a = b AS DOUBLE) AS product FROM "
+                     f"(SELECT unnest({topic_ids}) AS a), (SELECT unnest({topic_ids}) AS b)")
+    Z["lsa_signs"] = f"SELECT unnest({topic_ids}) AS topic_id, true AS positive"
+    Z["topic_rank_counts"] = (f"SELECT method, topic_id, CAST({Q.N_TOP_TERMS} AS BIGINT) AS n_terms, "
+                              f"CAST({Q.N_TOP_TERMS} AS BIGINT) AS last_rank, CAST(0 AS BIGINT) AS rises FROM "
+                              f"(SELECT unnest(['lsa_tfidf', 'lda_bow']) AS method), (SELECT unnest({topic_ids}) AS topic_id)")
+    Z["doc_topic_wide_shape"] = (f"WITH {normalized_cte()} SELECT CAST(count(*) AS BIGINT) AS n_rows, "
+                                 f"CAST(count(*) AS BIGINT) AS n_docs, CAST({Q.N_TOPICS + 1} AS BIGINT) AS n_columns FROM normalized")
     # R1, R2, A10, U1, P1, P2 on the deterministic by-language topics
     PL = P0 + ", " + lang_topics_ctes("tfidf")
     Z["topic_term_rank_by_lang"] = (f"{PL} SELECT 'lang_tfidf' AS method, topic_id, rank, term, "

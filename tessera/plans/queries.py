@@ -648,6 +648,67 @@ def q_topics_meta(spark, sf):
         "method", F.col("n_topics").cast("long"), F.col("n_docs").cast("long"), "doc_topic_path")
 
 
+# --- exact properties of the models ----------------------------------------------
+def q_lda_term_mass(spark, sf):
+    """Per term the weight over all topics: its corpus count plus k times the
+    prior 1/k, because each pass reads every document exactly once."""
+    L = lda(spark, sf)
+    mass = L.model.components.sum(axis=0)  # vocabulary-sized
+    rows = spark.createDataFrame([(t, float(m)) for t, m in enumerate(mass)], "term_id int, mass double")
+    return L.f.vocab.table.join(rows, "term_id").select("term", r6(F.col("mass")).alias("mass"))
+
+
+def q_lda_doc_topic_sums(spark, sf):
+    return lda(spark, sf).doc_topic().select(
+        F.col("doc_id").cast("long"), F.size("topics").cast("long").alias("n_topics"),
+        r6(F.aggregate("topics", F.lit(0.0), lambda a, x: a + x)).alias("weight_sum"))
+
+
+def q_lsa_doc_topic_norms(spark, sf):
+    square = F.aggregate("topics", F.lit(0.0), lambda a, x: a + x * x)
+    return lsa(spark, sf).doc_topic().select(F.col("doc_id").cast("long"),
+                                             r6(F.sqrt(square)).alias("norm"))
+
+
+def q_lsa_coordinate_energy(spark, sf):
+    """Sum of squared document coordinates over the squared singular value, per topic."""
+    L = lsa(spark, sf)
+    energy = (L.doc_topic(normalize=False).select(F.posexplode("topics").alias("topic_id", "x"))
+              .groupBy(F.col("topic_id").cast("long").alias("topic_id"))
+              .agg(F.sum(F.col("x") * F.col("x")).alias("e")))
+    s = LS.singular_values_frame(spark, L.model)
+    return energy.join(s, "topic_id").select(
+        "topic_id", r6(F.col("e") / (F.col("singular_value") * F.col("singular_value"))).alias("share"))
+
+
+def q_lsa_gram(spark, sf):
+    """Products of the components with each other (k x k)."""
+    c = lsa(spark, sf).model.components
+    gram = c @ c.T
+    rows = [(i, j, round(float(gram[i, j]), 6) + 0.0) for i in range(len(c)) for j in range(len(c))]
+    return spark.createDataFrame(rows, "topic_a long, topic_b long, product double")
+
+
+def q_lsa_signs(spark, sf):
+    return q_lsa_sign_fix(spark, sf).select("topic_id", (F.col("weight") > 0).alias("positive"))
+
+
+def q_topic_rank_counts(spark, sf):
+    """Per topic: terms listed, highest rank, ranks in which the weight rises (none)."""
+    w = Window.partitionBy("method", "topic_id").orderBy("rank")
+    t = q_topic_terms_long(spark, sf)
+    t = t.withColumn("rises", (F.col("weight") > F.lag("weight").over(w)).cast("long"))
+    return t.groupBy("method", F.col("topic_id").cast("long").alias("topic_id")).agg(
+        F.countDistinct("term").alias("n_terms"), F.max("rank").cast("long").alias("last_rank"),
+        F.coalesce(F.sum("rises"), F.lit(0)).cast("long").alias("rises"))
+
+
+def q_doc_topic_wide_shape(spark, sf):
+    d = q_doc_topic_wide(spark, sf)
+    return d.agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("doc_id").alias("n_docs")) \
+            .withColumn("n_columns", F.lit(len(d.columns)).cast("long"))
+
+
 def q_text_to_topics(spark, sf):
     """the whole run (normalize -> BoW -> LDA -> TF-IDF -> LSA -> reports),
     returning the comparison overview."""

@@ -3,12 +3,11 @@ folder; the JSON metadata is one row built by an aggregate."""
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import topics as TP
+from ..operators import vectorize as V
 from ..operators.vectorize import Vectorized
 
 
@@ -23,21 +22,34 @@ def save_normalized(df: DataFrame, outdir: str, name: str = "normalized_texts")
     return path
 
 
+# --- fixed values: token patterns as the metadata spells them -----------------
+BOW_SOURCE = r"(?u)\b[a-z]{2,}\b"
+WORD_SOURCE = r"(?u)\b\w\w+\b"
+# --- end of fixed values --------------------------------------------------------
+
+
+def _typed(value):
+    """A literal of the value's own type: numbers, booleans and lists stay such."""
+    if value is None:
+        return F.lit(None).cast("string")
+    return F.array(*[F.lit(x) for x in value]) if isinstance(value, list) else F.lit(value)
+
+
 def vectorization_meta(v: Vectorized) -> DataFrame:
     """S9 as a one-row DataFrame (the stamp is added at write time)."""
-    params = {k: json.dumps(val) if isinstance(val, (list, dict)) else
-              (None if val is None else str(val)) for k, val in v.vocab.params.items()}
-    spark = v.matrix.sparkSession
+    params = {k: val for k, val in v.vocab.params.items()
+              if v.method == "tfidf" or k not in V.TFIDF_PARAMS}
+    params |= {"token_pattern": BOW_SOURCE if v.method == "bow" else WORD_SOURCE,
+               "dtype": "int64" if v.method == "bow" else "float32"}
     nnz = v.matrix.agg(F.count(F.lit(1)).alias("nnz"))
-    pm = F.create_map(*[x for k, val in sorted(params.items())
-                        for x in (F.lit(k), F.lit(val).cast("string"))])
     return nnz.select(
         F.lit(v.method).alias("method"),
         F.array(F.lit(v.n_docs).cast("long"), F.lit(v.vocab.size).cast("long")).alias("shape"),
         F.col("nnz").cast("long").alias("nnz"),
         F.lit(v.vocab.size).cast("long").alias("n_features"),
         F.lit(v.vectorizer_type).alias("vectorizer_type"),
-        pm.alias("vectorizer_params"))
+        F.struct(*[_typed(val).alias(k) for k, val in sorted(params.items())])
+        .alias("vectorizer_params"))
 
 
 def save_vectorization(v: Vectorized, outdir: str, stamp: str) -> dict:
@@ -49,7 +61,8 @@ def save_vectorization(v: Vectorized, outdir: str, stamp: str) -> dict:
         .csv(_path(outdir, f"features_{v.method}"))
     # one row: cached so the write and the returned dict share one aggregate
     meta = vectorization_meta(v).withColumn("created_utc", F.lit(stamp)).cache()
-    meta.coalesce(1).write.mode("overwrite").json(_path(outdir, f"vectorization_{v.method}"))
+    meta.coalesce(1).write.mode("overwrite").option("ignoreNullFields", False) \
+        .json(_path(outdir, f"vectorization_{v.method}"))
     row = meta.first().asDict(recursive=True)
     meta.unpersist()
     return row

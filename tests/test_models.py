@@ -115,3 +115,13 @@ def test_lda_weights_filled_and_seed_deterministic(spark):
         assert r.weight is not None and r.weight > 0
         by_topic.setdefault(r.topic_id, []).append(r.weight)
     assert all(w == sorted(w, reverse=True) for w in by_topic.values())
+
+
+def test_lsa_beyond_the_rank_gives_no_noise(spark):
+    D = spark.createDataFrame([(1, [0, 1], [1.0, 1.0]), (2, [2, 3], [0.6, 0.8])],
+                              "doc_id long, ids array<int>, ws array<double>")
+    model = LS.fit_lsa(D, 4, 2, TopicConfig(n_topics=4, n_iter=5))
+    assert (model.singular_values[:2] > 0.9).all() and not model.singular_values[2:].any()
+    assert not model.components[2:].any()
+    with pytest.raises(TypeError):
+        LS.fit_lsa(D.drop("ws"), 4, 2, TopicConfig(n_topics=2))

@@ -7,6 +7,7 @@ from tessera.config import VectorizeConfig
 from tessera.functions import text as T
 from tessera.operators import stats as ST
 from tessera.operators import vectorize as V
+from tessera.sources import sinks as SK
 
 C5 = [(0, "loan loan bank"), (1, "bank card fee"), (2, "card card card loan"), (3, "")]
 
@@ -117,3 +118,22 @@ def test_empty_vocabulary_density_is_null(spark):
     bow = V.vectorize_with_bow(docs, "text", VectorizeConfig(ngram_range=(1, 1), min_df=2))
     s = ST.matrix_stats(bow, "BoW").first()
     assert (s.n_cols, s.nnz, s.density, s.mean_weight) == (0, 0, None, 0.0)
+
+
+def test_vocabulary_cut_with_ties(spark):
+    rows = [(f"t{i:03d}", 1 + i % 3, [1, 2, 3, 5, 5, 5, 9, 70][i % 8]) for i in range(160)]
+    df = spark.createDataFrame(rows, "term string, df long, ctf long").repartition(5)
+    for cap in (0, 1, 19, 20, 21, 75, 100, 106, 107, 500):
+        want = sorted((r for r in rows if r[1] >= 2), key=lambda r: (-r[2], r[0]))[:cap]
+        got = V.select_vocabulary(df, 2, cap).collect()
+        assert sorted(tuple(r) for r in got) == sorted(want), cap
+
+
+def test_metadata_keeps_types(spark):
+    docs = spark.createDataFrame([(1, "a bb cc"), (2, "bb dd")], "doc_id long, t string")
+    cfg = VectorizeConfig(max_features=10, min_df=1)
+    meta = SK.vectorization_meta(V.vectorize_with_tfidf(docs, "t", cfg)).first()["vectorizer_params"].asDict()
+    assert meta["max_features"] == 10 and meta["ngram_range"] == [1, 2] and meta["sublinear_tf"] is True
+    assert meta["norm"] == "l2" and meta["strip_accents"] is None and meta["dtype"] == "float32"
+    bow = SK.vectorization_meta(V.vectorize_with_bow(docs, "t", cfg)).first()["vectorizer_params"].asDict()
+    assert "norm" not in bow and bow["binary"] is False and bow["token_pattern"] == r"(?u)\b[a-z]{2,}\b"
