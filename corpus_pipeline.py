@@ -37,7 +37,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of every group that 5-word shingles link at a similarity of 0.8."""
-    return ngram_join.keep_one_of_each(docs)
+    return ngram_join.keep_one_of_each(docs, width=16)  # 1024 bits: less memory for a row than op10's 2048
 
 
 def privacy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -129,20 +129,21 @@ def adaptive_prefix(hashes: np.ndarray, counts: np.ndarray, base: float, percent
     return best + 1, hashes[order[:first + best]]
 
 
-def parity_bitmap(hashes: np.ndarray) -> np.ndarray:
+def parity_bitmap(hashes: np.ndarray, width: int = BITMAP_WORDS) -> np.ndarray:
     """Bits that an odd number of the shingles fall on, as signed 64-bit words."""
-    counts = np.bincount((hashes & np.uint64(64 * BITMAP_WORDS - 1)).astype(np.int64), minlength=64 * BITMAP_WORDS)
+    counts = np.bincount((hashes & np.uint64(64 * width - 1)).astype(np.int64), minlength=64 * width)
     return np.packbits((counts & 1).astype(np.uint8), bitorder="little").view("<i8")
 
 
-def _bitmaps_fit(a: str, b: str, size_a: Column, size_b: Column, percent: int) -> Column:
+def _bitmaps_fit(a: str, b: str, size_a: Column, size_b: Column, percent: int, width: int) -> Column:
     """Whether sets with these bitmaps can link: they differ in ``union - both`` shingles at most."""
-    differ = sum((F.bit_count(F.get(F.col(a), F.lit(k)).bitwiseXOR(F.get(F.col(b), F.lit(k)))) for k in range(BITMAP_WORDS)),
+    differ = sum((F.bit_count(F.get(F.col(a), F.lit(k)).bitwiseXOR(F.get(F.col(b), F.lit(k)))) for k in range(width)),
                  F.lit(0))
     return differ * (100 + percent) <= (size_a + size_b) * (100 - percent)
 
 
-def prefix_table(docs: DataFrame, id_col: str, text_col: str, n: int, percent: int) -> DataFrame:
+def prefix_table(docs: DataFrame, id_col: str, text_col: str, n: int, percent: int,
+                 width: int = BITMAP_WORDS) -> DataFrame:
     """Per row: ``id``, ``d1``/``d2`` (128-bit digest of its words), ``n``, ``need`` (its l), ``prefix`` and ``bits``."""
     counts = _shingle_counts(docs.select(F.col(text_col).cast("string")), n)
     sent = docs.sparkSession.sparkContext.broadcast(counts.astype(np.float64))
@@ -162,14 +163,14 @@ def prefix_table(docs: DataFrame, id_col: str, text_col: str, n: int, percent: i
                     sizes.append(len(found))
                     needs.append(need)
                     prefixes.append(prefix.view(np.int64))
-                    bits.append(parity_bitmap(found))
+                    bits.append(parity_bitmap(found, width))
                 wide = np.array([(d >> 64, d & (2**64 - 1)) for d in digests], dtype=np.uint64).view(np.int64)
                 ends = np.cumsum([0, *(len(p) for p in prefixes)])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(first, len(texts)), pa.array(wide[:, 0]), pa.array(wide[:, 1]),
                      pa.array(sizes, pa.int32()), pa.array(needs, pa.int32()),
                      pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(prefixes))),
-                     pa.ListArray.from_arrays(pa.array(np.arange(len(bits) + 1) * BITMAP_WORDS, pa.int32()),
+                     pa.ListArray.from_arrays(pa.array(np.arange(len(bits) + 1) * width, pa.int32()),
                                               pa.array(np.concatenate(bits)))],
                     names=["id", "d1", "d2", "n", "need", "prefix", "bits"])
 
@@ -213,9 +214,12 @@ def verify_pairs(docs: DataFrame, pairs: DataFrame, id_col: str, text_col: str,
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                       n: int = 3, percent: int = 90) -> DataFrame:
-    """Per row: ``id_col``, ``n_shingles`` and ``component_id`` (smallest id reachable by links)."""
-    rows = prefix_table(docs, id_col, text_col, n, percent)
+                       n: int = 3, percent: int = 90, width: int = BITMAP_WORDS) -> DataFrame:
+    """Per row: ``id_col``, ``n_shingles`` and ``component_id`` (smallest id reachable by links).
+
+    ``width`` (64-bit words of a bitmap, a power of two) changes costs, never rows.
+    """
+    rows = prefix_table(docs, id_col, text_col, n, percent, width)
     real = rows.where(F.col("id").isNotNull() & (F.col("n") > 0))
     firsts = stage(real.groupBy("d1", "d2").agg(F.min("id").alias("id")), "firsts")
     reps = real.join(firsts, ["id", "d1", "d2"], "left_semi")
@@ -238,7 +242,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
            .agg(F.count(F.lit(1)).alias("met")))
     to_head = stage(met.join(side("a"), "a").join(side("b"), "b")
                     .where((F.col("met") >= F.least("needa", "needb")) & _sizes_fit(F.col("na"), F.col("nb"), percent)
-                           & _bitmaps_fit("bitsa", "bitsb", F.col("na"), F.col("nb"), percent)).select("a", "b"), "pairs")
+                           & _bitmaps_fit("bitsa", "bitsb", F.col("na"), F.col("nb"), percent, width)).select("a", "b"), "pairs")
     links = stage(verify_pairs(docs, to_head, id_col, text_col, n, percent), "links")
     joined = connected_components(links)
 
@@ -252,7 +256,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     more = (left.join(right, "shingle")
             .where((F.col("id1") < F.col("id2")) & (F.col("component1") != F.col("component2"))
                    & _sizes_fit(F.col("n1"), F.col("n2"), percent)
-                   & _bitmaps_fit("bits1", "bits2", F.col("n1"), F.col("n2"), percent))
+                   & _bitmaps_fit("bits1", "bits2", F.col("n1"), F.col("n2"), percent, width))
             .select(F.col("id2").alias("a"), F.col("id1").alias("b"), F.least("need1", "need2").alias("need")))
     # a head is the smallest id of its list, so verified pairs have the larger id first as well
     more = stage(enough(more).join(to_head, ["a", "b"], "left_anti"), "pairs")
@@ -268,12 +272,12 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                     n: int = 5, percent: int = 80) -> DataFrame:
+                     n: int = 5, percent: int = 80, width: int = BITMAP_WORDS) -> DataFrame:
     """``docs`` with one document, that of the smallest id, of every component.
 
     Rows without an id stay.  Of rows that share the id that stays, one stays.
     """
-    found = stage(jaccard_components(docs, id_col, text_col, n, percent), "components")
+    found = stage(jaccard_components(docs, id_col, text_col, n, percent, width), "components")
     gone = found.where(F.col("component_id") < F.col(id_col)).select(id_col).distinct()
     kept = lookup_join(docs, gone, [id_col], "left_anti", gone.count())
     twice = stage(found.where(F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1").select(id_col), "twice")
