@@ -31,8 +31,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the boilerplate lines of their source."""
-    return _recount(line_dedup.drop_boilerplate(docs, F.col("source")))
+    """Documents without the boilerplate lines of their source; copies count once, so that they keep their text."""
+    return _recount(line_dedup.drop_boilerplate(docs, F.col("source"), copies_once=True))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,6 +9,11 @@ that a third of all pages share reaches its reducer as one row a task.
 A host with fewer than ``min_pages`` pages that hold a line keeps that line:
 the only page of a host is not boilerplate of itself.
 
+With ``copies_once`` the share is taken over the distinct texts of a host (by a
+64-bit hash and the length), so copies of a page do not make its own lines
+boilerplate; the found lines are dropped from all pages.  Without it every row
+counts, as in the SQL of ``op9_line_dedup``.
+
 Defined results: null text stays null (no lines); a null host counts as the
 host ``''``; repeated rows are pages of their own; a page that loses all lines
 keeps an empty text; other columns ride along; an empty table stays empty.
@@ -43,11 +48,17 @@ def _key(line: Column) -> Column:
 
 
 def boilerplate_lines(pages: DataFrame, host: Column, text_col: str = "text",
-                      ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+                      ratio: float = RATIO, min_pages: int = MIN_PAGES, copies_once: bool = False) -> DataFrame:
     """``host``, ``line`` (hash and length), ``n_pages`` and ``host_pages`` of every boilerplate line."""
     site = F.coalesce(host.cast("string"), F.lit("")).alias("host")
-    totals = pages.groupBy(site).agg(F.count(F.lit(1)).alias("host_pages"))
-    counts = (pages.select(site, F.explode(F.array_distinct(F.transform(_lines(text_col), _key))).alias("line"))
+    keys = F.array_distinct(F.transform(_lines(text_col), _key)).alias("keys")
+    if copies_once:
+        pages = (pages.select(site, F.xxhash64(text_col).alias("h"), F.length(text_col).alias("n"), keys)
+                 .groupBy("host", "h", "n").agg(F.first("keys").alias("keys")))
+    else:
+        pages = pages.select(site, keys)
+    totals = pages.groupBy("host").agg(F.count(F.lit(1)).alias("host_pages"))
+    counts = (pages.select("host", F.explode("keys").alias("line"))
               .where(F.col("line").isNotNull())
               .groupBy("host", "line").agg(F.count(F.lit(1)).alias("n_pages"))
               .where(F.col("n_pages") >= min_pages))
@@ -56,14 +67,15 @@ def boilerplate_lines(pages: DataFrame, host: Column, text_col: str = "text",
 
 def drop_boilerplate(pages: DataFrame, host: Column, text_col: str = "text", ratio: float = RATIO,
                      min_pages: int = MIN_PAGES, dropped_col: str | None = None,
-                     broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+                     broadcast_rows: int = BROADCAST_ROWS, copies_once: bool = False) -> DataFrame:
     """``pages`` without the boilerplate lines of their hosts.
 
     ``dropped_col`` names a column for the number of lines dropped.  The found
     lines are broadcast if there are few; otherwise page lines are joined with
     them by key and only the places of lines to drop go back to their pages.
     """
-    found = stage(boilerplate_lines(pages, host, text_col, ratio, min_pages).select("host", "line"), "boilerplate")
+    found = stage(boilerplate_lines(pages, host, text_col, ratio, min_pages, copies_once).select("host", "line"),
+                  "boilerplate")
     site = F.coalesce(host.cast("string"), F.lit(""))
     if found.count() <= broadcast_rows:
         by_host = found.groupBy(F.col("host").alias("__host")).agg(F.collect_list("line").alias("__found"))

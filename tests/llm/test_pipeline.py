@@ -4,6 +4,7 @@ from collections import Counter
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 import corpus_pipeline as P
@@ -38,6 +39,20 @@ def test_pipeline_stages(spark):
         Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in packed)
 
 
+def test_one_text_of_a_copy_group_survives(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(1)
+    words = [" ".join(f"w{k}{chr(97 + i % 26)}{i}" for i in range(60)) for k in range(12)]
+    bodies = [words[0]] * 8 + words[1:]  # 8 copies among 19 pages
+    rows = spark.createDataFrame([(i, f"{t}\nfoot of every page") for i, t in enumerate(bodies)], "i long, t string")
+    (rows.crossJoin(docs.drop("doc_id", "text"))
+     .select(F.col("i").alias("doc_id"), F.col("t").alias("text"), *[c for c in docs.columns if c not in ("doc_id", "text")])
+     .select(*docs.columns).write.parquet(f"{tmp_path}/documents.parquet"))
+    lines = P.lines(spark, spark.read.parquet(f"{tmp_path}/documents.parquet"), str(tmp_path))
+    assert {r.doc_id: r.text for r in lines.collect()} == dict(enumerate(bodies))
+    out = P.run(spark, str(tmp_path)).collect()
+    assert sorted({r.doc_id for r in out if r.length}) == [0, *range(8, 19)]
+
+
 @pytest.mark.parametrize("name", ["op6_chat_views", "op7_quality_rules", "op9_line_dedup"])
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
