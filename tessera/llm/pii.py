@@ -6,7 +6,9 @@ every way it is written (phone and card numbers with other separators, mail
 addresses in other case, a surname with or without the given name).  Surrogates
 keep the type (card numbers pass their check digit, bank accounts theirs,
 private addresses stay private), the format (separators, case, character
-classes), and for names the gender and the script.
+classes), and for names the gender and the script.  A name is a title or a known
+given name and up to ``NAME_WORDS`` words, with initials and particles (von, de la)
+between them; particles stay, initials turn into others by a keyed order.
 
 Distinctness is checked over the whole corpus: of entities that drew the same
 surrogate, or one that some document really holds, all but the first draw again
@@ -20,6 +22,8 @@ own, so null or repeated ids do no harm; other columns ride along.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -52,7 +56,16 @@ ENDS = {MALE: "ran rek lin tor mas nis vin don kel mon dar fred".split(),
 SCRIPTS = {"cyrillic": ("abvgdeziklmnoprstufh", "абвгдезиклмнопрстуфх"),
            "greek": ("abgdeziklmnoprstufhv", "αβγδεζικλμνοπρστυφχβ")}
 
+#: Words of a name after its title, or after a known given name one less.
+NAME_WORDS = 4
+PARTICLES = ("von van vom de der den del della di da do dos das du des la las le los el al af av bin ibn ben ten ter "
+             "te tot und y e zu zum zur").split()
 _NAME = r"\p{Lu}[\p{L}'’-]+"
+_INITIAL = r"\p{Lu}\.?"
+_MORE = rf"(?: {_INITIAL}(?= )){{0,3}}(?: (?:{'|'.join(PARTICLES)})(?= )){{0,3}} {_NAME}"
+#: Capital letters in whose ranges initials are exchanged; others stay.
+_CAPITALS = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "ÀÁÂÃÄÅÆÇÈÉÊËÌÍÎÏÐÑÒÓÔÕÖØÙÚÛÜÝÞĆČĐŁŚŠŹŻŽ", "АБВГДЕЖЗИКЛМНОПРСТУФХЦЧШЩЭЮЯЁ",
+             "ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩ")
 _INITIALS = "".join(sorted({w[0] for w in [*HONORIFICS, *GIVEN_NAMES[MALE], *GIVEN_NAMES[FEMALE]]}))
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 LABEL = r"(?i:password|passwd|secret|token|api_?key)\b[\x20\t]{0,2}[=:][\x20\t]{0,2}[\"']?"
@@ -67,8 +80,8 @@ PATTERNS = {
     "iban": r"(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
     "card": (r"(?<![\p{L}\p{N}])(?:\d{13,19}|\d{4}-\d{4}-\d{4}-\d{4}|\d{4} \d{4} \d{4} \d{4}"
              r"|\d{4}[ -]\d{6}[ -]\d{5})(?![\p{L}\p{N}])"),
-    "name": (rf"(?=[{_INITIALS}])(?<![\p{{L}}\p{{N}}])(?:(?:{'|'.join(HONORIFICS)})\.? {_NAME}(?: {_NAME}){{0,2}}"
-             rf"|(?:{'|'.join(GIVEN_NAMES[MALE] + GIVEN_NAMES[FEMALE])}) {_NAME})"),
+    "name": (rf"(?=[{_INITIALS}])(?<![\p{{L}}\p{{N}}])(?:(?:{'|'.join(HONORIFICS)})\.?(?:{_MORE}){{1,{NAME_WORDS}}}"
+             rf"|(?:{'|'.join(GIVEN_NAMES[MALE] + GIVEN_NAMES[FEMALE])})(?:{_MORE}){{1,{NAME_WORDS - 1}}})"),
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: Every type but names needs one of these; most texts hold none.
@@ -129,8 +142,9 @@ def _name_parts(raw: Column) -> Column:
         more = F.size(words) > F.when(titled, 2).otherwise(1)
         own = F.element_at(given, word)
         gender = F.when(own.isNotNull(), own).otherwise(F.coalesce(title, F.lit("")))
-        is_given = first & (own.isNotNull() | more)
-        kind = F.when(titled & (k == 0), F.lit(None).cast("string")).otherwise(F.concat_ws(
+        is_given = (first & (own.isNotNull() | more)) | (own.isNotNull() & (k < F.size(words) - 1))
+        as_is = (titled & (k == 0)) | word.isin(PARTICLES)
+        kind = F.when(as_is, F.lit(None).cast("string")).when(word.rlike(f"^{_INITIAL}$"), "initial").otherwise(F.concat_ws(
             ":", F.when(is_given, F.concat(F.lit("given:"), gender)).otherwise(F.lit("surname:surname")), _script(word)))
         return F.struct(kind.alias("kind"), F.concat(F.when(k > 0, " ").otherwise(""), F.lit("")).alias("lead"),
                         word.alias("raw"), F.lower(word).alias("form"))
@@ -225,6 +239,14 @@ def surrogate(kind: Column, form: Column, attempt: Column, key: str = KEY) -> Co
             .when(name_type.isin("given", "surname"), name).otherwise(_like(form, seed)))
 
 
+def _initial(raw: Column, key: str) -> Column:
+    """Another initial: the next one of its alphabet in a keyed order, so that two never become one."""
+    for letters in _CAPITALS:
+        turned = "".join(sorted(letters, key=lambda c: hashlib.sha256(f"{key}\x1finitial\x1f{c}".encode()).digest()))
+        raw = F.translate(raw, turned, turned[1:] + turned[0])
+    return raw
+
+
 def _written(kind: Column, raw: Column, form: Column, drawn: Column) -> Column:
     """The surrogate in the format of the raw part."""
     kept = F.length(_digits(raw)) - F.length(form)  # a country code that the canonical form leaves out
@@ -269,8 +291,8 @@ def replace_entities(docs: DataFrame, text_col: str = "text", key: str = KEY,
     mentions = hit.select("__row", F.posexplode(F.regexp_extract_all(F.col(text_col), F.lit(ANY), F.lit(0))).alias("at", "raw"))
     parts = stage(mentions.select("__row", "at", F.posexplode(_parts(F.col("raw"))).alias("part", "p"))
                   .select("__row", "at", "part", "p.kind", "p.lead", "p.raw", "p.form"), "parts")
-    drawn = assign_surrogates(parts.where("kind IS NOT NULL"), key)
-    new = F.when(F.col("drawn").isNull(), F.col("raw")).otherwise(
+    drawn = assign_surrogates(parts.where("kind <> 'initial'"), key)
+    new = F.when(F.col("kind") == "initial", _initial(F.col("raw"), key)).when(F.col("drawn").isNull(), F.col("raw")).otherwise(
         _written(F.col("kind"), F.col("raw"), F.col("form"), F.col("drawn")))
     written = (parts.join(drawn, ["kind", "form"], "left")
                .groupBy("__row", "at").agg(

@@ -138,6 +138,24 @@ def test_entities_get_consistent_surrogates(spark):
     assert pii.replace_entities(df.limit(0)).count() == 0
 
 
+def test_names_are_taken_whole(spark):
+    names = ["Mary Ann Smith", "John Fitzgerald Kennedy", "John F. Kennedy", "Dr John F. Kennedy", "John F Kennedy",
+             "Anna von der Heide", "Carlos de la Cruz", "Prof. J. R. R. Tolkien", "Herr von Neumann", "John Ronald Reuel Tolkien"]
+    df = spark.createDataFrame(list(enumerate(f"We saw {n}, then left. " for n in names)), "doc_id int, text string")
+    got = {r.doc_id: r.text for r in pii.replace_entities(df).collect()}
+    kept = {"von", "der", "de", "la", "Dr", "Prof.", "Herr"}
+    for i, n in enumerate(names):
+        assert got[i].startswith("We saw ") and got[i].endswith(", then left. ")
+        old, new = n.split(" "), got[i][7:-13].split(" ")
+        assert len(old) == len(new) and all((a == b) == (a in kept) for a, b in zip(old, new))
+    last = [got[i][7:-13].split(" ")[-1] for i in range(len(names))]
+    assert len({last[i] for i in (1, 2, 3, 4)}) == 1 and last[7] == last[9]
+    f = [got[i][7:-13].split(" ")[-2] for i in (2, 3, 4)]
+    assert f[0] == f[1] == f[2] + "." and f[0][0].isupper() and len(f[0]) == 2
+    assert [r.text for r in pii.replace_entities(df.selectExpr("'plan A. B, John left; von Berg' AS text")).collect()] == \
+        ["plan A. B, John left; von Berg"] * len(names)
+
+
 def test_surrogates_stay_distinct(spark, monkeypatch):
     monkeypatch.setattr(pii, "STARTS", ["ba"])
     monkeypatch.setattr(pii, "MIDDLES", ["la", "le"])
