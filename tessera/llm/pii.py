@@ -3,7 +3,8 @@
 Detected entities get a replacement drawn from a keyed hash of their type and
 canonical form, so that one entity has one surrogate in every document and in
 every way it is written (phone and card numbers with other separators, mail
-addresses in other case, a surname with or without the given name).  Surrogates
+addresses in other case, a surname with or without the given name, a name with
+or without a title or a possessive ending).  Surrogates
 keep the type (card numbers pass their check digit, bank accounts theirs,
 private addresses stay private), the format (separators, case, character
 classes), and for names the gender and the script.  A name is a title or a known
@@ -61,6 +62,7 @@ NAME_WORDS = 4
 PARTICLES = ("von van vom de der den del della di da do dos das du des la las le los el al af av bin ibn ben ten ter "
              "te tot und y e zu zum zur").split()
 _NAME = r"\p{Lu}[\p{L}'’-]+"
+ENDING = r"(?:['’][sS])?['’-]*$"
 _INITIAL = r"\p{Lu}\.?"
 _MORE = rf"(?: {_INITIAL}(?= )){{0,3}}(?: (?:{'|'.join(PARTICLES)})(?= )){{0,3}} {_NAME}"
 #: Capital letters in whose ranges initials are exchanged; others stay.
@@ -130,14 +132,16 @@ def _script(word: Column) -> Column:
 
 
 def _name_parts(raw: Column) -> Column:
-    """Words of a name: each with its type (null: kept as it is)."""
+    """Words of a name: each with its type (null: kept as it is); a possessive ending or closing quote is no part of it."""
     words = F.split(raw, " ")
     genders = F.create_map(*[F.lit(x) for k, g in HONORIFICS.items() for x in (k, g)])
     given = F.create_map(*[F.lit(x) for g, names in GIVEN_NAMES.items() for n in names for x in (n, g)])
     title = F.element_at(genders, F.regexp_replace(F.get(words, F.lit(0)), r"\.$", ""))
     titled = title.isNotNull()
 
-    def part(word: Column, k: Column) -> Column:
+    def part(written: Column, k: Column) -> Column:
+        tail = F.regexp_extract(written, ENDING, 0)
+        word = F.substr(written, F.lit(1), F.length(written) - F.length(tail))
         first = F.when(titled, k == 1).otherwise(k == 0)
         more = F.size(words) > F.when(titled, 2).otherwise(1)
         own = F.element_at(given, word)
@@ -147,13 +151,13 @@ def _name_parts(raw: Column) -> Column:
         kind = F.when(as_is, F.lit(None).cast("string")).when(word.rlike(f"^{_INITIAL}$"), "initial").otherwise(F.concat_ws(
             ":", F.when(is_given, F.concat(F.lit("given:"), gender)).otherwise(F.lit("surname:surname")), _script(word)))
         return F.struct(kind.alias("kind"), F.concat(F.when(k > 0, " ").otherwise(""), F.lit("")).alias("lead"),
-                        word.alias("raw"), F.lower(word).alias("form"))
+                        word.alias("raw"), F.lower(F.replace(word, F.lit("’"), F.lit("'"))).alias("form"), tail.alias("tail"))
 
     return F.transform(words, part)
 
 
 def _parts(raw: Column) -> Column:
-    """Parts of a mention: type, what stands before it unchanged, the raw part, and its canonical form."""
+    """Parts of a mention: type, the raw part, its canonical form, and what stands before and after it unchanged."""
     kind = _kind(raw)
     digits = _digits(raw)
     lead = F.when(kind == "secret", F.regexp_extract(raw, "^" + LABEL, 0)).otherwise("")
@@ -165,7 +169,8 @@ def _parts(raw: Column) -> Column:
             .otherwise(value))
     real = (F.when(kind == "card", _luhn_sum(digits) % 10 == 0)
             .when(kind == "iban", _iban_rest(form) == 1).otherwise(True))
-    one = F.array(F.struct(F.when(real, kind).alias("kind"), lead.alias("lead"), value.alias("raw"), form.alias("form")))
+    one = F.array(F.struct(F.when(real, kind).alias("kind"), lead.alias("lead"), value.alias("raw"), form.alias("form"),
+                           F.lit("").alias("tail")))
     return F.when(kind == "name", _name_parts(raw)).otherwise(one)
 
 
@@ -283,6 +288,18 @@ def assign_surrogates(entities: DataFrame, key: str = KEY, max_rounds: int = 40)
     raise RuntimeError(f"surrogates still collide after {max_rounds} draws")
 
 
+def _one_kind(entities: DataFrame) -> DataFrame:
+    """``kind``, ``form`` and ``as_kind``, for which the surrogate is drawn: one for all kinds of a given name.
+
+    That is the gender that its titles anywhere in the corpus give, or none if they give two or none.
+    """
+    plain = F.regexp_replace("kind", "^given:[mf]:", "given::").alias("plain")
+    kinds = entities.groupBy(plain, "form").agg(F.collect_set("kind").alias("kinds"))
+    gendered = F.filter("kinds", lambda k: k != F.col("plain"))
+    as_kind = F.when(F.size(gendered) == 1, F.get(gendered, F.lit(0))).otherwise(F.col("plain"))
+    return kinds.select(F.explode("kinds").alias("kind"), "form", as_kind.alias("as_kind"))
+
+
 def replace_entities(docs: DataFrame, text_col: str = "text", key: str = KEY,
                      count_col: str | None = None) -> DataFrame:
     """``docs`` with surrogates in ``text_col``; ``count_col`` names a column for the number replaced."""
@@ -290,13 +307,15 @@ def replace_entities(docs: DataFrame, text_col: str = "text", key: str = KEY,
     hit = stage(docs.where(has).withColumn("__row", F.monotonically_increasing_id()), "mentions")
     mentions = hit.select("__row", F.posexplode(F.regexp_extract_all(F.col(text_col), F.lit(ANY), F.lit(0))).alias("at", "raw"))
     parts = stage(mentions.select("__row", "at", F.posexplode(_parts(F.col("raw"))).alias("part", "p"))
-                  .select("__row", "at", "part", "p.kind", "p.lead", "p.raw", "p.form"), "parts")
-    drawn = assign_surrogates(parts.where("kind <> 'initial'"), key)
+                  .select("__row", "at", "part", "p.kind", "p.lead", "p.raw", "p.form", "p.tail"), "parts")
+    entities = stage(_one_kind(parts.where("kind <> 'initial'")), "kinds")
+    drawn = (assign_surrogates(entities.select(F.col("as_kind").alias("kind"), "form"), key)
+             .withColumnRenamed("kind", "as_kind").join(entities, ["as_kind", "form"]).select("kind", "form", "drawn"))
     new = F.when(F.col("kind") == "initial", _initial(F.col("raw"), key)).when(F.col("drawn").isNull(), F.col("raw")).otherwise(
         _written(F.col("kind"), F.col("raw"), F.col("form"), F.col("drawn")))
     written = (parts.join(drawn, ["kind", "form"], "left")
                .groupBy("__row", "at").agg(
-                   F.sort_array(F.collect_list(F.struct("part", F.concat("lead", new).alias("new")))).alias("parts"),
+                   F.sort_array(F.collect_list(F.struct("part", F.concat("lead", new, "tail").alias("new")))).alias("parts"),
                    F.max(F.col("drawn").isNotNull().cast("int")).alias("replaced"))
                .select("__row", F.struct("at", F.array_join(F.transform("parts", lambda x: x["new"]), "").alias("new"),
                                          "replaced").alias("m")))

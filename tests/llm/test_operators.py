@@ -156,6 +156,23 @@ def test_names_are_taken_whole(spark):
         ["plan A. B, John left; von Berg"] * len(names)
 
 
+def test_one_name_has_one_surrogate(spark):
+    rows = [(1, "Mr Smith met Mr Smith's son and Mr SMITH’S dog near James Smith' gate."),
+            (2, "Dr Alex Kim and Mr Alex Kim"), (3, "Prof Robin Kim"), (4, "Mr Robin Kim, Mrs Robin Kim"),
+            (5, "Mrs O'Brien and Mrs O’Brien's")]
+    df = spark.createDataFrame(rows, "doc_id int, text string")
+    got = {r.doc_id: r.text for r in pii.replace_entities(df).collect()}
+    name = got[1].split()[1]
+    assert name != "Smith" and got[1].split()[4] == name + "'s" and got[1].split()[8] == name.upper() + "’S"
+    assert got[1].split()[12] == name + "'" and got[1].endswith(" gate.")
+    dr, alex, kim, _, _, alex2, kim2 = got[2].split()
+    assert (alex, kim) == (alex2, kim2) and alex != "Alex" and any(alex.lower().endswith(e) for e in pii.ENDS["m"])
+    robin = got[3].split()[1]
+    assert got[4].replace(",", "").split()[1::3] == [robin, robin] and any(robin.lower().endswith(e) for e in pii.ENDS[""])
+    brien = got[5].split()[1]
+    assert brien != "O'Brien" and got[5].split()[4] == brien + "'s"
+
+
 def test_surrogates_stay_distinct(spark, monkeypatch):
     monkeypatch.setattr(pii, "STARTS", ["ba"])
     monkeypatch.setattr(pii, "MIDDLES", ["la", "le"])
