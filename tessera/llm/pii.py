@@ -13,7 +13,11 @@ between them; particles stay, initials turn into others by a keyed order.
 
 Distinctness is checked over the whole corpus: of entities that drew the same
 surrogate, or one that some document really holds, all but the first draw again
-until none is left.  Entities are summed by type and form before that, so one
+until none is left.  Names get longer with every draw, mail addresses, secrets and
+numbers abroad after ``PLAIN_DRAWS``.  If a format is too full for that (most of a
+private address block in use), its entities exchange their forms among each other
+in a keyed order: still one to one and never their own, but forms that the corpus holds.
+Entities are summed by type and form before that, so one
 that a third of the documents share is one row.
 
 Defined results: null text stays null and empty text empty; texts are read
@@ -25,13 +29,17 @@ from __future__ import annotations
 
 import hashlib
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stage
+from .common import lookup_join, stage
 
 KEY = "tessera"  # set one of your own: who has the key can test guesses
 
+#: Draws in the format of an entity before it is widened, and entities that exchange their forms in one task.
+PLAIN_DRAWS = 6
+ROTATION_LOT = 10_000
+
 MALE, FEMALE = "m", "f"
 HONORIFICS = {
     "Mr": MALE, "Herr": MALE, "Monsieur": MALE, "Señor": MALE, "Sr": MALE, "Господин": MALE, "господин": MALE,
@@ -213,13 +221,16 @@ def surrogate(kind: Column, form: Column, attempt: Column, key: str = KEY) -> Co
     domain = F.substr(form, at + 1)
     top = F.regexp_extract(domain, r"\.[^.]*$", 0)
     site = F.substr(domain, F.lit(1), F.length(domain) - F.length(top))
-    email = F.concat(_like(F.substr(form, F.lit(1), at - 1), seed), F.lit("@"),
+    more = lambda n, low: F.when(attempt >= PLAIN_DRAWS, F.array_join(F.transform(
+        F.sequence(F.lit(PLAIN_DRAWS), attempt), lambda k: F.chr(_draw(seed, k + 96, n) + low)), "")).otherwise("")
+    email = F.concat(_like(F.substr(form, F.lit(1), at - 1), seed), more(26, 97), F.lit("@"),
                      _like(site, seeded(F.lit("domain"), domain)), top)
     upto9 = lambda k: (_draw(seed, 40 + k, 8) + 2).cast("string")
     phone = (F.when(F.length(form) == 10, F.concat(
         upto9(0), _like(F.substring(form, 2, 2), seed), upto9(1),
         _like(F.substring(form, 5, 6), F.concat(seed, F.lit("x")))))
-        .otherwise(_fixed_lead(form, F.substring(form, 1, 2), seed)))
+        .otherwise(F.substr(F.concat(_fixed_lead(form, F.substring(form, 1, 2), seed), more(10, 48)),
+                            F.lit(1), F.greatest(F.length(form), F.lit(15)))))
     body = _fixed_lead(F.substr(form, F.lit(1), F.length(form) - 1), F.substring(form, 1, 1), seed)
     card = F.concat(body, ((10 - _luhn_sum(F.concat(body, F.lit("0"))) % 10) % 10).cast("string"))
     octet = lambda k, low=1, n=254: (_draw(seed, k, n) + low).cast("string")
@@ -241,7 +252,7 @@ def surrogate(kind: Column, form: Column, attempt: Column, key: str = KEY) -> Co
             .when(kind == "ip", ip).when(kind == "iban", iban)
             .when(kind == "ssn", F.concat(F.lit("9"), _like(F.substr(form, F.lit(2)), seed)))
             .when(kind == "aws", F.concat(F.lit("AKIA"), _like(F.substr(form, F.lit(5)), seed)))
-            .when(name_type.isin("given", "surname"), name).otherwise(_like(form, seed)))
+            .when(name_type.isin("given", "surname"), name).otherwise(F.concat(_like(form, seed), more(26, 97))))
 
 
 def _initial(raw: Column, key: str) -> Column:
@@ -260,7 +271,8 @@ def _written(kind: Column, raw: Column, form: Column, drawn: Column) -> Column:
     filled = F.aggregate(_chars(raw), empty, lambda a, c: F.when(
         c.rlike("[0-9]"), F.struct(F.concat(a["text"], F.substr(digits, a["k"] + 1, F.lit(1))).alias("text"),
                                    (a["k"] + 1).alias("k")))
-        .otherwise(F.struct(F.concat(a["text"], c).alias("text"), a["k"].alias("k"))), lambda a: a["text"])
+        .otherwise(F.struct(F.concat(a["text"], c).alias("text"), a["k"].alias("k"))),
+        lambda a: F.concat(a["text"], F.substr(digits, a["k"] + 1)))
     grouped = F.array_join(F.transform(_chars(raw), lambda c, k: F.when(c == " ", " ").otherwise(F.substr(
         drawn, k + 1 - F.length(F.regexp_replace(F.substr(raw, F.lit(1), k), "[^ ]", "")), F.lit(1)))), "")
     upper = (raw == F.upper(raw)) & (raw != F.lower(raw))
@@ -270,8 +282,43 @@ def _written(kind: Column, raw: Column, form: Column, drawn: Column) -> Column:
             .otherwise(drawn))
 
 
-def assign_surrogates(entities: DataFrame, key: str = KEY, max_rounds: int = 40) -> DataFrame:
-    """``kind``, ``form`` and a ``drawn`` surrogate that no other entity of the kind has or drew."""
+def _shape(kind: Column, form: Column) -> Column:
+    """What entities of a kind share that may exchange their forms."""
+    classes = F.regexp_replace(F.regexp_replace(F.regexp_replace(form, "[0-9]", "0"), "[a-z]", "a"), "[A-Z]", "A")
+    length = F.length(form).cast("string")
+    return (F.when(kind == "ip", F.regexp_extract(form, r"^(?:10|127|192\.168|169\.254|172\.(?:1[6-9]|2\d|3[01]))\.", 0))
+            .when(kind == "email", F.regexp_extract(form, "@.*", 0))
+            .when(kind == "phone", F.concat(F.when(length == "10", "").otherwise(F.substring(form, 1, 2)), F.lit(":"), length))
+            .when(kind == "card", F.concat(F.substring(form, 1, 1), F.lit(":"), length))
+            .when(kind == "iban", F.concat(F.substring(form, 1, 2), classes))
+            .when(kind.isin("ssn", "aws", "secret"), classes).otherwise(""))
+
+
+def _exchanged(judged: DataFrame, key: str) -> DataFrame:
+    """``drawn`` of all entities, for shapes with unsettled ones the next form in a keyed order.
+
+    An order is closed to a ring in every lot; one alone in its shape gets a hash.
+    Settled surrogates are no form of the corpus, so the forms given here are free.
+    """
+    shaped = judged.withColumn("shape", _shape(F.col("kind"), F.col("form")))
+    crowded = stage(shaped.groupBy("kind", "shape").agg(F.count(F.lit(1)).alias("n"), F.max("again").alias("crowded"))
+                    .where("crowded"), "crowded")
+    rank = F.sha2(F.concat_ws("\x1f", F.lit(key), F.lit("exchange"), "kind", "form"), 256)
+    rest = shaped.join(crowded, ["kind", "shape"], "left_anti").select("kind", "form", "drawn")
+    lots = (lookup_join(shaped, crowded, ["kind", "shape"], "inner", crowded.count()).withColumn("rank", rank)
+            .withColumn("lot", F.pmod(F.xxhash64("rank"), F.ceil(F.col("n") / ROTATION_LOT))))
+    ring = Window.partitionBy("kind", "shape", "lot").orderBy("rank", "form")
+    after = F.coalesce(F.lead("form").over(ring), F.first("form").over(ring))
+    turned = lots.withColumn("after", after).select("kind", "form", F.when(F.col("after") != F.col("form"), F.col("after"))
+                                                    .otherwise(F.sha2(F.concat(F.lit(key), "rank"), 256)).alias("drawn"))
+    return rest.union(turned)
+
+
+def assign_surrogates(entities: DataFrame, key: str = KEY, max_rounds: int = 12) -> DataFrame:
+    """``kind``, ``form`` and a ``drawn`` surrogate that no other entity of the kind has or drew.
+
+    What is unsettled after ``max_rounds`` draws is settled by exchange.
+    """
     space = F.split_part("kind", F.lit(":"), F.lit(1))  # names are told apart whatever their gender
     own = stage(entities.select("kind", "form", space.alias("space")).distinct().withColumn("attempt", F.lit(0)), "entities")
     real = own.select(F.col("space").alias("s"), F.col("form").alias("f")).distinct()
@@ -285,7 +332,7 @@ def assign_surrogates(entities: DataFrame, key: str = KEY, max_rounds: int = 40)
         if judged.where("again").isEmpty():
             return judged.select("kind", "form", "drawn")
         own = judged.select("kind", "form", "space", (F.col("attempt") + F.col("again").cast("int")).alias("attempt"))
-    raise RuntimeError(f"surrogates still collide after {max_rounds} draws")
+    return _exchanged(judged, key)
 
 
 def _one_kind(entities: DataFrame) -> DataFrame:

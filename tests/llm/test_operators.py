@@ -173,6 +173,19 @@ def test_one_name_has_one_surrogate(spark):
     assert brien != "O'Brien" and got[5].split()[4] == brien + "'s"
 
 
+def test_full_formats_are_settled(spark, monkeypatch):
+    forms = [("email", f"{chr(97 + i)}@one.org") for i in range(26)] + [("secret", "--------"), ("ssn", "123456789")]
+    got = {(r.kind, r.form): r.drawn for r in pii.assign_surrogates(spark.createDataFrame(forms, "kind string, form string")).collect()}
+    assert set(got) == set(forms) and len(set(got.values())) == len(forms) and not {f for _, f in forms} & set(got.values())
+    assert len({d.split("@")[1] for (k, _), d in got.items() if k == "email"}) == 1
+    monkeypatch.setattr(pii, "ROTATION_LOT", 1000)
+    block = [("ip", f"192.168.{i // 200}.{i % 200}") for i in range(40_000)] + [("ip", "10.0.0.1"), ("ip", "8.8.8.8")]
+    out = pii.assign_surrogates(spark.createDataFrame(block, "kind string, form string"), max_rounds=2).collect()
+    assert len(out) == len({r.drawn for r in out}) == len(block) and all(r.drawn != r.form for r in out)
+    assert all(r.drawn.startswith(r.form[:3]) for r in out if not r.form.startswith("8."))
+    assert not {r.drawn for r in out if r.form in ("10.0.0.1", "8.8.8.8")} & {f for _, f in block}
+
+
 def test_surrogates_stay_distinct(spark, monkeypatch):
     monkeypatch.setattr(pii, "STARTS", ["ba"])
     monkeypatch.setattr(pii, "MIDDLES", ["la", "le"])
