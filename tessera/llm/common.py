@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import functools
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,6 +74,17 @@ def text_blocks(texts: list[str], chars: int = 1 << 20):
             first, size = i + 1, 0
 
 
+def text_lots(column: pa.Array, size: int = 1 << 20):
+    """Cut an Arrow column of texts into runs of about so many bytes; yields (first, texts of that run alone)."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    first = 0
+    while first < len(ends):
+        reached = int(ends[first - 1]) if first else 0
+        stop = min(int(np.searchsorted(ends, reached + size)) + 1, len(ends))
+        yield first, column.slice(first, stop - first).to_pylist()
+        first = stop
+
+
 @functools.lru_cache(maxsize=4)
 def tokenizer_file(name: str) -> str:
     """Path of a public tokenizer file on this machine."""

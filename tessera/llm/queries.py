@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_views, line_dedup, ngram_join, packing, piece_codec, pii, quality_model, quality_rules, toxicity, vector_dedup
+from . import chat_views, decontaminate, line_dedup, merkle, ngram_join, packing, piece_codec, pii, prefix_trie, quality_model, quality_rules, toxicity, vector_dedup
 from .common import table, tokenizer_file
 
 
@@ -69,7 +69,27 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The Merkle manifest of all documents by source, a fifth of them tampered with."""
+    return merkle.document_manifest(table(spark, sf_dir, "documents")).drop("source")
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prefix trie of all conversations, rebuilt with shared heads."""
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of the benchmark in all documents."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.find_passages(docs, table(spark, sf_dir, "benchmark"), carry=["doc_id"])
+    return found.select("doc_id", "hits.n_words", "hits.n_hit", F.size("hits.items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("hits.items", ",").cast("binary"), 256).alias("items_sha256"),
+                        (F.col("hits.n_hit") > 0).alias("contaminated"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (op1_sentencepiece, op2_embedding_dedup, op3_pii_surrogates, op4_toxicity, op5_bestfit_packing,
-           op6_chat_views, op7_quality_rules, op8_quality_model, op9_line_dedup, op10_ngram_jaccard)
+           op6_chat_views, op7_quality_rules, op8_quality_model, op9_line_dedup, op10_ngram_jaccard, op11_merkle_manifest,
+           op12_prefix_trie, op13_decontamination)
     return {f.__name__: f for f in own}
