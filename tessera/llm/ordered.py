@@ -2,8 +2,9 @@
 
 Rows are dealt out by ranges of (key, order), numbered where they lie, and
 written.  A key that reaches over several ranges needs an offset in each of its
-later ones; a range has at most one key that began before it, so there are
-fewer offsets than ranges and they are broadcast, whatever the table's size.
+later ones.  Only the first key of a range can have begun before it, so the
+first and the last key of every range tell all offsets: one row a range reaches
+the driver and goes back, whatever the table's size.
 
 Defined results: key columns must not be null; nulls in the order come first;
 rows that are equal in key and order are numbered in any order; an empty table
@@ -18,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import stage
@@ -34,11 +35,11 @@ def running_sums(df: DataFrame, key: list[str], order: list[str], rank: str, sum
     wanted = {rank: None} | (sums or {})
     cols = [*key, *order]
     dealt = df.repartitionByRange(parts, *cols) if parts else df.repartitionByRange(*cols)
-    schema = ", ".join(f"`{n}` {t}" for n, t in df.dtypes) + "".join(f", `{n}` bigint" for n in wanted) + ", __range int"
+    schema = ", ".join(f"`{n}` {t}" for n, t in df.dtypes) + "".join(f", `{n}` bigint" for n in wanted) + ", __range int, __at bigint"
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         here = TaskContext.get().partitionId()
-        last, carried = None, [0] * len(wanted)
+        last, carried, at = None, [0] * len(wanted), 0
         for batch in batches:
             n = batch.num_rows
             if not n:
@@ -58,14 +59,31 @@ def running_sums(df: DataFrame, key: list[str], order: list[str], rank: str, sum
                 carried[i] = int(own[-1] + x[-1])
                 out.append(pa.array(own))
             last = [c[n - 1].as_py() for c in keys]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *out, pa.array(np.full(n, here, dtype=np.int32))],
-                                             names=[*batch.schema.names, *wanted, "__range"])
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, *out, pa.array(np.full(n, here, dtype=np.int32)), pa.array(np.arange(at, at + n))],
+                names=[*batch.schema.names, *wanted, "__range", "__at"])
+            at += n
 
     numbered = stage(dealt.sortWithinPartitions(*cols).mapInArrow(number, schema), "numbered")
-    totals = numbered.groupBy(*key, "__range").agg(
-        *(F.count(F.lit(1)).alias(f"__before_{n}") if c is None else F.sum(c).alias(f"__before_{n}") for n, c in wanted.items()))
-    earlier = Window.partitionBy(*key).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (totals.select(*key, "__range", *(F.sum(f"__before_{n}").over(earlier).alias(f"__before_{n}") for n in wanted))
-               .where(F.col(f"__before_{rank}").isNotNull()))  # fewer than there are ranges
-    joined = numbered.join(F.broadcast(offsets), [*key, "__range"], "left")
+    first, last = F.struct(*key).alias("k"), F.struct(*key, *(
+        (F.col(n) + (1 if c is None else F.col(c))).alias(f"__{n}") for n, c in wanted.items()))
+    edges = numbered.groupBy("__range").agg(F.min_by(first, "__at").alias("first"), F.max_by(last, "__at").alias("last"))
+    kinds = dict(df.dtypes)
+    offsets = df.sparkSession.createDataFrame(
+        _offsets(sorted(map(tuple, edges.collect())), len(key)),
+        ", ".join(["__range int", *(f"`{k}` {kinds[k]}" for k in key), *(f"`__before_{n}` bigint" for n in wanted)]))
+    joined = numbered.join(F.broadcast(offsets), ["__range", *key], "left")
     return joined.select(*df.columns, *((F.col(n) + F.coalesce(F.col(f"__before_{n}"), F.lit(0))).alias(n) for n in wanted))
+
+
+def _offsets(edges: list[tuple], n_key: int) -> list[tuple]:
+    """``(range, key, sums before it)`` of the ranges whose first key began in an earlier one."""
+    out, carried_key, carried = [], None, ()
+    for number, first, last in edges:
+        first, last, sums = tuple(first), tuple(last[:n_key]), tuple(last[n_key:])
+        if first == carried_key:
+            out.append((number, *first, *carried))
+            if last == first:  # the range holds this key alone
+                sums = tuple(a + b for a, b in zip(carried, sums))
+        carried_key, carried = last, sums
+    return out

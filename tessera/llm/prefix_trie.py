@@ -13,11 +13,12 @@ over subtrees are differences of prefix sums at arc places.
 3. Children of a node are numbered by their smallest member.  Parents are looked
    up in lots of ``LOT`` children, so a node that a third of all conversations
    share is not one task.
-4. The list is ranked in two steps: the arcs of a range of nodes are joined into
-   chains where they lie (pointer doubling in numpy), then the chains alone are
-   ranked by pointer doubling over joins, in as many rounds as the logarithm of
-   their number.  As the nodes' order is nearly the tour's, there are few chains.
-5. Arcs go to their places, and running sums over them give leaves and savings.
+4. The list is ranked by contraction: the arcs of a range of nodes are joined
+   into chains where they lie (pointer doubling in numpy), then the chains are a
+   shorter list.  As the nodes' order is nearly the tour's, chains are few; a
+   list that ranges do not shorten is ranked by pointer doubling over joins.
+5. Ranking carries weights along, so each arc gets its place and the sums of
+   leaves and savings over all places before it.
 
 Defined results: a null turn number comes first; turns equal in number stand in
 the order of role and text, repeated rows are turns of their own; null role or
@@ -42,6 +43,8 @@ from .ordered import running_sums
 LOT = 256
 #: Nodes whose arcs are joined into chains in one task, at most.
 RANGE_NODES = 1 << 17
+#: Chains that one task joins at the end.
+LAST_CHAINS = 1 << 16
 #: Conversation ids that are written out as one piece of text.
 IDS_A_PIECE = 1024
 
@@ -128,29 +131,32 @@ def _with_parents(nodes: DataFrame) -> DataFrame:
                  .join(parents, ["up_depth", "up_p", "up_q", "lot"], "left"), "nodes")
 
 
-def euler_arcs(nodes: DataFrame) -> DataFrame:
-    """``id`` and ``next`` of two arcs a node (``no``, ``parent``, ``child_no``, ``n_children``).
+def euler_arcs(nodes: DataFrame, values: dict[str, Column]) -> DataFrame:
+    """``id``, ``next`` and the named values of two arcs a node (``no``, ``parent``, ``child_no``, ``n_children``).
 
     Arc ``2 * no`` enters a node and ``2 * no + 1`` leaves it; the last arc,
-    which leaves the root, has a null ``next``.
+    which leaves the root, has a null ``next``.  A node's values are on the arc
+    that leaves it.
     """
     enter, leave = F.col("no") * 2, F.col("no") * 2 + 1
+    none = [F.lit(0).cast("long").alias(k) for k in values]
     to_first = nodes.where((F.col("child_no") == 0) & F.col("parent").isNotNull()).select(
-        (F.col("parent") * 2).alias("id"), enter.alias("next"))
-    turn_back = nodes.where(F.col("n_children") == 0).select(enter.alias("id"), leave.alias("next"))
+        (F.col("parent") * 2).alias("id"), enter.alias("next"), *none)
+    turn_back = nodes.where(F.col("n_children") == 0).select(enter.alias("id"), leave.alias("next"), *none)
     sibling = nodes.select("parent", (F.col("child_no") - 1).alias("child_no"), F.col("no").alias("sibling"))
-    onward = nodes.join(sibling, ["parent", "child_no"], "left").select(
-        leave.alias("id"), F.coalesce(F.col("sibling") * 2, F.col("parent") * 2 + 1).alias("next"))
+    onward = (nodes.select("no", "parent", "child_no", *(v.cast("long").alias(k) for k, v in values.items()))
+              .join(sibling, ["parent", "child_no"], "left")
+              .select(leave.alias("id"), F.coalesce(F.col("sibling") * 2, F.col("parent") * 2 + 1).alias("next"), *values))
     return to_first.union(turn_back).union(onward)
 
 
-def _chains(ids: np.ndarray, after: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Join sorted arcs into chains: per arc its chain's head and its place in it; per chain head, length and next arc (-1: none)."""
+def _chains(ids: np.ndarray, after: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Join sorted elements into chains: per element the index of its chain's tail, the steps to it, and whether it is a head."""
     n = len(ids)
     at = np.minimum(np.searchsorted(ids, after), n - 1)
     here = ids[at] == after
     tail = np.where(here, at, np.arange(n))
-    left = here.astype(np.int64)  # steps to the tail
+    left = here.astype(np.int64)
     while True:
         further = tail[tail]
         if (further == tail).all():
@@ -159,55 +165,88 @@ def _chains(ids: np.ndarray, after: np.ndarray) -> tuple[np.ndarray, ...]:
         tail = further
     heads = np.ones(n, dtype=bool)
     heads[at[here]] = False
-    head_of_tail = np.empty(n, dtype=np.int64)
-    head_of_tail[tail[heads]] = np.flatnonzero(heads)
-    head = head_of_tail[tail]
-    return ids[head], left[head] - left, np.flatnonzero(heads), left[heads] + 1, after[tail[heads]]
+    return tail, left, heads
 
 
-def rank_list(arcs: DataFrame, n_arcs: int) -> DataFrame:
-    """``id`` and ``place`` (from 0) of the arcs of one list (``id``, ``next``; null at its end)."""
-    spark = arcs.sparkSession
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), n_arcs // (2 * RANGE_NODES) + 1)
-
-    def join_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = [(b.column(0).to_numpy(), b.column(1).fill_null(-1).to_numpy()) for b in batches if b.num_rows]
+def _join_chains(weights: list[str]):
+    """A function of a partition's elements (``id``, ``next``, weights) that adds ``head`` and, in the chain, the sums
+    before each element; heads get the chain's ``onward`` element and its ``total_`` weights."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got = [b for b in batches if b.num_rows]
         if not got:
             return
-        ids, after = (np.concatenate(x) for x in zip(*got))
-        order = np.argsort(ids, kind="stable")
-        ids, after = ids[order], after[order]
-        head, place, at, length, onward = _chains(ids, after)
-        lengths, nexts = np.zeros(len(ids), dtype=np.int64), np.full(len(ids), -1)
-        lengths[at], nexts[at] = length, onward
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(x) for x in (ids, head, place, lengths)] + [pa.array(nexts, mask=nexts < 0)],
-            names=["id", "head", "at", "length", "next"])
-
-    joined = stage(arcs.repartitionByRange(parts, "id").mapInArrow(
-        join_up, "id bigint, head bigint, at bigint, length bigint, next bigint"), "chains")
-    chains = stage(joined.where(F.col("id") == F.col("head"))
-                   .select("id", "next", F.col("length").alias("to_end")), "list")
-    while chains.where(F.col("next").isNotNull()).limit(1).count():
-        ahead = chains.select(F.col("id").alias("next"), F.col("next").alias("next2"), F.col("to_end").alias("more"))
-        chains = stage(chains.join(ahead, "next", "left").select(
-            "id", F.col("next2").alias("next"), (F.col("to_end") + F.coalesce("more", F.lit(0))).alias("to_end")), "list")
-    starts = chains.select(F.col("id").alias("head"), (F.lit(n_arcs) - F.col("to_end")).alias("start"))
-    return (lookup_join(joined.select("id", "head", "at"), starts, ["head"], "inner", chains.count())
-            .select("id", (F.col("start") + F.col("at")).alias("place")))
+        rows = pa.Table.from_batches(got).sort_by("id")
+        ids = rows["id"].to_numpy()
+        after = rows["next"].fill_null(-1).to_numpy()
+        tail, left, heads = _chains(ids, after)
+        order = np.lexsort((-left, tail))  # chain by chain, from head to tail
+        head_at = np.flatnonzero(heads[order])
+        size = np.diff(np.append(head_at, len(ids)))
+        head = np.empty(len(ids), dtype=np.int64)
+        head[order] = np.repeat(ids[order][head_at], size)
+        columns = [rows["id"], pa.chunked_array([head])]
+        totals = []
+        for w in weights:
+            x = rows[w].to_numpy()[order]
+            before = np.cumsum(x) - x
+            own = np.empty(len(ids), dtype=np.int64)
+            own[order] = before - np.repeat(before[head_at], size)
+            total = np.zeros(len(ids), dtype=np.int64)
+            total[order[head_at]] = np.add.reduceat(x, head_at)
+            columns += [rows[w], pa.chunked_array([own])]
+            totals.append(pa.chunked_array([total]))
+        onward = np.full(len(ids), -1)
+        onward[order[head_at]] = after[tail[order[head_at]]]
+        table = pa.table([*columns, *totals, pa.chunked_array([pa.array(onward, mask=onward < 0)])],
+                         names=[n.partition(" ")[0] for n in _chain_schema(weights).split(", ")])
+        yield from table.combine_chunks().to_batches()
+
+    return run
+
+
+def _chain_schema(weights: list[str]) -> str:
+    names = ["id", "head", *(c for w in weights for c in (w, f"before_{w}")), *(f"total_{w}" for w in weights), "onward"]
+    return ", ".join(f"{n} bigint" for n in names)
+
+
+def list_sums(elements: DataFrame, weights: list[str], n: int) -> DataFrame:
+    """The ``n`` elements of one list (``id``, ``next``, null at its end, and weights) with the sums ``before_`` each
+    of them in the list's order."""
+    spark = elements.sparkSession
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), n // (2 * RANGE_NODES) + 1)
+    joined = stage(elements.repartitionByRange(parts, "id").mapInArrow(_join_chains(weights), _chain_schema(weights)), "chains")
+    chains = stage(joined.where(F.col("id") == F.col("head")).select(
+        "id", F.col("onward").alias("next"), *(F.col(f"total_{w}").alias(w) for w in weights)), "list")
+    m = chains.count()
+    if m <= LAST_CHAINS:
+        starts = chains.repartition(1).mapInArrow(_join_chains(weights), _chain_schema(weights))
+    elif 2 * m <= n:
+        starts = list_sums(chains, weights, m)
+    else:
+        starts = _doubled(chains, weights)
+    starts = starts.select(F.col("id").alias("head"), *(F.col(f"before_{w}").alias(f"start_{w}") for w in weights))
+    return (lookup_join(joined, stage(starts, "starts"), ["head"], "inner", m)
+            .select("id", *weights, *((F.col(f"start_{w}") + F.col(f"before_{w}")).alias(f"before_{w}") for w in weights)))
+
+
+def _doubled(elements: DataFrame, weights: list[str]) -> DataFrame:
+    """Sums before each element of a list by pointer doubling: every round, an element adds what the one it points to
+    has added up, and points where that one points."""
+    totals = elements.agg(*(F.sum(w).alias(w) for w in weights)).first()
+    while elements.where(F.col("next").isNotNull()).limit(1).count():
+        ahead = elements.select(F.col("id").alias("next"), F.col("next").alias("next2"), *(F.col(w).alias(f"more_{w}") for w in weights))
+        elements = stage(elements.join(ahead, "next", "left").select(
+            "id", F.col("next2").alias("next"), *((F.col(w) + F.coalesce(f"more_{w}", F.lit(0))).alias(w) for w in weights)), "list")
+    return elements.select("id", *((F.lit(totals[w]) - F.col(w)).alias(f"before_{w}") for w in weights))
 
 
 def subtree_sums(nodes: DataFrame, values: dict[str, Column]) -> DataFrame:
     """``no`` and, for each ``name -> value`` of a node, the sum over its subtree, itself included."""
-    arcs = stage(euler_arcs(nodes), "arcs")
-    places = rank_list(arcs, arcs.count())
-    entering = nodes.select((F.col("no") * 2).alias("id"), *(v.cast("long").alias(f"__{k}") for k, v in values.items()))
-    weighted = stage(places.join(entering, "id", "left").fillna(0, [f"__{k}" for k in values])
-                     .withColumn("__one", F.lit(0)), "places")
-    summed = running_sums(weighted, ["__one"], ["place"], "__rank", {k: f"__{k}" for k in values})
+    arcs = stage(euler_arcs(nodes, values).withColumn("place", F.lit(1).cast("long")), "arcs")
+    summed = list_sums(arcs, ["place", *values], arcs.count())
     leaving = F.col("id") % 2 == 1
-    return summed.groupBy(F.expr("id div 2").alias("no")).agg(
-        *(F.sum(F.when(leaving, F.col(k)).otherwise(-F.col(k))).alias(k) for k in values))
+    return summed.groupBy(F.expr("id div 2").alias("no")).agg(*(
+        F.sum(F.when(leaving, F.col(f"before_{k}") + F.col(k)).otherwise(-F.col(f"before_{k}"))).alias(k) for k in values))
 
 
 def _end_hashes(prefixes: DataFrame, convs: DataFrame) -> DataFrame:
@@ -216,10 +255,9 @@ def _end_hashes(prefixes: DataFrame, convs: DataFrame) -> DataFrame:
     Ids are written out in pieces of ``IDS_A_PIECE``; a node's pieces then pass
     through one running hash, which holds no more than a piece.
     """
-    zero = F.lit(0).cast("long")
-    last = prefixes.groupBy("conv").agg(F.max(F.struct(*_KEY)).alias("k")).select("conv", "k.*")
-    ends = stage(convs.join(last, "conv", "left").select(F.col("conv"), *(F.coalesce(k, zero).alias(k) for k in _KEY)), "ends")
-    ranked = running_sums(ends, _KEY, ["conv"], "rank")
+    none = convs.select("conv", *(F.lit(0).cast("long").alias(k) for k in _KEY))
+    ends = prefixes.select("conv", *_KEY).union(none).groupBy("conv").agg(F.max(F.struct(*_KEY)).alias("k")).select("conv", "k.*")
+    ranked = running_sums(stage(ends, "ends"), _KEY, ["conv"], "rank")
     pieces = (ranked.groupBy(*_KEY, F.expr(f"rank div {IDS_A_PIECE}").alias("piece"))
               .agg(F.array_join(F.transform(F.sort_array(F.collect_list("conv")), lambda x: x.cast("string")), ",").alias("ids")))
 
