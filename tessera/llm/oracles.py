@@ -78,5 +78,119 @@ FROM pages LEFT JOIN kept USING (r)
 """
 
 
+def _crc32(text: str) -> str:
+    """SQL for the unsigned crc32 of an ASCII text, bit by bit."""
+    byte = ("list_reduce(list_prepend(xor(crc, ch), range(8)), "
+            "lambda v, k: CASE WHEN v % 2 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END)")
+    chars = f"list_transform(string_split({text}, ''), lambda x: ascii(x)::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {chars}), lambda crc, ch: {byte}), 4294967295)"
+
+
+def _field(column: str) -> str:
+    return f"coalesce(strlen({column}::VARCHAR) || ':' || {column}::VARCHAR, '-')"
+
+
+def _tree(prefix: str, levels: int) -> str:
+    """CTEs ``prefix_nodes0..levels`` (g, i, digest) and ``prefix_runs0..`` (g, p, ds, n) above ``prefix_nodes0``."""
+    out = []
+    for k in range(levels):
+        out.append(f"""
+{prefix}_runs{k} AS (
+  SELECT g, i // 16 AS p, list(digest ORDER BY i) AS ds, max(n) AS n
+  FROM (SELECT *, count(*) OVER (PARTITION BY g) AS n FROM {prefix}_nodes{k}) GROUP BY g, i // 16),
+{prefix}_nodes{k + 1} AS (
+  SELECT g, p AS i, CASE WHEN n > 1 THEN sha256(array_to_string(ds, '')) ELSE ds[1] END AS digest FROM {prefix}_runs{k}),""")
+    return "".join(out)
+
+
+def _climb(prefix: str, levels: int, start: str) -> str:
+    """CTEs that carry ``start`` (r, g, i, folded, proof) up the levels of a tree."""
+    out, before = [], start
+    for k in range(levels):
+        out.append(f"""
+{prefix}_at{k + 1} AS (
+  SELECT r, s.g, s.i // 16 AS i,
+         CASE WHEN n = 1 THEN folded ELSE sha256(array_to_string(ds[:s.i % 16], '') || folded || array_to_string(ds[s.i % 16 + 2:], '')) END AS folded,
+         CASE WHEN n = 1 THEN proof ELSE proof || array_to_string(ds[:s.i % 16], '') || array_to_string(ds[s.i % 16 + 2:], '') END AS proof
+  FROM {before} s JOIN {prefix}_runs{k} u ON s.g = u.g AND s.i // 16 = u.p),""")
+        before = f"{prefix}_at{k + 1}"
+    return "".join(out)
+
+
+#: 16 ** 8 rows a source and sources.
+_LEVELS = 8
+OP11 = f"""
+WITH hashed AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce('=' || source, '') AS g,
+         sha256({" || ".join(map(_field, ("doc_id", "source", "lang", "n_chars", "text")))}) AS leaf,
+         CASE WHEN {_crc32("doc_id::VARCHAR")} % 5 = 0 THEN sha256(
+           {" || ".join(map(_field, ("doc_id", "source", "lang", "n_chars")))} ||
+           {_field("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")}) END AS tampered
+  FROM documents),
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf, tampered NULLS FIRST) - 1 AS i FROM hashed),
+low_nodes0 AS (SELECT g, i, leaf AS digest FROM leaves),{_tree("low", _LEVELS)}
+subroots AS (SELECT g, digest AS subroot, row_number() OVER (ORDER BY g) - 1 AS i FROM low_nodes{_LEVELS}),
+top_nodes0 AS (SELECT 0 AS g, i, subroot AS digest FROM subroots),{_tree("top", _LEVELS)}
+low_at0 AS (SELECT r, g, i, coalesce(tampered, leaf) AS folded, '' AS proof FROM leaves),{_climb("low", _LEVELS, "low_at0")}
+top_at0 AS (SELECT r, 0 AS g, subroots.i, folded, proof FROM low_at{_LEVELS} l JOIN subroots ON l.g = subroots.g),{_climb("top", _LEVELS, "top_at0")}
+root AS (SELECT digest AS root FROM top_nodes{_LEVELS})
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = root AS verified
+FROM leaves JOIN subroots USING (g) JOIN top_at{_LEVELS} t ON leaves.r = t.r, root
+"""
+
+OP12 = f"""
+WITH turns AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS k
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (SELECT DISTINCT c, c - c % 5 AS base, {_crc32("c::VARCHAR")} % 9 AS h FROM turns),
+rebuilt AS (
+  SELECT convs.c, 0 AS part, k, role, text FROM convs JOIN turns ON turns.c = base AND k < h
+  UNION ALL SELECT convs.c, 1, k, role, text FROM convs JOIN turns ON turns.c = convs.c AND k >= h),
+placed AS (SELECT c, row_number() OVER (PARTITION BY c ORDER BY part, k) AS depth, role, text FROM rebuilt),
+prefixes AS (
+  SELECT c, depth, string_agg(sha256(strlen(role) || ':' || role || text), '') OVER (
+           PARTITION BY c ORDER BY depth ROWS UNBOUNDED PRECEDING) AS p, strlen(text) AS n_bytes FROM placed
+  UNION ALL SELECT c, 0, '', 0 FROM convs),
+nodes AS (SELECT p, depth, min(c) AS conv_id, count(*) AS n_convs, min(n_bytes) AS n_bytes FROM prefixes GROUP BY p, depth),
+kids AS (SELECT p[:64 * (depth - 1)] AS p, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1),
+sums AS (
+  SELECT above AS p, count(*) FILTER (kid IS NULL) AS n_leaves, sum((n_convs - 1) * n_bytes)::BIGINT AS saved_tokens
+  FROM (SELECT n.*, kids.n AS kid, p[:64 * unnest(range(0, depth + 1))] AS above FROM nodes n LEFT JOIN kids USING (p)) GROUP BY above),
+ends AS (
+  SELECT p, string_agg(c::VARCHAR, ',' ORDER BY c) AS ids
+  FROM (SELECT c, arg_max(p, depth) AS p FROM prefixes GROUP BY c) GROUP BY p)
+SELECT n.conv_id, n.depth, up.conv_id AS parent_conv_id, n.n_convs, coalesce(kids.n, 0) AS n_children, n_leaves, saved_tokens,
+       sha256(coalesce(ids, '')) AS ends_sha256
+FROM nodes n JOIN sums USING (p) LEFT JOIN kids USING (p) LEFT JOIN ends USING (p)
+LEFT JOIN nodes up ON up.depth = n.depth - 1 AND up.p = n.p[:64 * (n.depth - 1)]
+"""
+
+_WORDS = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+          r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
+OP13 = f"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS words FROM documents),
+items AS (SELECT item_id, {_WORDS} AS words FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, m, array_to_string(words[k:k + m - 1], ' ') AS w
+  FROM (SELECT *, unnest(range(1, len(words) - m + 2)) AS k
+        FROM (SELECT *, least(len(words), 10) AS m FROM items WHERE len(words) > 0))),
+found AS (
+  SELECT r, k, m, item_id
+  FROM (SELECT r, m, k, array_to_string(words[k:k + m - 1], ' ') AS w
+        FROM (SELECT r, words, m, unnest(range(1, len(words) - m + 2)) AS k FROM docs, (SELECT DISTINCT m FROM windows)))
+  JOIN windows USING (m, w)),
+hit AS (SELECT r, count(DISTINCT word) AS n FROM (SELECT r, k + unnest(range(m)) AS word FROM found) GROUP BY r),
+listed AS (
+  SELECT r, count(*) AS n, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT r, item_id::VARCHAR AS id FROM found WHERE item_id IS NOT NULL) GROUP BY r)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(hit.n, 0) AS n_hit, coalesce(listed.n, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(hit.n, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hit USING (r) LEFT JOIN listed USING (r)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op6_chat_views": OP6, "op7_quality_rules": OP7, "op9_line_dedup": OP9}
+    return {"op6_chat_views": OP6, "op7_quality_rules": OP7, "op9_line_dedup": OP9, "op11_merkle_manifest": OP11,
+            "op12_prefix_trie": OP12, "op13_decontamination": OP13}
