@@ -42,7 +42,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import lookup_join, stage, text_blocks
+from .common import lookup_join, stage, text_lots
 from .components import connected_components
 
 COUNT_BITS = 20
@@ -51,7 +51,7 @@ BITMAP_WORDS = 32   # 64-bit words of a parity bitmap
 MAX_MATCHES = 4     # longest prefix: this many shared shingles are asked for
 #: Cost of verifying a candidate against that of reading one entry of a shingle's list.
 VERIFY_COST = 8.0
-WORD_ENTRIES = 500_000
+WORD_ENTRIES = 100_000
 
 
 class _WordHashes(dict):
@@ -90,9 +90,10 @@ def _shingle_counts(docs: DataFrame, n: int) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << COUNT_BITS, dtype=np.int64)
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                cells = (shingles(text_words(text), n) >> np.uint64(64 - COUNT_BITS)).astype(np.int64)
-                np.add.at(counts, cells, 1)
+            for _, texts in text_lots(batch.column(0)):
+                for text in texts:
+                    cells = (shingles(text_words(text), n) >> np.uint64(64 - COUNT_BITS)).astype(np.int64)
+                    np.add.at(counts, cells, 1)
         rows = counts.reshape(-1, LANES)
         used = np.flatnonzero(rows.any(axis=1))
         yield pa.RecordBatch.from_arrays([pa.array(used), *(pa.array(rows[used, k]) for k in range(LANES))],
@@ -152,7 +153,7 @@ def prefix_table(docs: DataFrame, id_col: str, text_col: str, n: int, percent: i
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = sent.value
         for batch in batches:
-            for first, texts in text_blocks([t or "" for t in batch.column(1).to_pylist()], 4 << 20):
+            for first, texts in text_lots(batch.column(1)):
                 digests, sizes, needs, prefixes, bits = [], [], [], [], []
                 for text in texts:
                     words = text_words(text)
@@ -183,7 +184,7 @@ def shingle_sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, n:
     """``id`` and ``shingles`` of the documents with these ids."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, texts in text_blocks([t or "" for t in batch.column(1).to_pylist()], 4 << 20):
+            for first, texts in text_lots(batch.column(1)):
                 sets = [shingles(text_words(t), n).view(np.int64) for t in texts]
                 ends = np.cumsum([0, *map(len, sets)])
                 yield pa.RecordBatch.from_arrays(

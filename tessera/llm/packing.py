@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .agenda import PairAgendas
-from .common import ChunkCache, stage, text_blocks
+from .common import WordValues, stage, text_lots
 
 CAPACITY = 2048
 CLOSING_ID = 0
@@ -70,7 +70,7 @@ class ByteBpe:
             (vocab[a], vocab[b], k, vocab[a + b]) for k, (a, b) in enumerate(merges)])
         stand_in = self._byte_characters(pre_tokenizers.ByteLevel.alphabet())
         self.byte_ids = np.array([vocab[stand_in[b]] for b in range(256)], dtype=np.int64)
-        self.cache = ChunkCache(self.encode_words)
+        self.cache = WordValues(self.encode_words)
 
     @staticmethod
     def _byte_characters(alphabet: list[str]) -> dict[int, str]:
@@ -100,9 +100,7 @@ class ByteBpe:
     def encode_texts(self, texts: list[str]) -> list[bytes]:
         """Ids of whole texts as little-endian unsigned 32-bit integers."""
         lists = [[] if any(a in t for a in self.added) else self.words(t) for t in texts]
-        self.cache.fill(lists)
-        return [b"".join(map(self.cache.__getitem__, w)) if w or not t else self.whole(t)
-                for t, w in zip(texts, lists)]
+        return [b"".join(v) if v or not t else self.whole(t) for t, v in zip(texts, self.cache.of(lists))]
 
 
 @functools.lru_cache(maxsize=2)
@@ -122,8 +120,9 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
         bpe = tokenizer(tokenizer_path)
         closing = np.array([CLOSING_ID], dtype="<u4").tobytes()
         for batch in batches:
-            for first, texts in text_blocks([t or "" for t in batch.column(1).to_pylist()]):
+            for first, texts in text_lots(batch.column(1)):
                 part = batch.slice(first, len(texts))
+                texts = [t or "" for t in texts]
                 rows: list[int] = []
                 cols: list[list] = [[], [], [], [], []]
                 for row, raw in enumerate(bpe.encode_texts(texts)):
@@ -139,8 +138,8 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
                 out = [part.column(0).take(pa.array(rows, pa.int64())), pa.array(cols[0], pa.int32()),
                        *(pa.array(c, pa.int64()) for c in cols[1:4])]
                 if with_ids:
-                    out.append(pa.array([np.frombuffer(b, dtype="<u4").tolist() for b in cols[4]],
-                                        pa.list_(pa.int32())))
+                    ends = np.cumsum([0, *cols[2]], dtype=np.int32)
+                    out.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(cols[4]), dtype="<i4"))))
                 yield pa.RecordBatch.from_arrays(
                     out, names=["id", "piece", "start", "length", "ids_crc32", "ids"][:len(out)])
 
