@@ -46,8 +46,8 @@ def privacy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents in sequences of 2048 tokens."""
-    return packing.pack_documents(docs, tokenizer_file("byte_bpe_50k.json"), with_ids=False)
+    """The pieces of all documents in sequences of 2048 tokens, with their token ids."""
+    return packing.pack_documents(docs, tokenizer_file("byte_bpe_50k.json"))
 
 
 STAGES = [
