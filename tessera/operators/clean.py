@@ -2,8 +2,8 @@
 
 Order is fixed: strip, null-out junk, drop nulls, keep-first dedup, then the
 per-text cleaning, tokenization, lemmas, stop words, token filters, and the
-removal of documents left empty.  Only the dedup shuffles; everything else is
-a row-local expression.
+removal of documents left empty.  Only the dedup shuffles (digests and ids, not
+texts); everything else is a row-local expression.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..config import CleanConfig
 from ..functions import text as T
 from ..functions.lexicon import JUNK_LITERALS, stopword_list
+from ..plans.joins import join_small
 
 NORMALIZED = "_normalized"
 CLEAN = "narrative_clean"
@@ -61,22 +62,33 @@ def drop_null_text(df: DataFrame, text_col: str) -> DataFrame:
 
 
 def dedup_keep_first(df: DataFrame, text_col: str, id_col: str = "doc_id") -> DataFrame:
-    """Exact dedup on the text, keeping the row with the smallest id.
-
-    One aggregate keyed by the text: ``min(struct(id, ...))`` picks the first
-    row and combines map-side, so a text repeated across a third of the corpus
-    arrives at its reducer as one row per map task, never as a hot group.
+    """Exact dedup on the text, keeping the row with the smallest id (a null id is the smallest).
+
+    Texts are told apart by md5, a second 64-bit hash and their length.  Only
+    these and the id are shuffled: one row for every (digest, id), and their
+    least id by digest, both combined map-side, so a text that a third of the
+    corpus repeats is one row a map task.  The rows that go are then taken out
+    of the table by an anti-join, which is broadcast if they are few (measured)
+    and keyed by (digest, id) otherwise: no hot key either way.  Rows that share
+    text and id are brought together on their own.
     """
-    others = [c for c in df.columns if c != text_col]
-    if id_col not in others:
+    if id_col not in df.columns or id_col == text_col:
         raise KeyError(f"id column '{id_col}' not found")
-    ordered = [id_col] + [c for c in others if c != id_col]
-    # Grouping on (hash, text): the sort behind the struct aggregate compares
-    # longs first and whole texts only on hash ties (i.e. real duplicates).
-    kept = (df.groupBy(F.xxhash64(text_col).alias("_h"), F.col(text_col))
-            .agg(F.min(F.struct(*ordered)).alias("_first")))
-    return kept.select(*[F.col(f"_first.{c}").alias(c) for c in ordered], text_col) \
-               .select(*df.columns)
+    text = F.col(text_col)
+    digest = ["_md5", "_hash", "_length"]
+    marked = df.withColumns({"_md5": F.coalesce(F.md5(text.cast("binary")), F.lit("")), "_hash": F.xxhash64(F.lit(7), text),
+                             "_length": F.coalesce(F.length(text), F.lit(-1)), "_id": F.struct(F.col(id_col))})
+    pairs = marked.groupBy(*digest, "_id").agg(F.count(F.lit(1)).alias("_n")).checkpoint(eager=True)
+    first = pairs.groupBy(*digest).agg(F.min("_id").alias("_id"))
+    later = pairs.join(first, [*digest, "_id"], "left_anti").select(*digest, "_id").checkpoint(eager=True)
+    kept = join_small(marked, later, [*digest, "_id"], "left_anti")
+    twice = pairs.filter(F.col("_n") > 1).select(*digest, "_id").join(first, [*digest, "_id"], "left_semi").checkpoint(eager=True)
+    if not twice.limit(1).count():
+        return kept.select(df.columns)
+    others = [c for c in df.columns if c != text_col]
+    again = (join_small(kept, twice, [*digest, "_id"], "left_semi").groupBy(*digest, "_id")
+             .agg(F.min(F.struct(*others, text_col)).alias("_row")).select("_row.*"))
+    return join_small(kept, twice, [*digest, "_id"], "left_anti").select(df.columns).unionByName(again.select(df.columns))
 
 
 def normalize_text(df: DataFrame, text_col: str, out_col: str = NORMALIZED,
@@ -103,7 +115,6 @@ def lemmatize(df: DataFrame, in_col: str = "_tokens", out_col: str = "_lemmas",
     """
     if dictionary is None:
         return df.withColumn(out_col, T.lemmatize_tokens(in_col))
-    from ..plans.joins import join_small
     exploded = (df.select(key, F.posexplode_outer(in_col).alias("_pos", "form"))
                 .filter(F.col("form").isNotNull()))
     # one lemma per form, the first in order: a form listed twice must not double its tokens

@@ -85,3 +85,17 @@ def test_user_lemma_dictionary(spark):
     assert out[0] == "open account"            # "say" is a stop word
     assert out[2] == "company open"
     assert 1 not in out
+
+
+def test_dedup_of_copies_nulls_and_shared_ids(spark):
+    rows = [(3, "hot", "c")] * 2 + [(i, "hot", "x") for i in range(5, 300)] + [
+        (1, "A", "p"), (1, "B", "q"), (0, "B", "r"), (None, "C", "s"), (9, "C", "t"), (7, None, "u"), (8, None, "v"),
+        (4, "D", "z"), (4, "D", "y"), (2, "", "w"), (11, "", "w")]
+    df = spark.createDataFrame(rows, "doc_id long, t string, _n string").repartition(5)
+    got = C.dedup_keep_first(df, "t")
+    assert got.columns == df.columns
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(
+        [(3, "hot", "c"), (1, "A", "p"), (0, "B", "r"), (None, "C", "s"), (7, None, "u"), (4, "D", "y"), (2, "", "w")], key=str)
+    assert C.dedup_keep_first(df.limit(0), "t").count() == 0
+    with pytest.raises(KeyError):
+        C.dedup_keep_first(df, "t", "nowhere")
