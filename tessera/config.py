@@ -38,9 +38,11 @@ class TopicConfig:
     learning_method: str = "batch"       # LDA: "batch" | "online"
     learning_decay: float = 0.7
     normalize_doc_topics: bool = True    # LSA
-    n_oversamples: int = 10              # LSA randomized range finder
-    svd_tol: float = 1e-12               # LSA: stop once 1 - |cos| of every
-                                         # component between passes is below this
+    n_oversamples: int = 20              # LSA: columns of a Krylov block beyond n_topics
+    svd_tol: float = 1e-5                # LSA: passes end once the residuals of all pairs, as a share of
+                                         # the largest eigenvalue, are below this (values: its square)
+    mini_batches: int = 8                # online LDA: lots that documents are dealt into, one update each a pass
+    learning_offset: float = 10.0        # online LDA: delays the decay
 
 
 @dataclass(frozen=True)

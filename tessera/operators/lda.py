@@ -1,16 +1,20 @@
-"""LDA on bag-of-words counts (T1..T6).
-
-``learning_method="batch"`` is batch variational Bayes: every pass reads every
-document exactly once.  A pass is one job: the topics are broadcast (k times the
-vocabulary), each task fits its documents a block of entries at a time, and the
-expected counts of topics and terms are summed by term, so k numbers a term
-reach the driver, however many documents there are.  Priors are 1/k and are not
+"""LDA on bag-of-words counts (T1..T6), by variational Bayes.
+
+``learning_method="batch"``: every pass reads every document exactly once and
+then replaces the topics.  ``"online"``: documents are dealt once into
+``mini_batches`` lots by a hash of their id; a pass reads one lot after the
+other, every document exactly once, and each lot moves the topics by a step
+``(learning_offset + t) ** -learning_decay`` towards what the lot, scaled to the
+corpus, says.  Both share the fit of the documents.
+
+A fit is one job: the topics are broadcast (k times the vocabulary), each task
+fits its documents a block of entries at a time, and the expected counts of
+topics and terms are summed in blocks of terms, so k numbers a term reach the
+driver, however many documents there are.  Priors are 1/k and are not
 re-estimated.  A seed gives the same start whatever the partitions.
 
-``learning_method="online"`` is Spark ML's online optimizer on mini batches of
-128 documents.  Count vectors come from ``CountVectorizerModel`` on the fitted
-vocabulary (JVM-side, one row per document, no shuffle).  Documents with no
-vocabulary term get the uniform distribution 1/k.
+Counts are sparse rows ``(doc_id, ids, values)``.  Documents with no vocabulary
+term get the uniform distribution 1/k.
 """
 
 from __future__ import annotations
@@ -21,29 +25,30 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.clustering import LDA
-from pyspark.ml.feature import CountVectorizerModel
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.linalg import DenseMatrix, VectorUDT
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import DenseMatrix
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import TopicConfig
-from .vectorize import Vocabulary
+from ..session import scratch_path
+from .vectorize import PARTIAL_TASKS, Vectorized, Vocabulary, count_rows
 
-BATCH_SIZE = 128
 #: Entries of the count matrix that a task fits at a time.
 BLOCK_ENTRIES = 100_000
 #: Documents a task fits; the partitions follow the data, not the cluster, so that a seed gives one result.
 DOCS_PER_TASK = 1024
 DOC_PASSES, DOC_TOLERANCE = 100, 1e-3
+#: Terms whose expected counts travel in one row.
+BLOCK_TERMS = 512
 
 
-def check_counts(vectors: DataFrame) -> None:
-    """The input must have ``doc_id`` and a vector column ``features``."""
-    fields = {f.name: f.dataType for f in vectors.schema.fields}
-    if "doc_id" not in fields or not isinstance(fields.get("features"), VectorUDT):
-        raise TypeError("topic models need the columns doc_id and features (vectors of counts)")
+def check_counts(rows: DataFrame) -> None:
+    """The input must have ``doc_id`` and the sparse counts ``ids`` and ``values``."""
+    fields = dict(rows.dtypes)
+    if "doc_id" not in fields or fields.get("ids") != "array<int>" or fields.get("values") != "array<double>":
+        raise TypeError("topic models need the columns doc_id, ids array<int> and values array<double>")
 
 
 def digamma(x: np.ndarray) -> np.ndarray:
@@ -58,39 +63,46 @@ def digamma(x: np.ndarray) -> np.ndarray:
     return out + np.log(x) - 0.5 / x - inverse * (1 / 12 - inverse * (1 / 120 - inverse / 252))
 
 
-def _expected_logs(weights: np.ndarray) -> np.ndarray:
-    return np.exp(digamma(weights) - digamma(weights.sum(axis=1))[:, None])
+def _expected_logs(weights: np.ndarray, axis: int = 1) -> np.ndarray:
+    return np.exp(digamma(weights) - digamma(weights.sum(axis=axis, keepdims=True)))
 
 
 def _fit_block(of: np.ndarray, terms: np.ndarray, counts: np.ndarray, n_docs: int,
                topics: np.ndarray, alpha: float) -> tuple[np.ndarray, np.ndarray]:
-    """Document weights (n_docs x k) and, per entry, its count over the topics before the topic factor."""
+    """Document weights (k x n_docs) and, per entry, its count over the topics (k x entries) before the topic factor.
+
+    A document is fitted until its weights move by less than the tolerance.
+    Settled documents keep their weights; their entries are dropped once they
+    are half of those at work, so that most rounds copy nothing.
+    """
     k = topics.shape[0]
-    by_entry = np.ascontiguousarray(topics[:, terms].T)
+    by_entry = topics[:, terms]
     starts = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
-    docs = of[starts]
-    gamma = np.ones((n_docs, k))
-    gamma[:] = alpha
-    gamma[docs] = 1.0
+    docs, sizes = of[starts], np.diff(np.r_[starts, len(of)])
+    gamma = np.full((k, n_docs), alpha)
+    gamma[:, docs] = 1.0
+    weights, entry, count = gamma[:, docs], by_entry, counts
     live = np.ones(len(docs), dtype=bool)
-    sizes = np.diff(np.r_[starts, len(of)])
+    first, local = starts, np.repeat(np.arange(len(docs)), sizes)
     for _ in range(DOC_PASSES):
-        rows = docs[live]
-        pick = np.repeat(live, sizes)
-        factor = _expected_logs(gamma[rows])
-        local = np.repeat(np.arange(len(rows)), sizes[live])
-        entry = by_entry[pick]
-        share = counts[pick] / ((factor[local] * entry).sum(axis=1) + 1e-100)
-        first = np.r_[0, np.cumsum(sizes[live])[:-1]]
-        new = alpha + factor * np.add.reduceat(entry * share[:, None], first, axis=0)
-        moved = np.abs(new - gamma[rows]).mean(axis=1)
-        gamma[rows] = new
-        live[np.flatnonzero(live)] = moved >= DOC_TOLERANCE
-        if not live.any():
-            break
-    factor = _expected_logs(gamma)
-    share = counts / ((factor[of] * by_entry).sum(axis=1) + 1e-100)
-    return gamma, factor[of] * share[:, None]
+        factor = _expected_logs(weights, 0)
+        share = count / (np.einsum("ke,ke->e", factor[:, local], entry) + 1e-100)
+        new = alpha + factor * np.add.reduceat(entry * share, first, axis=1)
+        moved = np.abs(new - weights).mean(axis=0)
+        weights = np.where(live, new, weights)
+        live &= moved >= DOC_TOLERANCE
+        left = int(sizes[live].sum())
+        if 2 * left <= len(count):
+            gamma[:, docs] = weights
+            if not left:
+                break
+            pick = np.repeat(live, sizes)
+            docs, sizes, weights, entry, count = docs[live], sizes[live], weights[:, live], entry[:, pick], count[pick]
+            live = np.ones(len(docs), dtype=bool)
+            first, local = np.cumsum(sizes) - sizes, np.repeat(np.arange(len(docs)), sizes)
+    gamma[:, docs] = weights
+    factor = _expected_logs(gamma, 0)[:, of]
+    return gamma, factor * (counts / (np.einsum("ke,ke->e", factor, by_entry) + 1e-100))
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
@@ -111,13 +123,6 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
             first = last
 
 
-def _entries(vectors: DataFrame) -> DataFrame:
-    """``doc_id`` with the terms and counts of its vector."""
-    return vectors.select("doc_id", F.struct(F.col("features")).alias("v")).select(
-        "doc_id", F.from_json(F.to_json("v"), "features struct<indices:array<int>,values:array<double>>")["features"]
-        .alias("v")).select("doc_id", "v.indices", "v.values")
-
-
 @dataclass
 class BatchLda:
     """Topic-term weights (k x vocabulary) after the last pass."""
@@ -139,123 +144,167 @@ class BatchLda:
 
         def run(batches):
             for ids, of, terms, counts in _blocks(batches):
-                gamma = np.full((len(ids), len(sent.value)), alpha)
+                gamma = np.full((len(sent.value), len(ids)), alpha)
                 if len(of):
                     gamma, _ = _fit_block(of, terms, counts, len(ids), sent.value, alpha)
-                rows = gamma / gamma.sum(axis=1, keepdims=True)
+                rows = (gamma / gamma.sum(axis=0)).T
                 yield pa.RecordBatch.from_arrays([ids, pa.array(rows.tolist(), pa.list_(pa.float64()))],
                                                  names=["doc_id", "topics"])
 
         kind = dict(vectors.dtypes)["doc_id"]
-        return _entries(vectors).mapInArrow(run, f"doc_id {kind}, topics array<double>")
-
-
-def fit_batch(vectors: DataFrame, cfg: TopicConfig, n_terms: int) -> BatchLda:
-    """``n_iter`` passes of batch variational Bayes over ``vectors`` (a checkpointed table)."""
-    k = cfg.n_topics
-    prior = 1.0 / k
-    weights = np.random.default_rng(cfg.random_state).gamma(100.0, 0.01, (k, n_terms))
-    entries = _entries(vectors).persist()
-    columns = [f"s{i}" for i in range(k)]
+        return vectors.select("doc_id", "ids", "values").mapInArrow(run, f"doc_id {kind}, topics array<double>")
+
+
+def _expected_counts(rows: DataFrame, topics: np.ndarray, prior: float) -> tuple[np.ndarray, int]:
+    """Counts of topics and terms (k x vocabulary) that the documents are expected to have, and how many documents were read."""
+    k, n_terms = topics.shape
+    n_blocks = -(-n_terms // BLOCK_TERMS)
+    sent = rows.sparkSession.sparkContext.broadcast(topics)
+
+    def run(batches):
+        total = np.zeros((k, n_blocks * BLOCK_TERMS))
+        read = 0
+        for ids, of, terms, counts in _blocks(batches):
+            read += len(ids)
+            if len(of):
+                _, share = _fit_block(of, terms, counts, len(ids), sent.value, prior)
+                for i in range(k):
+                    total[i, :n_terms] += np.bincount(terms, share[i], n_terms)
+        blocks = np.ascontiguousarray(total.reshape(k, n_blocks, BLOCK_TERMS).transpose(1, 0, 2)).reshape(n_blocks, -1)
+        used = np.flatnonzero(blocks.any(axis=1))
+        # block -1 carries the number of documents
+        vectors = np.vstack([blocks[used], np.full((1, k * BLOCK_TERMS), float(read))])
+        ends = pa.array(np.arange(len(vectors) + 1, dtype=np.int32) * (k * BLOCK_TERMS))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.append(used, -1)), pa.ListArray.from_arrays(ends, pa.array(vectors.reshape(-1)))], names=["block", "sums"])
+
+    summed = (rows.mapInArrow(run, "block bigint, sums array<double>").groupBy("block")
+              .agg(Summarizer.sum(array_to_vector("sums")).alias("s")).select("block", vector_to_array("s").alias("s")).toArrow())
+    out, read = np.zeros((n_blocks, k, BLOCK_TERMS)), 0
+    for block, values in zip(summed["block"].to_pylist(), summed["s"]):  # model-sized
+        values = values.values.to_numpy(zero_copy_only=False)
+        if block < 0:
+            read = int(values[0])
+        else:
+            out[block] = values.reshape(k, BLOCK_TERMS)
+    sent.destroy()
+    return out.transpose(1, 0, 2).reshape(k, -1)[:, :n_terms], read
+
+
+def _start(cfg: TopicConfig, n_terms: int) -> np.ndarray:
+    return np.random.default_rng(cfg.random_state).gamma(100.0, 0.01, (cfg.n_topics, n_terms))
+
+
+def fit_batch(rows: DataFrame, cfg: TopicConfig, n_terms: int) -> BatchLda:
+    """``n_iter`` passes of batch variational Bayes over ``rows`` (a checkpointed table)."""
+    prior = 1.0 / cfg.n_topics
+    weights = _start(cfg, n_terms)
+    entries = rows.select("doc_id", "ids", "values").persist()
     for _ in range(max(1, cfg.n_iter)):
         topics = _expected_logs(weights)
-        sent = vectors.sparkSession.sparkContext.broadcast(topics)
-
-        def run(batches, sent=sent):
-            total = np.zeros((n_terms, k))
-            for ids, of, terms, counts in _blocks(batches):
-                if len(of):
-                    _, share = _fit_block(of, terms, counts, len(ids), sent.value, prior)
-                    for i in range(k):
-                        total[:, i] += np.bincount(terms, share[:, i], n_terms)
-            used = np.flatnonzero(total.any(axis=1))
-            yield pa.RecordBatch.from_arrays([pa.array(used), *(pa.array(total[used, i]) for i in range(k))],
-                                             names=["term_id", *columns])
-
-        got = (entries.mapInArrow(run, "term_id bigint, " + ", ".join(f"{c} double" for c in columns))
-               .groupBy("term_id").agg(*(F.sum(c).alias(c) for c in columns)).toArrow())
-        counts = np.zeros((k, n_terms))
-        if got.num_rows:
-            counts[:, got["term_id"].to_numpy()] = np.stack([got[c].to_numpy() for c in columns])
+        counts, _ = _expected_counts(entries, topics, prior)
         weights = prior + counts * topics
-        sent.destroy()
     entries.unpersist()
     return BatchLda(weights, prior)
 
 
+def lot_of(doc_id, lots: int):
+    """The mini batch of a document: the first 32 bits of its id's md5."""
+    digest = F.md5(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary"))
+    return F.pmod(F.conv(F.substring(digest, 1, 8), 16, 10).cast("long"), F.lit(lots)).cast("int")
+
+
+def deal(rows: DataFrame, lots: int, n_docs: int) -> str:
+    """Write ``rows`` into one folder a lot, once for all passes; returns the path."""
+    parts = max(1, min(PARTIAL_TASKS, math.ceil(n_docs / lots / DOCS_PER_TASK)))
+    path = scratch_path(rows.sparkSession, "lda-lots")
+    dealt = rows.select("doc_id", "ids", "values", lot_of("doc_id", lots).alias("lot"))
+    # by id inside a lot, so that a seed gives one result
+    (dealt.repartition(lots * parts, "lot", F.pmod(F.xxhash64("doc_id"), F.lit(parts))).sortWithinPartitions("lot", "doc_id")
+     .write.partitionBy("lot").parquet(path))
+    return path
+
+
+@dataclass
+class OnlineLda(BatchLda):
+    """Topic-term weights after the last update, with what made them."""
+
+    start: np.ndarray | None = None
+    steps: list[tuple[int, float, int]] | None = None   # lot, step size, documents read
+
+
+def fit_online(rows: DataFrame, cfg: TopicConfig, n_terms: int, n_docs: int) -> OnlineLda:
+    """``n_iter`` passes of online variational Bayes; a pass reads every lot, and so every document, once."""
+    spark = rows.sparkSession
+    prior = 1.0 / cfg.n_topics
+    path = deal(rows, cfg.mini_batches, n_docs)
+    lots = spark.read.schema("doc_id " + dict(rows.dtypes)["doc_id"] + ", ids array<int>, values array<double>, lot int").parquet(path)
+    weights = start = _start(cfg, n_terms)
+    sizes = dict(map(tuple, lots.groupBy("lot").count().collect()))  # one row a mini batch
+    steps = []
+    for _ in range(max(1, cfg.n_iter)):
+        for lot in sorted(sizes):
+            topics = _expected_logs(weights)
+            counts, read = _expected_counts(lots.where(F.col("lot") == lot).drop("lot"), topics, prior)
+            step = (cfg.learning_offset + len(steps)) ** -cfg.learning_decay
+            weights = (1 - step) * weights + step * (prior + n_docs / sizes[lot] * counts * topics)
+            steps.append((lot, step, read))
+    return OnlineLda(weights, prior, start, steps)
+
+
 def count_vectors(doc_terms: DataFrame, vocab: Vocabulary, binary: bool = False) -> DataFrame:
-    """``(doc_id, features)``: sparse counts over the vocabulary, index =
-    term_id.  The term list is model-sized (the vocabulary)."""
-    terms = vocab.table.orderBy("term_id").select("term").toPandas()["term"].tolist()
-    if not terms:
+    """Sparse counts over the vocabulary, which must have a term."""
+    if not vocab.size:
         raise ValueError("After pruning, no terms remain. Try a lower min_df.")
-    cv = CountVectorizerModel.from_vocabulary(terms, inputCol="terms", outputCol="features",
-                                              binary=binary)
-    return cv.transform(doc_terms).select("doc_id", "features")
-
-
-def make_lda(cfg: TopicConfig, n_docs: int) -> LDA:
-    k = cfg.n_topics
-    lda = (LDA(k=k, optimizer="online", seed=cfg.random_state, featuresCol="features",
-               topicDistributionCol="topicDistribution",
-               docConcentration=[1.0 / k], topicConcentration=1.0 / k,
-               optimizeDocConcentration=False, learningOffset=10.0,
-               learningDecay=cfg.learning_decay, checkpointInterval=10,
-               keepLastCheckpoint=False))
-    if cfg.learning_method == "online":
-        batches = max(1, math.ceil(n_docs / BATCH_SIZE))
-        lda.setSubsamplingRate(min(1.0, BATCH_SIZE / max(n_docs, 1)))
-        lda.setMaxIter(max(1, cfg.n_iter) * batches)
-    else:
-        raise ValueError("learning_method must be 'batch' or 'online'")
-    return lda
+    return count_rows(doc_terms, vocab, binary)
 
 
-def prepare_vectors(vectors: DataFrame) -> DataFrame:
+def sparse_rows(bow: Vectorized) -> DataFrame:
+    """The counts of a vectorizer's result; models need a vocabulary that every task can hold."""
+    if not bow.vocab.size:
+        raise ValueError("After pruning, no terms remain. Try a lower min_df.")
+    if bow.rows is None:
+        raise ValueError(f"a vocabulary of {bow.vocab.size} terms cannot be held by every task; set max_features")
+    return bow.rows
+
+
+def prepare_vectors(rows: DataFrame) -> DataFrame:
     """Fix the input partitioning by doc_id (one seed -> one result) and
     checkpoint it, so every pass - and the later transform - reads a short
-    lineage instead of re-deriving the count vectors."""
-    # Documents without vocabulary terms are skipped by the optimizer itself.
-    parts = max(1, math.ceil(vectors.select("doc_id").count() / DOCS_PER_TASK))
-    return vectors.repartition(parts, "doc_id").sortWithinPartitions("doc_id").checkpoint(eager=True)
+    lineage instead of re-deriving the counts.  At most ``PARTIAL_TASKS``
+    partitions: each emits model-sized sums."""
+    parts = max(1, min(PARTIAL_TASKS, math.ceil(rows.select("doc_id").count() / DOCS_PER_TASK)))
+    return rows.repartition(parts, "doc_id").sortWithinPartitions("doc_id").checkpoint(eager=True)
 
 
-def fit_lda(vectors: DataFrame, cfg: TopicConfig, n_docs: int, prepared: bool = False):
-    """T2/T6 on count vectors (``prepared=True`` when they come from
-    ``prepare_vectors``)."""
-    check_counts(vectors)
-    data = vectors if prepared else prepare_vectors(vectors)
+def fit_lda(rows: DataFrame, cfg: TopicConfig, n_docs: int, prepared: bool = False, n_terms: int | None = None):
+    """T2/T6 on sparse counts (``prepared=True`` when they come from ``prepare_vectors``).
+
+    ``n_terms`` is the size of the vocabulary, by default that of the terms that occur.
+    """
+    check_counts(rows)
+    if cfg.learning_method not in ("batch", "online"):
+        raise ValueError("learning_method must be 'batch' or 'online'")
+    data = rows if prepared else prepare_vectors(rows)
+    if n_terms is None:
+        n_terms = (data.agg(F.max(F.array_max("ids"))).first()[0] or 0) + 1
     if cfg.learning_method == "batch":
-        first = data.select("features").first()
-        return fit_batch(data, cfg, first["features"].size if first else 0)
-    return make_lda(cfg, n_docs).fit(data)
+        return fit_batch(data, cfg, n_terms)
+    return fit_online(data, cfg, n_terms, n_docs)
 
 
-def doc_topic(model, vectors: DataFrame, k: int) -> DataFrame:
+def doc_topic(model: BatchLda, rows: DataFrame, k: int) -> DataFrame:
     """``(doc_id, topics array<double>)``, rows sum to 1."""
-    if isinstance(model, BatchLda):
-        return model.document_weights(vectors)
-    out = model.transform(vectors).select("doc_id", vector_to_array("topicDistribution").alias("t"))
-    total = F.aggregate("t", F.lit(0.0), lambda a, x: a + x)
-    uniform = F.array_repeat(F.lit(1.0 / k), k)
-    return out.select("doc_id", F.when(total > 0, F.col("t")).otherwise(uniform).alias("topics"))
+    return model.document_weights(rows)
 
 
-def top_terms(model, vocab: Vocabulary, n_top: int, raw: bool = False) -> DataFrame:
+def top_terms(model: BatchLda, vocab: Vocabulary, n_top: int, raw: bool = False) -> DataFrame:
     """T4/T5: ``(topic_id, term_id, term, weight)`` top-n per topic by the
-    topic-term weight, as a share of the topic or ``raw`` (batch models; the
-    order is the same)."""
-    if isinstance(model, BatchLda):
-        weights = model.components if raw else model.shares()
-        rows = [(topic, int(t), float(w[t])) for topic, w in enumerate(weights)
-                for t in np.lexsort((np.arange(len(w)), -w))[:n_top]]  # n_topics x n_top rows
-        z = vocab.table.sparkSession.createDataFrame(rows, "topic_id long, term_id int, weight double")
-        return (vocab.table.select("term_id", "term").join(F.broadcast(z), "term_id")
-                .select("topic_id", "term_id", "term", "weight"))
-    desc = model.describeTopics(maxTermsPerTopic=n_top)
-    z = desc.select(F.col("topic").cast("long").alias("topic_id"),
-                    F.inline(F.arrays_zip(F.col("termIndices").alias("term_id"),
-                                          F.col("termWeights").alias("weight"))))
-    # n_topics x n_top rows
-    return vocab.table.select("term_id", "term").join(F.broadcast(z), "term_id") \
-            .select("topic_id", "term_id", "term", F.col("weight").cast("double").alias("weight"))
+    topic-term weight, as a share of the topic or ``raw`` (the order is the
+    same)."""
+    weights = model.components if raw else model.shares()
+    rows = [(topic, int(t), float(w[t])) for topic, w in enumerate(weights)
+            for t in np.lexsort((np.arange(len(w)), -w))[:n_top]]  # n_topics x n_top rows
+    z = vocab.table.sparkSession.createDataFrame(rows, "topic_id long, term_id int, weight double")
+    return (vocab.table.select("term_id", "term").join(F.broadcast(z), "term_id")
+            .select("topic_id", "term_id", "term", "weight"))

@@ -1,18 +1,21 @@
 """LSA: truncated SVD of the TF-IDF matrix (T7..T12).
 
-The matrix is kept doc-major, one row per document with its (term_id, value)
-lists, checkpointed to the shared folder.  The rank-k factorization is a
-randomized subspace iteration on X^T X:
-
-    Z <- qr(X^T (X Z))          one distributed pass per power step
-    G  = Z^T X^T X Z            (l x l), eigen-decomposed on the driver
-    V  = Z W[:, :k], s = sqrt(eigenvalues)
-
-Each pass is a ``mapInArrow`` over the documents: per Arrow batch it forms
-Y = X_b Z and X_b^T Y with numpy, and the per-task partial sums (vocabulary x
-l) are added by a grouped ``Summarizer.sum``.  Only model-sized data
-(vocabulary x (k + oversampling)) reaches the driver; the document side
-(U, coordinates) never does.  Document coordinates U*S = X V are one more
+The matrix is read as sparse rows, one document each (``ids``, ``ws``),
+checkpointed to the shared folder.  The rank-k factorization is a block Krylov
+method on A = X^T X:
+
+    Z_0 random, orthonormal; pass i computes A Z_i in one job
+    Z_i+1 = A Z_i made orthogonal to all blocks before it
+    Rayleigh-Ritz over the whole basis [Z_0 .. Z_i]: G = Q^T A Q is known
+
+so every pass refines all directions seen so far, and passes end once the
+residuals of the k leading pairs are small (``svd_tol``), or after ``n_iter``.
+
+Each pass is a ``mapInArrow`` over the documents: per Arrow batch and column of
+Z it forms y = X_b z and X_b^T y with numpy, and the per-task partial sums
+(vocabulary x block) are added by a grouped ``Summarizer.sum``.  Only
+model-sized data (vocabulary x block a pass) reaches the driver; the document
+side (U, coordinates) never does.  Document coordinates U*S = X V are one more
 row-local pass with V broadcast.
 """
 
@@ -43,10 +46,12 @@ def doc_major(matrix: DataFrame) -> DataFrame:
     return g.select("doc_id", F.col("e.i").alias("ids"), F.col("e.w").alias("ws"))
 
 
-def materialize_doc_major(matrix: DataFrame) -> DataFrame:
-    """Doc-major matrix, checkpointed (short lineage for the passes) and
-    cached; a lost cache block is re-read from the checkpoint."""
-    return doc_major(matrix).checkpoint(eager=True).persist()
+def materialize(v: Vectorized) -> DataFrame:
+    """``(doc_id, ids, ws)`` of a vectorizer's result, checkpointed (short lineage for the passes)
+    and cached; a lost cache block is re-read from the checkpoint.  Sparse rows are
+    read as they are; only a long matrix without them is grouped by document."""
+    rows = doc_major(v.matrix) if v.rows is None else v.rows.select("doc_id", "ids", F.col("values").alias("ws"))
+    return rows.checkpoint(eager=True).persist()
 
 
 def _chunks(batches):
@@ -91,19 +96,18 @@ def _gram_pass(D: DataFrame, Z: np.ndarray) -> np.ndarray:
     through Arrow."""
     spark = D.sparkSession
     n_terms, l = Z.shape
-    bz = spark.sparkContext.broadcast(Z)
+    bz = spark.sparkContext.broadcast(np.ascontiguousarray(Z.T))
     n_blocks = -(-n_terms // _BLOCK_TERMS)
 
     def task(batches):
         import pyarrow as pa
-        Zl = bz.value
-        acc = np.zeros((n_blocks * _BLOCK_TERMS, l))
+        Zt = bz.value
+        acc = np.zeros((l, n_blocks * _BLOCK_TERMS))
         for _, fi, fw, starts, lens in _chunks(batches):
-            Y = np.add.reduceat(fw[:, None] * Zl[fi], starts, axis=0)
-            back = fw[:, None] * np.repeat(Y, lens, axis=0)
-            for j in range(l):
-                acc[:n_terms, j] += np.bincount(fi, weights=back[:, j], minlength=n_terms)
-        blocks = acc.reshape(n_blocks, _BLOCK_TERMS * l)
+            for j in range(l):  # one column at a time: flat arrays, no entry x block copies
+                y = np.add.reduceat(fw * Zt[j][fi], starts)
+                acc[j, :n_terms] += np.bincount(fi, weights=fw * np.repeat(y, lens), minlength=n_terms)
+        blocks = np.ascontiguousarray(acc.T).reshape(n_blocks, _BLOCK_TERMS * l)
         used = np.nonzero(np.any(blocks != 0.0, axis=1))[0]
         if len(used):
             yield pa.RecordBatch.from_arrays(
@@ -121,17 +125,28 @@ def _gram_pass(D: DataFrame, Z: np.ndarray) -> np.ndarray:
     return out.reshape(n_blocks * _BLOCK_TERMS, l)[:n_terms]
 
 
-def _ritz(Z: np.ndarray, A: np.ndarray, k: int):
-    """Rayleigh-Ritz on span(Z): G = Z^T X^T X Z -> singular values and the
-    top-k right singular vectors (rows)."""
-    G = Z.T @ A
-    G = (G + G.T) / 2.0
-    evals, W = np.linalg.eigh(G)
+def _ritz(Q: np.ndarray, A: np.ndarray, k: int):
+    """Rayleigh-Ritz on span(Q), A = X^T X Q: singular values, the top-k right singular
+    vectors (rows) and the residuals of the pairs as a share of the largest eigenvalue."""
+    G = Q.T @ A
+    evals, W = np.linalg.eigh((G + G.T) / 2.0)
     order = np.argsort(evals)[::-1][:k]
-    s = np.sqrt(np.clip(evals[order], 0.0, None))
-    V = (Z @ W[:, order]).T
-    V /= np.linalg.norm(V, axis=1, keepdims=True).clip(min=1e-300)
-    return s, V
+    theta, W = np.clip(evals[order], 0.0, None), W[:, order]
+    V = Q @ W
+    left = np.linalg.norm(A @ W - V * theta, axis=0) / max(theta.max(initial=0.0), 1e-300)
+    return np.sqrt(theta), V.T / np.linalg.norm(V, axis=0)[:, None].clip(min=1e-300), left
+
+
+def _next_block(Q: np.ndarray, A: np.ndarray) -> np.ndarray:
+    """Orthonormal directions of A beyond span(Q); none if there are none."""
+    R = A
+    for _ in range(2):  # once more for what rounding leaves
+        R = R - Q @ (Q.T @ R)
+    U, sizes, _ = np.linalg.svd(R, full_matrices=False)
+    beyond = sizes > 1e-10 * max(np.linalg.norm(A, 2), 1e-300)
+    U = U[:, beyond][:, :Q.shape[0] - Q.shape[1]]
+    U = U - Q @ (Q.T @ U)
+    return np.linalg.qr(U)[0] if U.shape[1] else U
 
 
 @dataclass
@@ -155,19 +170,18 @@ def fit_lsa(D: DataFrame, n_terms: int, n_docs: int, cfg: TopicConfig) -> LsaMod
     l = min(n_terms, k + cfg.n_oversamples)
     rng = np.random.default_rng(cfg.random_state)
     Z, _ = np.linalg.qr(rng.standard_normal((n_terms, l)))
-    prev = None
+    Q, A = Z[:, :0], Z[:, :0]
     passes = 0
-    for it in range(max(cfg.n_iter, 0) + 1):
-        A = _gram_pass(D, Z)                      # X^T X Z, one pass
+    while True:
+        image = _gram_pass(D, Z)                  # X^T X Z, one pass
         passes += 1
-        s, V = _ritz(Z, A, k)
-        if prev is not None and cfg.svd_tol > 0:
-            cos = np.abs(np.sum(V * prev, axis=1))
-            if np.all(1.0 - cos < cfg.svd_tol):
-                break                             # converged: fewer passes
-        prev = V
-        if it < cfg.n_iter:
-            Z, _ = np.linalg.qr(A)
+        Q, A = np.hstack([Q, Z]), np.hstack([A, image])
+        s, V, left = _ritz(Q, A, k)
+        if passes > max(cfg.n_iter, 0) or (left <= cfg.svd_tol).all():
+            break
+        Z = _next_block(Q, image)
+        if not Z.shape[1]:                        # the basis holds all that X^T X reaches
+            break
     V /= np.linalg.norm(V, axis=1, keepdims=True).clip(min=1e-300)
     beyond = s <= s.max(initial=0.0) * RANK_TOLERANCE  # k above the rank: no topic, not noise
     s[beyond], V[beyond] = 0.0, 0.0

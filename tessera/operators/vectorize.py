@@ -1,27 +1,33 @@
 """Bag-of-words and TF-IDF (V1..V12, W1..W7).
 
-Data layout: a long table ``(doc_id, term_id, term, value)`` is the matrix.
+The matrix has two forms.  *Sparse rows* ``(doc_id, ids, values)`` hold one
+document each, ids ascending; models read them.  The *long* table ``(doc_id,
+term_id, term, value)`` is made of them for sinks and statistics.
+
 Plan shape:
 
-* per document, in its own row: tokens, n-grams and term counts (sort + run
-  lengths), so term counting never shuffles;
-* ``df``/``ctf`` per term: one aggregate keyed by term that combines map-side
-  (a Zipf head term arrives as one row per map task);
-* the vocabulary is capped by ``max_features`` and broadcast (its size is
-  bounded by the cap, or counted when there is no cap);
-* TF-IDF row norms: one window keyed by ``doc_id``.
+* per document, in its own row: tokens, n-grams, term counts, the lookup in the
+  vocabulary (``CountVectorizerModel``, a hash map in each task), idf and the
+  norm; after the vocabulary nothing is shuffled;
+* the vocabulary: a count-min sketch and exact counts of candidates give an
+  upper bound for every term and a lower bound for the last term kept, so only
+  terms that can be in the vocabulary reach the exact aggregate by term;
+* a vocabulary that is too large to broadcast (no ``max_features``) is joined
+  with the long counts instead, and its TF-IDF norm is a window by document.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import VectorizeConfig
 from ..functions import text as T
-from ..plans.joins import BROADCAST_MAX_ROWS, join_small
+from ..plans.joins import BROADCAST_MAX_BYTES, join_small, table_bytes
 
 BOW_PATTERN = "bow"      # (?u)\b[a-z]{2,}\b
 WORD_PATTERN = "word"    # (?u)\b\w\w+\b (TfidfVectorizer default)
@@ -68,9 +74,73 @@ class Vocabulary:
     n_docs: int
     size: int
     params: dict = field(default_factory=dict)
+    #: Measured bytes of the table; asked for once if not given.
+    n_bytes: int | None = None
+
+    def measured(self) -> int:
+        if self.n_bytes is None:
+            self.n_bytes = table_bytes(self.table)
+        return self.n_bytes
 
     def broadcastable(self) -> bool:
-        return self.size <= BROADCAST_MAX_ROWS
+        return self.measured() <= BROADCAST_MAX_BYTES
+
+    def with_table(self, table: DataFrame, n_docs: int | None = None) -> Vocabulary:
+        """The same terms with other columns."""
+        return Vocabulary(table, self.n_docs if n_docs is None else n_docs, self.size, self.params, self.n_bytes)
+
+
+#: Cells of each of the sketch's hash rows; a cell sums the counts of the terms that fall on it.
+SKETCH_CELLS, SKETCH_ROWS = 1 << 18, 2
+#: Tasks of a pass that emits one partial result of fixed size a task.
+PARTIAL_TASKS = 4096
+#: One document in so many names the candidates for the lower bound; they are counted over all documents.
+CANDIDATE_SHARE = 16
+
+
+def _cells(row: int):
+    return F.pmod(F.xxhash64(F.lit(row), F.col("term")), F.lit(SKETCH_CELLS)).cast("int").alias("cell")
+
+
+def _lowest_kept(tf: DataFrame, min_df: int, max_features: int, rank_by: str) -> int:
+    """A count that the last term of the vocabulary reaches at least.
+
+    Terms that lead in a share of the documents are counted exactly over all;
+    the ``max_features``-th count among them is one that as many terms reach.
+    """
+    some = tf.filter(F.pmod(F.xxhash64("doc_id"), F.lit(CANDIDATE_SHARE)) == 0)
+    leading = select_vocabulary(term_stats(some).checkpoint(eager=True), 1, 2 * max_features, rank_by)
+    counted = term_stats(join_small(tf, leading.select("term"), "term", "left_semi"))
+    enough = counted.filter(F.col("df") >= min_df).checkpoint(eager=True)
+    return _cut_count(enough, rank_by, max_features)[0]
+
+
+def prune_terms(tf: DataFrame, min_df: int, max_features: int | None, rank_by: str = "ctf") -> DataFrame:
+    """The rows of ``tf`` whose term can be in the vocabulary.
+
+    Each hash row of the sketch sums the counts of all terms of a cell, which
+    is never less than the count of one of them.  A term of a cell below the
+    lowest count that is kept cannot be kept, so the vocabulary of what is left
+    is the vocabulary of all.  At most ``SKETCH_CELLS`` cells a hash row reach
+    the shuffle from a task, and are broadcast.
+    """
+    least = {"df": min_df, "ctf": min_df}  # df >= min_df makes ctf >= min_df
+    if max_features is not None and max_features > 0:
+        least[rank_by] = max(least[rank_by], _lowest_kept(tf, min_df, max_features, rank_by))
+    if max(least.values()) <= 1:
+        return tf
+    counts = {"df": F.lit(1).cast("long"), "ctf": F.col("tf")}
+    # fewer map tasks make fewer partial sketches; narrow, nothing is moved
+    few = tf.coalesce(PARTIAL_TASKS)
+    cells = few.select(F.explode(F.array(*(F.struct(F.lit(r).alias("row"), _cells(r)) for r in range(SKETCH_ROWS)))).alias("c"),
+                       *(c.alias(k) for k, c in counts.items()))
+    sketch = cells.groupBy("c.row", "c.cell").agg(*(F.sum(k).alias(k) for k in counts))
+    alive = sketch.filter(" AND ".join(f"{k} >= {v}" for k, v in least.items())).select("row", "cell").checkpoint(eager=True)
+    out = tf
+    for r in range(SKETCH_ROWS):
+        one = alive.filter(F.col("row") == r).select(F.col("cell").alias("__cell"))  # at most SKETCH_CELLS rows
+        out = out.join(F.broadcast(one), _cells(r) == F.col("__cell"), "left_semi")
+    return out
 
 
 def select_vocabulary(stats: DataFrame, min_df: int = 1, max_features: int | None = None,
@@ -115,17 +185,26 @@ def index_vocabulary(vocab: DataFrame, bounded: bool) -> DataFrame:
     """V8: term_id = position in code-point order of the term.
 
     A capped vocabulary is small, so one ordered window is fine.  An uncapped
-    one is indexed with a distributed sort and per-partition offsets.
+    one is dealt out by ranges of terms and numbered where it lies; a range's
+    first number is the sum of the ranges before it (one row a range).
     """
     if bounded:
         w = Window.orderBy(F.col("term").asc())
         return vocab.withColumn("term_id", (F.row_number().over(w) - 1).cast("int"))
-    from pyspark.sql.types import LongType, StructField, StructType
-    ordered = vocab.orderBy("term")
-    schema = StructType(ordered.schema.fields + [StructField("term_id", LongType(), False)])
-    rdd = ordered.rdd.zipWithIndex().map(lambda r: tuple(r[0]) + (int(r[1]),))
-    return vocab.sparkSession.createDataFrame(rdd, schema) \
-        .withColumn("term_id", F.col("term_id").cast("int"))
+    # the generated id is the partition's number and, in its lower 33 bits, the row's place
+    placed = (vocab.repartitionByRange("term").sortWithinPartitions("term")
+              .withColumn("_at", F.monotonically_increasing_id()).checkpoint(eager=True))
+    part = F.shiftright("_at", 33).alias("_range")
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (placed.groupBy(part).agg(F.count(F.lit(1)).alias("_n"))
+              .select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")))
+    return (placed.select("*", part).join(F.broadcast(starts), "_range")
+            .withColumn("term_id", (F.col("_start") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))).cast("int"))
+            .drop("_at", "_range", "_start"))
+
+
+#: Terms of a capped vocabulary up to which one ordered window numbers them.
+MAX_WINDOW_TERMS = 1_000_000
 
 
 def idf_expr(df_col, n_docs: int, use_idf: bool = True, smooth_idf: bool = True):
@@ -140,7 +219,7 @@ def idf_expr(df_col, n_docs: int, use_idf: bool = True, smooth_idf: bool = True)
 
 def tf_weight_expr(tf_col="tf", sublinear: bool = True):
     """1 + ln(tf) (sublinear) or the raw count."""
-    tf = F.col(tf_col).cast("double")
+    tf = (F.col(tf_col) if isinstance(tf_col, str) else tf_col).cast("double")
     return (F.log(tf) + 1.0) if sublinear else tf
 
 
@@ -150,19 +229,17 @@ def fit_vocabulary(tf: DataFrame, n_docs: int, cfg: VectorizeConfig) -> Vocabula
     This is the only eager step (like a vectorizer ``fit``): the vocabulary is
     checkpointed, so later joins read a short lineage.
     """
-    stats = term_stats(tf)
+    rank_by = "df" if cfg.binary else "ctf"
+    stats = term_stats(prune_terms(tf, cfg.min_df, cfg.max_features, rank_by))
     if cfg.max_features is not None:  # read three times by the cut
         stats = stats.checkpoint(eager=True)
-    rank_by = "df" if cfg.binary else "ctf"
     vocab = select_vocabulary(stats, cfg.min_df, cfg.max_features, rank_by)
-    bounded = cfg.max_features is not None and cfg.max_features <= BROADCAST_MAX_ROWS
-    vocab = index_vocabulary(vocab, bounded)
+    vocab = index_vocabulary(vocab, cfg.max_features is not None and cfg.max_features <= MAX_WINDOW_TERMS)
     vocab = vocab.withColumn("idf", idf_expr("df", n_docs, cfg.use_idf, cfg.smooth_idf))
     vocab = vocab.select("term_id", "term", F.col("df").cast("long").alias("df"),
                          F.col("ctf").cast("long").alias("ctf"), "idf")
     vocab = vocab.checkpoint(eager=True)
-    size = vocab.count()
-    return Vocabulary(vocab, n_docs, size, params=_params(cfg))
+    return Vocabulary(vocab, n_docs, vocab.count(), params=_params(cfg))
 
 
 def vocabulary_from_terms(spark, terms: list[str] | dict[str, int], n_docs: int = 0) -> Vocabulary:
@@ -198,7 +275,7 @@ def _params(cfg: VectorizeConfig) -> dict:
 
 def _join_vocab(tf: DataFrame, vocab: Vocabulary, cols) -> DataFrame:
     side = vocab.table.select("term", *cols)
-    return join_small(tf, side, on="term", how="inner", known_rows=vocab.size)
+    return join_small(tf, side, on="term", how="inner", known_bytes=vocab.measured())
 
 
 def bow_matrix(tf: DataFrame, vocab: Vocabulary) -> DataFrame:
@@ -208,12 +285,71 @@ def bow_matrix(tf: DataFrame, vocab: Vocabulary) -> DataFrame:
     return m.select("doc_id", "term_id", "term", F.col("tf").cast("double").alias("value"))
 
 
+def count_rows(terms: DataFrame, vocab: Vocabulary, binary: bool = False) -> DataFrame:
+    """V12/V9 as sparse rows ``(doc_id, ids, values)`` of counts.
+
+    ``terms`` is ``(doc_id, terms)``.  A hash map of the vocabulary, which must
+    be small enough to broadcast, looks the terms up in their row.
+    """
+    known = _known_terms(vocab)
+    if not known:
+        return terms.select("doc_id", F.array().cast("array<int>").alias("ids"), F.array().cast("array<double>").alias("values"))
+    model = CountVectorizerModel.from_vocabulary(known, inputCol="terms", outputCol="features", binary=binary)
+    return (model.transform(terms).select("doc_id", F.unwrap_udt("features").alias("v"))
+            .select("doc_id", F.col("v.indices").alias("ids"), F.col("v.values").alias("values")))
+
+
+def _known_terms(vocab: Vocabulary) -> list[str]:
+    """The vocabulary's terms in column order; refused if it is too large for the driver and for every task."""
+    if not vocab.broadcastable():
+        raise ValueError(f"a vocabulary of {vocab.size} terms cannot be held by every task; set max_features")
+    return vocab.table.orderBy("term_id").select("term").toPandas()["term"].tolist()
+
+
+def tfidf_rows(terms: DataFrame, vocab: Vocabulary, cfg: VectorizeConfig, idf_col: str = "idf") -> DataFrame:
+    """W1..W4 as sparse rows ``(doc_id, ids, values)``: counts, idf and norm inside each document's row."""
+    known = _known_terms(vocab)
+    if not known:
+        return count_rows(terms, vocab)
+    idf = vocab.table.orderBy("term_id").select(idf_col).toPandas()[idf_col].to_numpy(dtype=float)
+    model = CountVectorizerModel.from_vocabulary(known, inputCol="terms", outputCol="features")
+    scale = ElementwiseProduct(scalingVec=Vectors.dense(idf), inputCol="features", outputCol="scaled")
+    rows = (scale.transform(model.transform(terms).select("doc_id", "features"))
+            .select("doc_id", F.unwrap_udt("features").alias("f"), F.unwrap_udt("scaled").alias("s"))
+            .select("doc_id", F.col("f.indices").alias("ids"), F.col("f.values").alias("tf"), F.col("s.values").alias("x")))
+    if cfg.sublinear_tf:
+        # x is tf * idf
+        rows = rows.withColumn("x", F.zip_with("tf", "x", lambda tf, x: tf_weight_expr(tf) / tf * x))
+    return rows.select("doc_id", "ids", norm_expr("x", cfg.norm).alias("n"), "x").select(
+        "doc_id", "ids", (F.col("x") if cfg.norm is None else F.transform(
+            "x", lambda x: F.when(F.col("n") > 0, x / F.col("n")).otherwise(0.0))).alias("values"))
+
+
+def norm_expr(values: str, norm: str | None):
+    """The l2 or l1 norm of an array column."""
+    if norm == "l2":
+        return F.sqrt(F.aggregate(values, F.lit(0.0), lambda a, x: a + x * x))
+    if norm == "l1":
+        return F.aggregate(values, F.lit(0.0), lambda a, x: a + F.abs(x))
+    if norm is not None:
+        raise ValueError(f"norm must be 'l1', 'l2' or None, got {norm!r}")
+    return F.lit(1.0)
+
+
+def long_matrix(rows: DataFrame, vocab: Vocabulary) -> DataFrame:
+    """Sparse rows as the long table ``(doc_id, term_id, term, value)``."""
+    entries = rows.select("doc_id", F.inline_outer(F.arrays_zip(F.col("ids").alias("term_id"), F.col("values").alias("value"))))
+    names = vocab.table.select("term_id", "term")
+    return (join_small(entries.filter(F.col("term_id").isNotNull()), names, "term_id", known_bytes=vocab.measured())
+            .select("doc_id", "term_id", "term", "value"))
+
+
 def tfidf_matrix(tf: DataFrame, vocab: Vocabulary, cfg: VectorizeConfig,
                  idf_col: str = "idf") -> DataFrame:
-    """W1..W4: long TF-IDF matrix ``(doc_id, term_id, term, value)``.
+    """W1..W4: long TF-IDF matrix of long counts, for a vocabulary of any size.
 
-    Weighting is row-local after the broadcast join; the l1/l2 norm is one
-    window keyed by document (the only shuffle of the matrix).
+    The join with the vocabulary is broadcast only within its size; the l1/l2
+    norm is one window keyed by document.  ``tfidf_rows`` needs neither.
     """
     m = _join_vocab(tf, vocab, ["term_id", idf_col])
     w = tf_weight_expr("tf", cfg.sublinear_tf) * F.col(idf_col)
@@ -237,33 +373,44 @@ def normalize_rows(m: DataFrame, norm: str | None, value: str = "value") -> Data
 
 @dataclass
 class Vectorized:
-    """Result of a vectorizer: the long matrix, its vocabulary and n_docs."""
+    """Result of a vectorizer: the long matrix, its vocabulary and n_docs; ``rows`` are the sparse rows that the
+    matrix is made of (none if the vocabulary is too large to broadcast)."""
     matrix: DataFrame
     vocab: Vocabulary
     method: str
     vectorizer_type: str
-    tf: DataFrame | None = None
+    rows: DataFrame | None = None
 
     @property
     def n_docs(self) -> int:
         return self.vocab.n_docs
 
 
-def _fit_input(docs: DataFrame, text_col: str, cfg: VectorizeConfig, pattern: str,
-               id_col: str):
-    terms = doc_terms(docs, text_col, cfg, pattern, id_col)
-    return term_frequencies(terms, binary=cfg.binary)
+def vectorize_counts(terms: DataFrame, vocab: Vocabulary, binary: bool = False) -> Vectorized:
+    """BoW of ``(doc_id, terms)`` over a vocabulary: sparse rows and their long form."""
+    if not vocab.broadcastable():
+        return Vectorized(bow_matrix(term_frequencies(terms, binary), vocab), vocab, "bow", "CountVectorizer")
+    rows = count_rows(terms, vocab, binary)
+    return Vectorized(long_matrix(rows, vocab), vocab, "bow", "CountVectorizer", rows)
+
+
+def vectorize_weights(terms: DataFrame, vocab: Vocabulary, cfg: VectorizeConfig) -> Vectorized:
+    """TF-IDF of ``(doc_id, terms)`` over a vocabulary with idf: sparse rows and their long form."""
+    if not vocab.broadcastable():
+        return Vectorized(tfidf_matrix(term_frequencies(terms), vocab, cfg), vocab, "tfidf", "TfidfVectorizer")
+    rows = tfidf_rows(terms, vocab, cfg)
+    return Vectorized(long_matrix(rows, vocab), vocab, "tfidf", "TfidfVectorizer", rows)
 
 
 def vectorize_with_bow(docs: DataFrame, text_col: str, cfg: VectorizeConfig = VectorizeConfig(),
                        vocabulary: Vocabulary | None = None, id_col: str = "doc_id",
                        n_docs: int | None = None) -> Vectorized:
     """BoW with the BoW token pattern."""
-    tf = _fit_input(docs, text_col, cfg, BOW_PATTERN, id_col)
+    terms = doc_terms(docs, text_col, cfg, BOW_PATTERN, id_col)
     if vocabulary is None:
         n = docs.count() if n_docs is None else n_docs
-        vocabulary = fit_vocabulary(tf, n, cfg)
-    return Vectorized(bow_matrix(tf, vocabulary), vocabulary, "bow", "CountVectorizer", tf)
+        vocabulary = fit_vocabulary(term_frequencies(terms, cfg.binary).checkpoint(eager=True), n, cfg)
+    return vectorize_counts(terms, vocabulary, cfg.binary)
 
 
 def vectorize_with_tfidf(docs: DataFrame, text_col: str,
@@ -277,23 +424,22 @@ def vectorize_with_tfidf(docs: DataFrame, text_col: str,
     """
     from dataclasses import replace
     cfg = replace(cfg, binary=False)
-    tf = _fit_input(docs, text_col, cfg, WORD_PATTERN, id_col)
+    terms = doc_terms(docs, text_col, cfg, WORD_PATTERN, id_col)
     if vocabulary is None:
         n = docs.count() if n_docs is None else n_docs
-        vocabulary = fit_vocabulary(tf, n, cfg)
+        vocabulary = fit_vocabulary(term_frequencies(terms).checkpoint(eager=True), n, cfg)
     elif vocabulary.table.filter(F.col("idf").isNull()).limit(1).count() > 0:
-        vocabulary = refit_idf(tf, vocabulary, docs.count() if n_docs is None else n_docs, cfg)
-    return Vectorized(tfidf_matrix(tf, vocabulary, cfg), vocabulary, "tfidf",
-                      "TfidfVectorizer", tf)
+        vocabulary = refit_idf(term_frequencies(terms), vocabulary, docs.count() if n_docs is None else n_docs, cfg)
+    return vectorize_weights(terms, vocabulary, cfg)
 
 
 def refit_idf(tf: DataFrame, vocab: Vocabulary, n_docs: int, cfg: VectorizeConfig) -> Vocabulary:
     """Df and idf of a fixed vocabulary measured on the given documents."""
     known = join_small(tf.select("term"), vocab.table.select("term"), "term",
-                       how="left_semi", known_rows=vocab.size)
+                       how="left_semi", known_bytes=vocab.measured())
     df = known.groupBy("term").agg(F.count(F.lit(1)).alias("df_new"))
     table = (vocab.table.join(df, "term", "left")
              .withColumn("df", F.coalesce(F.col("df_new"), F.lit(0)).cast("long"))
              .withColumn("idf", idf_expr("df", n_docs, cfg.use_idf, cfg.smooth_idf))
              .select("term_id", "term", "df", "ctf", "idf")).checkpoint(eager=True)
-    return Vocabulary(table, n_docs, vocab.size, vocab.params)
+    return vocab.with_table(table, n_docs)

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import time
 import uuid
-from dataclasses import asdict, dataclass, field
+from dataclasses import asdict, dataclass, field, replace
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -63,6 +63,14 @@ def _timed(timings: dict, name: str, t0: float) -> float:
     return t1
 
 
+def _stored(v: V.Vectorized) -> V.Vectorized:
+    """The vectorizer's rows (or, without rows, its long matrix) written once for all that reads them."""
+    if v.rows is None:
+        return replace(v, matrix=v.matrix.checkpoint(eager=True))
+    rows = v.rows.checkpoint(eager=True)
+    return replace(v, rows=rows, matrix=V.long_matrix(rows, v.vocab))
+
+
 def run(spark: SparkSession, raw: DataFrame, cfg: PipelineConfig = PipelineConfig(),
         outdir: str | None = None, stage_base: str | None = None) -> PipelineResult:
     ensure_checkpoint_dir(spark)
@@ -79,23 +87,17 @@ def run(spark: SparkSession, raw: DataFrame, cfg: PipelineConfig = PipelineConfi
 
     # One term table for both vectorizers when their token patterns agree:
     # on cleaned text ([a-z] words, single spaces) they always do.
-    bow_terms = V.doc_terms(docs, text_col, vc, V.BOW_PATTERN)
-    bow_tf = V.term_frequencies(bow_terms, binary=vc.binary).checkpoint(eager=True)
+    bow_terms = V.doc_terms(docs, text_col, vc, V.BOW_PATTERN).checkpoint(eager=True)
     same_tokens = text_col == C.CLEAN and not vc.binary
-    if same_tokens:
-        tfidf_tf = bow_tf
-    else:
-        tfidf_tf = V.term_frequencies(V.doc_terms(docs, text_col, vc, V.WORD_PATTERN)) \
-                    .checkpoint(eager=True)
+    tfidf_terms = bow_terms if same_tokens else V.doc_terms(docs, text_col, vc, V.WORD_PATTERN).checkpoint(eager=True)
     t = _timed(timings, "term_table", t)
 
     # BoW + LDA
-    bow_vocab = V.fit_vocabulary(bow_tf, n_docs, vc)
-    bow = V.Vectorized(V.bow_matrix(bow_tf, bow_vocab).checkpoint(eager=True), bow_vocab,
-                       "bow", "CountVectorizer", bow_tf)
+    bow_vocab = V.fit_vocabulary(V.term_frequencies(bow_terms, vc.binary), n_docs, vc)
+    bow = _stored(V.vectorize_counts(bow_terms, bow_vocab, vc.binary))
     t = _timed(timings, "bow", t)
-    vectors = LD.prepare_vectors(LD.count_vectors(bow_terms, bow.vocab, binary=vc.binary))
-    lda_model = LD.fit_lda(vectors, tc, n_docs, prepared=True)
+    vectors = LD.prepare_vectors(LD.sparse_rows(bow))
+    lda_model = LD.fit_lda(vectors, tc, n_docs, prepared=True, n_terms=bow_vocab.size)
     lda_terms = TP.topic_terms_long(
         TP.rank_terms(LD.top_terms(lda_model, bow.vocab, tc.n_top_terms), tc.n_top_terms),
         "lda_bow").checkpoint(eager=True)
@@ -103,16 +105,12 @@ def run(spark: SparkSession, raw: DataFrame, cfg: PipelineConfig = PipelineConfi
     t = _timed(timings, "lda", t)
 
     # TF-IDF + LSA
-    from dataclasses import replace
     tcfg = replace(vc, binary=False)
     # Same term table and same ranking rule -> the same fitted vocabulary.
-    tfidf_vocab = bow_vocab if same_tokens else V.fit_vocabulary(tfidf_tf, n_docs, tcfg)
-    tfidf = V.Vectorized(V.tfidf_matrix(tfidf_tf, tfidf_vocab, tcfg).checkpoint(eager=True),
-                         tfidf_vocab, "tfidf", "TfidfVectorizer", tfidf_tf)
+    tfidf_vocab = bow_vocab if same_tokens else V.fit_vocabulary(V.term_frequencies(tfidf_terms), n_docs, tcfg)
+    tfidf = _stored(V.vectorize_weights(tfidf_terms, tfidf_vocab, tcfg))
     t = _timed(timings, "tfidf", t)
-    # Checkpointed (short lineage, survives executor loss) and cached for the
-    # n_iter + 1 passes; a lost cache block is re-read from the checkpoint.
-    D = LS.materialize_doc_major(tfidf.matrix)
+    D = LS.materialize(tfidf)
     lsa_model = LS.fit_lsa(D, tfidf.vocab.size, n_docs, tc)
     lsa_model.explained_variance_ratio_sum = LS.explained_variance_ratio(tfidf, lsa_model)
     lsa_terms = TP.topic_terms_long(
@@ -124,7 +122,6 @@ def run(spark: SparkSession, raw: DataFrame, cfg: PipelineConfig = PipelineConfi
                       .alias("topics")))
     t = _timed(timings, "lsa", t)
     timings["lsa_passes"] = lsa_model.n_passes
-    bow_tf.unpersist()
 
     report = ST.vectorization_report(bow, tfidf)
     overview = TP.topics_comparison([TP.topic_overview(lda_terms, cfg.top_k_overview),

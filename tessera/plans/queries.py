@@ -115,11 +115,8 @@ class Fitted:
         self.terms = V.doc_terms(self.docs, "narrative_clean", self.cfg, V.BOW_PATTERN)
         self.tf = V.term_frequencies(self.terms, binary=binary).checkpoint(eager=True)
         self.vocab = V.fit_vocabulary(self.tf, self.n_docs, self.cfg)
-        self.bow = V.Vectorized(V.bow_matrix(self.tf, self.vocab), self.vocab, "bow",
-                                "CountVectorizer", self.tf)
-        tcfg = replace(self.cfg, binary=False)
-        self.tfidf = V.Vectorized(V.tfidf_matrix(self.tf, self.vocab, tcfg), self.vocab,
-                                  "tfidf", "TfidfVectorizer", self.tf)
+        self.bow = V.vectorize_counts(self.terms, self.vocab, binary)
+        self.tfidf = V.vectorize_weights(self.terms, self.vocab, replace(self.cfg, binary=False))
 
 
 def fitted(spark, sf, binary=False) -> Fitted:
@@ -131,9 +128,9 @@ def _tfidf_with(spark, sf, **kw) -> DataFrame:
     cfg = replace(f.cfg, **kw)
     vocab = f.vocab
     if not cfg.smooth_idf or not cfg.use_idf:
-        vocab = V.Vocabulary(vocab.table.withColumn(
-            "idf", V.idf_expr("df", f.n_docs, cfg.use_idf, cfg.smooth_idf)), vocab.n_docs, vocab.size)
-    return V.tfidf_matrix(f.tf, vocab, cfg)
+        vocab = vocab.with_table(vocab.table.withColumn(
+            "idf", V.idf_expr("df", f.n_docs, cfg.use_idf, cfg.smooth_idf)))
+    return V.vectorize_weights(f.terms, vocab, cfg).matrix
 
 
 def _matrix_out(m: DataFrame, round_values: bool = False) -> DataFrame:
@@ -147,7 +144,7 @@ class LsaFit:
     def __init__(self, spark, sf, cfg: TopicConfig = TCFG):
         f = fitted(spark, sf)
         self.f = f
-        self.D = LS.materialize_doc_major(f.tfidf.matrix)
+        self.D = LS.materialize(f.tfidf)
         self.model = LS.fit_lsa(self.D, f.vocab.size, f.n_docs, cfg)
         self.model.explained_variance_ratio_sum = LS.explained_variance_ratio(f.tfidf, self.model)
         self.cfg = cfg
@@ -169,8 +166,8 @@ class LdaFit:
         f = fitted(spark, sf)
         self.f = f
         self.cfg = cfg
-        self.vectors = LD.prepare_vectors(LD.count_vectors(f.terms, f.vocab))
-        self.model = LD.fit_lda(self.vectors, cfg, f.n_docs, prepared=True)
+        self.vectors = LD.prepare_vectors(LD.sparse_rows(f.bow))
+        self.model = LD.fit_lda(self.vectors, cfg, f.n_docs, prepared=True, n_terms=f.vocab.size)
 
     def terms(self) -> DataFrame:
         return TP.rank_terms(LD.top_terms(self.model, self.f.vocab, self.cfg.n_top_terms),
@@ -461,19 +458,18 @@ def q_tfidf_raw_narrative(spark, sf):
     return _matrix_out(_raw_vectorize(spark, sf, method="tfidf").matrix, round_values=True)
 
 
-def _bench_tf(spark, sf):
+def _bench_terms(spark, sf):
     b = _table(spark, sf, "benchmark", ["item_id", "text"]).withColumnRenamed("item_id", "doc_id")
-    return V.term_frequencies(V.doc_terms(C.cleaned_documents(b, CCFG), C.CLEAN,
-                                          fitted(spark, sf).cfg, V.BOW_PATTERN))
+    return V.doc_terms(C.cleaned_documents(b, CCFG), C.CLEAN, fitted(spark, sf).cfg, V.BOW_PATTERN)
 
 
 def q_bow_fixed_vocab(spark, sf):
-    return _matrix_out(V.bow_matrix(_bench_tf(spark, sf), fitted(spark, sf).vocab))
+    return _matrix_out(V.vectorize_counts(_bench_terms(spark, sf), fitted(spark, sf).vocab).matrix)
 
 
 def q_tfidf_fixed_vocab(spark, sf):
     f = fitted(spark, sf)
-    return _matrix_out(V.tfidf_matrix(_bench_tf(spark, sf), f.vocab, f.cfg), round_values=True)
+    return _matrix_out(V.vectorize_weights(_bench_terms(spark, sf), f.vocab, f.cfg).matrix, round_values=True)
 
 
 def _stats_out(df):

@@ -2,10 +2,8 @@
 
 The reference can transform new texts with a given vocabulary; here that runs
 as a stateless Structured Streaming job: each micro-batch of new documents is
-normalized like the corpus, counted in-row, joined with the broadcast vocabulary (stored
-``term_id``, ``idf``) and normalized per document.  The per-document norm
-needs all terms of a document, which a micro-batch holds whole, so the batch
-operators run inside ``foreachBatch``; each batch is written to its own
+normalized like the corpus, and counted, looked up in the stored vocabulary
+(``term_id``, ``idf``) and normalized in its row.  The batch operators run inside ``foreachBatch``; each batch is written to its own
 folder (overwrite), so a replayed batch after a failure gives the same files.
 No state is kept between batches.
 """
@@ -29,10 +27,8 @@ def score_batch(batch: DataFrame, vocab: V.Vocabulary, cfg: VectorizeConfig,
     docs = batch.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_t"))
     if clean:
         docs = C.cleaned_documents(docs, CleanConfig(text_col="_t")).withColumnRenamed(C.CLEAN, "_t")
-    tf = V.term_frequencies(V.doc_terms(docs, "_t", cfg, V.BOW_PATTERN))
-    if method == "bow":
-        return V.bow_matrix(tf, vocab)
-    return V.tfidf_matrix(tf, vocab, cfg)
+    terms = V.doc_terms(docs, "_t", cfg, V.BOW_PATTERN)
+    return (V.vectorize_counts(terms, vocab) if method == "bow" else V.vectorize_weights(terms, vocab, cfg)).matrix
 
 
 def start_scoring(spark: SparkSession, source_dir: str, schema, vocab: V.Vocabulary,
@@ -43,7 +39,7 @@ def start_scoring(spark: SparkSession, source_dir: str, schema, vocab: V.Vocabul
     """Start the scoring stream over Parquet files arriving in ``source_dir``."""
     stream = spark.readStream.schema(schema).parquet(source_dir)
     table = vocab.table.select("term_id", "term", "idf").checkpoint(eager=True)
-    fixed = V.Vocabulary(table, vocab.n_docs, vocab.size, vocab.params)
+    fixed = vocab.with_table(table)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         scored = score_batch(batch, fixed, cfg, id_col, text_col, method=method)
