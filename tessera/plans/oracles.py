@@ -8,6 +8,7 @@ Doubles are rounded to 6 places and integers are BIGINT on both sides.
 
 from __future__ import annotations
 
+from ..config import TopicConfig
 from ..functions import patterns as P
 from ..functions.lexicon import (CONTRACTION_SUFFIXES, CONTRACTION_WORDS, CSV_NA_SPELLINGS,
                                  DOUBLED_STEM, JUNK_LITERALS, LEMMA_EXCEPTIONS, LEMMA_RULES,
@@ -55,24 +56,33 @@ def null_out_sql(e: str) -> str:
     return f"CASE WHEN {e} IN ({', '.join(lit(j) for j in JUNK_LITERALS)}) THEN NULL ELSE {e} END"
 
 
+def bind_sql(value: str, name: str, body: str) -> str:
+    """``body`` with ``name`` for a value that is written, and computed, once."""
+    return f"list_transform([{value}], lambda {name}: {body})[1]"
+
+
+def map_sql(pairs) -> str:
+    keys, values = zip(*pairs)
+    return f"MAP({lst(keys)}, {lst(values)})"
+
+
 def contracted_word_sql(x: str, depth: int = 2) -> str:
-    words = " ".join(f"WHEN {lit(k)} THEN {lit(v)}" for k, v in CONTRACTION_WORDS.items())
+    known = f"{map_sql(CONTRACTION_WORDS.items())}[{x}]"
     if depth == 0:
-        return f"CASE {x} {words} ELSE {x} END"
-    rest = " ".join(
-        f"WHEN regexp_matches({x}, {lit(f'[a-z]{s}$')}) THEN "
-        f"{contracted_word_sql(f'left({x}, length({x}) - {len(s)})', depth - 1)} || {lit(full)}"
-        for s, full in CONTRACTION_SUFFIXES)
-    return f"CASE {x} {words} ELSE CASE {rest} ELSE {x} END END"
+        return f"coalesce({known}, {x})"
+    ends = "|".join(s for s, _ in CONTRACTION_SUFFIXES)
+    stem = bind_sql(f"left({x}, length({x}) - length(e{depth}))", f"w{depth}", contracted_word_sql(f"w{depth}", depth - 1))
+    rest = bind_sql(f"regexp_extract({x}, {lit(f'[a-z]({ends})$')}, 1)", f"e{depth}",
+                    f"CASE WHEN e{depth} = '' THEN {x} ELSE {stem} || {map_sql(CONTRACTION_SUFFIXES)}[e{depth}] END")
+    return f"coalesce({known}, {rest})"
 
 
 def contractions_sql(e: str) -> str:
     slang = [w for w in CONTRACTION_WORDS if "'" not in w]
     because = rx(e, f"{P.PRE}{P.APOS}cause{P.POST}", "\\1because\\2")
-    plain = "replace(x, '\u2019', '''')"
-    full = contracted_word_sql(plain)
-    word = (f"CASE WHEN contains({plain}, '''') OR x IN ({', '.join(map(lit, slang))}) "
-            f"THEN CASE WHEN {full} <> {plain} THEN {full} ELSE x END ELSE x END")
+    full = bind_sql(contracted_word_sql("p"), "f", "CASE WHEN f <> p THEN f ELSE x END")
+    word = bind_sql("replace(x, '’', '''')", "p",
+                    f"CASE WHEN contains(p, '''') OR x IN ({', '.join(map(lit, slang))}) THEN {full} ELSE x END")
     out = (f"array_to_string(list_transform(regexp_extract_all({because}, {lit(P.WORDS_AND_GAPS)}), "
            f"lambda x: {word}), '')")
     trigger = P.APOS + "|" + "|".join(slang)
@@ -341,6 +351,10 @@ def oracle_sql() -> dict[str, str]:
              "(SELECT doc_id, unnest(terms) AS term FROM bterms) GROUP BY doc_id, term)")
     Z["bow_fixed_vocab"] = (f"WITH {fixed} SELECT doc_id, term_id, term, CAST(tf AS DOUBLE) AS value "
                             f"FROM btf JOIN vocab USING (term)")
+    given = ", ".join(f"({lit(t)}, {i})" for t, i in Q.USER_VOCABULARY.items())
+    Z["bow_user_vocab"] = ("WITH " + tf_ctes(raw_docs, "text", pre=lambda c: f"lower({c})") +
+                           f", given(term, term_id) AS (VALUES {given}) SELECT doc_id, CAST(term_id AS BIGINT) AS term_id, term, "
+                           "CAST(tf AS DOUBLE) AS value FROM tf JOIN given USING (term)")
     Z["tfidf_fixed_vocab"] = (f"WITH {fixed}, bw AS (SELECT doc_id, term_id, term, (1.0 + ln(tf)) * idf AS w "
                               f"FROM btf JOIN vocab USING (term)) SELECT doc_id, term_id, term, "
                               f"{r6('w / sqrt(sum(w * w) OVER (PARTITION BY doc_id))')} AS value FROM bw")
@@ -383,7 +397,29 @@ def oracle_sql() -> dict[str, str]:
     Z["lda_term_mass"] = f"{P0} SELECT term, {r6('CAST(ctf AS DOUBLE) + 1')} AS mass FROM vocab"
     Z["lda_doc_topic_sums"] = (f"WITH {normalized_cte()} SELECT doc_id, CAST({Q.N_TOPICS} AS BIGINT) AS n_topics, "
                                f"CAST(1 AS DOUBLE) AS weight_sum FROM normalized")
-    Z["lsa_doc_topic_norms"] = (f"{P0} SELECT doc_id, CASE WHEN doc_id IN (SELECT doc_id FROM tfidf) "
+    cfg = TopicConfig()
+    Z["lda_online_mass"] = (
+        f"{P0}, lots AS (SELECT doc_id, ('0x' || left(md5(CAST(doc_id AS VARCHAR)), 8))::BIGINT % {cfg.mini_batches} AS lot FROM normalized), "
+        f"sizes AS (SELECT lot, count(*) AS n, row_number() OVER (ORDER BY lot) - 1 AS place, count(*) OVER () AS m FROM lots GROUP BY lot), "
+        f"steps AS (SELECT lot, n, p * m + place AS t, pow({cfg.learning_offset} + p * m + place, -{cfg.learning_decay}) AS rho "
+        f"FROM sizes, (SELECT unnest(range({Q.N_ITER})) AS p)), "
+        f"kept AS (SELECT lot, n, rho * exp(coalesce(sum(ln(1 - rho)) OVER (ORDER BY t DESC ROWS BETWEEN UNBOUNDED PRECEDING "
+        f"AND 1 PRECEDING), 0)) AS c FROM steps), "
+        f"bylot AS (SELECT lot, sum(c) * (SELECT count(*) FROM normalized) / max(n) AS a FROM kept GROUP BY lot), "
+        f"seen AS (SELECT term, sum(tf * a) AS mass FROM tf JOIN lots USING (doc_id) JOIN bylot USING (lot) GROUP BY term) "
+        f"SELECT term, {r6('seen.mass + (SELECT sum(c) FROM kept)')} AS mass FROM vocab JOIN seen USING (term)")
+    Z["lda_online_reads"] = (
+        f"WITH {normalized_cte()}, lots AS (SELECT ('0x' || left(md5(CAST(doc_id AS VARCHAR)), 8))::BIGINT % {cfg.mini_batches} AS lot "
+        f"FROM normalized) SELECT pass, count(DISTINCT lot) AS n_updates, count(*) AS n_read "
+        f"FROM lots, (SELECT unnest(range({Q.N_ITER})) AS pass) GROUP BY pass")
+    Z["lsa_spectrum_moments"] = (
+        "WITH x AS (SELECT row_number() OVER () AS r, embedding FROM embeddings), "
+        "e AS (SELECT r, unnest(embedding)::DOUBLE AS v, unnest(range(len(embedding))) AS j FROM x), "
+        "gram AS (SELECT sum(a.v * b.v) AS g FROM e a JOIN e b USING (r) GROUP BY a.j, b.j) "
+        "SELECT CAST(2 AS BIGINT) AS power, round(sum(v * v), 3) AS total FROM e UNION ALL "
+        "SELECT CAST(4 AS BIGINT), round(sum(g * g), 3) FROM gram")
+    Z["lsa_doc_topic_norms"] = (f"WITH {normalized_cte()}, {tf_ctes('normalized', 'narrative_clean')}, {vocab_ctes('normalized')} "
+                                f"SELECT doc_id, CASE WHEN doc_id IN (SELECT doc_id FROM tf JOIN vocab USING (term)) "
                                 f"THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS norm FROM normalized")
     Z["lsa_coordinate_energy"] = f"SELECT unnest({topic_ids}) AS topic_id, CAST(1 AS DOUBLE) AS share"
     Z["lsa_gram"] = (f"SELECT a AS topic_a, b AS topic_b, CAST(a = b AS DOUBLE) AS product FROM "

@@ -25,3 +25,5 @@ LEMMA_CASES = {
     "providing": "provide", "settled": "settle", "using": "use", "thing": "thing",
     "during": "during", "needed": "need", "cancelled": "cancel", "companies": "company",
 }
+# A user's vocabulary: terms at given columns, one of them in no text.
+USER_VOCABULARY = {"the": 3, "and the": 0, "der": 4, "la": 1, "que la": 5, "no such term": 2, "in": 6}

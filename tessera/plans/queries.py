@@ -467,6 +467,13 @@ def q_bow_fixed_vocab(spark, sf):
     return _matrix_out(V.vectorize_counts(_bench_terms(spark, sf), fitted(spark, sf).vocab).matrix)
 
 
+def q_bow_user_vocab(spark, sf):
+    """Counts over a user's terms at the user's columns (a dict of term to column)."""
+    terms = V.vocabulary_from_terms(spark, Q.USER_VOCABULARY)
+    d = _docs(spark, sf).select("doc_id", "text")
+    return _matrix_out(V.vectorize_with_bow(d, "text", VCFG(lowercase=True), terms).matrix)
+
+
 def q_tfidf_fixed_vocab(spark, sf):
     f = fitted(spark, sf)
     return _matrix_out(V.vectorize_weights(_bench_terms(spark, sf), f.vocab, f.cfg).matrix, round_values=True)
@@ -654,6 +661,26 @@ def q_lda_term_mass(spark, sf):
     return L.f.vocab.table.join(rows, "term_id").select("term", r6(F.col("mass")).alias("mass"))
 
 
+def q_lda_online_mass(spark, sf):
+    """Per term the weight over all topics after the last online update, less what is left of
+    the random start: lots, order and sizes of the steps decide it, whatever the topics are."""
+    L = lda(spark, sf, "online")
+    left = 1.0
+    for _, step, _ in L.model.steps:
+        left *= 1 - step
+    mass = L.model.components.sum(axis=0) - left * L.model.start.sum(axis=0)  # vocabulary-sized
+    rows = spark.createDataFrame([(t, float(m)) for t, m in enumerate(mass)], "term_id int, mass double")
+    return L.f.vocab.table.join(rows, "term_id").select("term", r6(F.col("mass")).alias("mass"))
+
+
+def q_lda_online_reads(spark, sf):
+    """Updates and documents read in each pass of the online fit (one row a pass)."""
+    model = lda(spark, sf, "online").model
+    lots = len({lot for lot, _, _ in model.steps})
+    rows = [(p, lots, sum(read for _, _, read in model.steps[p * lots:(p + 1) * lots])) for p in range(len(model.steps) // lots)]
+    return spark.createDataFrame(rows, "pass long, n_updates long, n_read long")
+
+
 def q_lda_doc_topic_sums(spark, sf):
     return lda(spark, sf).doc_topic().select(
         F.col("doc_id").cast("long"), F.size("topics").cast("long").alias("n_topics"),
@@ -677,6 +704,18 @@ def q_lsa_coordinate_energy(spark, sf):
         "topic_id", r6(F.col("e") / (F.col("singular_value") * F.col("singular_value"))).alias("share"))
 
 
+def q_lsa_spectrum_moments(spark, sf):
+    """Sums of the second and fourth powers of all singular values of the embeddings, from a full-rank fit:
+    the sum of all squares in the matrix, and of all squares in its Gram matrix."""
+    e = _table(spark, sf, "embeddings", ["vec_id", "embedding"])
+    width = e.agg(F.max(F.size("embedding"))).first()[0]
+    D = e.select(F.col("vec_id").alias("doc_id"), F.transform("embedding", lambda x, i: i).alias("ids"),
+                 F.col("embedding").cast("array<double>").alias("ws")).checkpoint(eager=True)
+    s = LS.fit_lsa(D, width, D.count(), replace(TCFG, n_topics=width)).singular_values
+    rows = [(p, float((s ** p).sum())) for p in (2, 4)]
+    return spark.createDataFrame(rows, "power long, total double").select("power", F.round("total", 3).alias("total"))
+
+
 def q_lsa_gram(spark, sf):
     """Products of the components with each other (k x k)."""
     c = lsa(spark, sf).model.components

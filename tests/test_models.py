@@ -125,3 +125,69 @@ def test_lsa_beyond_the_rank_gives_no_noise(spark):
     assert not model.components[2:].any()
     with pytest.raises(TypeError):
         LS.fit_lsa(D.drop("ws"), 4, 2, TopicConfig(n_topics=2))
+
+
+def test_krylov_meets_the_spectrum_in_few_passes(spark):
+    rng = np.random.default_rng(3)
+    left, _ = np.linalg.qr(rng.standard_normal((400, 120)))
+    right, _ = np.linalg.qr(rng.standard_normal((150, 120)))
+    s = np.r_[20.0, 15.0, 11.0, 9.0, np.linspace(6, 4, 116)]  # a slowly falling rest
+    X = left * s @ right.T
+    D = spark.createDataFrame([(i, list(range(150)), r.tolist()) for i, r in enumerate(X)],
+                              "doc_id long, ids array<int>, ws array<double>").repartition(3).checkpoint()
+    model = LS.fit_lsa(D, 150, 400, TopicConfig(n_topics=4))
+    assert model.n_passes <= 8
+    assert model.singular_values == pytest.approx(s[:4], rel=1e-6)
+    assert np.allclose(np.abs(np.sum(model.components * right[:, :4].T, axis=1)), 1.0, atol=1e-6)
+    whole = LS.fit_lsa(D, 150, 400, TopicConfig(n_topics=120))
+    assert whole.singular_values == pytest.approx(s, rel=1e-9)
+
+
+def test_online_lda_reads_every_document_once_a_pass(spark):
+    docs, vocabs = planted(spark)
+    docs = docs.unionByName(spark.createDataFrame([(60, "zz"), (61, None)], "doc_id long, text string"))
+    cfg = VectorizeConfig(max_features=None, ngram_range=(1, 1), min_df=2)
+    bow = V.vectorize_with_bow(docs, "text", cfg)
+    tc = TopicConfig(n_topics=3, n_top_terms=10, n_iter=10, learning_method="online")
+    model = LD.fit_lda(bow.rows, tc, bow.n_docs, n_terms=bow.vocab.size)
+    lots = len({lot for lot, _, _ in model.steps})
+    assert 1 < lots <= tc.mini_batches and len(model.steps) == 10 * lots
+    for p in range(10):
+        part = model.steps[p * lots:(p + 1) * lots]
+        assert len({lot for lot, _, _ in part}) == lots and sum(read for _, _, read in part) == 62
+    assert [step for _, step, _ in model.steps] == pytest.approx([(10 + t) ** -0.7 for t in range(10 * lots)])
+    terms = TP.rank_terms(LD.top_terms(model, bow.vocab, 10), 10)
+    assert _topics_pure(terms, vocabs, 3)
+    again = LD.fit_lda(bow.rows.repartition(5), tc, bow.n_docs, n_terms=bow.vocab.size)
+    assert np.allclose(model.components, again.components)
+    weights = {r.doc_id: r.topics for r in LD.doc_topic(model, bow.rows, 3).collect()}
+    assert weights[60] == weights[61] == pytest.approx([1 / 3] * 3)
+
+
+def test_settled_documents_do_not_depend_on_their_block():
+    rng = np.random.default_rng(5)
+    topics = rng.random((4, 50))
+    docs = [(rng.choice(50, n, replace=False), rng.integers(1, 9, n).astype(float)) for n in (3, 40, 1, 17, 25)]
+    together = LD._fit_block(np.repeat(np.arange(5), [len(t) for t, _ in docs]), np.concatenate([t for t, _ in docs]),
+                             np.concatenate([c for _, c in docs]), 5, topics, 0.25)
+    at = 0
+    for i, (t, c) in enumerate(docs):
+        gamma, share = LD._fit_block(np.zeros(len(t), dtype=int), t, c, 1, topics, 0.25)
+        assert np.allclose(gamma[:, 0], together[0][:, i])
+        assert np.allclose(share, together[1][:, at:at + len(t)])
+        at += len(t)
+
+
+def test_sparse_rows_equal_the_long_matrix(spark):
+    docs = spark.createDataFrame(C5 + [(4, None), (4, "loan loan"), (None, "fee")], "doc_id long, text string")
+    for kw in ({}, {"norm": "l1"}, {"norm": None, "sublinear_tf": False}, {"use_idf": False}, {"smooth_idf": False}):
+        cfg = VectorizeConfig(max_features=3, ngram_range=(1, 1), min_df=1, **kw)
+        v = V.vectorize_with_tfidf(docs, "text", cfg)
+        long = V.tfidf_matrix(V.term_frequencies(V.doc_terms(docs.where("text != 'loan loan' OR doc_id != 4"), "text", cfg, V.WORD_PATTERN)),
+                              v.vocab, cfg)
+        want = {(r.doc_id, r.term): r.value for r in long.collect()}
+        got = {(r.doc_id, r.term): r.value for r in v.matrix.where("doc_id IS NULL OR doc_id != 4").collect()}
+        assert got == pytest.approx({k: x for k, x in want.items() if k[0] != 4})
+        assert v.rows.count() == docs.count()
+    with pytest.raises(ValueError):
+        V.count_rows(V.doc_terms(docs, "text", cfg), V.Vocabulary(v.vocab.table, 7, 10**9, n_bytes=10**12))
