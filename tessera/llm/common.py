@@ -65,42 +65,33 @@ class ChunkCache(dict):
 
 
 class WordValues(dict):
-    """Word -> value, for words that come in blocks, by ``encode_many(words) -> values``.
+    """Word -> value, by ``encode_many(words) -> values``, for blocks of distinct words.
 
-    Words are looked up once.  Those of two generations of about ``entries``
-    words are held: a word of the older one that is met again moves to the
-    younger one, so frequent words stay, however many rare ones pass by.
+    Two generations of about ``entries`` words are held: a word of the older one
+    that is met again moves to the younger one, so frequent words stay, however
+    many rare ones pass by.
     """
 
-    def __init__(self, encode_many, entries: int = 100_000):
+    def __init__(self, encode_many, entries: int = 200_000):
         super().__init__()
         self.encode_many, self.entries = encode_many, entries
         self.older: dict = {}
-        self.missed: list[str] = []
-
-    def __missing__(self, word: str):
-        self.missed.append(word)
-
-    def of(self, lists: list[list[str]]) -> list[list]:
-        """The values of the words of every list."""
-        out, lacking = [], []
-        for k, words in enumerate(lists):
-            before = len(self.missed)
-            out.append(list(map(self.__getitem__, words)))
-            if len(self.missed) > before:
-                lacking.append(k)
-        if lacking:
-            wanted = set(self.missed)
-            self.missed.clear()
-            found = {w: self.older[w] for w in wanted if w in self.older}
-            new = [w for w in wanted if w not in found]
-            found.update(zip(new, self.encode_many(new)))
-            for k in lacking:
-                out[k] = [found[w] if v is None else v for w, v in zip(lists[k], out[k])]
-            self.update(found)
-            if len(self) > self.entries:
-                self.older = dict(self)
-                self.clear()
+
+    def of(self, words: list[str]) -> list:
+        """The values of distinct words."""
+        out = list(map(self.get, words))
+        lacking = [i for i, v in enumerate(out) if v is None]
+        new = []
+        for i in lacking:
+            out[i] = self.older.get(words[i])
+            if out[i] is None:
+                new.append(i)
+        for i, value in zip(new, self.encode_many([words[i] for i in new])):
+            out[i] = value
+        self.update((words[i], out[i]) for i in lacking)
+        if len(self) > self.entries:
+            self.older = dict(self)
+            self.clear()
         return out
 
 

@@ -9,8 +9,9 @@ How pieces are packed depends on their lengths alone.  So the driver sees one
 count per length (at most ``capacity`` of them, whatever the corpus size),
 packs the counts, and sends back a bounded table of slots: which run of ranks
 of a length goes to which run of sequences at which offset.  Ranks are dealt
-out in parallel, in hashed lots within a length, so that a length that a third
-of all pieces share is not ranked in one task.
+out in parallel, in hashed lots of a length, so that a length that a third of
+all pieces share is not ranked in one task: lots stay as small as they are,
+however many pieces there are.  One number a lot passes through the driver.
 
 Defined results: null or empty text is the closing id alone; null ids stay
 null; repeated rows are pieces of their own; an empty table packs to nothing.
@@ -24,6 +25,7 @@ import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +37,8 @@ from .common import WordValues, stage, text_lots
 
 CAPACITY = 2048
 CLOSING_ID = 0
-#: Lots per length in which ranks are dealt out.
-RANK_LOTS = 64
+#: Pieces of one length that are ranked together, about; a length has as many lots as it needs.
+LOT_PIECES = 4096
 #: Bytes of a word that is merged together with others.
 LONGEST = 160
 
@@ -98,9 +100,23 @@ class ByteBpe:
         return (self.all_words if self.beyond(text) else self.latin_words)(text)
 
     def encode_texts(self, texts: list[str]) -> list[bytes]:
-        """Ids of whole texts as little-endian unsigned 32-bit integers."""
+        """Ids of whole texts as little-endian unsigned 32-bit integers.
+
+        The words of all texts are numbered, each distinct one is looked up
+        once, and the ids are gathered by the numbers.
+        """
         lists = [[] if any(a in t for a in self.added) else self.words(t) for t in texts]
-        return [b"".join(v) if v or not t else self.whole(t) for t, v in zip(texts, self.cache.of(lists))]
+        coded = pa.array(list(chain.from_iterable(lists)), pa.string()).dictionary_encode()
+        values = self.cache.of(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        ids = np.frombuffer(b"".join(values), dtype="<u4")
+        sizes = np.fromiter(map(len, values), dtype=np.int64, count=len(values)) // 4
+        word = coded.indices.to_numpy()
+        size = sizes[word]
+        stops = np.cumsum(size)
+        # an id's place in its word, after the place of the word's first id
+        body = ids[np.arange(len(ids) and stops[-1]) + np.repeat((np.cumsum(sizes) - sizes)[word] - stops + size, size)].tobytes()
+        ends = np.append(0, 4 * stops)[np.cumsum([0, *map(len, lists)])].tolist()
+        return [body[a:b] if w or not t else self.whole(t) for t, w, a, b in zip(texts, lists, ends, ends[1:])]
 
 
 @functools.lru_cache(maxsize=2)
@@ -120,7 +136,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
         bpe = tokenizer(tokenizer_path)
         closing = np.array([CLOSING_ID], dtype="<u4").tobytes()
         for batch in batches:
-            for first, texts in text_lots(batch.column(1)):
+            for first, texts in text_lots(batch.column(1), 2 << 20):
                 part = batch.slice(first, len(texts))
                 texts = [t or "" for t in texts]
                 rows: list[int] = []
@@ -209,33 +225,32 @@ def pack(pieces: DataFrame, order_by: list[str], length_col: str = "length",
          capacity: int = CAPACITY) -> DataFrame:
     """Give each piece its ``sequence_id`` and ``offset``.
 
-    ``pieces`` is read twice and must be a written table.  ``order_by`` orders
+    ``pieces`` is read three times and must be a written table.  ``order_by`` orders
     pieces of equal length; rows equal in it are interchangeable.
     """
     spark = pieces.sparkSession
-    lot = F.pmod(F.xxhash64(*order_by), F.lit(RANK_LOTS)).cast("int")
-    lots = pieces.groupBy(F.col(length_col).alias("l"), lot.alias("lot")).agg(F.count(F.lit(1)).alias("n"))
-    # at most capacity x RANK_LOTS rows, whatever the corpus size
-    got = lots.toArrow()
+    totals = {int(r[0]): int(r[1]) for r in pieces.groupBy(length_col).count().collect()}  # at most ``capacity`` rows
+    shares = spark.createDataFrame([(n, k // LOT_PIECES + 1) for n, k in totals.items()], "__length bigint, __lots bigint")
+    lot = F.pmod(F.xxhash64(*order_by), F.col("__lots"))
+    dealt = (pieces.join(F.broadcast(shares), F.col(length_col) == F.col("__length"))
+             .select(*pieces.columns, lot.alias("__lot")))
+    got = dealt.groupBy(F.col(length_col).alias("l"), F.col("__lot").alias("lot")).agg(F.count(F.lit(1)).alias("n")).toArrow()
     counted = np.stack([got[c].to_numpy().astype(np.int64) for c in ("l", "lot", "n")], axis=1)
     counted = counted[np.lexsort((counted[:, 1], counted[:, 0]))]
-    lengths, at = np.unique(counted[:, 0], return_inverse=True)
-    total = np.bincount(at, weights=counted[:, 2], minlength=len(lengths)).astype(np.int64)
     before = np.cumsum(counted[:, 2]) - counted[:, 2]
-    before -= (np.cumsum(total) - total)[at] if len(at) else 0
-    starts = np.zeros((capacity + 1, RANK_LOTS), dtype=np.int64)
-    starts[counted[:, 0], counted[:, 1]] = before
-    slots = np.array(sorted(pack_counts(dict(zip(lengths.tolist(), total.tolist())), capacity)),
-                     dtype=np.int64).reshape(-1, 5)
-    sent = spark.sparkContext.broadcast((starts, slots))
+    own = np.flatnonzero(np.diff(counted[:, 0], prepend=-1))  # first lot of every length
+    before -= np.repeat(before[own], np.diff(np.append(own, len(counted))))
+    lots = counted[:, 0] * 2**44 + counted[:, 1]
+    slots = np.array(sorted(pack_counts(totals, capacity)), dtype=np.int64).reshape(-1, 5)
+    sent = spark.sparkContext.broadcast((lots, before, slots))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        starts, slots = sent.value
+        lots, before, slots = sent.value
         keys = slots[:, 0] * 2**44 + slots[:, 1]
         for batch in batches:
             length, lot, rank = (batch.column(batch.schema.get_field_index(c)).to_numpy(zero_copy_only=False)
                                  .astype(np.int64) for c in (length_col, "__lot", "__rank"))
-            rank = rank + starts[length, lot]
+            rank = rank + before[np.searchsorted(lots, length * 2**44 + lot)]
             slot = slots[np.searchsorted(keys, length * 2**44 + rank, side="right") - 1]
             names = [n for n in batch.schema.names if n not in ("__lot", "__rank")]
             yield pa.RecordBatch.from_arrays(
@@ -244,7 +259,7 @@ def pack(pieces: DataFrame, order_by: list[str], length_col: str = "length",
                 names=[*names, "sequence_id", "offset"])
 
     inside = Window.partitionBy(length_col, "__lot").orderBy(*order_by)
-    ranked = pieces.withColumn("__lot", lot).withColumn("__rank", F.row_number().over(inside) - 1)
+    ranked = dealt.withColumn("__rank", F.row_number().over(inside) - 1)
     schema = ", ".join(f"`{n}` {t}" for n, t in pieces.dtypes) + ", sequence_id bigint, offset bigint"
     return ranked.mapInArrow(place, schema)
 
