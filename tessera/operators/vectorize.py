@@ -50,11 +50,20 @@ def doc_terms(docs: DataFrame, text_col: str, cfg: VectorizeConfig,
 
 def term_frequencies(terms: DataFrame, binary: bool = False) -> DataFrame:
     """V4/V5: ``(doc_id, term, tf)``, counted inside each document's row."""
+    return long_counts(counted_rows(terms), binary)
+
+
+def counted_rows(terms: DataFrame) -> DataFrame:
+    """``(doc_id, _counts array<struct<term, tf>>)`` of ``(doc_id, terms)``."""
+    return T.term_counts(terms, "terms").select("doc_id", "_counts")
+
+
+def long_counts(counted: DataFrame, binary: bool = False) -> DataFrame:
+    """``(doc_id, term, tf)`` of counted rows."""
     # inline_outer + null filter: a plain inline makes the optimizer infer a
     # size(array) > 0 filter and push it, with the whole array expression
     # inlined, below the projections that materialize it.
-    out = (T.term_counts(terms, "terms").select("doc_id", F.inline_outer("_counts"))
-           .filter(F.col("term").isNotNull()))
+    out = counted.select("doc_id", F.inline_outer("_counts")).filter(F.col("term").isNotNull())
     if binary:
         out = out.withColumn("tf", F.lit(1).cast("long"))
     return out
@@ -409,7 +418,7 @@ def vectorize_with_bow(docs: DataFrame, text_col: str, cfg: VectorizeConfig = Ve
     terms = doc_terms(docs, text_col, cfg, BOW_PATTERN, id_col)
     if vocabulary is None:
         n = docs.count() if n_docs is None else n_docs
-        vocabulary = fit_vocabulary(term_frequencies(terms, cfg.binary).checkpoint(eager=True), n, cfg)
+        vocabulary = fit_vocabulary(long_counts(counted_rows(terms).checkpoint(eager=True), cfg.binary), n, cfg)
     return vectorize_counts(terms, vocabulary, cfg.binary)
 
 
@@ -427,7 +436,7 @@ def vectorize_with_tfidf(docs: DataFrame, text_col: str,
     terms = doc_terms(docs, text_col, cfg, WORD_PATTERN, id_col)
     if vocabulary is None:
         n = docs.count() if n_docs is None else n_docs
-        vocabulary = fit_vocabulary(term_frequencies(terms).checkpoint(eager=True), n, cfg)
+        vocabulary = fit_vocabulary(long_counts(counted_rows(terms).checkpoint(eager=True)), n, cfg)
     elif vocabulary.table.filter(F.col("idf").isNull()).limit(1).count() > 0:
         vocabulary = refit_idf(term_frequencies(terms), vocabulary, docs.count() if n_docs is None else n_docs, cfg)
     return vectorize_weights(terms, vocabulary, cfg)

@@ -93,7 +93,9 @@ def run(spark: SparkSession, raw: DataFrame, cfg: PipelineConfig = PipelineConfi
     t = _timed(timings, "term_table", t)
 
     # BoW + LDA
-    bow_vocab = V.fit_vocabulary(V.term_frequencies(bow_terms, vc.binary), n_docs, vc)
+    # counted once in the row; the sketch and the exact counts read it
+    counted = V.counted_rows(bow_terms).checkpoint(eager=True)
+    bow_vocab = V.fit_vocabulary(V.long_counts(counted, vc.binary), n_docs, vc)
     bow = _stored(V.vectorize_counts(bow_terms, bow_vocab, vc.binary))
     t = _timed(timings, "bow", t)
     vectors = LD.prepare_vectors(LD.sparse_rows(bow))
@@ -107,7 +109,8 @@ def run(spark: SparkSession, raw: DataFrame, cfg: PipelineConfig = PipelineConfi
     # TF-IDF + LSA
     tcfg = replace(vc, binary=False)
     # Same term table and same ranking rule -> the same fitted vocabulary.
-    tfidf_vocab = bow_vocab if same_tokens else V.fit_vocabulary(V.term_frequencies(tfidf_terms), n_docs, tcfg)
+    tfidf_vocab = bow_vocab if same_tokens else V.fit_vocabulary(
+        V.long_counts(V.counted_rows(tfidf_terms).checkpoint(eager=True)), n_docs, tcfg)
     tfidf = _stored(V.vectorize_weights(tfidf_terms, tfidf_vocab, tcfg))
     t = _timed(timings, "tfidf", t)
     D = LS.materialize(tfidf)
