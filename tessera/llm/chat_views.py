@@ -5,10 +5,11 @@ speaker as ``assistant`` and everyone else as a named ``user``; the loss mask of
 a view covers what its own speaker says, end mark included.  System turns take
 no part: they are rendered as system turns in every view.
 
-A view is written in parts of ``PART_TURNS`` consecutive turn numbers, with the
-place of each part in the whole view, so that no task holds a conversation of
-unbounded length; a view of fewer turns is one part.  Joined in order, the
-parts are the view.
+A view of up to ``PART_TURNS`` turns is one row with the whole dialogue.  A longer
+one is written in parts of so many turns each, however they are numbered, with
+the place of each part in the whole view, so that no task holds a conversation
+of unbounded length.  Joined in order (``text`` by ``part``), the parts are the
+view, and a mask's place in the view is its place in the part plus ``start``.
 
 Turns are ordered by number, then speaker, then text.  Defined results: a null
 text is an empty turn; a turn with a null speaker is the user ``unknown``, who
@@ -23,6 +24,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import stage
+from .ordered import running_sums
+
 PART_TURNS = 512
 SYSTEM = "system"
 UNKNOWN = "unknown"
@@ -48,7 +52,9 @@ def perspective_views(turns: DataFrame, conv_col: str = "conv_id", turn_col: str
         F.col(turn_col).isNotNull().alias("numbered"),
         F.coalesce(F.col(speaker_col).cast("string"), F.lit(UNKNOWN)).alias("speaker"),
         _safe(F.col(text_col)).alias("said"))
-    said = said.withColumn("part", F.floor(F.col("turn") / part_turns).cast("long"))
+    keyed = said.withColumn("key", F.coalesce(F.concat(F.lit("="), F.col("conv").cast("string")), F.lit("")))
+    said = stage(running_sums(keyed, ["key"], ["numbered", "turn", "speaker", "said"], "at")
+                 .withColumn("part", F.expr(f"at div {part_turns}")), "turns")
     speakers = (said.where(F.col("speaker") != SYSTEM)
                 .select(F.col("conv").alias("of"), F.col("speaker").alias("perspective")).distinct())
     views = said.join(speakers, F.col("conv").eqNullSafe(F.col("of")))

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 OP6 = """
-WITH said AS (
-  SELECT conv_id, coalesce(turn, 0) AS turn, turn IS NOT NULL AS numbered, floor(coalesce(turn, 0) / 512)::BIGINT AS part,
+WITH turns AS (
+  SELECT conv_id, coalesce(turn, 0) AS turn, turn IS NOT NULL AS numbered,
          coalesce(role, 'unknown') AS speaker, replace(coalesce(text, ''), '<|im_', '<| im_') AS said
   FROM conversations),
+said AS (
+  SELECT *, (row_number() OVER (PARTITION BY conv_id ORDER BY numbered, turn, speaker, said) - 1) // 512 AS part FROM turns),
 speakers AS (SELECT DISTINCT conv_id AS of_conv, speaker AS perspective FROM said WHERE speaker <> 'system'),
 shown AS (
   SELECT conv_id, perspective, part, speaker = perspective AS own, numbered, turn, speaker, said,

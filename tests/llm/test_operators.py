@@ -302,6 +302,16 @@ def test_parts_join_to_the_view(spark):
     assert all(whole[p.start:p.start + len(p.text)] == p.text for p in parts)
 
 
+def test_a_view_is_whole_however_its_turns_are_numbered(spark):
+    df = spark.createDataFrame([(1, 511, "a", "one"), (1, 512, "b", "two"), (1, 10**12, "a", "three"), (2, 0, "a", "same")]
+                               + [(2, 0, "a", "same")] * 5, "conv_id long, turn long, role string, text string")
+    df = df.withColumns({"at": F.lit("x"), "part": F.lit("y"), "key": F.lit("z")})
+    got = {(r.conv_id, r.perspective, r.part): r.n_turns for r in chat_views.perspective_views(df).collect()}
+    assert got == {(1, "a", 0): 3, (1, "b", 0): 3, (2, "a", 0): 6}
+    small = chat_views.perspective_views(df, part_turns=4).where("conv_id = 2").collect()
+    assert sorted((r.part, r.n_turns) for r in small) == [(0, 4), (1, 2)]
+
+
 # --- 7 -------------------------------------------------------------------------------------------
 def test_quality_counts_by_hand(spark):
     import re
