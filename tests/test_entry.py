@@ -9,7 +9,8 @@ import __spark_entry__ as E
 SF = "/root/testdata/sf0.001"
 SAMPLE = ["normalize_corpus", "dedup_keep_first", "expand_contractions", "tfidf_matrix",
           "bow_binary", "matrix_stats", "top_terms_tfidf", "topics_comparison_by_lang",
-          "normalize_topics", "bow_fixed_vocab", "scan_csv_roundtrip"]
+          "normalize_topics", "bow_fixed_vocab", "scan_csv_roundtrip",
+          "bow_user_vocab", "lda_term_mass", "lsa_spectrum_moments", "lsa_coordinate_energy"]
 
 
 def test_oracle_keys_are_queries():
