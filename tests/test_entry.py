@@ -27,7 +27,7 @@ def _rows(records, cols):
 def test_query_matches_oracle(spark, name):
     duckdb = pytest.importorskip("duckdb")
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark"):
+    for t in ("documents", "pages", "benchmark", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     sdf = E.queries()[name](spark, SF)
     cols = sorted(sdf.columns)
