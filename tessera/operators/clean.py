@@ -19,6 +19,8 @@ from ..plans.joins import join_small
 
 NORMALIZED = "_normalized"
 CLEAN = "narrative_clean"
+#: Columns that tell texts apart: md5, a second 64-bit hash, the length.
+DIGEST = ["_md5", "_hash", "_length"]
 
 
 def with_computed(df: DataFrame, name: str, expr) -> DataFrame:
@@ -61,6 +63,13 @@ def drop_null_text(df: DataFrame, text_col: str) -> DataFrame:
     return df.filter(F.col(text_col).isNotNull())
 
 
+def with_digest(df: DataFrame, text_col: str) -> DataFrame:
+    """Adds ``DIGEST`` of a text; a null text has one of its own."""
+    text = F.col(text_col)
+    return df.withColumns({"_md5": F.coalesce(F.md5(text.cast("binary")), F.lit("")), "_hash": F.xxhash64(F.lit(7), text),
+                           "_length": F.coalesce(F.length(text), F.lit(-1))})
+
+
 def dedup_keep_first(df: DataFrame, text_col: str, id_col: str = "doc_id") -> DataFrame:
     """Exact dedup on the text, keeping the row with the smallest id (a null id is the smallest).
 
@@ -74,10 +83,8 @@ def dedup_keep_first(df: DataFrame, text_col: str, id_col: str = "doc_id") -> Da
     """
     if id_col not in df.columns or id_col == text_col:
         raise KeyError(f"id column '{id_col}' not found")
-    text = F.col(text_col)
-    digest = ["_md5", "_hash", "_length"]
-    marked = df.withColumns({"_md5": F.coalesce(F.md5(text.cast("binary")), F.lit("")), "_hash": F.xxhash64(F.lit(7), text),
-                             "_length": F.coalesce(F.length(text), F.lit(-1)), "_id": F.struct(F.col(id_col))})
+    digest = DIGEST
+    marked = with_digest(df, text_col).withColumn("_id", F.struct(F.col(id_col)))
     pairs = marked.groupBy(*digest, "_id").agg(F.count(F.lit(1)).alias("_n")).checkpoint(eager=True)
     first = pairs.groupBy(*digest).agg(F.min("_id").alias("_id"))
     later = pairs.join(first, [*digest, "_id"], "left_anti").select(*digest, "_id").checkpoint(eager=True)

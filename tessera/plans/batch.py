@@ -9,8 +9,7 @@ text); the doc-major TF-IDF table is checkpointed for the LSA passes.
 from __future__ import annotations
 
 import time
-import uuid
-from dataclasses import asdict, dataclass, field, replace
+from dataclasses import dataclass, field, replace
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,8 +22,9 @@ from ..operators import lsa as LS
 from ..operators import stats as ST
 from ..operators import topics as TP
 from ..operators import vectorize as V
-from ..session import ensure_checkpoint_dir, scratch_path
+from ..session import ensure_checkpoint_dir
 from ..sources import corpus as SRC
+from ..sources import incremental as INC
 from ..sources import sinks as SK
 
 
@@ -46,15 +46,10 @@ class PipelineResult:
 def normalized_stage(spark: SparkSession, raw: DataFrame, cfg: PipelineConfig,
                      stage_base: str | None) -> DataFrame:
     """The normalized corpus is always materialized (Parquet stage under
-    ``stage_base``, default the shared checkpoint folder) and read back, so the
-    cleaning runs once however many jobs follow."""
-    base = stage_base or scratch_path(spark, "stages")
-    # without an identity of the input (files, their sizes and times) nothing is reused
-    key = {"clean": asdict(cfg.clean), "columns": raw.columns,
-           "input": SRC.input_identity(raw) or uuid.uuid4().hex}
-    df, _ = SRC.load_or_build_stage(spark, base, "normalized", key,
-                                    lambda: C.normalize_corpus(raw, cfg.clean))
-    return SRC.balance(df)
+    ``stage_base``, by default in the folder of ``spark.checkpoint.dir``) and read
+    back, so the cleaning runs once however many jobs follow; a later run
+    normalizes only the files that were added (``sources.incremental``)."""
+    return SRC.balance(INC.normalized(spark, raw, cfg.clean, stage_base))
 
 
 def _timed(timings: dict, name: str, t0: float) -> float:
