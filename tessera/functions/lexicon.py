@@ -10,6 +10,8 @@ from __future__ import annotations
 from functools import lru_cache
 from importlib import resources
 
+from .irregular import irregular_nouns, irregular_verbs, past_participles
+
 # --- fixed values -----------------------------------------------------------
 # Whole-cell junk literals nulled out after stripping (case-sensitive match).
 JUNK_LITERALS = (
@@ -56,7 +58,17 @@ CONTRACTION_WORDS = {
     "kinda": "kind of",
     "sorta": "sort of",
     "dunno": "do not know",
+    "u": "you",
+    "idk": "i do not know",
 }
+# Words with a leading apostrophe.
+CONTRACTION_HEADS = {"cause": "because", "tis": "it is", "twas": "it was"}
+# Behind 's these mean "has", behind 'd "had"; adverbs may stand between.  A
+# noun's 's before any other word is a possessive and stays.
+CONTRACTION_ADVERBS = ("not", "never", "always", "already", "also", "just", "only", "ever", "since", "recently", "finally")
+PERFECT_WORDS = ("been", "become", "begun", "come", "fallen", "forgotten", "gone", "got", "gotten", "grown", "had", "happened",
+                 "known", "risen", "seen", "taken")
+PAST_WORDS = ("been", "better", "become", "put", "set", "used", *past_participles())
 CONTRACTION_SUFFIXES = (
     ("n't", " not"),
     ("'re", " are"),
@@ -68,7 +80,7 @@ CONTRACTION_SUFFIXES = (
 
 # Irregular forms for the dictionary lemmatizer (form -> lemma).  Forms that
 # must not be touched by the suffix rules map to themselves.
-LEMMA_EXCEPTIONS = {
+LEMMA_WORDS = {
     "am": "be", "is": "be", "are": "be", "was": "be", "were": "be",
     "been": "be", "being": "be",
     "has": "have", "had": "have", "having": "have",
@@ -125,6 +137,9 @@ LEMMA_EXCEPTIONS = {
     "lightning": "lightning", "pudding": "pudding", "darling": "darling",
 }
 
+# The whole dictionary: forms made by rule, and the words above before them.
+LEMMA_EXCEPTIONS = irregular_verbs() | irregular_nouns() | LEMMA_WORDS
+
 # Suffix rules for tokens outside the dictionary (anchored regexes that Java
 # and RE2 read alike).  Endings in -s and -ied: the first rule that matches.
 LEMMA_RULES = (

@@ -48,11 +48,17 @@ WORDS_AND_GAPS = f"{WORD}+(?:{APOS}[a-z]+)*|{NOT_WORD}+"
 # --- end of fixed values ----------------------------------------------------
 
 
+def auxiliary(end: str, adverbs, words) -> str:
+    """A word with ``'<end>`` before one of ``words``: {1} and {2} stay, the ending goes between them."""
+    between = "|".join(adverbs)
+    return f"([a-z]){APOS}{end}((?: +(?:{between}))* +(?:{'|'.join(words)})){POST}"
+
+
 def java_group(template: str) -> str:
     """Render a replacement template with {1}-style groups for Java regex."""
-    return template.replace("{1}", "$1").replace("{2}", "$2")
+    return template.replace("{1}", "$1").replace("{2}", "$2").replace("{3}", "$3")
 
 
 def re2_group(template: str) -> str:
     """Render a replacement template with {1}-style groups for RE2."""
-    return template.replace("{1}", "\\1").replace("{2}", "\\2")
+    return template.replace("{1}", "\\1").replace("{2}", "\\2").replace("{3}", "\\3")

@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from . import patterns as P
-from .lexicon import (CONTRACTION_SUFFIXES, CONTRACTION_WORDS, DOUBLED_STEM, JUNK_LITERALS,
-                      LEMMA_EXCEPTIONS, LEMMA_RULES, SILENT_E_STEM, VERB_FORM, VERB_STEM)
+from .lexicon import (CONTRACTION_ADVERBS, CONTRACTION_HEADS, CONTRACTION_SUFFIXES, CONTRACTION_WORDS, DOUBLED_STEM,
+                      JUNK_LITERALS, LEMMA_EXCEPTIONS, LEMMA_RULES, LEMMA_WORDS, PAST_WORDS, PERFECT_WORDS,
+                      SILENT_E_STEM, VERB_FORM, VERB_STEM)
 
 
 def _col(c: Column | str) -> Column:
@@ -56,25 +57,39 @@ def _expand_word(word: Column, depth: int = 2) -> Column:
     return _looked_up(CONTRACTION_WORDS, word, rest.otherwise(word))
 
 
+#: Steps before the dictionary, as (pattern, replacement): leading apostrophes,
+#: then 's and 'd by the word that follows (it's been, he'd left).
+CONTEXT_STEPS = (
+    *((f"{P.PRE}{P.APOS}{head}{P.POST}", "{1}" + full + "{2}") for head, full in CONTRACTION_HEADS.items()),
+    (P.auxiliary("s", CONTRACTION_ADVERBS, PERFECT_WORDS), "{1} has{2}{3}"),
+    (P.auxiliary("d", CONTRACTION_ADVERBS, ("[a-z]{2,}[^e]ed", *PAST_WORDS)), "{1} had{2}{3}"),
+)
+SLANG = tuple(w for w in CONTRACTION_WORDS if "'" not in w)
+#: Texts without this are left as they are.
+CONTRACTION_TRIGGER = f"{P.APOS}|{P.PRE}(?:{'|'.join(SLANG)}){P.POST}"
+
+
 def expand_contractions(c: Column | str) -> Column:
-    """Contractions and slang to full words (dictionary + suffix rules).
+    """Contractions and slang to full words (context, dictionary, suffix rules).
 
-    Only texts that contain an apostrophe or a slang word are split, once, into
+    'd before a participle is "had", 's before one of ``PERFECT_WORDS`` "has";
+    otherwise 'd is "would", and 's "is" behind the pronouns of the dictionary.
+    A noun's 's before any other word is a possessive and stays.  Only texts that contain an apostrophe or a slang word are split, once, into
     words and the gaps between them; quotes around words are gaps and stay.
     """
     t = _col(c)
-    slang = [w for w in CONTRACTION_WORDS if "'" not in w]
-    because = F.regexp_replace(t, f"{P.PRE}{P.APOS}cause{P.POST}", "$1because$2")
+    told = t
+    for pattern, full in CONTEXT_STEPS:
+        told = F.regexp_replace(told, pattern, P.java_group(full))
 
     def expand(x: Column) -> Column:
         plain = F.translate(x, "\u2019", "'")
         full = _expand_word(plain)
-        return F.when(plain.contains("'") | x.isin(slang),
+        return F.when(plain.contains("'") | x.isin(list(SLANG)),
                       F.when(full != plain, full).otherwise(x)).otherwise(x)
 
-    pieces = F.regexp_extract_all(because, F.lit(P.WORDS_AND_GAPS), F.lit(0))
-    trigger = P.APOS + "|" + "|".join(slang)
-    return F.when(t.rlike(trigger), F.array_join(F.transform(pieces, expand), "")).otherwise(t)
+    pieces = F.regexp_extract_all(told, F.lit(P.WORDS_AND_GAPS), F.lit(0))
+    return F.when(t.rlike(CONTRACTION_TRIGGER), F.array_join(F.transform(pieces, expand), "")).otherwise(t)
 
 
 def strip_urls(c: Column | str) -> Column:
@@ -140,8 +155,9 @@ def _lemma_rules(x: Column) -> Column:
 
 
 def lemmatize_tokens(tokens: Column | str) -> Column:
-    """Dictionary lookup, then the suffix rules."""
-    return F.transform(_col(tokens), lambda x: _looked_up(LEMMA_EXCEPTIONS, x, _lemma_rules(x)))
+    """Dictionary lookup (everyday words first), then the suffix rules."""
+    rare = {k: v for k, v in LEMMA_EXCEPTIONS.items() if k not in LEMMA_WORDS}
+    return F.transform(_col(tokens), lambda x: _looked_up(LEMMA_WORDS, x, _looked_up(rare, x, _lemma_rules(x))))
 
 
 def keep_tokens(tokens: Column | str, min_len: int) -> Column:

@@ -13,6 +13,7 @@ from ..functions import patterns as P
 from ..functions.lexicon import (CONTRACTION_SUFFIXES, CONTRACTION_WORDS, CSV_NA_SPELLINGS,
                                  DOUBLED_STEM, JUNK_LITERALS, LEMMA_EXCEPTIONS, LEMMA_RULES,
                                  SILENT_E_STEM, VERB_FORM, VERB_STEM, default_stopwords)
+from ..functions.text import CONTEXT_STEPS, CONTRACTION_TRIGGER, SLANG
 from . import params as Q
 
 
@@ -78,15 +79,15 @@ def contracted_word_sql(x: str, depth: int = 2) -> str:
 
 
 def contractions_sql(e: str) -> str:
-    slang = [w for w in CONTRACTION_WORDS if "'" not in w]
-    because = rx(e, f"{P.PRE}{P.APOS}cause{P.POST}", "\\1because\\2")
+    told = e
+    for pattern, full in CONTEXT_STEPS:
+        told = rx(told, pattern, P.re2_group(full))
     full = bind_sql(contracted_word_sql("p"), "f", "CASE WHEN f <> p THEN f ELSE x END")
     word = bind_sql("replace(x, '’', '''')", "p",
-                    f"CASE WHEN contains(p, '''') OR x IN ({', '.join(map(lit, slang))}) THEN {full} ELSE x END")
-    out = (f"array_to_string(list_transform(regexp_extract_all({because}, {lit(P.WORDS_AND_GAPS)}), "
+                    f"CASE WHEN contains(p, '''') OR x IN ({', '.join(map(lit, SLANG))}) THEN {full} ELSE x END")
+    out = (f"array_to_string(list_transform(regexp_extract_all({told}, {lit(P.WORDS_AND_GAPS)}), "
            f"lambda x: {word}), '')")
-    trigger = P.APOS + "|" + "|".join(slang)
-    return f"CASE WHEN regexp_matches({e}, {lit(trigger)}) THEN {out} ELSE {e} END"
+    return f"CASE WHEN regexp_matches({e}, {lit(CONTRACTION_TRIGGER)}) THEN {out} ELSE {e} END"
 
 
 def clean_sql(e: str, contractions: bool = True) -> str:
