@@ -12,6 +12,7 @@ class CleanConfig:
     min_token_len: int = 2
     extra_stopwords: tuple[str, ...] = ()
     expand_contractions: bool = True
+    context_lemmas: bool = False         # forms of two words (left, building) by the words beside them
 
 
 @dataclass(frozen=True)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..config import CleanConfig
 from ..functions import text as T
 from ..functions.lexicon import JUNK_LITERALS, stopword_list
+from ..functions.tagging import lemmatize_in_context
 from ..plans.joins import join_small
 
 NORMALIZED = "_normalized"
@@ -110,8 +111,9 @@ def tokenize(df: DataFrame, in_col: str = NORMALIZED, out_col: str = "_tokens")
 
 
 def lemmatize(df: DataFrame, in_col: str = "_tokens", out_col: str = "_lemmas",
-              dictionary: DataFrame | None = None, key: str = "doc_id") -> DataFrame:
-    """Dictionary lemmatizer with suffix-rule fallback.
+              dictionary: DataFrame | None = None, key: str = "doc_id", context: bool = False) -> DataFrame:
+    """Dictionary lemmatizer with suffix-rule fallback; with ``context``,
+    forms of two words (left, building) by the tags beside them.
 
     The built-in dictionary is a literal set and map inside the expression (no join).
     A user dictionary ``(form, lemma)`` of any size goes through an explode
@@ -121,7 +123,7 @@ def lemmatize(df: DataFrame, in_col: str = "_tokens", out_col: str = "_lemmas",
     row id, which a recomputation after a shuffle could renumber).
     """
     if dictionary is None:
-        return df.withColumn(out_col, T.lemmatize_tokens(in_col))
+        return df.withColumn(out_col, lemmatize_in_context(in_col) if context else T.lemmatize_tokens(in_col))
     exploded = (df.select(key, F.posexplode_outer(in_col).alias("_pos", "form"))
                 .filter(F.col("form").isNotNull()))
     # one lemma per form, the first in order: a form listed twice must not double its tokens
@@ -176,7 +178,7 @@ def clean_tokens(df: DataFrame, cfg: CleanConfig = CleanConfig(),
     """N5..N16 on a prepared corpus: adds ``_normalized`` and ``_kept``."""
     df = normalize_text(df, cfg.text_col, NORMALIZED, cfg.expand_contractions)
     df = tokenize(df, NORMALIZED, "_tokens")
-    df = lemmatize(df, "_tokens", "_lemmas", lemma_dictionary, key=cfg.id_col)
+    df = lemmatize(df, "_tokens", "_lemmas", lemma_dictionary, key=cfg.id_col, context=cfg.context_lemmas)
     df = remove_stopwords(df, "_lemmas", "_kept", stopword_list(cfg.extra_stopwords))
     return filter_tokens(df, "_kept", cfg.min_token_len)
 

@@ -284,6 +284,9 @@ def oracle_sql() -> dict[str, str]:
     Z["lemmatize_dict"] = pos_long.format(
         rel=f"(SELECT doc_id, list_concat({lemmas_sql(tokens_sql('c'))}, "
             f"{lst(Q.LEMMA_CASES.values())}) AS l FROM {cleaned})")
+    Z["lemmatize_context"] = pos_long.format(
+        rel=f"(SELECT doc_id, list_concat({lemmas_sql(tokens_sql('c'))}, string_split("
+            f"{lst(Q.CONTEXT_CASES.values())}[doc_id % {len(Q.CONTEXT_CASES)} + 1], ' ')) AS l FROM {cleaned})")
     # of the two lemmas that the dictionary gives a form, the first in order is the shorter
     Z["lemmatize_user_dict"] = (
         f"WITH forms AS (SELECT DISTINCT unnest({tokens_sql(clean_sql('text'))}) AS form FROM benchmark), "
@@ -299,6 +302,7 @@ def oracle_sql() -> dict[str, str]:
         rel=f"(SELECT doc_id, list_filter(string_split(lower(text), ' '), lambda x: regexp_matches(x, {lit(P.ALPHA)})) AS l FROM documents)")
     Z["drop_empty_docs"] = f"WITH {normalized_cte()} SELECT doc_id FROM normalized"
     Z["normalize_corpus"] = f"WITH {normalized_cte()} SELECT doc_id, lang, source, narrative_clean FROM normalized"
+    Z["stage_incremental"] = Z["normalize_corpus"]
     # V*
     Z["bow_tokens"] = pos_long.format(rel=f"(SELECT doc_id, {bow_tokens_sql('text')} AS l FROM documents)")
     Z["tfidf_tokens"] = pos_long.format(rel=f"(SELECT doc_id, {word_tokens_sql('text')} AS l FROM documents)")

@@ -33,5 +33,17 @@ LEMMA_CASES = {
     "phenomena": "phenomenon", "hypotheses": "hypothesis", "criteria": "criterion", "salesmen": "salesman",
     "ground": "ground", "thieves": "thief",
 }
+# Sentences that the context lemma query puts behind every text by turns, with their lemmas.
+CONTEXT_CASES = {
+    "he left the bank": "he leave the bank", "the left side is dark": "the left side be dark",
+    "they saw it": "they see it", "the saw is sharp": "the saw be sharp",
+    "we are building a house": "we be build a house", "the building is old": "the building be old",
+    "she leaves the office": "she leave the office", "the leaves are green": "the leaf be green",
+    "we found an error": "we find an error", "she wants to found a company": "she want to found a company",
+    "the meeting with my banker": "the meeting with my banker", "they were meeting us": "they be meet us",
+    "i have left the firm": "i have leave the firm", "their lives are short": "their life be short",
+    "he lives in town": "he live in town", "the ground is wet": "the ground be wet",
+    "the left building is mine": "the left building be mine", "they found saving the files hard": "they find save the file hard",
+}
 # A user's vocabulary: terms at given columns, one of them in no text.
 USER_VOCABULARY = {"the": 3, "and the": 0, "der": 4, "la": 1, "que la": 5, "no such term": 2, "in": 6}

@@ -24,6 +24,7 @@ from ..operators import topics as TP
 from ..operators import vectorize as V
 from ..session import ensure_checkpoint_dir, scratch_path
 from ..sources import corpus as SRC
+from ..sources import incremental as INC
 from ..sources import sinks as SK
 from . import params as Q
 
@@ -311,6 +312,13 @@ def q_lemmatize_dict(spark, sf):
     return _positions(C.lemmatize(d, "t", "l"), "l")
 
 
+def q_lemmatize_context(spark, sf):
+    d = C.tokenize(_cleaned(spark, sf), "c", "t")
+    case = F.element_at(F.array(*[F.lit(c) for c in Q.CONTEXT_CASES]), (F.col("doc_id") % len(Q.CONTEXT_CASES) + 1).cast("int"))
+    d = d.withColumn("t", F.concat("t", F.split(case, " ")))
+    return _positions(C.lemmatize(d, "t", "l", context=True), "l")
+
+
 def q_lemmatize_user_dict(spark, sf):
     """A dictionary over the words of ``benchmark`` that lists every form twice."""
     b = C.normalize_text(_table(spark, sf, "benchmark", ["text"]), "text", "c")
@@ -346,6 +354,16 @@ def q_normalize_corpus(spark, sf):
                                                              "narrative_clean")
 
 
+def q_stage_incremental(spark, sf):
+    """A stage over a third of the documents, then with the files of the rest added: the rows of a full run."""
+    base = scratch_path(spark, "grown")
+    docs = _docs(spark, sf)
+    for lot in (F.col("doc_id") % 3 == 0, F.col("doc_id") % 3 > 0):
+        docs.filter(lot).write.mode("append").parquet(f"{base}/in")
+        out = INC.normalized(spark, spark.read.parquet(f"{base}/in"), CCFG, f"{base}/stages", "documents")
+    return out.select("doc_id", "lang", "source", "narrative_clean")
+
+
 def q_bow_tokens(spark, sf):
     return _positions(_docs(spark, sf).select("doc_id", T.bow_tokens("text").alias("l")), "l")
 
