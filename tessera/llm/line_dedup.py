@@ -9,13 +9,14 @@ that a third of all pages share reaches its reducer as one row a task.
 A host with fewer than ``min_pages`` pages that hold a line keeps that line:
 the only page of a host is not boilerplate of itself.
 
-With ``copies_once`` the share is taken over the distinct texts of a host (by a
-64-bit hash and the length), so copies of a page do not make its own lines
-boilerplate; the found lines are dropped from all pages.  Without it every row
-counts, as in the SQL of ``op9_line_dedup``.
-
-Defined results: null text stays null (no lines); a null host counts as the
-host ``''``; repeated rows are pages of their own; a page that loses all lines
+With ``copies_once`` (the default) the share is taken over the distinct texts of
+a host (by a 64-bit hash and the length), so copies of a page do not make its
+own lines boilerplate; the found lines are dropped from all pages.  Without it
+every row counts.
+
+Defined results: null text stays null (no lines, but the nulls of a host are one
+page of it); a null host counts as the host ``''``; repeated rows are one page in
+the share and get the same result; a page that loses all lines
 keeps an empty text; other columns ride along; an empty table stays empty.
 """
 
@@ -26,7 +27,8 @@ from pyspark.sql import functions as F
 
 from .common import BROADCAST_ROWS, stage
 
-RATIO = 0.1
+#: Half the rate of a line that one page in ten carries, so that such lines do not go or stay by chance.
+RATIO = 0.05
 MIN_PAGES = 3
 
 BLANK = " \t\n\x0b\f\r"
@@ -48,7 +50,7 @@ def _key(line: Column) -> Column:
 
 
 def boilerplate_lines(pages: DataFrame, host: Column, text_col: str = "text",
-                      ratio: float = RATIO, min_pages: int = MIN_PAGES, copies_once: bool = False) -> DataFrame:
+                      ratio: float = RATIO, min_pages: int = MIN_PAGES, copies_once: bool = True) -> DataFrame:
     """``host``, ``line`` (hash and length), ``n_pages`` and ``host_pages`` of every boilerplate line."""
     site = F.coalesce(host.cast("string"), F.lit("")).alias("host")
     keys = F.array_distinct(F.transform(_lines(text_col), _key)).alias("keys")
@@ -67,7 +69,7 @@ def boilerplate_lines(pages: DataFrame, host: Column, text_col: str = "text",
 
 def drop_boilerplate(pages: DataFrame, host: Column, text_col: str = "text", ratio: float = RATIO,
                      min_pages: int = MIN_PAGES, dropped_col: str | None = None,
-                     broadcast_rows: int = BROADCAST_ROWS, copies_once: bool = False) -> DataFrame:
+                     broadcast_rows: int = BROADCAST_ROWS, copies_once: bool = True) -> DataFrame:
     """``pages`` without the boilerplate lines of their hosts.
 
     ``dropped_col`` names a column for the number of lines dropped.  The found

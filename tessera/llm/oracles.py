@@ -65,12 +65,12 @@ FROM counts
 
 OP9 = r"""
 WITH pages AS (SELECT row_number() OVER () AS r, doc_id, source, text, string_split(text, chr(10)) AS lines FROM documents),
-split AS (SELECT r, coalesce(source, '') AS host, unnest(lines) AS line, unnest(range(len(lines))) AS pos FROM pages),
-bare AS (SELECT r, host, line, pos, trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS b FROM split),
-totals AS (SELECT coalesce(source, '') AS host, count(*) AS host_pages FROM documents GROUP BY 1),
+split AS (SELECT r, coalesce(source, '') AS host, text, unnest(lines) AS line, unnest(range(len(lines))) AS pos FROM pages),
+bare AS (SELECT r, host, text, line, pos, trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS b FROM split),
+totals AS (SELECT host, count(*) AS host_pages FROM (SELECT DISTINCT coalesce(source, '') AS host, text FROM documents) GROUP BY 1),
 found AS (
-  SELECT host, b FROM (SELECT host, b, count(DISTINCT r) AS n FROM bare WHERE b <> '' GROUP BY host, b)
-  JOIN totals USING (host) WHERE n >= 3 AND n > 0.1 * host_pages),
+  SELECT host, b FROM (SELECT host, b, count(DISTINCT text) AS n FROM bare WHERE b <> '' GROUP BY host, b)
+  JOIN totals USING (host) WHERE n >= 3 AND n > 0.05 * host_pages),
 kept AS (
   SELECT r, string_agg(line, chr(10) ORDER BY pos) AS text, count(*) AS n
   FROM bare LEFT JOIN (SELECT host, b, TRUE AS hit FROM found) USING (host, b) WHERE hit IS NULL GROUP BY r)

@@ -9,7 +9,10 @@ keep the type (card numbers pass their check digit, bank accounts theirs,
 private addresses stay private), the format (separators, case, character
 classes), and for names the gender and the script.  A name is a title or a known
 given name and up to ``NAME_WORDS`` words, with initials and particles (von, de la)
-between them; particles stay, initials turn into others by a keyed order.
+between them; particles stay, initials turn into others by a keyed order.  Once a
+document holds a name, every other capitalised word of it that is a word of that
+name (Smith, SMITH, Smith's) is followed and gets the same surrogate; as a surname
+if it is both a given name and a surname there.
 
 Distinctness is checked over the whole corpus: of entities that drew the same
 surrogate, or one that some document really holds, all but the first draw again
@@ -38,6 +41,8 @@ KEY = "tessera"  # set one of your own: who has the key can test guesses
 
 #: Draws in the format of an entity before it is widened, and entities that exchange their forms in one task.
 PLAIN_DRAWS = 6
+#: Buckets that the names of a document are looked up in.
+NAME_BUCKETS = 64
 ROTATION_LOT = 10_000
 
 MALE, FEMALE = "m", "f"
@@ -94,6 +99,8 @@ PATTERNS = {
              rf"|(?:{'|'.join(GIVEN_NAMES[MALE] + GIVEN_NAMES[FEMALE])})(?:{_MORE}){{1,{NAME_WORDS - 1}}})"),
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
+#: Words as names are made of, and what lies between them; together the whole text.
+WORD_OR_GAP = r"\p{L}[\p{L}'’-]*|[^\p{L}]+"
 #: Every type but names needs one of these; most texts hold none.
 SIGNS = "[0-9@=:]|AKIA"
 
@@ -347,6 +354,33 @@ def _one_kind(entities: DataFrame) -> DataFrame:
     return kinds.select(F.explode("kinds").alias("kind"), "form", as_kind.alias("as_kind"))
 
 
+def _followed(piece: Column, buckets: Column) -> Column:
+    """Words and gaps of a text between mentions; a capitalised word of a found name is written as its surrogate."""
+    def one(x: Column) -> Column:
+        tail = F.regexp_extract(x, ENDING, 0)
+        word = F.substr(x, F.lit(1), F.length(x) - F.length(tail))
+        form = F.lower(F.replace(word, F.lit("’"), F.lit("'")))
+        near = F.get(buckets, F.pmod(F.xxhash64(form), F.lit(NAME_BUCKETS)).cast("int"))
+        drawn = F.get(F.filter(near, lambda n: n["form"] == form), F.lit(0))["drawn"]
+        new = F.concat(_written(F.lit("surname:"), word, form, drawn), tail)
+        return F.when(x.rlike(r"^\p{Lu}") & drawn.isNotNull(), F.struct(new.alias("text"), F.lit(1).alias("n"))).otherwise(
+            F.struct(x.alias("text"), F.lit(0).alias("n")))
+    return F.transform(F.regexp_extract_all(piece, F.lit(WORD_OR_GAP), F.lit(0)), one)
+
+
+def _names_of(parts: DataFrame) -> DataFrame:
+    """``__row`` and the names found in it, ``(form, drawn)`` in buckets by form; one surrogate a form, a surname's first."""
+    kind = F.split_part("kind", F.lit(":"), F.lit(1))
+    one = (parts.where(kind.isin("given", "surname") & F.col("drawn").isNotNull())
+           .groupBy("__row", "form").agg(F.max(F.struct(kind.alias("space"), F.col("drawn"))).alias("best")))
+    bucket = F.pmod(F.xxhash64("form"), F.lit(NAME_BUCKETS)).cast("int")
+    filled = (one.groupBy("__row", bucket.alias("bucket"))
+              .agg(F.sort_array(F.collect_list(F.struct("form", F.col("best.drawn").alias("drawn")))).alias("names")))
+    by_bucket = filled.groupBy("__row").agg(F.map_from_entries(F.collect_list(F.struct("bucket", "names"))).alias("m"))
+    return by_bucket.select("__row", F.transform(F.sequence(F.lit(0), F.lit(NAME_BUCKETS - 1)),
+                                                 lambda b: F.try_element_at("m", b)).alias("__names"))
+
+
 def replace_entities(docs: DataFrame, text_col: str = "text", key: str = KEY,
                      count_col: str | None = None) -> DataFrame:
     """``docs`` with surrogates in ``text_col``; ``count_col`` names a column for the number replaced."""
@@ -360,20 +394,26 @@ def replace_entities(docs: DataFrame, text_col: str = "text", key: str = KEY,
              .withColumnRenamed("kind", "as_kind").join(entities, ["as_kind", "form"]).select("kind", "form", "drawn"))
     new = F.when(F.col("kind") == "initial", _initial(F.col("raw"), key)).when(F.col("drawn").isNull(), F.col("raw")).otherwise(
         _written(F.col("kind"), F.col("raw"), F.col("form"), F.col("drawn")))
-    written = (parts.join(drawn, ["kind", "form"], "left")
-               .groupBy("__row", "at").agg(
+    found = stage(parts.join(drawn, ["kind", "form"], "left"), "drawn")
+    written = (found.groupBy("__row", "at").agg(
                    F.sort_array(F.collect_list(F.struct("part", F.concat("lead", new, "tail").alias("new")))).alias("parts"),
                    F.max(F.col("drawn").isNotNull().cast("int")).alias("replaced"))
                .select("__row", F.struct("at", F.array_join(F.transform("parts", lambda x: x["new"]), "").alias("new"),
                                          "replaced").alias("m")))
     by_row = written.groupBy("__row").agg(F.sort_array(F.collect_list("m")).alias("__new"))
     between = F.split(F.col(text_col), ANY, -1)
-    text = F.array_join(F.transform(between, lambda x, k: F.concat(
-        x, F.coalesce(F.get(F.col("__new"), k)["new"], F.lit("")))), "")
-    done = hit.join(by_row, "__row").withColumn(text_col, text)
+    pieces = F.when(F.col("__names").isNull(), F.transform(between, lambda x: F.array(
+        F.struct(x.alias("text"), F.lit(0).alias("n"))))).otherwise(
+            F.transform(between, lambda x: _followed(x, F.col("__names"))))
+    text = F.array_join(F.transform("__pieces", lambda p, k: F.concat(
+        F.array_join(F.transform(p, lambda w: w["text"]), ""), F.coalesce(F.get(F.col("__new"), k)["new"], F.lit("")))), "")
+    done = (hit.join(by_row, "__row").join(_names_of(found), "__row", "left")
+            .withColumn("__pieces", pieces).withColumn(text_col, text))
     columns = [F.col(f"`{c}`") for c in docs.columns]
     rest = docs.where(~has).select(*columns)
     if count_col:
-        n = F.aggregate(F.transform("__new", lambda m: m["replaced"]), F.lit(0), lambda a, x: a + x).cast("long")
+        add = lambda a, x: a + x
+        n = (F.aggregate(F.transform("__new", lambda m: m["replaced"]), F.lit(0), add)
+             + F.aggregate(F.transform(F.flatten("__pieces"), lambda w: w["n"]), F.lit(0), add)).cast("long")
         return done.select(*columns, n.alias(count_col)).union(rest.withColumn(count_col, F.lit(0).cast("long")))
     return done.select(*columns).union(rest)

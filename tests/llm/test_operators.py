@@ -353,12 +353,14 @@ def test_line_dedup_both_ways(spark):
     df = spark.createDataFrame(rows, "doc_id long, host string, text string").withColumn("line", F.lit(1))
     want = {i: f" body {i}\n\n" + ("foot" if i < 2 else "") for i in range(10)}
     want = {i: (t if i < 2 else f" body {i}\n") for i, t in want.items()}
-    want |= {20: "nav\nonly", 21: None, 22: "", 23: "", 24: "", 25: ""}
+    want |= {20: "nav\nonly", 21: None, 22: "", 23: "same", 24: "same", 25: "same"}
     for few in (1000, -1):  # broadcast, then joined
         out = line_dedup.drop_boilerplate(df, F.col("host"), dropped_col="gone", broadcast_rows=few)
         assert out.columns == ["doc_id", "host", "text", "line", "gone"]
         assert {r.doc_id: r.text for r in out.collect()} == want
     assert line_dedup.drop_boilerplate(df.limit(0), F.col("host")).count() == 0
+    every_row = line_dedup.drop_boilerplate(df, F.col("host"), copies_once=False)
+    assert {r.doc_id: r.text for r in every_row.where("doc_id >= 23").collect()} == {23: "", 24: "", 25: ""}
 
 
 def test_host_of(spark):
