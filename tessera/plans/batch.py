@@ -22,7 +22,7 @@ from ..operators import lsa as LS
 from ..operators import stats as ST
 from ..operators import topics as TP
 from ..operators import vectorize as V
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, stored
 from ..sources import corpus as SRC
 from ..sources import incremental as INC
 from ..sources import sinks as SK
@@ -61,8 +61,8 @@ def _timed(timings: dict, name: str, t0: float) -> float:
 def _stored(v: V.Vectorized) -> V.Vectorized:
     """The vectorizer's rows (or, without rows, its long matrix) written once for all that reads them."""
     if v.rows is None:
-        return replace(v, matrix=v.matrix.checkpoint(eager=True))
-    rows = v.rows.checkpoint(eager=True)
+        return replace(v, matrix=stored(v.matrix, "matrix"))
+    rows = stored(v.rows, "rows")
     return replace(v, rows=rows, matrix=V.long_matrix(rows, v.vocab))
 
 
@@ -82,15 +82,15 @@ def run(spark: SparkSession, raw: DataFrame, cfg: PipelineConfig = PipelineConfi
 
     # One term table for both vectorizers when their token patterns agree:
     # on cleaned text ([a-z] words, single spaces) they always do.
-    bow_terms = V.doc_terms(docs, text_col, vc, V.BOW_PATTERN).checkpoint(eager=True)
+    bow_terms = stored(V.doc_terms(docs, text_col, vc, V.BOW_PATTERN), "terms")
     same_tokens = text_col == C.CLEAN and not vc.binary
-    tfidf_terms = bow_terms if same_tokens else V.doc_terms(docs, text_col, vc, V.WORD_PATTERN).checkpoint(eager=True)
+    tfidf_terms = bow_terms if same_tokens else stored(V.doc_terms(docs, text_col, vc, V.WORD_PATTERN), "terms")
     t = _timed(timings, "term_table", t)
 
     # BoW + LDA
-    # counted once in the row; the sketch and the exact counts read it
-    counted = V.counted_rows(bow_terms).checkpoint(eager=True)
-    bow_vocab = V.fit_vocabulary(V.long_counts(counted, vc.binary), n_docs, vc)
+    # counted once; the sketch and the exact counts read it
+    counted = stored(V.long_counts(V.counted_rows(bow_terms), vc.binary), "counts")
+    bow_vocab = V.fit_vocabulary(counted, n_docs, vc)
     bow = _stored(V.vectorize_counts(bow_terms, bow_vocab, vc.binary))
     t = _timed(timings, "bow", t)
     vectors = LD.prepare_vectors(LD.sparse_rows(bow))
@@ -105,12 +105,12 @@ def run(spark: SparkSession, raw: DataFrame, cfg: PipelineConfig = PipelineConfi
     tcfg = replace(vc, binary=False)
     # Same term table and same ranking rule -> the same fitted vocabulary.
     tfidf_vocab = bow_vocab if same_tokens else V.fit_vocabulary(
-        V.long_counts(V.counted_rows(tfidf_terms).checkpoint(eager=True)), n_docs, tcfg)
+        stored(V.term_frequencies(tfidf_terms), "counts"), n_docs, tcfg)
     tfidf = _stored(V.vectorize_weights(tfidf_terms, tfidf_vocab, tcfg))
     t = _timed(timings, "tfidf", t)
     D = LS.materialize(tfidf)
     lsa_model = LS.fit_lsa(D, tfidf.vocab.size, n_docs, tc)
-    lsa_model.explained_variance_ratio_sum = LS.explained_variance_ratio(tfidf, lsa_model)
+    lsa_model.explained_variance_ratio_sum = LS.explained_variance_ratio(tfidf, lsa_model, D)
     lsa_terms = TP.topic_terms_long(
         TP.rank_terms(LS.lsa_topics_frame(spark, lsa_model, tfidf.vocab.table, tc.n_top_terms),
                       tc.n_top_terms), "lsa_tfidf").checkpoint(eager=True)
