@@ -65,3 +65,19 @@ def test_explained_variance_needs_no_second_matrix(spark):
     want = LS.explained_variance_ratio(v, model)
     assert 0 < want <= 1
     assert LS.explained_variance_ratio(replace(v, matrix=None), model, D) == pytest.approx(want)
+
+
+def test_longer_ngrams_and_short_texts(spark):
+    lists = [[], ["a"], ["a", "b"], ["a", "b", "c"], list("abcdefg")]
+    df = spark.createDataFrame([(x,) for x in lists], "t array<string>")
+    got = [r.g for r in df.select(T.ngrams("t", 1, 4).alias("g")).collect()]
+    assert got == [[" ".join(x[i:i + n]) for n in range(1, 5) for i in range(len(x) - n + 1)] for x in lists]
+
+
+def test_one_hash_gives_every_row_of_the_sketch_cells_of_its_own(spark):
+    df = spark.range(2000).select(F.concat(F.lit("t"), "id").alias("term"))
+    rows = df.select(*(V._cells(r).alias(f"c{r}") for r in range(V.SKETCH_ROWS))).collect()
+    for r in range(V.SKETCH_ROWS):
+        cells = [x[r] // V.SKETCH_CELLS for x in rows]
+        assert set(cells) == {r}
+    assert len({tuple(x) for x in rows}) == 2000
