@@ -81,3 +81,42 @@ def test_digamma():
     x = np.array([0.01, 0.1, 1.0, 2.5, 6.0, 40.0, 1e6])
     assert np.allclose(LD.digamma(x), [-100.56088545786867, -10.423754940411076, -0.5772156649015329, 0.7031566406452432,
                                        1.7061176684318005, 3.676327374034521, 13.815510057964274])
+
+
+def test_packed_blocks_hold_every_entry_once(spark):
+    rows = spark.createDataFrame([(i, list(range(i % 5)), [1.0 + j for j in range(i % 5)], i // 10) for i in range(40)],
+                                 "doc_id long, ids array<int>, values array<double>, lot int").coalesce(1)
+    blocks = LD.packed(rows).collect()
+    assert [b["lot"] for b in blocks] == [0, 1, 2, 3]  # no block of two lots
+    for b in blocks:
+        assert np.frombuffer(b["sizes"], dtype=np.int32).tolist() == [i % 5 for i in range(10)]
+        assert np.frombuffer(b["terms"], dtype=np.int32).tolist() == [j for i in range(10) for j in range(i % 5)]
+        assert np.frombuffer(b["counts"]).tolist() == [1.0 + j for i in range(10) for j in range(i % 5)]
+    topics = np.random.default_rng(1).random((3, 5)) + 0.01
+    counts, read = LD._expected_counts(LD.packed(rows.drop("lot")), topics, 0.2)
+    assert read == 40
+    assert np.allclose((counts * topics).sum(axis=0), [sum(1.0 + j for i in range(40) if j < i % 5) for j in range(5)])
+
+
+def test_single_precision_rounds_fit_as_double_ones(monkeypatch):
+    rng = np.random.default_rng(3)
+    topics = LD._expected_logs(rng.gamma(0.3, 50.0, (10, 400)) + 0.1)
+    sizes = rng.integers(1, 300, 60)
+    terms = np.concatenate([rng.choice(400, n, replace=False) for n in sizes])
+    counts = rng.integers(1, 9, len(terms)).astype(float)
+    counts[-sizes[-1]:] *= 1000  # too many words for single precision
+    args = np.repeat(np.arange(60), sizes), terms, counts, 60, topics, 0.1
+    seen, fit = set(), LD._fit_lot
+    monkeypatch.setattr(LD, "_fit_lot", lambda entry, *a: seen.add(entry.dtype.name) or fit(entry, *a))
+    gamma, share = LD._fit_block(*args)
+    assert seen == {"float32", "float64"}
+    assert np.allclose((share * topics[:, terms]).sum(axis=0), counts, rtol=1e-12)
+    seen.clear()
+    monkeypatch.setattr(LD, "SINGLE_TOPICS", 0)
+    exact, _ = LD._fit_block(*args)
+    assert seen == {"float64"} and np.abs(gamma - exact).mean() < LD.DOC_TOLERANCE
+
+
+def test_exp_digamma():
+    x = np.array([0.01, 0.1, 1.0, 2.5, 6.0, 40.0, 1e6])
+    assert np.allclose(LD._exp_digamma(x), np.exp(LD.digamma(x)), rtol=1e-12, atol=0)
