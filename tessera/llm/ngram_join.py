@@ -22,7 +22,9 @@ Work follows the links, not the pairs, of a group of near copies:
 Before a pair becomes a row its parity bitmaps are compared: every bit in which
 they differ stands for at least one shingle that only one of the two has, so
 too many such bits rule a link out.  A group of many near copies that do not
-link is so compared inside the join and hardly leaves rows.
+link is so compared inside the join and hardly leaves rows.  A pair meets once
+for every prefix shingle that it shares; it becomes a row at the first of them
+alone, and only if it shares enough.
 
 Shingles are 64-bit hashes of their words; links and sizes are counted on them.
 
@@ -203,6 +205,12 @@ def _sizes_fit(a: Column, b: Column, percent: int) -> Column:
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
+def _meet_here(a: str, b: str, need: Column) -> Column:
+    """Whether two prefixes share ``need`` shingles, of which ``shingle`` is the first."""
+    common = F.array_intersect(a, b)
+    return (F.size(common) >= need) & (F.get(common, F.lit(0)) == F.col("shingle"))
+
+
 def verify_pairs(docs: DataFrame, pairs: DataFrame, id_col: str, text_col: str, n: int, percent: int) -> DataFrame:
     """The rows ``a``, ``b`` of ``pairs`` (a written table) that link."""
     ids = stage(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "candidates")
@@ -231,11 +239,6 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
              .where(F.col("head") < F.col("last")).select("shingle", "head"))
     shared = stage(lists.join(heads, "shingle"), "lists")  # shingles of one document only are gone
 
-    def enough(pairs: DataFrame) -> DataFrame:
-        """Pairs that share as many prefix shingles as the smaller of both l asks for."""
-        return (pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("met"), F.min("need").alias("need"))
-                .where(F.col("met") >= F.col("need")).select("a", "b"))
-
     def side(of: str) -> DataFrame:
         return facts.select(F.col("id").alias(of), *(F.col(c).alias(c + of) for c in ("n", "need", "bits")))
 
@@ -251,16 +254,20 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
               .withColumn("component", F.coalesce("component", "id")))
     mixed = (placed.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
              .where(F.col("lo") != F.col("hi")).select("shingle"))
-    across = stage(placed.join(mixed, "shingle", "left_semi").join(facts, "id"), "across")
-    left, right = (across.select("shingle", *(F.col(c).alias(c + k) for c in ("id", "n", "need", "component", "bits")))
+    entries = stage(placed.join(mixed, "shingle", "left_semi"), "entries")
+    # of a prefix only what others hold: most of it is in one document alone
+    shares = entries.groupBy("id").agg(F.collect_set("shingle").alias("prefix"))
+    across = stage(entries.join(facts, "id").join(shares, "id"), "across")
+    left, right = (across.select("shingle", *(F.col(c).alias(c + k) for c in ("id", "n", "need", "component", "bits", "prefix")))
                    for k in ("1", "2"))
     more = (left.join(right, "shingle")
             .where((F.col("id1") < F.col("id2")) & (F.col("component1") != F.col("component2"))
                    & _sizes_fit(F.col("n1"), F.col("n2"), percent)
-                   & _bitmaps_fit("bits1", "bits2", F.col("n1"), F.col("n2"), percent, width))
-            .select(F.col("id2").alias("a"), F.col("id1").alias("b"), F.least("need1", "need2").alias("need")))
+                   & _bitmaps_fit("bits1", "bits2", F.col("n1"), F.col("n2"), percent, width)
+                   & _meet_here("prefix1", "prefix2", F.least("need1", "need2")))
+            .select(F.col("id2").alias("a"), F.col("id1").alias("b")))
     # a head is the smallest id of its list, so verified pairs have the larger id first as well
-    more = stage(enough(more).join(to_head, ["a", "b"], "left_anti"), "pairs")
+    more = stage(more.distinct().join(to_head, ["a", "b"], "left_anti"), "pairs")  # rows that share an id meet twice
     found = stage(verify_pairs(docs, more, id_col, text_col, n, percent), "links")
     components = connected_components(links.union(found)) if not found.isEmpty() else joined
 

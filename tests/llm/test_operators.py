@@ -411,3 +411,14 @@ def test_jaccard_odd_rows(spark):
     kept = ngram_join.keep_one_of_each(odd(spark))
     assert kept.columns == odd(spark).columns and kept.count() == len(ODD) - 1
     assert ngram_join.jaccard_components(odd(spark).limit(0)).count() == 0
+
+
+def test_candidates_are_one_row_at_their_first_shared_shingle(spark):
+    # three documents that share most of their prefixes: a row a shared shingle before
+    prefixes = {1: [10, 20, 30, 40], 2: [40, 30, 20, 50], 3: [40, 60, 70, 80]}
+    rows = spark.createDataFrame([(s, i, p) for i, p in prefixes.items() for s in p], "shingle long, id long, prefix array<long>")
+    pairs = rows.alias("l").join(rows.withColumnsRenamed({"id": "id2", "prefix": "prefix2"}), "shingle").where("id < id2")
+    assert pairs.count() == 5
+    for need, want in ((1, [(1, 2), (1, 3), (2, 3)]), (2, [(1, 2)]), (4, [])):
+        met = pairs.where(ngram_join._meet_here("prefix", "prefix2", F.lit(need))).select("id", "id2").collect()
+        assert sorted(map(tuple, met)) == want
