@@ -218,20 +218,32 @@ def _fixed_lead(digits: Column, lead: Column, seed: Column) -> Column:
     return F.concat(lead, _like(F.substr(digits, F.length(lead) + 1), seed))
 
 
-def surrogate(kind: Column, form: Column, attempt: Column, key: str = KEY) -> Column:
-    """Canonical form of the surrogate of an entity."""
+def _domain(form: Column) -> Column:
+    return F.substr(form, F.instr(form, "@") + 1)
+
+
+def with_seeds(entities: DataFrame, key: str = KEY) -> DataFrame:
+    """``entities`` with the hashes that ``surrogate`` draws from.
+
+    They are columns: an expression that holds them whole at every draw makes plans of a megabyte on the driver.
+    """
     def seeded(*parts) -> Column:
         return F.sha2(F.concat(F.lit(key), F.sha2(F.concat_ws("\x1f", F.lit(key), *parts), 256)), 256)
 
-    seed = seeded(kind, form, attempt.cast("string"))
+    return (entities.withColumn("seed", seeded(F.col("kind"), F.col("form"), F.col("attempt").cast("string")))
+            .withColumn("domain_seed", F.when(F.col("kind") == "email", seeded(F.lit("domain"), _domain(F.col("form"))))))
+
+
+def surrogate(kind: Column, form: Column, attempt: Column, seed: Column, domain_seed: Column) -> Column:
+    """Canonical form of the surrogate of an entity, with the hashes of ``with_seeds``."""
     at = F.instr(form, "@")
-    domain = F.substr(form, at + 1)
+    domain = _domain(form)
     top = F.regexp_extract(domain, r"\.[^.]*$", 0)
     site = F.substr(domain, F.lit(1), F.length(domain) - F.length(top))
     more = lambda n, low: F.when(attempt >= PLAIN_DRAWS, F.array_join(F.transform(
         F.sequence(F.lit(PLAIN_DRAWS), attempt), lambda k: F.chr(_draw(seed, k + 96, n) + low)), "")).otherwise("")
     email = F.concat(_like(F.substr(form, F.lit(1), at - 1), seed), more(26, 97), F.lit("@"),
-                     _like(site, seeded(F.lit("domain"), domain)), top)
+                     _like(site, domain_seed), top)
     upto9 = lambda k: (_draw(seed, 40 + k, 8) + 2).cast("string")
     phone = (F.when(F.length(form) == 10, F.concat(
         upto9(0), _like(F.substring(form, 2, 2), seed), upto9(1),
@@ -252,9 +264,9 @@ def surrogate(kind: Column, form: Column, attempt: Column, key: str = KEY) -> Co
         F.array(*map(F.lit, MIDDLES)), _draw(seed, k + 8, len(MIDDLES)))), "")  # one more syllable a draw
     last = F.when(end == MALE, _pick(ENDS[MALE], seed, 1)).when(end == FEMALE, _pick(ENDS[FEMALE], seed, 1)) \
         .when(end == "surname", _pick(ENDS["surname"], seed, 1)).otherwise(_pick(ENDS[""], seed, 1))
-    name = F.concat(_pick(STARTS, seed, 0), extra, last)
+    latin = name = F.concat(_pick(STARTS, seed, 0), extra, last)
     for s, (a, b) in SCRIPTS.items():
-        name = F.when(script == s, F.translate(name, a, b)).otherwise(name)
+        name = F.when(script == s, F.translate(latin, a, b)).otherwise(name)
     return (F.when(kind == "email", email).when(kind == "phone", phone).when(kind == "card", card)
             .when(kind == "ip", ip).when(kind == "iban", iban)
             .when(kind == "ssn", F.concat(F.lit("9"), _like(F.substr(form, F.lit(2)), seed)))
@@ -330,7 +342,9 @@ def assign_surrogates(entities: DataFrame, key: str = KEY, max_rounds: int = 12)
     own = stage(entities.select("kind", "form", space.alias("space")).distinct().withColumn("attempt", F.lit(0)), "entities")
     real = own.select(F.col("space").alias("s"), F.col("form").alias("f")).distinct()
     for _ in range(max_rounds):
-        drawn = own.withColumn("drawn", surrogate(F.col("kind"), F.col("form"), F.col("attempt"), key))
+        # written, so that the surrogate is drawn once, not in both sides of the join
+        drawn = stage(with_seeds(own, key).withColumn("drawn", surrogate(*map(F.col, ("kind", "form", "attempt", "seed", "domain_seed"))))
+                      .drop("seed", "domain_seed"), "draws")
         first = drawn.groupBy("space", "drawn").agg(F.min(F.struct("attempt", "form", "kind")).alias("first"))
         again = (~F.col("first").eqNullSafe(F.struct("attempt", "form", "kind"))) | F.col("f").isNotNull()
         judged = stage(drawn.join(first, ["space", "drawn"])

@@ -197,6 +197,14 @@ def test_surrogates_stay_distinct(spark, monkeypatch):
     assert not {d for _, d in drawn} & {r.form for r in got}
 
 
+def test_plan_of_the_draw_is_small(spark, monkeypatch):
+    """The driver holds the plans: one with the hash at every place that draws from it takes most of a megabyte."""
+    sizes, write = [], pii.stage
+    monkeypatch.setattr(pii, "stage", lambda df, name: sizes.append(len(df._jdf.queryExecution().toString())) or write(df, name))
+    got = pii.assign_surrogates(spark.createDataFrame([("email", "a@one.org"), ("surname:surname:greek", "x")], "kind string, form string"))
+    assert got.count() == 2 and len(sizes) >= 2 and max(sizes) < 200_000
+
+
 # --- 4 and 8 -------------------------------------------------------------------------------------
 def _held_out_accuracy(spark, query, label):
     # the smaller tables hold a handful of toxic documents a language, too few to learn from
