@@ -36,6 +36,7 @@ table gives an empty result; other columns are not read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -205,8 +206,26 @@ def _sizes_fit(a: Column, b: Column, percent: int) -> Column:
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
+def _size_class(n: Column, percent: int) -> Column:
+    """Sizes that can link are of one class or of neighbouring ones; the margin is for the rounding of logarithms."""
+    step = max(math.log(100 / max(percent, 1)), 0.01) * (1 + 1e-6)
+    return F.floor(F.log(n.cast("double")) / F.lit(step)).cast("int")
+
+
+def with_partner(placed: DataFrame, percent: int) -> DataFrame:
+    """The entries ``(shingle, n, component, ...)`` whose shingle is in another component as well, by sizes that can link.
+
+    Both entries of a pair that can link stay, at every shingle that they share.
+    """
+    sized = placed.withColumn("size_class", _size_class(F.col("n"), percent))
+    met = (sized.select("shingle", "component", F.explode(F.array(*(F.col("size_class") + k for k in (-1, 0, 1)))).alias("size_class"))
+           .groupBy("shingle", "size_class").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+           .where(F.col("lo") != F.col("hi")).select("shingle", "size_class"))
+    return sized.join(met, ["shingle", "size_class"], "left_semi").drop("size_class")
+
+
 def _meet_here(a: str, b: str, need: Column) -> Column:
-    """Whether two prefixes share ``need`` shingles, of which ``shingle`` is the first."""
+    """Whether two sorted prefixes share ``need`` shingles, of which ``shingle`` is the first."""
     common = F.array_intersect(a, b)
     return (F.size(common) >= need) & (F.get(common, F.lit(0)) == F.col("shingle"))
 
@@ -250,14 +269,14 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     links = stage(verify_pairs(docs, to_head, id_col, text_col, n, percent), "links")
     joined = connected_components(links)
 
-    placed = (shared.select("shingle", "id").join(joined.withColumnRenamed("node", "id"), "id", "left")
-              .withColumn("component", F.coalesce("component", "id")))
-    mixed = (placed.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-             .where(F.col("lo") != F.col("hi")).select("shingle"))
-    entries = stage(placed.join(mixed, "shingle", "left_semi"), "entries")
-    # of a prefix only what others hold: most of it is in one document alone
-    shares = entries.groupBy("id").agg(F.collect_set("shingle").alias("prefix"))
-    across = stage(entries.join(facts, "id").join(shares, "id"), "across")
+    placed = (shared.select("shingle", "id").join(facts.select("id", "n").distinct(), "id")
+              .join(joined.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id")))
+    # bitmaps and prefixes only travel with entries that have someone to meet
+    entries = stage(with_partner(placed, percent), "entries")
+    # of a prefix only what others hold: most of it is in one document alone; and only up to the shingle if one is enough
+    shares = entries.groupBy("id", "n").agg(F.array_sort(F.collect_set("shingle")).alias("prefix"))
+    upto = F.when(F.col("need") > 1, F.col("prefix")).otherwise(F.slice("prefix", F.lit(1), F.array_position("prefix", F.col("shingle"))))
+    across = stage(entries.join(facts, ["id", "n"]).join(shares, ["id", "n"]).withColumn("prefix", upto), "across")
     left, right = (across.select("shingle", *(F.col(c).alias(c + k) for c in ("id", "n", "need", "component", "bits", "prefix")))
                    for k in ("1", "2"))
     more = (left.join(right, "shingle")

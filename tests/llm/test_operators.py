@@ -430,3 +430,17 @@ def test_candidates_are_one_row_at_their_first_shared_shingle(spark):
     for need, want in ((1, [(1, 2), (1, 3), (2, 3)]), (2, [(1, 2)]), (4, [])):
         met = pairs.where(ngram_join._meet_here("prefix", "prefix2", F.lit(need))).select("id", "id2").collect()
         assert sorted(map(tuple, met)) == want
+
+
+@pytest.mark.parametrize("percent", [50, 80, 90, 99, 100])
+def test_entries_without_a_partner_carry_no_bitmaps(spark, percent):
+    rows = [(1, 100 + i, n, 100 + i) for i, n in enumerate([1, 2, 9, 10, 100, 111, 112, 200, 5000])]   # shingle, id, n, component
+    rows += [(2, 1, 50, 1), (2, 2, 50, 1), (3, 3, 70, 3), (3, 4, 7000, 4)]
+    fits = lambda a, b: 100 * min(a, b) >= percent * max(a, b)
+    need = {r for r in rows for o in rows if r[0] == o[0] and r[3] != o[3] and fits(r[2], o[2])}
+    left = {tuple(r) for r in ngram_join.with_partner(spark.createDataFrame(rows, "shingle long, id long, n int, component long"), percent)
+            .select("shingle", "id", "n", "component").collect()}
+    assert need <= left < set(rows) and not {r for r in left if r[0] > 1}
+    sizes = spark.range(1, 3000).select(F.col("id").cast("int").alias("b"), F.ceil(F.col("id") * percent / 100).cast("int").alias("a"))
+    apart = F.abs(ngram_join._size_class(F.col("a"), percent) - ngram_join._size_class(F.col("b"), percent))
+    assert sizes.agg(F.max(apart)).first()[0] <= 1
