@@ -12,6 +12,7 @@ of a length goes to which run of sequences at which offset.  Ranks are dealt
 out in parallel, in hashed lots of a length, so that a length that a third of
 all pieces share is not ranked in one task: lots stay as small as they are,
 however many pieces there are.  One number a lot passes through the driver.
+Places are joined to the ranks, so pieces with their ids never leave the JVM again.
 
 Defined results: null or empty text is the closing id alone; null ids stay
 null; repeated rows are pieces of their own; an empty table packs to nothing.
@@ -136,7 +137,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
         bpe = tokenizer(tokenizer_path)
         closing = np.array([CLOSING_ID], dtype="<u4").tobytes()
         for batch in batches:
-            for first, texts in text_lots(batch.column(1), 2 << 20):
+            for first, texts in text_lots(batch.column(1)):
                 part = batch.slice(first, len(texts))
                 texts = [t or "" for t in texts]
                 rows: list[int] = []
@@ -221,6 +222,26 @@ def pack_counts(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[
     return slots
 
 
+def spots_of(slots: list[tuple[int, int, int, int, int]], counted: np.ndarray) -> pa.Table:
+    """Cut slots where lots end: one row for each run of ranks that share a lot and a slot.
+
+    ``counted`` has (length, lot, pieces) by length and lot, no lot empty.  Ranks ``first`` to ``stop``
+    (excluded) of a lot go to successive sequences from ``sequence`` on; there are
+    at most as many rows as slots and lots together.
+    """
+    slots = np.array(sorted(slots), dtype=np.int64).reshape(-1, 5)
+    before = np.cumsum(counted[:, 2]) - counted[:, 2]
+    own = np.flatnonzero(np.diff(counted[:, 0], prepend=-1))  # first lot of every length
+    before -= np.repeat(before[own], np.diff(np.append(own, len(counted))))
+    lots, runs = counted[:, 0] * 2**44 + before, slots[:, 0] * 2**44 + slots[:, 1]
+    starts = np.union1d(lots, runs)
+    lot, run = (np.searchsorted(x, starts, side="right") - 1 for x in (lots, runs))
+    ends = np.minimum(lots[lot] + counted[lot, 2], runs[run] + slots[run, 2])
+    return pa.table({
+        "__length": counted[lot, 0], "__lot": counted[lot, 1], "__first": starts - lots[lot], "__stop": ends - lots[lot],
+        "__sequence": slots[run, 3] + starts - runs[run], "__offset": slots[run, 4]})
+
+
 def pack(pieces: DataFrame, order_by: list[str], length_col: str = "length",
          capacity: int = CAPACITY) -> DataFrame:
     """Give each piece its ``sequence_id`` and ``offset``.
@@ -230,38 +251,22 @@ def pack(pieces: DataFrame, order_by: list[str], length_col: str = "length",
     """
     spark = pieces.sparkSession
     totals = {int(r[0]): int(r[1]) for r in pieces.groupBy(length_col).count().collect()}  # at most ``capacity`` rows
-    shares = spark.createDataFrame([(n, k // LOT_PIECES + 1) for n, k in totals.items()], "__length bigint, __lots bigint")
+    shares = spark.createDataFrame(pa.table({
+        "__own": pa.array(totals, pa.int64()), "__lots": pa.array([k // LOT_PIECES + 1 for k in totals.values()], pa.int64())}))
     lot = F.pmod(F.xxhash64(*order_by), F.col("__lots"))
-    dealt = (pieces.join(F.broadcast(shares), F.col(length_col) == F.col("__length"))
-             .select(*pieces.columns, lot.alias("__lot")))
-    got = dealt.groupBy(F.col(length_col).alias("l"), F.col("__lot").alias("lot")).agg(F.count(F.lit(1)).alias("n")).toArrow()
+    dealt = (pieces.join(F.broadcast(shares), F.col(length_col) == F.col("__own"))
+             .select(*pieces.columns, lot.alias("__in")))
+    got = dealt.groupBy(F.col(length_col).alias("l"), F.col("__in").alias("lot")).agg(F.count(F.lit(1)).alias("n")).toArrow()
     counted = np.stack([got[c].to_numpy().astype(np.int64) for c in ("l", "lot", "n")], axis=1)
     counted = counted[np.lexsort((counted[:, 1], counted[:, 0]))]
-    before = np.cumsum(counted[:, 2]) - counted[:, 2]
-    own = np.flatnonzero(np.diff(counted[:, 0], prepend=-1))  # first lot of every length
-    before -= np.repeat(before[own], np.diff(np.append(own, len(counted))))
-    lots = counted[:, 0] * 2**44 + counted[:, 1]
-    slots = np.array(sorted(pack_counts(totals, capacity)), dtype=np.int64).reshape(-1, 5)
-    sent = spark.sparkContext.broadcast((lots, before, slots))
-
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lots, before, slots = sent.value
-        keys = slots[:, 0] * 2**44 + slots[:, 1]
-        for batch in batches:
-            length, lot, rank = (batch.column(batch.schema.get_field_index(c)).to_numpy(zero_copy_only=False)
-                                 .astype(np.int64) for c in (length_col, "__lot", "__rank"))
-            rank = rank + before[np.searchsorted(lots, length * 2**44 + lot)]
-            slot = slots[np.searchsorted(keys, length * 2**44 + rank, side="right") - 1]
-            names = [n for n in batch.schema.names if n not in ("__lot", "__rank")]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(batch.schema.get_field_index(n)) for n in names),
-                 pa.array(slot[:, 3] + rank - slot[:, 1]), pa.array(slot[:, 4])],
-                names=[*names, "sequence_id", "offset"])
-
-    inside = Window.partitionBy(length_col, "__lot").orderBy(*order_by)
-    ranked = dealt.withColumn("__rank", F.row_number().over(inside) - 1)
-    schema = ", ".join(f"`{n}` {t}" for n, t in pieces.dtypes) + ", sequence_id bigint, offset bigint"
-    return ranked.mapInArrow(place, schema)
+    spots = spark.createDataFrame(spots_of(pack_counts(totals, capacity), counted))
+    rank = F.col("__rank")
+    inside = Window.partitionBy(length_col, "__in").orderBy(*order_by)
+    ranked = dealt.withColumn("__rank", F.row_number().over(inside).cast("bigint") - 1)
+    return (ranked.join(F.broadcast(spots), (F.col(length_col) == F.col("__length")) & (F.col("__in") == F.col("__lot"))
+                        & (rank >= F.col("__first")) & (rank < F.col("__stop")))
+            .select(*pieces.columns, (F.col("__sequence") + rank - F.col("__first")).alias("sequence_id"),
+                    F.col("__offset").alias("offset")))
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",

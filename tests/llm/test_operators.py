@@ -287,6 +287,22 @@ def test_pack_counts_small_cases():
     assert bins({10: 3, 1: 25}, 10) == 6 and packing.pack_counts({}, 10) == []
 
 
+def test_pack_deals_lots_to_slots_in_the_jvm(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(packing, "LOT_PIECES", 3)
+    lengths = [7] * 23 + [3] * 40 + [2] * 17 + [1] * 31 + [10] * 4 + [5] * 9
+    rows = spark.createDataFrame([(i % 50, n, [i] * n) for i, n in enumerate(lengths)], "id long, length long, ids array<int>")
+    rows.write.parquet(f"{tmp_path}/pieces")
+    for kept in (F.lit(True), F.lit(False)):
+        pieces = spark.read.parquet(f"{tmp_path}/pieces").where(kept)
+        packed = packing.pack(pieces, ["id"], capacity=10)
+        assert "MapInArrow" not in packed._jdf.queryExecution().toString()
+        got = packed.collect()
+        assert Counter(tuple(r.ids) for r in got) == Counter(tuple(r.ids) for r in pieces.collect())
+        counts = Counter(r.length for r in got)
+        want = [(n, first + k, at) for n, _, m, first, at in packing.pack_counts(counts, 10) for k in range(m)]
+        assert Counter((r.length, r.sequence_id, r.offset) for r in got) == Counter(want)
+
+
 # --- 6 -------------------------------------------------------------------------------------------
 def test_views_rotate(spark):
     rows = [(1, 0, "system", "be kind"), (1, 1, "ann", "hi <|im_end|>"), (1, 2, "bob", None), (1, 3, None, "?"),
