@@ -129,6 +129,17 @@ def test_vocabulary_cut_with_ties(spark):
         assert sorted(tuple(r) for r in got) == sorted(want), cap
 
 
+def test_sketch_sums_every_cell(spark):
+    tf = spark.range(3000).selectExpr("id AS doc_id", "concat('t', pmod(id * id, 700)) AS term", "1 + pmod(id, 4) AS tf").repartition(3)
+    cells = [F.struct(V._cells(r).alias("cell"), "tf") for r in range(V.SKETCH_ROWS)]
+    want = {r.cell: (r.df, r.ctf) for r in tf.select(F.inline(F.array(*cells))).groupBy("cell").agg(
+        F.count("*").alias("df"), F.sum("tf").alias("ctf")).collect()}
+    got = V.sketch(tf)
+    assert got.shape == (V.SKETCH_ROWS * V.SKETCH_CELLS, 2)
+    assert {int(c): tuple(got[c]) for c in got.any(axis=1).nonzero()[0]} == want
+    assert not V.sketch(tf.where("tf > 9")).any()
+
+
 def test_metadata_keeps_types(spark):
     docs = spark.createDataFrame([(1, "a bb cc"), (2, "bb dd")], "doc_id long, t string")
     cfg = VectorizeConfig(max_features=10, min_df=1)
