@@ -1,9 +1,9 @@
 """the full batch run.
 
 normalize (stage, reused when its config is unchanged) -> BoW -> LDA ->
-TF-IDF -> LSA -> reports.  The shared term table is checkpointed once and
-feeds both vectorizers when their token patterns agree (always on cleaned
-text); the doc-major TF-IDF table is checkpointed for the LSA passes.
+TF-IDF -> LSA -> reports.  The counts of the vocabulary's terms are written
+once and feed both vectorizers when their token patterns agree (always on
+cleaned text); the doc-major TF-IDF table is checkpointed for the LSA passes.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import PipelineConfig
+from ..config import PipelineConfig, VectorizeConfig
 from ..operators import clean as C
 from ..operators import lda as LD
 from ..operators import lsa as LS
@@ -66,6 +66,13 @@ def _stored(v: V.Vectorized) -> V.Vectorized:
     return replace(v, rows=rows, matrix=V.long_matrix(rows, v.vocab))
 
 
+def _vectorized(docs: DataFrame, text_col: str, vocab: V.Vocabulary, cfg: VectorizeConfig, pattern: str) -> V.Vectorized:
+    """Counts over the vocabulary, written once."""
+    if not vocab.broadcastable():
+        return _stored(V.vectorize_counts(V.doc_terms(docs, text_col, cfg, pattern), vocab, cfg.binary))
+    return V.vectorize_rows(stored(V.text_rows(docs, text_col, vocab, cfg, pattern), "rows"), vocab)
+
+
 def run(spark: SparkSession, raw: DataFrame, cfg: PipelineConfig = PipelineConfig(),
         outdir: str | None = None, stage_base: str | None = None) -> PipelineResult:
     ensure_checkpoint_dir(spark)
@@ -80,18 +87,11 @@ def run(spark: SparkSession, raw: DataFrame, cfg: PipelineConfig = PipelineConfi
     docs = normalized.select(F.col(id_col).alias("doc_id"), text_col)
     n_docs = docs.count()
 
-    # One term table for both vectorizers when their token patterns agree:
-    # on cleaned text ([a-z] words, single spaces) they always do.
-    bow_terms = stored(V.doc_terms(docs, text_col, vc, V.BOW_PATTERN), "terms")
-    same_tokens = text_col == C.CLEAN and not vc.binary
-    tfidf_terms = bow_terms if same_tokens else stored(V.doc_terms(docs, text_col, vc, V.WORD_PATTERN), "terms")
-    t = _timed(timings, "term_table", t)
+    bow_vocab = V.fit_vocabulary_of_text(docs, text_col, n_docs, vc, V.BOW_PATTERN)
+    t = _timed(timings, "vocabulary", t)
 
     # BoW + LDA
-    # counted once; the sketch and the exact counts read it
-    counted = stored(V.long_counts(V.counted_rows(bow_terms), vc.binary), "counts")
-    bow_vocab = V.fit_vocabulary(counted, n_docs, vc)
-    bow = _stored(V.vectorize_counts(bow_terms, bow_vocab, vc.binary))
+    bow = _vectorized(docs, text_col, bow_vocab, vc, V.BOW_PATTERN)
     t = _timed(timings, "bow", t)
     vectors = LD.prepare_vectors(LD.sparse_rows(bow))
     lda_model = LD.fit_lda(vectors, tc, n_docs, prepared=True, n_terms=bow_vocab.size)
@@ -103,10 +103,17 @@ def run(spark: SparkSession, raw: DataFrame, cfg: PipelineConfig = PipelineConfi
 
     # TF-IDF + LSA
     tcfg = replace(vc, binary=False)
-    # Same term table and same ranking rule -> the same fitted vocabulary.
-    tfidf_vocab = bow_vocab if same_tokens else V.fit_vocabulary(
-        stored(V.term_frequencies(tfidf_terms), "counts"), n_docs, tcfg)
-    tfidf = _stored(V.vectorize_weights(tfidf_terms, tfidf_vocab, tcfg))
+    # One vocabulary and one count of the terms for both vectorizers when their token patterns agree:
+    # on cleaned text ([a-z] words, single spaces) they always do.
+    if text_col == C.CLEAN and not vc.binary:
+        counts = bow
+    else:
+        tfidf_vocab = V.fit_vocabulary_of_text(docs, text_col, n_docs, tcfg, V.WORD_PATTERN)
+        counts = _vectorized(docs, text_col, tfidf_vocab, tcfg, V.WORD_PATTERN)
+    if counts.rows is None:
+        tfidf = _stored(V.vectorize_weights(V.doc_terms(docs, text_col, tcfg, V.WORD_PATTERN), counts.vocab, tcfg))
+    else:
+        tfidf = _stored(V.vectorize_rows(counts.rows, counts.vocab, tcfg))
     t = _timed(timings, "tfidf", t)
     D = LS.materialize(tfidf)
     lsa_model = LS.fit_lsa(D, tfidf.vocab.size, n_docs, tc)
