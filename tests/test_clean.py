@@ -99,3 +99,27 @@ def test_dedup_of_copies_nulls_and_shared_ids(spark):
     assert C.dedup_keep_first(df.limit(0), "t").count() == 0
     with pytest.raises(KeyError):
         C.dedup_keep_first(df, "t", "nowhere")
+
+
+def test_lemmas_worked_out_by_word_are_those_of_the_expressions(spark):
+    from tessera.functions import words as W
+    from tessera.functions.lexicon import LEMMA_EXCEPTIONS, default_stopwords
+    stems = ["agre", "stopp", "clos", "charg", "settl", "creat", "requir", "provid", "nam", "roll", "pass", "box", "go", "buzz", "x", "bb", "e", "rhythm"]
+    some = [*LEMMA_EXCEPTIONS, *(s + e for s in stems for e in ("", "s", "es", "ies", "ied", "ed", "eed", "ing", "d", "ss", "us"))]
+    got = {r.w: r.l for r in spark.createDataFrame([(w,) for w in some], "w string").select("w", T.lemmatize_tokens(F.array("w"))[0].alias("l")).collect()}
+    assert {w: W.lemma(w) for w in some} == got
+    texts = ["", "the and", "boxes  of\u2003classes", "a told: \u00e9companies \U0001f600 stopped\n", " ".join(some), "\u00fc", "7 x9y"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, n string").repartition(2)
+    raw, df = df, df.withColumn("n", T.letters_only("n"))
+    stops = [*default_stopwords(), "stop"]
+    old = C.filter_tokens(C.remove_stopwords(C.lemmatize(C.tokenize(df, "n", "t"), "t", "l"), "l", "k", stops), "k", 3)
+    want = {r.i: r.z for r in old.select("i", F.array_join("k", " ").alias("z")).collect()}
+    for d in (df, raw):
+        assert {r.i: r.z for r in d.select("i", W.kept_lemmas("n", 3, stops).alias("z")).collect()} == want
+    assert spark.createDataFrame([(None,)], "n string").select(W.kept_lemmas("n", 3, stops)).first()[0] is None
+
+
+def test_words_of_a_corpus_are_looked_up_not_worked_out_by_token(spark):
+    df = spark.createDataFrame([(1, "Boxes of classes")], "doc_id long, narrative string")
+    plan = C.normalize_corpus(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and "split(" not in plan

@@ -81,3 +81,13 @@ def test_one_hash_gives_every_row_of_the_sketch_cells_of_its_own(spark):
         cells = [x[r] // V.SKETCH_CELLS for x in rows]
         assert set(cells) == {r}
     assert len({tuple(x) for x in rows}) == 2000
+
+
+def test_apostrophes_that_nothing_expands_are_passed_over(spark):
+    plain = ["l'eau d'accord qu'il", "the 'quoted' word", "o'neil", "rock'n'roll"]
+    told = {"it's": "it is", "can't2": "cannot2", "y'all!": "you all!", "wouldn't've": "would not have", "'cause x": "because x", "the bank’s been": "the bank has been",
+            "o'clock": "of the clock", "ma'am": "madam", "u": "you", "u,": "you,", "x idk": "x i do not know", "he'd left": "he had left"}
+    df = spark.createDataFrame([(t,) for t in [*plain, *told]], "t string")
+    got = {r.t: (r.c, r.g) for r in df.select("t", F.col("t").rlike(T.CHANGE_TRIGGER).alias("c"), T.expand_contractions("t").alias("g")).collect()}
+    assert {t: got[t] for t in plain} == {t: (False, t) for t in plain}
+    assert {t: got[t] for t in told} == {t: (True, want) for t, want in told.items()}

@@ -1,4 +1,5 @@
 """Terms counted in blocks of texts against the counts of one row a term and document."""
+import pickle
 from dataclasses import replace
 
 import numpy as np
@@ -90,6 +91,10 @@ def test_hashes_depend_on_the_words_alone():
     assert TC.word_hashes(words.take(pa.array([5, 0]))).tolist() == hashes[[5, 0]].tolist()
 
 
+def test_what_is_broadcast_needs_no_package_to_be_read():
+    assert b"tessera" not in pickle.dumps(TC.term_index(["aa", "aa bb"], 1, 2))
+
+
 def test_sums_by_language_keep_every_value(spark):
     rows = spark.createDataFrame([(None, [0, 2], [1.0, 2.0]), ("en", [2], [4.0]), ("en", [0, 2], [8.0, 16.0]), ("de", [], [])],
                                  "lang string, ids array<int>, values array<double>")
