@@ -77,6 +77,16 @@ def test_padded_lots_fit_every_document_as_alone(monkeypatch):
     assert np.allclose((share * topics[:, np.concatenate([t for t, _ in docs])]).sum(axis=0), np.concatenate([c for _, c in docs]))
 
 
+def test_a_few_documents_of_many_sizes_make_few_lots():
+    sizes = np.unique(np.geomspace(1, 3000, 60).astype(int))
+    lots = list(LD._lots(np.random.default_rng(2).permutation(sizes)))
+    assert len(lots) <= 6  # a quarter between sizes alone made 18
+    for lot, ordered in zip(lots, np.split(np.sort(sizes), np.cumsum([len(x) for x in lots])[:-1])):
+        padded = len(lot) * int(ordered.max())
+        assert padded <= LD.LOT_ENTRIES and (padded - ordered.sum() <= LD.SPARE_ENTRIES or ordered.max() <= 1.25 * ordered.min() + 8)
+    assert [len(x) for x in LD._lots(np.array([10 * LD.LOT_ENTRIES, 1, 1]))] == [2, 1]
+
+
 def test_digamma():
     x = np.array([0.01, 0.1, 1.0, 2.5, 6.0, 40.0, 1e6])
     assert np.allclose(LD.digamma(x), [-100.56088545786867, -10.423754940411076, -0.5772156649015329, 0.7031566406452432,
