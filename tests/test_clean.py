@@ -123,3 +123,14 @@ def test_words_of_a_corpus_are_looked_up_not_worked_out_by_token(spark):
     df = spark.createDataFrame([(1, "Boxes of classes")], "doc_id long, narrative string")
     plan = C.normalize_corpus(df)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1 and "split(" not in plan
+
+
+def test_a_slice_of_texts_is_worked_on_alone():
+    import numpy as np
+    import pyarrow as pa
+    from tessera.functions import words as W
+    texts = pa.array(["x", "ab-c", "éd", None, "q"] * 300).slice(2, 7)
+    cut = W._letters(texts)
+    assert [t if t is None else t.split() for t in cut.to_pylist()] == [["d"], None, ["q"], ["x"], ["ab", "c"], ["d"], None]
+    assert cut.buffers()[2].size < 100
+    assert list(W.slices(np.array([5, 0, 3, 9, 1, 1]), 8)) == [(0, 3), (3, 4), (4, 6)] and not list(W.slices(np.array([]), 8))
