@@ -1,6 +1,7 @@
 """Partial sums of a pass, and the fit of documents in padded lots."""
 
 import math
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +29,24 @@ def test_partial_sums_are_added_over_tasks(spark, monkeypatch):
     assert n == 0 and not none.any()
 
 
+def test_passes_leave_no_shuffle_files(spark):
+    def files():
+        return spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().size()
+
+    def partial(batches):
+        return np.ones((10, 3)), sum(len(b) for b in batches)
+
+    before, rows = spark.conf.get(P.SHUFFLE_CLEANUP), spark.range(0, 100, 1, 9)
+    P.summed_partials(rows, partial, (10, 3))
+    first = files()
+    for _ in range(5):
+        assert P.summed_partials(rows, partial, (10, 3))[0].tolist() == [[9.0] * 3] * 10
+    until = time.time() + 20
+    while files() > first and time.time() < until:  # they are removed behind the query
+        time.sleep(0.2)
+    assert files() <= first and spark.conf.get(P.SHUFFLE_CLEANUP) == before
+
+
 def test_sums_of_a_task_hold_one_row_a_block():
     cells = np.arange(4.0).tobytes()
     batch = pa.RecordBatch.from_arrays([pa.array([0, 2, 0]), pa.array([1, 0, 1]), pa.array([cells] * 3, pa.binary())],
